@@ -2,7 +2,8 @@
 
 Every query reads the given parquet tables (or data Spark derives from them)
 and runs over the whole table.  Column names match the SQL oracles in
-``pitwall.oracle``.
+``pitwall.oracle``; doubles are rounded to 4 decimals and times are given as
+epoch milliseconds (``ts_ms``) so both engines print the same values.
 """
 
 from __future__ import annotations
@@ -12,33 +13,374 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.config import scratch_path
+from pitwall.functions import scalars as S
+from pitwall.operators import dashboard as D
+from pitwall.operators import envelope as E
+from pitwall.operators import laps as L
+from pitwall.operators import pacing as P
 from pitwall.operators import regress
-from pitwall.sources.derived import laps_from_events, load
+from pitwall.schemas import TS
+from pitwall.sources import capture as C
+from pitwall.sources import derived as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Pacing bound for the test mapping: its events are hours apart, so the
+# replayer's 10 s bound is scaled to two hours.
+FIXTURE_MAX_DELTA = 7200.0
+# Documents per concatenated capture file written by concat_json_split.
+DOCS_PER_FILE = 1000
+
+
+def _r4(c) -> F.Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, 4)
+
+
+def _ms(c: str = TS) -> F.Column:
+    return S.instant_millis(F.col(c)).alias("ts_ms")
+
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "events")
+    return V.load(spark, sf_dir, "events")
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.numbered_events(_events(spark, sf_dir))
 
 
+def _feed_lines(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    """Raw feed envelopes derived from events, parsed and routed."""
+    msgs = V.feed_messages(None, _numbered(spark, sf_dir))
+    return E.normalise(msgs, **kw)
+
+
+def _feed_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.lap_rows(_feed_lines(spark, sf_dir))
+
+
+# --- regression (W1 A8 W3 M4 T1 T2 A1 J3) ------------------------------------
+
 def rolling_lap_prediction(spark: SparkSession, sf_dir: str, params: dict = regress.CURRENT) -> DataFrame:
-    """W1 + A8 + W3 + M4: next-lap prediction at every lap of every driver."""
-    laps = laps_from_events(_events(spark, sf_dir))
+    """Flagship: next-lap prediction at every lap of every driver."""
+    laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
     pred = regress.rolling_predict(laps, n=params["n"], cadence=params["cadence"], reg=params["reg"], seq="Lap")
-    return pred.select(
-        F.col("PilotN").alias("PilotNumber"),
-        "NextLap",
-        F.round("prediction", 4).alias("prediction"),
-    )
+    return pred.select(F.col("PilotN").alias("PilotNumber"), "NextLap", _r4("prediction").alias("prediction"))
 
 
 def rolling_lap_prediction_n5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Older parameters: last 5 laps, refit every 5th lap."""
     return rolling_lap_prediction(spark, sf_dir, regress.OLDER)
 
 
+def _buffer(spark, sf_dir, n):
+    laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
+    return L.lap_buffer(laps, n)
+
+
+def lap_buffer_top10(spark: SparkSession, sf_dir: str, n: int = L.CURRENT_BUFFER) -> DataFrame:
+    b = _buffer(spark, sf_dir, n)
+    return b.select("PilotNumber", "Lap", _r4("Seconds").alias("Seconds"), F.col("rank").cast("int").alias("buffer_pos"))
+
+
+def lap_buffer_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lap_buffer_top10(spark, sf_dir, L.OLDER_BUFFER)
+
+
+def next_lap_per_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
+    return regress.next_lap(laps).select("PilotNumber", F.col("NextLap").cast("int").alias("NextLap"))
+
+
+def driver_ridge_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = regress.driver_fit(_buffer(spark, sf_dir, L.CURRENT_BUFFER))
+    return fit.select(
+        "PilotNumber",
+        _r4("slope").alias("slope"),
+        _r4("intercept").alias("intercept"),
+        F.col("NextLap").cast("int").alias("NextLap"),
+        "n_laps",
+    )
+
+
+def driver_score_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
+    models = regress.driver_fit(L.lap_buffer(laps, L.CURRENT_BUFFER)).drop("NextLap")
+    scored = regress.score(regress.next_lap(laps), models)
+    return scored.select("PilotNumber", F.col("NextLap").cast("int").alias("NextLap"), _r4("prediction").alias("prediction"))
+
+
+# --- lap messages and scalars (P11-P14 F1-F5) --------------------------------
+
+def parse_lap_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bus lap messages as bytes: click -> numeric lap time, view -> lap text
+    left unconverted (typed cast null, dropped), signup -> no lap count."""
+    n = _numbered(spark, sf_dir).where(F.col("event_type").isin("click", "view", "signup"))
+    et = F.col("event_type")
+    value = F.when(et == "view", F.concat(F.lit('"'), S.seconds_to_lap_text(F.col("value")), F.lit('"'))).otherwise(
+        F.format_string("%.2f", F.col("value"))
+    )
+    laps_part = F.when(et != "signup", F.concat(F.lit('"NumberOfLaps":'), F.col("Lap").cast("string"), F.lit(","))).otherwise(
+        F.lit("")
+    )
+    text = F.concat(
+        F.lit('{"TimingData":{'), laps_part, F.lit('"LastLapTime":{"Value":'), value,
+        F.lit('},"PilotNumber":'), F.col("PilotNumber").cast("string"),
+        F.lit('},"@timestamp":"'), F.date_format("ts", V.ISO_FORMAT), F.lit('"}'),
+    )
+    records = n.select(text.cast("binary").alias("value"))
+    laps = L.parse_lap_messages(records)
+    return laps.select("PilotNumber", "Lap", _r4("Seconds").alias("Seconds"), _ms())
+
+
+def lap_text_to_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _events(spark, sf_dir)
+    return e.select(
+        "event_id",
+        _r4(S.lap_text_to_seconds(S.seconds_to_lap_text(F.col("value")))).alias("from_clock"),
+        _r4(S.lap_text_to_seconds(F.format_string("%.2f", F.col("value")))).alias("from_plain"),
+        _r4(S.lap_text_to_seconds(F.concat(F.lit("x:"), F.col("value").cast("string")))).alias("malformed"),
+    )
+
+
+def numeric_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _events(spark, sf_dir)
+    k = F.get_json_object("props", "$.k")
+    return e.select(
+        "event_id",
+        _r4(S.text_to_double(F.concat(F.lit("+"), F.format_string("%.3f", F.col("value"))))).alias("gap"),
+        _r4(S.text_to_double(F.concat(k, F.lit(" LAP")))).alias("laps_behind"),
+        _r4(S.text_to_double(F.concat(F.lit("LAP "), k))).alias("no_number"),
+        _r4(S.text_to_double(F.format_string("-%.2f", F.col("value")))).alias("negative"),
+        S.text_to_int(F.concat(F.lit(" "), k, F.lit("0.7"))).alias("wind"),
+    )
+
+
+def clock_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _events(spark, sf_dir)
+    iso = F.date_format("ts", V.ISO_FORMAT)
+    return e.select("event_id", (S.iso_clock_millis(iso) / 1000.0).alias("clock"))
+
+
+# --- feed parsing and routing (P1-P10 J1 S4 S6 F9 F11) ----------------------
+
+def feed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = V.capture_lines(None, _numbered(spark, sf_dir))
+    return E.classify(lines).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+def route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _feed_lines(spark, sf_dir).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roster document is derived from events, written to the shared
+    folder and read back like the season document."""
+    path = scratch_path(spark, "roster")
+    V.roster_document(_events(spark, sf_dir)).coalesce(1).write.mode("overwrite").text(path)
+    return E.roster_numbers(C.read_roster(spark, path))
+
+
+def roster_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roster(spark, sf_dir).select(F.col("pos").cast("int").alias("pos"), "pilot")
+
+
+def line_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    roster = _roster(spark, sf_dir)
+    lines = _feed_lines(spark, sf_dir, roster=roster).where(F.col("route") != "weather")
+    return lines.select("event_id", "PilotNumber", "route")
+
+
+def best_lap_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _feed_lines(spark, sf_dir, gate="best_lap")
+    return lines.select("event_id", "PilotNumber", "route")
+
+
+def recap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = V.recap_messages(None, _numbered(spark, sf_dir))
+    lines = E.normalise(msgs)
+    text = F.col("line.LastLapTime.Value")
+    return lines.select(
+        "event_id",
+        "PilotNumber",
+        F.col("line.NumberOfLaps").try_cast("int").alias("Lap"),
+        _r4(S.lap_text_to_seconds(text)).alias("recap_seconds"),
+        text.try_cast("double").alias("Seconds"),
+        "route",
+    )
+
+
+def concat_json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capture documents written back to back (files of <= 1000 events),
+    read with the splittable ``}{`` reader, classified."""
+    docs = V.capture_lines(None, _numbered(spark, sf_dir)).where(F.col("value").contains("{"))
+    path = scratch_path(spark, "concat")
+    C.write_concatenated(
+        docs.withColumn("_file", F.floor(F.col("event_id") / DOCS_PER_FILE)), path, ["event_id", "part"], "_file"
+    )
+    msgs = E.classify(C.read_concatenated(spark, path))
+    lines_key = F.coalesce(
+        F.get(F.map_keys(F.col("_env.R.TimingData.Lines")), 0),
+        F.get(F.map_keys(F.from_json(F.col("payload"), E.PAYLOAD_LINES)["Lines"]), 0),
+    )
+    # Nullable integers are returned as DOUBLE so both engines print them alike.
+    return msgs.select(
+        "kind",
+        "topic",
+        lines_key.try_cast("int").cast("double").alias("PilotNumber"),
+        S.instant_millis(S.iso_to_timestamp(F.col("msg_time"))).cast("double").alias("ts_ms"),
+    )
+
+
+def literal_payload_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = V.literal_payloads(None, _numbered(spark, sf_dir))
+    schema = (
+        "NumberOfLaps INT, LastLapTime STRUCT<Value: STRING, PersonalFastest: BOOLEAN>, "
+        "Retired STRING, PilotNumber STRING"
+    )
+    p = lines.select(F.from_json(S.py_literal_to_json(F.col("value")), schema).alias("p"))
+    return p.select(
+        F.col("p.PilotNumber").try_cast("int").alias("PilotNumber"),
+        F.col("p.NumberOfLaps").alias("Lap"),
+        _r4(S.lap_text_to_seconds(F.col("p.LastLapTime.Value"))).alias("Seconds"),
+        F.col("p.LastLapTime.PersonalFastest").alias("fastest"),
+        F.col("p.Retired").alias("retired"),
+    )
+
+
+# --- pacing (W2 P21 F4) ------------------------------------------------------
+
+def _messages(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    return e.select(
+        "event_id",
+        F.col("user_id").cast("int").alias("PilotNumber"),
+        F.col("ts").cast("timestamp").alias(TS),
+        F.date_format("ts", V.ISO_FORMAT).alias("iso"),
+    )
+
+
+def interarrival_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=["event_id"])
+    return d.select("event_id", "PilotNumber", _r4("delta").alias("delta"))
+
+
+def interarrival_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=["event_id"], mode="clock", iso_text="iso")
+    return d.select("event_id", "PilotNumber", _r4("delta").alias("delta"))
+
+
+def bounded_gap_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=["event_id"])
+    return P.bounded_gap_filter(d, FIXTURE_MAX_DELTA).select("event_id", "PilotNumber", _r4("delta").alias("delta"))
+
+
+# --- dashboard (D1-D6 A5 W4 U2) ----------------------------------------------
+
+def pace_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = D.pace_trace(_feed_laps(spark, sf_dir), tiebreak=["event_id"])
+    return t.select("lap_bucket", "pilot_bucket", _r4("seconds").alias("seconds"))
+
+
+def pace_trace_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laps = V.laps_from_events(None, stride=3, numbered=_numbered(spark, sf_dir))
+    f = D.linear_fill(laps)
+    return f.select("PilotNumber", "Lap", _r4("Seconds").alias("Seconds"), "known")
+
+
+def race_pace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = D.race_pace_table(_feed_laps(spark, sf_dir), tiebreak=["event_id"])
+    return t.select("pilot_bucket", _r4("seconds").alias("seconds"))
+
+
+def race_lap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.race_lap(_feed_laps(spark, sf_dir))
+
+
+def _feed_predictions(spark, sf_dir):
+    laps = _feed_laps(spark, sf_dir)
+    return regress.rolling_predict(laps, tiebreak=("event_id",))
+
+
+def prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = D.prediction_table(_feed_predictions(spark, sf_dir), tiebreak=["NextLap"])
+    return t.select("pilot_bucket", _r4("prediction").alias("prediction"))
+
+
+def gap_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = E.gap_rows(_feed_lines(spark, sf_dir))
+    t = D.gap_bars(g, tiebreak=["event_id"])
+    return t.select("pilot_bucket", _r4("gap_to_previous").alias("gap_to_previous"), _r4("gap_to_leader").alias("gap_to_leader"))
+
+
+def weather_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = E.weather_rows(_feed_lines(spark, sf_dir))
+    t = D.weather_latest(w, tiebreak=["event_id"])
+    return t.select(*[_r4(c).alias(c) for c in D.WEATHER_PANEL])
+
+
+def unified_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _feed_lines(spark, sf_dir)
+    laps = E.lap_rows(lines)
+    v = D.unified_view(
+        laps=laps,
+        predictions=regress.rolling_predict(laps, tiebreak=("event_id",)),
+        gaps=E.gap_rows(lines),
+        weather=E.weather_rows(lines),
+    )
+    doubles = ["Seconds", "prediction", "gap_to_leader", "gap_to_previous", "AirTemp", "Humidity", "Pressure",
+               "Rainfall", "TrackTemp", "WindSpeed"]
+    ints = ["PilotNumber", "Lap", "PilotN", "NextLap", "gap_pilot", "WindDirection"]
+    # Nullable integers are returned as DOUBLE so both engines print them alike.
+    return v.select(
+        "collection", _ms(), *[F.col(c).cast("double").alias(c) for c in ints], *[_r4(c).alias(c) for c in doubles]
+    )
+
+
+def keyed_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = L.keyed_records(L.lap_messages(_feed_laps(spark, sf_dir)))
+    back = L.parse_lap_messages(recs)
+    return back.select("key", "PilotNumber", "Lap", _r4("Seconds").alias("Seconds"), _ms())
+
+
+def lap_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laps = _feed_laps(spark, sf_dir)
+    iv = D.histogram_interval(laps, "Lap", D.LINE_MAX_BARS)
+    return laps.where(D.in_range("Lap")).groupBy(D.bucket("Lap", iv).alias("lap_bucket")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "rolling_lap_prediction": rolling_lap_prediction,
     "rolling_lap_prediction_n5": rolling_lap_prediction_n5,
+    "lap_buffer_top10": lap_buffer_top10,
+    "lap_buffer_top5": lap_buffer_top5,
+    "next_lap_per_driver": next_lap_per_driver,
+    "driver_ridge_fit": driver_ridge_fit,
+    "driver_score_join": driver_score_join,
+    "parse_lap_value": parse_lap_value,
+    "lap_text_to_seconds": lap_text_to_seconds,
+    "numeric_convert": numeric_convert,
+    "clock_number": clock_number,
+    "feed_filter": feed_filter,
+    "route_counts": route_counts,
+    "line_fanout": line_fanout,
+    "best_lap_gate": best_lap_gate,
+    "recap_lines": recap_lines,
+    "roster_normalise": roster_normalise,
+    "concat_json_split": concat_json_split,
+    "literal_payload_parse": literal_payload_parse,
+    "interarrival_gap": interarrival_gap,
+    "interarrival_clock": interarrival_clock,
+    "bounded_gap_filter": bounded_gap_filter,
+    "pace_trace": pace_trace,
+    "pace_trace_filled": pace_trace_filled,
+    "race_pace_table": race_pace_table,
+    "race_lap": race_lap,
+    "prediction_table": prediction_table,
+    "gap_bars": gap_bars,
+    "weather_latest": weather_latest,
+    "unified_view": unified_view,
+    "keyed_json_sink": keyed_json_sink,
+    "lap_histogram": lap_histogram,
 }

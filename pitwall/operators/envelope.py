@@ -62,7 +62,7 @@ def classify(raw: DataFrame, col: str = "value") -> DataFrame:
     v = F.col(col)
     env = F.when(contains(v, "{"), F.from_json(v, ENVELOPE))
     parsed = raw.withColumn("_env", env)
-    a = F.col("_env.M")[0]["A"]
+    a = F.get(F.col("_env.M"), 0)["A"]
     kind = (
         F.when(~contains(v, "{"), F.lit("text"))
         .when(F.col("_env.R").isNotNull(), F.lit("recap"))
@@ -72,9 +72,9 @@ def classify(raw: DataFrame, col: str = "value") -> DataFrame:
     return parsed.select(
         "*",
         kind.alias("kind"),
-        a[0].alias("topic"),
-        a[1].alias("payload"),
-        a[2].alias("msg_time"),
+        F.get(a, 0).alias("topic"),
+        F.get(a, 1).alias("payload"),
+        F.get(a, 2).alias("msg_time"),
     )
 
 
@@ -96,7 +96,7 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
     lines_map = F.when(F.col("kind") == "recap", F.col("_env.R.TimingData.Lines")).otherwise(
         F.when(~is_weather, F.from_json(F.col("payload"), PAYLOAD_LINES)["Lines"])
     )
-    # Weather keeps a single placeholder entry so explode_outer emits one row.
+    # Weather keeps a single placeholder entry so explode emits one row.
     entries = F.when(is_weather, F.map_from_arrays(F.array(F.lit("")), F.array(F.col("payload"))))
     exploded = m.select(
         "*",
@@ -113,8 +113,9 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
         .when(contains(F.col("line_json"), LAP_MARK), F.lit("lap"))
         .otherwise(F.lit("none"))
     )
+    derived = {"_env", "driver", "PilotNumber", "line_json", "line", "route"}
     return exploded.select(
-        *[c for c in messages.columns if c != "_env"],
+        *[c for c in messages.columns if c not in derived],
         "driver",
         F.col("driver").try_cast("int").alias("PilotNumber"),
         "line_json",

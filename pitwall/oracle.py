@@ -1,31 +1,56 @@
 """Independent DuckDB SQL for every registered query (same column names).
 
 The tables ``events`` etc. are views over the same parquet files.  Each SQL
-computes the expected rows straight from the tables, without the engine's
-feed text.
+computes the expected rows straight from the tables with plain window
+functions and aggregates -- none of the engine's feed text, JSON parsing or
+skew-safe plans -- so a match checks the whole Spark path.
 """
 
 from __future__ import annotations
 
-# Laps of the test mapping: every event is a lap, numbered per user.
-LAPS_CTE = """laps AS (
+MS = "((epoch_us(ts) + 500) // 1000)"
+K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+
+# Laps of the test mapping: every event, numbered per user.
+LAPS = """laps AS (
   SELECT CAST(user_id AS INTEGER) AS PilotNumber,
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS Lap,
          value AS Seconds, ts, event_id, event_type, props
   FROM events)"""
+# Laps that reach the lap stream (timing lines with a lap time).
+FLAPS = "flaps AS (SELECT * FROM laps WHERE event_type IN ('click', 'view'))"
+ROUTE = (
+    "CASE WHEN event_type IN ('click', 'view') THEN 'lap' WHEN event_type = 'purchase' THEN 'gap' "
+    "WHEN event_type = 'error' THEN 'weather' ELSE 'none' END"
+)
+ROSTER = """firsts AS (SELECT CAST(user_id AS INTEGER) AS pilot, min(ts) AS f FROM events GROUP BY user_id),
+doc AS (SELECT pilot, CAST(row_number() OVER (ORDER BY f, pilot) - 1 AS INTEGER) AS pos FROM firsts),
+roster AS (SELECT pos, CASE WHEN pilot = 33 THEN 1 ELSE pilot END AS pilot FROM doc WHERE pos < 20)"""
+
+
+def nice(span_sql: str, max_bars: float) -> str:
+    """Smallest 1/2/5 x 10^k >= span / max_bars, at least 1."""
+    return (
+        "(SELECT coalesce(min(c), 1) FROM (SELECT m * pow(10, e) AS c "
+        "FROM (VALUES (1), (2), (5)) AS a(m), range(0, 19) AS b(e)) AS q "
+        f"WHERE c >= ({span_sql}) / {max_bars})"
+    )
+
 
+def bucket(col: str, iv: str) -> str:
+    return f"CAST(floor({col} / {iv}) * {iv} AS BIGINT)"
 
-def rolling_prediction_sql(n: int, cadence: int, reg: float = 0.01) -> str:
-    return f"""
-WITH {LAPS_CTE},
-win AS (
-  SELECT PilotNumber, Lap,
+
+def rolling(src: str, n: int = 10, cadence: int = 2, reg: float = 0.01) -> str:
+    """CTEs ending in ``pred(PilotNumber, Lap, NextLap, prediction, ts, event_id)``."""
+    return f"""win AS (
+  SELECT PilotNumber, Lap, ts, event_id,
          covar_pop(Lap, Seconds) OVER w AS cxy, var_pop(Lap) OVER w AS vx,
          stddev_pop(Seconds) OVER w AS sy, avg(Lap) OVER w AS mx, avg(Seconds) OVER w AS my,
          max(Lap) OVER w + 1 AS NextLap,
-         row_number() OVER (PARTITION BY PilotNumber ORDER BY Lap) AS k
-  FROM laps
-  WINDOW w AS (PARTITION BY PilotNumber ORDER BY Lap ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)),
+         row_number() OVER (PARTITION BY PilotNumber ORDER BY Lap, ts, event_id) AS k
+  FROM {src}
+  WINDOW w AS (PARTITION BY PilotNumber ORDER BY Lap, ts, event_id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)),
 fit AS (
   SELECT *, CASE WHEN vx > 0 AND sy > 0 THEN cxy / vx / (1 + {reg} / sy) ELSE 0 END AS slope FROM win),
 model AS (
@@ -36,13 +61,176 @@ carried AS (
          last_value(CASE WHEN refit THEN slope END IGNORE NULLS) OVER c AS s,
          last_value(CASE WHEN refit THEN intercept END IGNORE NULLS) OVER c AS i
   FROM model
-  WINDOW c AS (PARTITION BY PilotNumber ORDER BY Lap ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT PilotNumber, CAST(NextLap AS INTEGER) AS NextLap, round(s * NextLap + i, 4) AS prediction
-FROM carried
-"""
+  WINDOW c AS (PARTITION BY PilotNumber ORDER BY Lap, ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+pred AS (
+  SELECT PilotNumber, Lap, CAST(NextLap AS INTEGER) AS NextLap, s * NextLap + i AS prediction, ts, event_id
+  FROM carried)"""
+
+
+def rolling_prediction_sql(n: int, cadence: int) -> str:
+    return f"""WITH {LAPS},
+{rolling('laps', n, cadence)}
+SELECT PilotNumber, NextLap, round(prediction, 4) AS prediction FROM pred"""
+
+
+def buffer_sql(n: int) -> str:
+    return f"""WITH {LAPS},
+r AS (SELECT PilotNumber, Lap, Seconds,
+             row_number() OVER (PARTITION BY PilotNumber ORDER BY Lap DESC, ts DESC) AS pos FROM laps)
+SELECT PilotNumber, Lap, round(Seconds, 4) AS Seconds, CAST(pos AS INTEGER) AS buffer_pos FROM r WHERE pos <= {n}"""
+
+
+BUFFER_FIT = f"""{LAPS},
+buf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY PilotNumber ORDER BY Lap DESC, ts DESC) AS pos
+                       FROM laps) WHERE pos <= 10),
+g AS (SELECT PilotNumber, covar_pop(Lap, Seconds) AS cxy, var_pop(Lap) AS vx, stddev_pop(Seconds) AS sy,
+             avg(Lap) AS mx, avg(Seconds) AS my, max(Lap) AS ml, count(*) AS n_laps
+      FROM buf GROUP BY PilotNumber),
+f AS (SELECT *, CASE WHEN vx > 0 AND sy > 0 THEN cxy / vx / (1 + 0.01 / sy) ELSE 0 END AS slope FROM g)"""
+
+INTERARRIVAL = """WITH m AS (SELECT event_id, CAST(user_id AS INTEGER) AS PilotNumber, ts, {t} AS t FROM events),
+d AS (SELECT event_id, PilotNumber,
+             (t - lag(t) OVER (PARTITION BY PilotNumber ORDER BY ts, event_id)) / 1000.0 AS delta FROM m)"""
+CLOCK_MS = (
+    "((CAST(hour(ts) * 10000 + minute(ts) * 100 + second(ts) AS BIGINT) * 1000000 "
+    "+ epoch_us(ts) % 1000000 + 500) // 1000)"
+)
+
+
+def last_rows(src: str, part: str, order: str) -> str:
+    return f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {order}) AS rk FROM {src}) WHERE rk = 1)"
 
 
 ORACLE: dict[str, str] = {
     "rolling_lap_prediction": rolling_prediction_sql(10, 2),
     "rolling_lap_prediction_n5": rolling_prediction_sql(5, 5),
+    "lap_buffer_top10": buffer_sql(10),
+    "lap_buffer_top5": buffer_sql(5),
+    "next_lap_per_driver": f"""WITH {LAPS}
+SELECT PilotNumber, CAST(max(Lap) + 1 AS INTEGER) AS NextLap FROM laps GROUP BY PilotNumber""",
+    "driver_ridge_fit": f"""WITH {BUFFER_FIT}
+SELECT PilotNumber, round(slope, 4) AS slope, round(my - slope * mx, 4) AS intercept,
+       CAST(ml + 1 AS INTEGER) AS NextLap, n_laps FROM f""",
+    "driver_score_join": f"""WITH {BUFFER_FIT}
+SELECT PilotNumber, CAST(ml + 1 AS INTEGER) AS NextLap,
+       round(slope * (ml + 1) + (my - slope * mx), 4) AS prediction FROM f""",
+    "parse_lap_value": f"""WITH {LAPS}
+SELECT PilotNumber, Lap, round(Seconds, 4) AS Seconds, {MS} AS ts_ms FROM laps WHERE event_type = 'click'""",
+    "lap_text_to_seconds": """SELECT event_id, round(value, 4) AS from_clock, round(value, 4) AS from_plain,
+       CAST(NULL AS DOUBLE) AS malformed FROM events""",
+    "numeric_convert": f"""SELECT event_id, round(value, 4) AS gap, round(CAST({K} AS DOUBLE), 4) AS laps_behind,
+       CAST(NULL AS DOUBLE) AS no_number, round(-value, 4) AS negative, CAST({K} * 10 AS INTEGER) AS wind
+FROM events""",
+    "clock_number": f"SELECT event_id, {CLOCK_MS} / 1000.0 AS clock FROM events",
+    "feed_filter": """SELECT kind, count(*) AS n FROM (
+  SELECT 'feed' AS kind FROM events
+  UNION ALL SELECT 'recap' FROM events WHERE event_type = 'signup'
+  UNION ALL SELECT 'empty' FROM events WHERE event_type IN ('purchase', 'error')
+  UNION ALL SELECT 'text' FROM events WHERE event_type = 'view') GROUP BY kind""",
+    "route_counts": f"SELECT route, count(*) AS n FROM (SELECT {ROUTE} AS route FROM events) GROUP BY route",
+    "roster_normalise": f"WITH {ROSTER} SELECT pos, pilot FROM roster",
+    "line_fanout": f"""WITH {ROSTER}
+SELECT event_id, CAST(user_id AS INTEGER) AS PilotNumber, {ROUTE} AS route FROM events
+WHERE event_type <> 'error' AND CAST(user_id AS INTEGER) IN (SELECT pilot FROM roster)""",
+    "best_lap_gate": """SELECT event_id, CAST(user_id AS INTEGER) AS PilotNumber, 'lap' AS route
+FROM events WHERE event_type = 'click'""",
+    "recap_lines": f"""WITH {LAPS}
+SELECT event_id, PilotNumber, Lap, round(Seconds, 4) AS recap_seconds, CAST(NULL AS DOUBLE) AS Seconds,
+       'lap' AS route FROM laps WHERE event_type = 'signup'""",
+    "concat_json_split": f"""SELECT 'feed' AS kind,
+       CASE WHEN event_type = 'error' THEN 'WeatherData' ELSE 'TimingData' END AS topic,
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(user_id AS DOUBLE) END AS PilotNumber,
+       CAST({MS} AS DOUBLE) AS ts_ms FROM events
+UNION ALL SELECT 'recap', NULL, CAST(user_id AS DOUBLE), NULL FROM events WHERE event_type = 'signup'
+UNION ALL SELECT 'empty', NULL, NULL, NULL FROM events WHERE event_type IN ('purchase', 'error')""",
+    "literal_payload_parse": f"""WITH {LAPS}
+SELECT PilotNumber, Lap, round(Seconds, 4) AS Seconds, event_type = 'click' AS fastest,
+       CAST(NULL AS VARCHAR) AS retired FROM laps WHERE event_type IN ('click', 'view')""",
+    "interarrival_gap": INTERARRIVAL.format(t=MS) + "\nSELECT event_id, PilotNumber, round(delta, 4) AS delta FROM d",
+    "interarrival_clock": INTERARRIVAL.format(t=CLOCK_MS)
+    + "\nSELECT event_id, PilotNumber, round(delta, 4) AS delta FROM d",
+    "bounded_gap_filter": INTERARRIVAL.format(t=MS)
+    + "\nSELECT event_id, PilotNumber, round(delta, 4) AS delta FROM d WHERE delta > 0 AND delta <= 7200",
+    "pace_trace": f"""WITH {LAPS}, {FLAPS},
+iv AS (SELECT {nice('SELECT max(Lap) - min(Lap) FROM flaps', 167.5)} AS lap_iv,
+              {nice('SELECT max(PilotNumber) - min(PilotNumber) FROM flaps', 167.5)} AS pilot_iv),
+b AS (SELECT {bucket('Lap', 'lap_iv')} AS lap_bucket, {bucket('PilotNumber', 'pilot_iv')} AS pilot_bucket,
+             Seconds, ts, event_id FROM flaps, iv WHERE Seconds IS NOT NULL)
+SELECT lap_bucket, pilot_bucket, round(Seconds, 4) AS seconds
+FROM {last_rows('b', 'lap_bucket, pilot_bucket', 'ts DESC, event_id DESC')}""",
+    "pace_trace_filled": f"""WITH {LAPS},
+l3 AS (SELECT PilotNumber, Lap * 3 AS Lap, Seconds FROM laps),
+rng AS (SELECT PilotNumber, min(Lap) AS lo, max(Lap) AS hi FROM l3 GROUP BY PilotNumber),
+grid AS (SELECT PilotNumber, CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS Lap FROM rng),
+j AS (SELECT g.PilotNumber, g.Lap, l.Seconds, CASE WHEN l.Lap IS NOT NULL THEN g.Lap END AS kx
+      FROM grid g LEFT JOIN l3 l ON g.PilotNumber = l.PilotNumber AND g.Lap = l.Lap),
+f AS (SELECT *, last_value(kx IGNORE NULLS) OVER p AS x1, last_value(Seconds IGNORE NULLS) OVER p AS y1,
+             first_value(kx IGNORE NULLS) OVER q AS x2, first_value(Seconds IGNORE NULLS) OVER q AS y2
+      FROM j
+      WINDOW p AS (PARTITION BY PilotNumber ORDER BY Lap ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+             q AS (PARTITION BY PilotNumber ORDER BY Lap ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT PilotNumber, Lap,
+       round(CASE WHEN Lap = x1 THEN y1 ELSE y1 + (y2 - y1) * ((Lap - x1) / (x2 - x1)) END, 4) AS Seconds,
+       Lap = x1 AS known
+FROM f""",
+    "race_pace_table": f"""WITH {LAPS}, {FLAPS},
+iv AS (SELECT {nice('SELECT max(Lap) - min(Lap) FROM flaps', 1)} AS lap_iv,
+              {nice('SELECT max(PilotNumber) - min(PilotNumber) FROM flaps', 100)} AS pilot_iv),
+b AS (SELECT {bucket('PilotNumber', 'pilot_iv')} AS pilot_bucket, {bucket('Lap', 'lap_iv')} AS lap_bucket,
+             Seconds, ts, event_id FROM flaps, iv WHERE Lap >= 0 AND Lap < 1000 AND Seconds IS NOT NULL)
+SELECT pilot_bucket, round(max(Seconds), 4) AS seconds
+FROM {last_rows('b', 'pilot_bucket, lap_bucket', 'ts DESC, event_id DESC')} GROUP BY pilot_bucket""",
+    "race_lap": f"WITH {LAPS}, {FLAPS} SELECT max(Lap) AS race_lap FROM flaps",
+    "prediction_table": f"""WITH {LAPS}, {FLAPS},
+{rolling('flaps')},
+iv AS (SELECT {nice('SELECT max(NextLap) - min(NextLap) FROM pred', 1)} AS lap_iv,
+              {nice('SELECT max(PilotNumber) - min(PilotNumber) FROM pred', 167.5)} AS pilot_iv),
+b AS (SELECT {bucket('PilotNumber', 'pilot_iv')} AS pilot_bucket, {bucket('NextLap', 'lap_iv')} AS lap_bucket,
+             prediction, ts, NextLap, PilotNumber FROM pred, iv
+      WHERE NextLap >= 0 AND NextLap < 1000 AND prediction IS NOT NULL)
+SELECT pilot_bucket, round(max(prediction), 4) AS prediction
+FROM {last_rows('b', 'pilot_bucket, lap_bucket', 'ts DESC, NextLap DESC, PilotNumber DESC')}
+GROUP BY pilot_bucket""",
+    "gap_bars": f"""WITH g AS (SELECT CAST(user_id AS INTEGER) AS p, value AS gl, {K} / 10.0 AS gp, ts, event_id
+           FROM events WHERE event_type = 'purchase'),
+iv AS (SELECT {nice('SELECT max(p) - min(p) FROM g', 167.5)} AS piv),
+b AS (SELECT {bucket('p', 'piv')} AS pilot_bucket, gl, gp, ts, event_id FROM g, iv)
+SELECT pilot_bucket, round(gp, 4) AS gap_to_previous, round(gl, 4) AS gap_to_leader
+FROM {last_rows('b', 'pilot_bucket', 'ts DESC, event_id DESC')}""",
+    "weather_latest": f"""WITH w AS (
+  SELECT value AS AirTemp, value + 10 AS TrackTemp, {K} / 10.0 AS WindSpeed,
+         CASE WHEN {K} >= 50 THEN 1.0 ELSE 0.0 END AS Rainfall, CAST({K} AS DOUBLE) AS Humidity, ts, event_id
+  FROM events WHERE event_type = 'error'),
+top AS (SELECT * FROM w ORDER BY ts DESC, event_id DESC LIMIT 1)
+SELECT round(top.AirTemp, 4) AS AirTemp, round(top.TrackTemp, 4) AS TrackTemp, round(top.WindSpeed, 4) AS WindSpeed,
+       round(top.Rainfall, 4) AS Rainfall, round(top.Humidity, 4) AS Humidity
+FROM (SELECT 1 AS one) d LEFT JOIN top ON true""",
+    "unified_view": f"""WITH {LAPS}, {FLAPS},
+{rolling('flaps')}
+SELECT 'lastlaptimes' AS collection, {MS} AS ts_ms, CAST(PilotNumber AS DOUBLE) AS PilotNumber, CAST(Lap AS DOUBLE) AS Lap, CAST(NULL AS DOUBLE) AS PilotN,
+       CAST(NULL AS DOUBLE) AS NextLap, CAST(NULL AS DOUBLE) AS gap_pilot, CAST(NULL AS DOUBLE) AS WindDirection,
+       round(Seconds, 4) AS Seconds, CAST(NULL AS DOUBLE) AS prediction, CAST(NULL AS DOUBLE) AS gap_to_leader,
+       CAST(NULL AS DOUBLE) AS gap_to_previous, CAST(NULL AS DOUBLE) AS AirTemp, CAST(NULL AS DOUBLE) AS Humidity,
+       CAST(NULL AS DOUBLE) AS Pressure, CAST(NULL AS DOUBLE) AS Rainfall, CAST(NULL AS DOUBLE) AS TrackTemp,
+       CAST(NULL AS DOUBLE) AS WindSpeed
+FROM flaps
+UNION ALL
+SELECT 'predictions', {MS}, NULL, NULL, CAST(PilotNumber AS DOUBLE), CAST(NextLap AS DOUBLE), NULL, NULL,
+       NULL, round(prediction, 4), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM pred
+UNION ALL
+SELECT 'gaps', {MS}, NULL, NULL, NULL, NULL, CAST(user_id AS DOUBLE), NULL,
+       NULL, NULL, round(value, 4), round({K} / 10.0, 4), NULL, NULL, NULL, NULL, NULL, NULL
+FROM events WHERE event_type = 'purchase'
+UNION ALL
+SELECT 'others', {MS}, NULL, NULL, NULL, NULL, NULL, CAST({K} * 3 AS DOUBLE),
+       NULL, NULL, NULL, NULL, round(value, 4), round(CAST({K} AS DOUBLE), 4), round(1000 + {K} / 10.0, 4),
+       CASE WHEN {K} >= 50 THEN 1.0 ELSE 0.0 END, round(value + 10, 4), round({K} / 10.0, 4)
+FROM events WHERE event_type = 'error'""",
+    "keyed_json_sink": f"""WITH {LAPS}, {FLAPS}
+SELECT 'info' AS key, PilotNumber, Lap, round(Seconds, 4) AS Seconds, {MS} AS ts_ms FROM flaps""",
+    "lap_histogram": f"""WITH {LAPS}, {FLAPS},
+iv AS (SELECT {nice('SELECT max(Lap) - min(Lap) FROM flaps', 167.5)} AS lap_iv)
+SELECT {bucket('Lap', 'lap_iv')} AS lap_bucket, count(*) AS n FROM flaps, iv
+WHERE Lap >= 0 AND Lap < 1000 GROUP BY 1""",
 }

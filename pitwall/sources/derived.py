@@ -173,9 +173,7 @@ def literal_payloads(events: DataFrame, numbered: DataFrame | None = None) -> Da
 def roster_document(events: DataFrame, entries: int = 21) -> DataFrame:
     """A one-row roster document (E12) listing the first ``entries`` drivers by
     first appearance.  The list is bounded: a top-k of a per-driver aggregate."""
-    first = events.groupBy(F.col("user_id").cast("int").alias("pilot")).agg(
-        F.min(F.struct("ts", "event_id")).alias("first")
-    )
+    first = events.groupBy(F.col("user_id").cast("int").alias("pilot")).agg(F.min("ts").alias("first"))
     top = first.orderBy("first", "pilot").limit(entries)
     drivers = F.transform(
         F.array_sort(F.collect_list(F.struct("first", "pilot"))),

@@ -33,7 +33,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or (not isinstance(v, (list, tuple, dict)) and pd.isna(v)):
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -80,14 +80,22 @@ def run(spark, sf_dir: str, names: list[str] | None = None, verbose: bool = True
     out = {}
     for name in names or sorted(qs):
         t0 = time.time()
-        sdf = qs[name](spark, sf_dir)
-        spdf = sdf.toPandas()
+        try:
+            spdf = qs[name](spark, sf_dir).toPandas()
+        except Exception as e:  # report and go on with the next query
+            out[name] = (f"FAIL spark error: {str(e).splitlines()[0][:300]}", 0, time.time() - t0)
+            if verbose:
+                print(f"{name:32s} {out[name][0]}", flush=True)
+            continue
         t1 = time.time()
         if name not in sql:
             out[name] = ("rows-only", len(spdf), t1 - t0)
         else:
-            dpdf = con.sql(sql[name]).df()
-            err = compare(spdf, dpdf)
+            try:
+                dpdf = con.sql(sql[name]).df()
+                err = compare(spdf, dpdf)
+            except Exception as e:
+                err = f"duckdb error: {str(e).splitlines()[0][:300]}"
             out[name] = ("OK" if err is None else f"FAIL {err}", len(spdf), t1 - t0)
         if verbose:
             print(f"{name:32s} {out[name][0][:300]}  rows={out[name][1]}  {out[name][2]:.1f}s", flush=True)
