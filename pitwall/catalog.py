@@ -260,17 +260,17 @@ def _messages(spark, sf_dir):
 
 
 def interarrival_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=["event_id"])
+    d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=[TS, "event_id"])
     return d.select("event_id", "PilotNumber", _r4("delta").alias("delta"))
 
 
 def interarrival_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=["event_id"], mode="clock", iso_text="iso")
+    d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=[TS, "event_id"], mode="clock", iso_text="iso")
     return d.select("event_id", "PilotNumber", _r4("delta").alias("delta"))
 
 
 def bounded_gap_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=["event_id"])
+    d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=[TS, "event_id"])
     return P.bounded_gap_filter(d, FIXTURE_MAX_DELTA).select("event_id", "PilotNumber", _r4("delta").alias("delta"))
 
 

@@ -43,7 +43,10 @@ def interarrival(
     the same session (null for the first), in seconds or clock units.
 
     ``ts`` is a TIMESTAMP column; ``iso_text`` (the message's own ISO time)
-    is needed for ``mode="clock"``.  ``order`` breaks ties after ``ts``.
+    is needed for ``mode="clock"``.  ``order`` is the arrival order (e.g. the
+    position in the capture file); like the replayer, a message that arrives
+    after a later-stamped one gets a negative delta.  Without ``order`` the
+    messages are taken in ``ts`` order.
     """
     if mode == "true":
         t = instant_millis(F.col(ts))
@@ -54,7 +57,7 @@ def interarrival(
     else:
         raise ValueError("mode is 'true' or 'clock'")
     m = messages.withColumn("_t", t)
-    numbered = number_rows(m, list(session), [ts, *order], "_seq")
+    numbered = number_rows(m, list(session), list(order) or [ts], "_seq")
     lagged = lag_lead(numbered, list(session), "_seq", {"_tprev": ("_t", 1)}, block_rows)
     return lagged.withColumn("delta", (F.col("_t") - F.col("_tprev")) / 1000.0).drop("_t", "_tprev", "_seq")
 

@@ -53,10 +53,6 @@ DEFAULT_BLOCK_ROWS = 1 << 20
 CHUNK_BROADCAST_ROWS = 2_000_000
 
 
-def _names(cols: Sequence) -> list[str]:
-    return [c for c in cols if isinstance(c, str)]
-
-
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -107,19 +103,24 @@ def with_blocks(
     back: int = 0,
     fwd: int = 0,
 ) -> DataFrame:
-    """Add ``_blk`` and ``_halo``; rows near a block edge are also emitted as
-    halo copies in the neighbouring block (``back`` rows forward into the next
-    block, ``fwd`` rows backward into the previous one)."""
-    if back >= block_rows or fwd >= block_rows:
-        raise ValueError("halo must be smaller than a block")
+    """Add ``_blk`` and ``_halo``; a row within ``back`` rows before a later
+    block's first row is also emitted as a halo copy in that block, and a row
+    within ``fwd`` rows after an earlier block's last row as a halo copy in
+    that one (a frame may span several blocks when blocks are small)."""
     r0 = F.col(rn) - 1
     blk = F.floor(r0 / block_rows)
-    pos = r0 - blk * block_rows
     copies = [F.struct(blk.alias("b"), F.lit(False).alias("h"))]
-    if back:
-        copies.append(F.when(pos >= block_rows - back, F.struct((blk + 1).alias("b"), F.lit(True).alias("h"))))
-    if fwd:
-        copies.append(F.when((pos < fwd) & (blk > 0), F.struct((blk - 1).alias("b"), F.lit(True).alias("h"))))
+    for j in range(1, -(-back // block_rows) + 1 if back else 1):
+        copies.append(
+            F.when(r0 >= (blk + j) * block_rows - back, F.struct((blk + j).alias("b"), F.lit(True).alias("h")))
+        )
+    for j in range(1, -(-fwd // block_rows) + 1 if fwd else 1):
+        copies.append(
+            F.when(
+                (blk - j >= 0) & (r0 < (blk - j + 1) * block_rows + fwd),
+                F.struct((blk - j).alias("b"), F.lit(True).alias("h")),
+            )
+        )
     if len(copies) == 1:
         return df.withColumn(BLK, blk).withColumn(HALO, F.lit(False))
     arr = F.filter(F.array(*copies), lambda x: x.isNotNull())
