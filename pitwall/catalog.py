@@ -20,6 +20,7 @@ from pitwall.operators import envelope as E
 from pitwall.operators import laps as L
 from pitwall.operators import pacing as P
 from pitwall.operators import regress
+from pitwall.plans.lineage import materialize
 from pitwall.schemas import TS
 from pitwall.sources import capture as C
 from pitwall.sources import derived as V
@@ -56,7 +57,9 @@ def _feed_lines(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 
 def _feed_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.lap_rows(_feed_lines(spark, sf_dir))
+    """Typed laps of the feed, materialised: dashboard queries read them in a
+    size check, an interval aggregate and the final query."""
+    return materialize(E.lap_rows(_feed_lines(spark, sf_dir)).select("PilotNumber", "Lap", "Seconds", TS, "event_id"))
 
 
 # --- regression (W1 A8 W3 M4 T1 T2 A1 J3) ------------------------------------
@@ -296,9 +299,9 @@ def race_lap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.race_lap(_feed_laps(spark, sf_dir))
 
 
-def _feed_predictions(spark, sf_dir):
-    laps = _feed_laps(spark, sf_dir)
-    return regress.rolling_predict(laps, tiebreak=("event_id",))
+def _feed_predictions(spark, sf_dir, laps=None):
+    laps = laps if laps is not None else _feed_laps(spark, sf_dir)
+    return materialize(regress.rolling_predict(laps, tiebreak=("event_id",)))
 
 
 def prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,7 +310,7 @@ def prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gap_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = E.gap_rows(_feed_lines(spark, sf_dir))
+    g = materialize(E.gap_rows(_feed_lines(spark, sf_dir)))
     t = D.gap_bars(g, tiebreak=["event_id"])
     return t.select("pilot_bucket", _r4("gap_to_previous").alias("gap_to_previous"), _r4("gap_to_leader").alias("gap_to_leader"))
 
@@ -320,10 +323,10 @@ def weather_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unified_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _feed_lines(spark, sf_dir)
-    laps = E.lap_rows(lines)
+    laps = materialize(E.lap_rows(lines).select("PilotNumber", "Lap", "Seconds", TS, "event_id"))
     v = D.unified_view(
         laps=laps,
-        predictions=regress.rolling_predict(laps, tiebreak=("event_id",)),
+        predictions=_feed_predictions(spark, sf_dir, laps),
         gaps=E.gap_rows(lines),
         weather=E.weather_rows(lines),
     )

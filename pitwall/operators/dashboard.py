@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.plans.sequence import DEFAULT_BLOCK_ROWS, lag_lead, number_rows
+from pitwall.plans.sequence import DEFAULT_BLOCK_ROWS, lag_lead, longest_sequence, number_rows
 from pitwall.schemas import TS, WEATHER_FIELDS
 
 # Fixed values of the saved dashboard.
@@ -41,12 +41,23 @@ def nice_interval(span: float | None, max_bars: float) -> int:
     return 10**19
 
 
+def histogram_intervals(df: DataFrame, bars: dict[str, float]) -> dict[str, int]:
+    """A5 intervals for several columns from one global min/max aggregate
+    (one small job returning two numbers per column)."""
+    aggs = []
+    for i, c in enumerate(bars):
+        aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+    row = df.agg(*aggs).first()
+    out = {}
+    for i, (c, mb) in enumerate(bars.items()):
+        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+        out[c] = 1 if lo is None else nice_interval(float(hi - lo), mb)
+    return out
+
+
 def histogram_interval(df: DataFrame, col: str, max_bars: float) -> int:
-    """A5 interval from the column's global range (one small aggregate)."""
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return 1
-    return nice_interval(float(row["hi"] - row["lo"]), max_bars)
+    """A5 interval from the column's global range."""
+    return histogram_intervals(df, {col: max_bars})[col]
 
 
 def bucket(col: str | Column, interval: int) -> Column:
@@ -79,8 +90,8 @@ def time_filter(df: DataFrame, lo=None, hi=None, ts: str = TS) -> DataFrame:
 def pace_trace(laps: DataFrame, tiebreak: Sequence[str] = (), lo=None, hi=None) -> DataFrame:
     """Last Seconds per (Lap bucket, PilotNumber bucket)."""
     laps = time_filter(laps, lo, hi).where(F.col("Lap").isNotNull() & F.col("PilotNumber").isNotNull())
-    lap_iv = histogram_interval(laps, "Lap", LINE_MAX_BARS)
-    pilot_iv = histogram_interval(laps, "PilotNumber", LINE_MAX_BARS)
+    iv = histogram_intervals(laps, {"Lap": LINE_MAX_BARS, "PilotNumber": LINE_MAX_BARS})
+    lap_iv, pilot_iv = iv["Lap"], iv["PilotNumber"]
     return laps.groupBy(
         bucket("Lap", lap_iv).alias("lap_bucket"), bucket("PilotNumber", pilot_iv).alias("pilot_bucket")
     ).agg(last_value("Seconds", tiebreak=tiebreak).alias("seconds"))
@@ -91,8 +102,8 @@ def race_pace_table(laps: DataFrame, tiebreak: Sequence[str] = (), lo=None, hi=N
     Lap in [0, 1000), collapsed by max; faster first."""
     laps = time_filter(laps, lo, hi).where(F.col("Lap").isNotNull() & F.col("PilotNumber").isNotNull())
     ranged = laps.where(in_range("Lap"))
-    lap_iv = histogram_interval(laps, "Lap", SINGLE_BAR)
-    pilot_iv = histogram_interval(laps, "PilotNumber", AUTO_MAX_BARS)
+    iv = histogram_intervals(laps, {"Lap": SINGLE_BAR, "PilotNumber": AUTO_MAX_BARS})
+    lap_iv, pilot_iv = iv["Lap"], iv["PilotNumber"]
     per_bucket = ranged.groupBy(
         bucket("PilotNumber", pilot_iv).alias("pilot_bucket"), bucket("Lap", lap_iv).alias("lap_bucket")
     ).agg(last_value("Seconds", tiebreak=tiebreak).alias("seconds"))
@@ -112,8 +123,8 @@ def prediction_table(pred: DataFrame, tiebreak: Sequence[str] = (), lo=None, hi=
     """Per PilotN bucket, last prediction per single NextLap bucket with
     NextLap in [0, 1000), collapsed by max."""
     pred = time_filter(pred, lo, hi).where(F.col("NextLap").isNotNull() & F.col("PilotN").isNotNull())
-    lap_iv = histogram_interval(pred, "NextLap", SINGLE_BAR)
-    pilot_iv = histogram_interval(pred, "PilotN", LINE_MAX_BARS)
+    iv = histogram_intervals(pred, {"NextLap": SINGLE_BAR, "PilotN": LINE_MAX_BARS})
+    lap_iv, pilot_iv = iv["NextLap"], iv["PilotN"]
     per_bucket = pred.where(in_range("NextLap")).groupBy(
         bucket("PilotN", pilot_iv).alias("pilot_bucket"), bucket("NextLap", lap_iv).alias("lap_bucket")
     ).agg(last_value("prediction", tiebreak=tiebreak).alias("prediction"))
@@ -196,7 +207,8 @@ def linear_fill(
         F.max(y).alias(y)
     )
     numbered = number_rows(pts, [key], [x], "_rn")
-    paired = lag_lead(numbered, [key], "_rn", {"_x2": (x, -1), "_y2": (y, -1)}, block_rows)
+    longest = longest_sequence(numbered, "_rn")
+    paired = lag_lead(numbered, [key], "_rn", {"_x2": (x, -1), "_y2": (y, -1)}, block_rows, longest)
     seg_end = F.coalesce(F.col("_x2") - 1, F.col(x))
     grid = paired.select(
         key,

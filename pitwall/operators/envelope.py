@@ -87,7 +87,10 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
     """
     if route_scope not in ("message", "line"):
         raise ValueError("route_scope is 'message' or 'line'")
-    m = messages.where(F.col("kind").isin("feed", "recap"))
+    # Only feed and recap messages have lines; other kinds explode to nothing,
+    # so no filter is needed (a filter on ``kind`` would be pushed below the
+    # parse and repeat it).
+    m = messages
     if gate == "best_lap":
         m = m.where((F.col("kind") == "recap") | contains(F.col("value"), BEST_LAP_MARK))
     elif gate is not None:

@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from pitwall.plans.sequence import (
     DEFAULT_BLOCK_ROWS,
     HALO,
+    SKEW_KEY_ROWS,
     block_window,
     carry_forward,
+    longest_sequence,
     number_rows,
     with_blocks,
 )
@@ -96,6 +98,7 @@ def rolling_predict(
     seq: str | None = None,
     tiebreak: tuple[str, ...] = (),
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    max_key_rows: int | None = SKEW_KEY_ROWS,
 ) -> DataFrame:
     """W1 + A8 + W3 + M4: one prediction per lap row, laps taken in Lap order.
 
@@ -106,10 +109,11 @@ def rolling_predict(
     base = laps.where(F.col(key).isNotNull() & F.col(lap).isNotNull() & F.col(y).isNotNull())
     if seq is None:
         order = [lap] + ([ts] if ts in base.columns else []) + list(tiebreak)
-        numbered = number_rows(base, [key], order, "_rn")
+        numbered = number_rows(base, [key], order, "_rn", max_key_rows=max_key_rows)
     else:
         numbered = base.withColumn("_rn", F.col(seq))
-    blocked = with_blocks(numbered, [key], "_rn", block_rows, back=n - 1)
+    longest = longest_sequence(numbered, "_rn")
+    blocked = with_blocks(numbered, [key], "_rn", block_rows, back=n - 1, longest=longest)
     frame = block_window([key], "_rn").rowsBetween(-(n - 1), 0)
     x = F.col(lap).cast("double")
     stats = blocked.select(
@@ -132,7 +136,7 @@ def rolling_predict(
     fitted = stats.withColumn("NextLap", nxt.cast("int")).withColumn(
         "_model", F.when(refit, F.struct(slope.alias("s"), icpt.alias("i")))
     )
-    carried = carry_forward(fitted, [key], "_rn", "_model", "_use")
+    carried = carry_forward(fitted, [key], "_rn", "_model", "_use", single_block=longest <= block_rows)
     return carried.select(
         F.col(key).alias("PilotN"),
         F.col(lap).alias("Lap"),

@@ -12,12 +12,12 @@ ROSTER_MAX = 20
 def bounded_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``small`` only when it really has at most ``max_rows`` rows.
 
-    The count is an action, so pass a DataFrame that is already materialised
-    (checkpointed) or cheap to compute.  Beyond the bound the plain DataFrame
-    is returned and Spark plans a shuffle join (AQE may still switch it to a
-    broadcast once the real shuffle size is known).
+    The count is an action, so pass a DataFrame that is cached, checkpointed
+    or cheap to compute.  Beyond the bound the plain DataFrame is returned and
+    Spark plans a shuffle join (AQE may still switch it to a broadcast once
+    the real shuffle size is known).
     """
-    n = small.limit(max_rows + 1).count()
+    n = small.count() if small.is_cached else small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
 
 

@@ -8,7 +8,9 @@ of the job inside one task.  The helpers here give the same results with
 bounded tasks:
 
 ``number_rows``
-    Range-partition on (key, order): Spark samples the data to choose the
+    A first, partial-aggregated job measures the largest key.  When every key
+    fits one task (``max_key_rows``) a plain ``row_number()`` window is used.
+    Otherwise: range-partition on (key, order): Spark samples the data to choose the
     bounds, so a hot key is cut into several contiguous chunks on different
     tasks.  Rows are sorted inside each partition and tagged with
     (partition id, monotonically increasing id); this layout is cut from its
@@ -51,6 +53,19 @@ MID = "_mid"
 DEFAULT_BLOCK_ROWS = 1 << 20
 # Chunk tables up to this many rows are broadcast; beyond it a shuffle join.
 CHUNK_BROADCAST_ROWS = 2_000_000
+# A key with more rows than this is split across tasks by number_rows.
+SKEW_KEY_ROWS = 1 << 20
+
+
+def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the biggest key (one job, aggregated per task first)."""
+    r = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return int(r or 0)
+
+
+def longest_sequence(df: DataFrame, rn: str) -> int:
+    """Largest dense row number, i.e. rows of the biggest key."""
+    return int(df.agg(F.max(rn)).first()[0] or 0)
 
 
 def number_rows(
@@ -59,16 +74,20 @@ def number_rows(
     order: Sequence[str | Column],
     out: str = "rn",
     partitions: int | None = None,
+    max_key_rows: int | None = SKEW_KEY_ROWS,
 ) -> DataFrame:
     """Dense 1-based row number per key in ``order`` (like ``row_number()``),
-    computed without putting any key into a single task.
+    computed without putting any key bigger than ``max_key_rows`` into a
+    single task (``max_key_rows=None`` always splits).
 
     ``order`` should make (keys, order) unique, otherwise ties are numbered in
     an arbitrary but stable way.
     """
+    keys = list(keys)
+    if max_key_rows is not None and largest_key(df, keys) <= max_key_rows:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = list(keys)
     laid = (
         df.repartitionByRange(n, *keys, *order)
         .sortWithinPartitions(*keys, *order)
@@ -81,11 +100,13 @@ def number_rows(
         F.min(MID).alias("_start"), F.count(F.lit(1)).alias("_cnt")
     )
     before = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    # The chunk table is tiny and recomputable from the checkpointed layout, so
+    # it is only cached; its size decides between broadcast and shuffle join.
     chunks = chunks.select(
         *[F.col(k).alias(c) for k, c in zip(keys, ck)],
         F.col(PID).alias("_cpid"),
         (F.col("_start") - F.coalesce(F.sum("_cnt").over(before), F.lit(0))).alias("_base"),
-    ).checkpoint(eager=True)
+    ).cache()
     chunks = bounded_broadcast(chunks, CHUNK_BROADCAST_ROWS)
     cond = [laid[k] == chunks[c] for k, c in zip(keys, ck)] + [laid[PID] == chunks["_cpid"]]
     return (
@@ -102,11 +123,17 @@ def with_blocks(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     back: int = 0,
     fwd: int = 0,
+    longest: int | None = None,
 ) -> DataFrame:
     """Add ``_blk`` and ``_halo``; a row within ``back`` rows before a later
     block's first row is also emitted as a halo copy in that block, and a row
     within ``fwd`` rows after an earlier block's last row as a halo copy in
-    that one (a frame may span several blocks when blocks are small)."""
+    that one (a frame may span several blocks when blocks are small).
+
+    ``longest`` (rows of the biggest key, if known) skips the copies when
+    every key fits one block."""
+    if longest is not None and longest <= block_rows:
+        return df.withColumn(BLK, F.lit(0).cast("long")).withColumn(HALO, F.lit(False))
     r0 = F.col(rn) - 1
     blk = F.floor(r0 / block_rows)
     copies = [F.struct(blk.alias("b"), F.lit(False).alias("h"))]
@@ -143,14 +170,18 @@ def carry_forward(
     rn: str,
     value: str,
     out: str,
+    single_block: bool = False,
 ) -> DataFrame:
     """``out`` = last non-null ``value`` at or before each row of its key.
 
     ``df`` must carry ``_blk`` (see :func:`with_blocks`) and no halo rows.
+    ``single_block`` (every key in block 0) skips the cross-block carry.
     """
     keys = list(keys)
     upto = block_window(keys, rn).rowsBetween(Window.unboundedPreceding, 0)
     inner = df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
+    if single_block:
+        return inner
     ck = [f"_ck{i}" for i in range(len(keys))]
     summary = inner.groupBy(*keys, BLK).agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(rn))).alias("_blast")
@@ -175,12 +206,13 @@ def lag_lead(
     rn: str,
     cols: dict[str, tuple[str, int]],
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """Add ``out = lag(col, k)`` (k > 0) or ``lead(col, -k)`` (k < 0) per key in
     row-number order, exact across block edges."""
     back = max([k for _, k in cols.values() if k > 0], default=0)
     fwd = max([-k for _, k in cols.values() if k < 0], default=0)
-    b = with_blocks(df, keys, rn, block_rows, back=back, fwd=fwd)
+    b = with_blocks(df, keys, rn, block_rows, back=back, fwd=fwd, longest=longest)
     w = block_window(keys, rn)
     for out, (c, k) in cols.items():
         b = b.withColumn(out, F.lag(c, k).over(w) if k > 0 else F.lead(c, -k).over(w))

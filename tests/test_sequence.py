@@ -30,8 +30,17 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k int, t int, eid long, v double").repartition(5)
 
 
+def test_size_check_picks_the_plain_window_for_small_keys(skewed):
+    assert Q.largest_key(skewed, ["k"]) == 600
+    plain = Q.number_rows(skewed, ["k"], ["t", "eid"], "rn")
+    assert "repartitionByRange" not in plain._jdf.queryExecution().logical().toString()
+    split = Q.number_rows(skewed, ["k"], ["t", "eid"], "rn", max_key_rows=100)
+    a = sorted((r.eid, r.rn) for r in plain.select("eid", "rn").collect())
+    assert a == sorted((r.eid, r.rn) for r in split.select("eid", "rn").collect())
+
+
 def test_number_rows_matches_row_number(skewed):
-    ours = Q.number_rows(skewed, ["k"], ["t", "eid"], "rn", partitions=7)
+    ours = Q.number_rows(skewed, ["k"], ["t", "eid"], "rn", partitions=7, max_key_rows=None)
     ref = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("t", "eid")))
     a = sorted((r.eid, r.rn) for r in ours.select("eid", "rn").collect())
     b = sorted((r.eid, r.rn) for r in ref.select("eid", "rn").collect())
@@ -46,7 +55,7 @@ def test_hot_key_is_split_across_partitions(skewed):
 
 @pytest.mark.parametrize("block_rows", [3, 7, 1 << 20])
 def test_lag_lead_across_blocks(skewed, block_rows):
-    n = Q.number_rows(skewed, ["k"], ["t", "eid"], "rn")
+    n = Q.number_rows(skewed, ["k"], ["t", "eid"], "rn", max_key_rows=None)
     ours = Q.lag_lead(n, ["k"], "rn", {"p1": ("eid", 1), "p2": ("eid", 2), "n1": ("eid", -1)}, block_rows)
     w = Window.partitionBy("k").orderBy("rn")
     ref = n.select("eid", F.lag("eid", 1).over(w).alias("p1"), F.lag("eid", 2).over(w).alias("p2"),
@@ -57,7 +66,7 @@ def test_lag_lead_across_blocks(skewed, block_rows):
 
 @pytest.mark.parametrize("block_rows", [4, 50])
 def test_carry_forward_across_blocks(skewed, block_rows):
-    n = Q.number_rows(skewed, ["k"], ["t", "eid"], "rn")
+    n = Q.number_rows(skewed, ["k"], ["t", "eid"], "rn", max_key_rows=None)
     b = Q.with_blocks(n, ["k"], "rn", block_rows)
     ours = Q.carry_forward(b, ["k"], "rn", "v", "cf")
     w = Window.partitionBy("k").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
@@ -70,7 +79,7 @@ def test_rolling_predict_same_for_any_block_size(skewed):
         F.col("k").alias("PilotNumber"), F.col("t").alias("Lap"), F.col("v").alias("Seconds"), "eid"
     )
     big = regress.rolling_predict(laps, ts="none", tiebreak=("eid",))
-    small = regress.rolling_predict(laps, ts="none", tiebreak=("eid",), block_rows=3)
+    small = regress.rolling_predict(laps, ts="none", tiebreak=("eid",), block_rows=3, max_key_rows=None)
     key = ["PilotN", "Lap", "NextLap"]
     a = sorted((r.PilotN, r.Lap, r.NextLap, round(r.prediction, 9)) for r in big.select(*key, "prediction").collect())
     b = sorted((r.PilotN, r.Lap, r.NextLap, round(r.prediction, 9)) for r in small.select(*key, "prediction").collect())
