@@ -24,6 +24,8 @@ from pitwall.plans.lineage import materialize
 from pitwall.schemas import TS
 from pitwall.sources import capture as C
 from pitwall.sources import derived as V
+from pitwall.streaming import predictor as SP
+from pitwall.streaming import sinks as SK
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -353,6 +355,84 @@ def lap_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- streaming (ST1-ST8 S5 S7-S10) -------------------------------------------
+
+# Lap files are written in this many event-time waves, one write each, so the
+# file stream (oldest files first) sees each driver's laps in order.
+STREAM_WAVES = 4
+FILES_PER_TRIGGER = 8
+
+
+def _lap_stream_source(spark: SparkSession, sf_dir: str) -> str:
+    """Bus lap messages of every event, written as text files in event-time
+    waves; each file holds whole drivers of its wave."""
+    laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
+    msgs = materialize(L.lap_messages(laps).select("PilotNumber", TS, "value"))
+    lo, hi = msgs.agg(F.min(TS), F.max(TS)).first()
+    path = scratch_path(spark, "lap-stream")
+    step = (hi - lo) / STREAM_WAVES
+    for i in range(STREAM_WAVES):
+        wave = msgs.where(F.col(TS) >= F.lit(lo + step * i))
+        if i < STREAM_WAVES - 1:
+            wave = wave.where(F.col(TS) < F.lit(lo + step * (i + 1)))
+        wave.repartition("PilotNumber").select("value").write.mode("append").text(path)
+    return path
+
+
+def stream_rolling_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1-ST6 + S7: file stream of bus lap messages -> keyed-state predictor
+    -> per-batch prediction table; equals the batch flagship."""
+    src = _lap_stream_source(spark, sf_dir)
+    out = scratch_path(spark, "predictions")
+    laps = L.parse_lap_messages(C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER))
+    with SP.use_rocksdb(spark):
+        SK.run_available(SP.predict_stream(laps), scratch_path(spark, "predictions-ckpt"), fn=SK.batch_writer(out))
+    res = spark.read.parquet(out)
+    return res.select(F.col("PilotN").alias("PilotNumber"), "NextLap", _r4("prediction").alias("prediction"))
+
+
+def stream_latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7: continuously updated last lap time per driver (complete mode)."""
+    src = _lap_stream_source(spark, sf_dir)
+    out = scratch_path(spark, "latest")
+    laps = L.parse_lap_messages(C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER))
+
+    def snapshot(df, batch_id):
+        df.write.mode("overwrite").parquet(out)
+
+    SK.run_available(SK.latest_per_driver(laps), scratch_path(spark, "latest-ckpt"), fn=snapshot,
+                     output_mode="complete")
+    res = spark.read.parquet(out)
+    return res.select("PilotNumber", _r4("seconds").alias("seconds"), "Lap")
+
+
+def stream_three_way_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST8 + S8-S10: raw feed file stream split into the lap, gap and weather
+    collections by one foreachBatch; returns rows per collection."""
+    src = scratch_path(spark, "feed-stream")
+    C.write_lines(V.feed_messages(None, _numbered(spark, sf_dir)), src)
+    root = scratch_path(spark, "collections")
+    raw = C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER)
+    SK.run_available(raw, scratch_path(spark, "split-ckpt"), fn=SK.three_way_split(root))
+    parts = [
+        spark.read.parquet(f"{root}/{t}").select(F.lit(t).alias("collection"))
+        for t in (SK.LAPS_TABLE, SK.GAPS_TABLE, SK.WEATHER_TABLE)
+    ]
+    allrows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return allrows.groupBy("collection").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_bronze_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw capture stream appended to a bronze table without heartbeats
+    (file sink, exactly-once); returns lines per kind."""
+    src = scratch_path(spark, "capture-stream")
+    C.write_lines(V.capture_lines(None, _numbered(spark, sf_dir)), src)
+    out = scratch_path(spark, "bronze")
+    raw = C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER)
+    SK.run_available(SK.bronze(raw), scratch_path(spark, "bronze-ckpt"), path=out)
+    return E.classify(spark.read.parquet(out)).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES: dict[str, Query] = {
     "rolling_lap_prediction": rolling_lap_prediction,
     "rolling_lap_prediction_n5": rolling_lap_prediction_n5,
@@ -386,4 +466,8 @@ QUERIES: dict[str, Query] = {
     "unified_view": unified_view,
     "keyed_json_sink": keyed_json_sink,
     "lap_histogram": lap_histogram,
+    "stream_rolling_prediction": stream_rolling_prediction,
+    "stream_latest_value": stream_latest_value,
+    "stream_three_way_split": stream_three_way_split,
+    "stream_bronze_capture": stream_bronze_capture,
 }

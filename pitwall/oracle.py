@@ -233,4 +233,16 @@ SELECT 'info' AS key, PilotNumber, Lap, round(Seconds, 4) AS Seconds, {MS} AS ts
 iv AS (SELECT {nice('SELECT max(Lap) - min(Lap) FROM flaps', 167.5)} AS lap_iv)
 SELECT {bucket('Lap', 'lap_iv')} AS lap_bucket, count(*) AS n FROM flaps, iv
 WHERE Lap >= 0 AND Lap < 1000 GROUP BY 1""",
+    "stream_rolling_prediction": rolling_prediction_sql(10, 2),
+    "stream_latest_value": f"""WITH {LAPS}
+SELECT PilotNumber, round(max_by(Seconds, ts), 4) AS seconds, max(Lap) AS Lap FROM laps GROUP BY PilotNumber""",
+    "stream_three_way_split": """SELECT collection, count(*) AS n FROM (
+  SELECT CASE WHEN event_type IN ('click', 'view') THEN 'lastlaptimes' WHEN event_type = 'purchase' THEN 'gaps'
+              ELSE 'others' END AS collection
+  FROM events WHERE event_type <> 'signup') GROUP BY collection""",
+    "stream_bronze_capture": """SELECT kind, count(*) AS n FROM (
+  SELECT 'feed' AS kind FROM events
+  UNION ALL SELECT 'recap' FROM events WHERE event_type = 'signup'
+  UNION ALL SELECT 'empty' FROM events WHERE event_type = 'purchase'
+  UNION ALL SELECT 'text' FROM events WHERE event_type = 'view') GROUP BY kind""",
 }

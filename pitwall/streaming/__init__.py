@@ -1,0 +1 @@
+"""Structured Streaming: keyed-state predictor, three-way split and sinks."""
