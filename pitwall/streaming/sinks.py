@@ -40,6 +40,8 @@ def three_way_split(root: str, roster: DataFrame | None = None, route_scope: str
     The batch is parsed once and persisted while the three writers read it."""
 
     def split(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # A2: nothing arrived in this trigger
+            return
         lines = E.normalise(batch, roster=roster, route_scope=route_scope).persist()
         try:
             batch_writer(f"{root}/{LAPS_TABLE}")(E.lap_rows(lines), batch_id)
@@ -51,6 +53,15 @@ def three_way_split(root: str, roster: DataFrame | None = None, route_scope: str
     return split
 
 
+def stamp_processing_time(df: DataFrame) -> DataFrame:
+    """F6 + P15: stamp documents with the processing time, as the original
+    prediction sink did (event time is kept by default so results are
+    reproducible)."""
+    from pitwall.schemas import TS
+
+    return df.withColumn(TS, F.current_timestamp())
+
+
 def latest_per_driver(laps: DataFrame, key: str = "PilotNumber") -> DataFrame:
     """ST7: continuously updated last lap time per driver (bounded state: one
     row per driver).  Use with output mode ``update`` or ``complete``."""
