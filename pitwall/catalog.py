@@ -33,7 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # replayer's 10 s bound is scaled to two hours.
 FIXTURE_MAX_DELTA = 7200.0
 # Documents per concatenated capture file written by concat_json_split.
-DOCS_PER_FILE = 1000
+DOCS_PER_FILE = 5000
 
 
 def _r4(c) -> F.Column:
@@ -357,9 +357,12 @@ def lap_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming (ST1-ST8 S5 S7-S10) -------------------------------------------
 
-# Lap files are written in this many event-time waves, one write each, so the
-# file stream (oldest files first) sees each driver's laps in order.
-STREAM_WAVES = 4
+# Lap files are written in event-time waves, one write each, so the file
+# stream (oldest files first) sees each driver's laps in order.  The number
+# of waves grows with the data so one wave (and a hot driver's share of it,
+# which one task writes) stays bounded.
+MIN_STREAM_WAVES = 4
+WAVE_ROWS = 5_000_000
 FILES_PER_TRIGGER = 8
 
 
@@ -368,12 +371,13 @@ def _lap_stream_source(spark: SparkSession, sf_dir: str) -> str:
     waves; each file holds whole drivers of its wave."""
     laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
     msgs = materialize(L.lap_messages(laps).select("PilotNumber", TS, "value"))
-    lo, hi = msgs.agg(F.min(TS), F.max(TS)).first()
+    lo, hi, rows = msgs.agg(F.min(TS), F.max(TS), F.count(F.lit(1))).first()
+    waves = max(MIN_STREAM_WAVES, -(-rows // WAVE_ROWS))
     path = scratch_path(spark, "lap-stream")
-    step = (hi - lo) / STREAM_WAVES
-    for i in range(STREAM_WAVES):
+    step = (hi - lo) / waves
+    for i in range(waves):
         wave = msgs.where(F.col(TS) >= F.lit(lo + step * i))
-        if i < STREAM_WAVES - 1:
+        if i < waves - 1:
             wave = wave.where(F.col(TS) < F.lit(lo + step * (i + 1)))
         wave.repartition("PilotNumber").select("value").write.mode("append").text(path)
     return path

@@ -21,11 +21,16 @@ def bounded_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(small) if n <= max_rows else small
 
 
+# Rosters are broadcast only up to this many drivers (checked, not assumed).
+ROSTER_BROADCAST_ROWS = 100_000
+
+
 def roster_semi_join(lines: DataFrame, roster: DataFrame, key: str = "PilotNumber") -> DataFrame:
     """Keep lines whose driver is in the roster (equi semi-join).
 
-    The roster is bounded (<= 20 rows after the first-20 rule), so it is
-    broadcast; in streaming this is a stream-static join.
+    A roster from ``roster_numbers`` has at most 20 rows; any other roster is
+    counted first and broadcast only when small.  In streaming this is a
+    stream-static join.
     """
     r = roster.select(F.col("pilot").alias(key)).distinct()
-    return lines.join(F.broadcast(r), key, "left_semi")
+    return lines.join(bounded_broadcast(r, ROSTER_BROADCAST_ROWS), key, "left_semi")
