@@ -279,6 +279,14 @@ def bounded_gap_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.bounded_gap_filter(d, FIXTURE_MAX_DELTA).select("event_id", "PilotNumber", _r4("delta").alias("delta"))
 
 
+def replay_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P21 over a whole capture: feed paced per session, recap/empty bypass."""
+    lines = V.capture_lines(None, _numbered(spark, sf_dir))
+    msgs = materialize(E.classify(lines).select("event_id", "part", "PilotNumber", "ts", "kind", "msg_time"))
+    sched = P.replay_schedule(msgs, ["PilotNumber"], ["ts", "event_id"], max_delta=FIXTURE_MAX_DELTA)
+    return sched.select("event_id", "part", "kind", _r4("delta").alias("delta"), "sent")
+
+
 # --- dashboard (D1-D6 A5 W4 U2) ----------------------------------------------
 
 def pace_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,8 +332,11 @@ def weather_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unified_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _feed_lines(spark, sf_dir)
-    laps = materialize(E.lap_rows(lines).select("PilotNumber", "Lap", "Seconds", TS, "event_id"))
+    # one parse of the feed feeds all four collections
+    lines = materialize(
+        _feed_lines(spark, sf_dir).select("event_id", "kind", "msg_time", "PilotNumber", "line_json", "line", "route")
+    )
+    laps = E.lap_rows(lines).select("PilotNumber", "Lap", "Seconds", TS, "event_id")
     v = D.unified_view(
         laps=laps,
         predictions=_feed_predictions(spark, sf_dir, laps),
@@ -460,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "interarrival_gap": interarrival_gap,
     "interarrival_clock": interarrival_clock,
     "bounded_gap_filter": bounded_gap_filter,
+    "replay_schedule": replay_schedule,
     "pace_trace": pace_trace,
     "pace_trace_filled": pace_trace_filled,
     "race_pace_table": race_pace_table,

@@ -66,3 +66,32 @@ def interarrival(
 def bounded_gap_filter(with_delta: DataFrame, max_delta: float = MAX_DELTA_SECONDS) -> DataFrame:
     """Keep a message iff 0 < delta <= max_delta."""
     return with_delta.where((F.col("delta") > 0) & (F.col("delta") <= max_delta))
+
+
+# Fixed value of the replayer: recap and empty messages wait this long.
+BYPASS_DELTA = 0.001
+
+
+def replay_schedule(
+    messages: DataFrame,
+    session: Sequence[str],
+    order: Sequence[str],
+    mode: str = "true",
+    max_delta: float = MAX_DELTA_SECONDS,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+) -> DataFrame:
+    """W2 + P21 over a classified capture (``pitwall.operators.envelope.classify``):
+    feed messages are paced against the previous feed message of the session
+    (in ``order``) and sent iff 0 < delta <= max_delta; recap and empty
+    messages bypass the clock with a fixed 0.001 s and are always sent; lines
+    without JSON are never read.  Adds ``delta`` and ``sent``."""
+    from pitwall.functions.scalars import iso_to_timestamp
+
+    feed = messages.where(F.col("kind") == "feed").withColumn("_ts", iso_to_timestamp(F.col("msg_time")))
+    paced = interarrival(feed, session, "_ts", order=order, mode=mode, iso_text="msg_time", block_rows=block_rows)
+    sent = F.coalesce((F.col("delta") > 0) & (F.col("delta") <= max_delta), F.lit(False))
+    paced = paced.drop("_ts").withColumn("sent", sent)
+    bypass = messages.where(F.col("kind").isin("recap", "empty")).select(
+        "*", F.lit(BYPASS_DELTA).alias("delta"), F.lit(True).alias("sent")
+    )
+    return paced.unionByName(bypass)

@@ -245,4 +245,10 @@ SELECT PilotNumber, round(max_by(Seconds, ts), 4) AS seconds, max(Lap) AS Lap FR
   UNION ALL SELECT 'recap' FROM events WHERE event_type = 'signup'
   UNION ALL SELECT 'empty' FROM events WHERE event_type = 'purchase'
   UNION ALL SELECT 'text' FROM events WHERE event_type = 'view') GROUP BY kind""",
+    "replay_schedule": INTERARRIVAL.format(t=MS)
+    + """
+SELECT event_id, 0 AS part, 'feed' AS kind, round(delta, 4) AS delta, coalesce(delta > 0 AND delta <= 7200, false) AS sent
+FROM d
+UNION ALL SELECT event_id, 1, 'recap', 0.001, true FROM events WHERE event_type = 'signup'
+UNION ALL SELECT event_id, 1, 'empty', 0.001, true FROM events WHERE event_type IN ('purchase', 'error')""",
 }

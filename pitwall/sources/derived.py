@@ -142,12 +142,14 @@ def recap_messages(events: DataFrame, numbered: DataFrame | None = None) -> Data
 def capture_lines(events: DataFrame, numbered: DataFrame | None = None) -> DataFrame:
     """A raw capture with every kind of line: feed envelopes for all events,
     plus per event type one extra line -- recap (signup), empty feed message
-    (purchase), heartbeat ``{}`` (error) and a non-JSON text line (view)."""
+    (purchase), heartbeat ``{}`` (error) and a non-JSON text line (view).
+    Each line keeps its event's ``event_id``, ``PilotNumber`` and ``ts``."""
     n = numbered if numbered is not None else numbered_events(events)
-    feed = feed_messages(events, n).select("event_id", F.lit(0).alias("part"), "value")
-    recap = recap_messages(events, n).select("event_id", F.lit(1).alias("part"), "value")
+    keep = ["event_id", "PilotNumber", "ts"]
+    feed = feed_messages(events, n).select(*keep, F.lit(0).alias("part"), "value")
+    recap = recap_messages(events, n).select(*keep, F.lit(1).alias("part"), "value")
     extra = n.where(F.col("event_type").isin("purchase", "error", "view")).select(
-        "event_id",
+        *keep,
         F.lit(1).alias("part"),
         F.when(F.col("event_type") == "purchase", F.lit('{"M":[]}'))
         .when(F.col("event_type") == "error", F.lit("{}"))
