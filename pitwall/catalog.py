@@ -259,7 +259,7 @@ def _messages(spark, sf_dir):
     return e.select(
         "event_id",
         F.col("user_id").cast("int").alias("PilotNumber"),
-        F.col("ts").cast("timestamp").alias(TS),
+        S.utc_instant("ts").alias(TS),
         F.date_format("ts", V.ISO_FORMAT).alias("iso"),
     )
 

@@ -77,6 +77,22 @@ def instant_millis(ts) -> Column:
     return F.floor((F.unix_micros(_c(ts)) + 500) / 1000).cast("long")
 
 
+ISO_UTC_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+def utc_instant(ntz) -> Column:
+    """TIMESTAMP_NTZ holding UTC wall-clock time -> TIMESTAMP (an instant),
+    whatever the session time zone is."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(ntz)).cast("timestamp")
+
+
+def iso_utc(ts) -> Column:
+    """TIMESTAMP -> ISO-8601 text in UTC with a 'Z' suffix, whatever the
+    session time zone is."""
+    wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(ts).cast("timestamp_ntz"))
+    return F.date_format(wall, ISO_UTC_FORMAT)
+
+
 def iso_to_timestamp(iso_text) -> Column:
     """ISO-8601 text (with zone) -> TIMESTAMP; malformed -> null."""
     return F.try_to_timestamp(_c(iso_text))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitwall.functions.scalars import iso_utc
 from pitwall.schemas import TS
 
 # Fixed values of the bus.
@@ -30,7 +31,7 @@ def lap_messages(laps: DataFrame, seconds_col: str = "Seconds", ts: str = TS) ->
         F.struct(F.col(seconds_col).alias("Value")).alias("LastLapTime"),
         F.col("PilotNumber").alias("PilotNumber"),
     )
-    doc = F.struct(td.alias("TimingData"), F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias(TS))
+    doc = F.struct(td.alias("TimingData"), iso_utc(ts).alias(TS))
     return laps.select("*", F.to_json(doc).alias("value"))
 
 

@@ -108,4 +108,5 @@ def write_concatenated(docs: DataFrame, path: str, order: list[str], file_col: s
             ),
         ).alias("value")
     )
-    files.repartition("file_no").write.mode("overwrite").partitionBy("file_no").text(path)
+    # one group per output file: no separator may come between two groups
+    files.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.functions.scalars import seconds_to_lap_text
+from pitwall.functions.scalars import seconds_to_lap_text, utc_instant
 from pitwall.plans.sequence import number_rows
 from pitwall.schemas import TS
 
@@ -58,7 +58,7 @@ def laps_from_events(events: DataFrame, stride: int = 1, numbered: DataFrame | N
         "PilotNumber",
         (F.col("Lap") * stride).cast("int").alias("Lap"),
         F.col("value").alias("Seconds"),
-        F.col("ts").cast("timestamp").alias(TS),
+        utc_instant("ts").alias(TS),
         "event_id",
     )
 
