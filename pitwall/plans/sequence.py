@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.plans.joins import bounded_broadcast
+from pitwall.plans.lineage import materialize
 
 BLK = "_blk"
 HALO = "_halo"
@@ -88,12 +89,11 @@ def number_rows(
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = (
+    laid = materialize(
         df.repartitionByRange(n, *keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn(PID, F.spark_partition_id())
         .withColumn(MID, F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
     ck = [f"_ck{i}" for i in range(len(keys))]
     chunks = laid.groupBy(*keys, PID).agg(
