@@ -68,8 +68,11 @@ def _feed_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rolling_lap_prediction(spark: SparkSession, sf_dir: str, params: dict = regress.CURRENT) -> DataFrame:
     """Flagship: next-lap prediction at every lap of every driver."""
-    laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
-    pred = regress.rolling_predict(laps, n=params["n"], cadence=params["cadence"], reg=params["reg"], seq="Lap")
+    numbered, longest = V.numbered_events_sized(_events(spark, sf_dir))
+    laps = V.laps_from_events(None, numbered=numbered)
+    pred = regress.rolling_predict(
+        laps, n=params["n"], cadence=params["cadence"], reg=params["reg"], seq="Lap", longest=longest
+    )
     return pred.select(F.col("PilotN").alias("PilotNumber"), "NextLap", _r4("prediction").alias("prediction"))
 
 

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.plans.sequence import DEFAULT_BLOCK_ROWS, lag_lead, longest_sequence, number_rows
+from pitwall.plans.sequence import DEFAULT_BLOCK_ROWS, lag_lead, number_rows_sized
 from pitwall.schemas import TS, WEATHER_FIELDS
 
 # Fixed values of the saved dashboard.
@@ -206,8 +206,7 @@ def linear_fill(
     pts = laps.where(F.col(key).isNotNull() & F.col(x).isNotNull()).groupBy(key, x).agg(
         F.max(y).alias(y)
     )
-    numbered = number_rows(pts, [key], [x], "_rn")
-    longest = longest_sequence(numbered, "_rn")
+    numbered, longest = number_rows_sized(pts, [key], [x], "_rn")
     paired = lag_lead(numbered, [key], "_rn", {"_x2": (x, -1), "_y2": (y, -1)}, block_rows, longest)
     seg_end = F.coalesce(F.col("_x2") - 1, F.col(x))
     grid = paired.select(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions.scalars import instant_millis, iso_clock_millis
-from pitwall.plans.sequence import DEFAULT_BLOCK_ROWS, lag_lead, longest_sequence, number_rows
+from pitwall.plans.sequence import DEFAULT_BLOCK_ROWS, lag_lead, number_rows_sized
 
 # Fixed values of the replayer.
 MAX_DELTA_SECONDS = 10.0
@@ -57,8 +57,7 @@ def interarrival(
     else:
         raise ValueError("mode is 'true' or 'clock'")
     m = messages.withColumn("_t", t)
-    numbered = number_rows(m, list(session), list(order) or [ts], "_seq")
-    longest = longest_sequence(numbered, "_seq")
+    numbered, longest = number_rows_sized(m, list(session), list(order) or [ts], "_seq")
     lagged = lag_lead(numbered, list(session), "_seq", {"_tprev": ("_t", 1)}, block_rows, longest)
     return lagged.withColumn("delta", (F.col("_t") - F.col("_tprev")) / 1000.0).drop("_t", "_tprev", "_seq")
 

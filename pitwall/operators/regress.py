@@ -31,7 +31,7 @@ from pitwall.plans.sequence import (
     block_window,
     carry_forward,
     longest_sequence,
-    number_rows,
+    number_rows_sized,
     with_blocks,
 )
 from pitwall.schemas import TS
@@ -99,20 +99,23 @@ def rolling_predict(
     tiebreak: tuple[str, ...] = (),
     block_rows: int = DEFAULT_BLOCK_ROWS,
     max_key_rows: int | None = SKEW_KEY_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """W1 + A8 + W3 + M4: one prediction per lap row, laps taken in Lap order.
 
     ``seq`` names a column that already holds a dense 1..k number per driver
     in Lap order (e.g. a Lap made by ``number_rows``); otherwise one is made.
+    ``longest`` (laps of the biggest driver) saves a pass when already known.
     Returns ``PilotN, Lap, NextLap, prediction, slope, intercept, @timestamp``.
     """
     base = laps.where(F.col(key).isNotNull() & F.col(lap).isNotNull() & F.col(y).isNotNull())
     if seq is None:
         order = [lap] + ([ts] if ts in base.columns else []) + list(tiebreak)
-        numbered = number_rows(base, [key], order, "_rn", max_key_rows=max_key_rows)
+        numbered, longest = number_rows_sized(base, [key], order, "_rn", max_key_rows=max_key_rows)
     else:
         numbered = base.withColumn("_rn", F.col(seq))
-    longest = longest_sequence(numbered, "_rn")
+        if longest is None:
+            longest = longest_sequence(numbered, "_rn")
     blocked = with_blocks(numbered, [key], "_rn", block_rows, back=n - 1, longest=longest)
     frame = block_window([key], "_rn").rowsBetween(-(n - 1), 0)
     x = F.col(lap).cast("double")

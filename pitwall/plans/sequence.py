@@ -84,9 +84,25 @@ def number_rows(
     ``order`` should make (keys, order) unique, otherwise ties are numbered in
     an arbitrary but stable way.
     """
+    return number_rows_sized(df, keys, order, out, partitions, max_key_rows)[0]
+
+
+def number_rows_sized(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    out: str = "rn",
+    partitions: int | None = None,
+    max_key_rows: int | None = SKEW_KEY_ROWS,
+) -> tuple[DataFrame, int]:
+    """:func:`number_rows` plus the row count of the biggest key (the largest
+    row number), which block windows use to skip halos when every key fits
+    one block."""
     keys = list(keys)
-    if max_key_rows is not None and largest_key(df, keys) <= max_key_rows:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    if max_key_rows is not None:
+        largest = largest_key(df, keys)
+        if largest <= max_key_rows:
+            return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))), largest
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = materialize(
@@ -105,15 +121,18 @@ def number_rows(
     chunks = chunks.select(
         *[F.col(k).alias(c) for k, c in zip(keys, ck)],
         F.col(PID).alias("_cpid"),
+        "_cnt",
         (F.col("_start") - F.coalesce(F.sum("_cnt").over(before), F.lit(0))).alias("_base"),
     ).cache()
     chunks = bounded_broadcast(chunks, CHUNK_BROADCAST_ROWS)
+    largest = int(chunks.groupBy(*ck).agg(F.sum("_cnt").alias("_n")).agg(F.max("_n")).first()[0] or 0)
     cond = [laid[k] == chunks[c] for k, c in zip(keys, ck)] + [laid[PID] == chunks["_cpid"]]
-    return (
+    numbered = (
         laid.join(chunks, cond, "inner")
         .withColumn(out, F.col(MID) - F.col("_base") + 1)
-        .drop(*ck, "_cpid", "_base", PID, MID)
+        .drop(*ck, "_cpid", "_base", "_cnt", PID, MID)
     )
+    return numbered, largest
 
 
 def with_blocks(

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.functions.scalars import seconds_to_lap_text, utc_instant
-from pitwall.plans.sequence import number_rows
+from pitwall.plans.sequence import number_rows_sized
 from pitwall.schemas import TS
 
 TABLES = (
@@ -38,6 +38,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def numbered_events(events: DataFrame) -> DataFrame:
     """events + ``Lap`` (row number per user by ts, event_id), skew-safe."""
+    return numbered_events_sized(events)[0]
+
+
+def numbered_events_sized(events: DataFrame) -> tuple[DataFrame, int]:
+    """:func:`numbered_events` plus the event count of the biggest user."""
     e = events.select(
         "event_id",
         "ts",
@@ -46,9 +51,8 @@ def numbered_events(events: DataFrame) -> DataFrame:
         "value",
         "props",
     )
-    return number_rows(e, ["PilotNumber"], ["ts", "event_id"], "Lap").withColumn(
-        "Lap", F.col("Lap").cast("int")
-    )
+    n, largest = number_rows_sized(e, ["PilotNumber"], ["ts", "event_id"], "Lap")
+    return n.withColumn("Lap", F.col("Lap").cast("int")), largest
 
 
 def laps_from_events(events: DataFrame, stride: int = 1, numbered: DataFrame | None = None) -> DataFrame:
