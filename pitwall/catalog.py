@@ -380,23 +380,28 @@ WAVE_ROWS = 5_000_000
 FILES_PER_TRIGGER = 8
 
 
-def _lap_stream_source(spark: SparkSession, sf_dir: str) -> str:
-    """Bus lap messages of every event, written as text files in event-time
-    waves; each file holds whole drivers of its wave."""
-    laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
-    msgs = materialize(L.lap_messages(laps).select("PilotNumber", TS, "value"))
-    lo, hi, rows = msgs.agg(F.min(TS), F.max(TS), F.count(F.lit(1))).first()
+def _wave_files(msgs: DataFrame, path: str, ts: str = TS) -> str:
+    """Write ``value`` lines as text files in event-time waves (one write per
+    wave, so file times follow event time); each file holds whole drivers of
+    its wave."""
+    msgs = materialize(msgs.select("PilotNumber", ts, "value"))
+    lo, hi, rows = msgs.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
     waves = max(MIN_STREAM_WAVES, -(-rows // WAVE_ROWS))
-    path = scratch_path(spark, "lap-stream")
     step = (hi - lo) / waves
     for i in range(waves):
-        wave = msgs.where(F.col(TS) >= F.lit(lo + step * i))
+        wave = msgs.where(F.col(ts) >= F.lit(lo + step * i))
         if i < waves - 1:
-            wave = wave.where(F.col(TS) < F.lit(lo + step * (i + 1)))
+            wave = wave.where(F.col(ts) < F.lit(lo + step * (i + 1)))
         wave.repartition("PilotNumber").select("value").write.mode("append").text(path)
     return path
 
 
+def _lap_stream_source(spark: SparkSession, sf_dir: str) -> str:
+    """Bus lap messages of every event, written in event-time waves."""
+    laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
+    return _wave_files(L.lap_messages(laps), scratch_path(spark, "lap-stream"))
+
+
 def stream_rolling_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1-ST6 + S7: file stream of bus lap messages -> keyed-state predictor
     -> per-batch prediction table; equals the batch flagship."""
@@ -440,6 +445,22 @@ def stream_three_way_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return allrows.groupBy("collection").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_live_system(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live system over a raw feed stream: bronze capture, three-way split
+    and keyed-state predictor started together; returns the predictions."""
+    src = scratch_path(spark, "live-feed")
+    _wave_files(V.feed_messages(None, _numbered(spark, sf_dir)), src, ts="ts")
+    root, ck = scratch_path(spark, "live"), scratch_path(spark, "live-ckpt")
+    raw = C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER)
+    with SP.use_rocksdb(spark):
+        for q in SK.start_live(raw, root, ck):
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+    res = spark.read.parquet(f"{root}/{SK.PREDICTIONS_TABLE}")
+    return res.select(F.col("PilotN").alias("PilotNumber"), "NextLap", _r4("prediction").alias("prediction"))
+
+
 def stream_bronze_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw capture stream appended to a bronze table without heartbeats
     (file sink, exactly-once); returns lines per kind."""
@@ -489,4 +510,5 @@ QUERIES: dict[str, Query] = {
     "stream_latest_value": stream_latest_value,
     "stream_three_way_split": stream_three_way_split,
     "stream_bronze_capture": stream_bronze_capture,
+    "stream_live_system": stream_live_system,
 }

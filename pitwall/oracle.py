@@ -251,4 +251,7 @@ SELECT event_id, 0 AS part, 'feed' AS kind, round(delta, 4) AS delta, coalesce(d
 FROM d
 UNION ALL SELECT event_id, 1, 'recap', 0.001, true FROM events WHERE event_type = 'signup'
 UNION ALL SELECT event_id, 1, 'empty', 0.001, true FROM events WHERE event_type IN ('purchase', 'error')""",
+    "stream_live_system": f"""WITH {LAPS}, {FLAPS},
+{rolling('flaps')}
+SELECT PilotNumber, NextLap, round(prediction, 4) AS prediction FROM pred""",
 }

@@ -108,3 +108,42 @@ def run_available(df: DataFrame, checkpoint: str, fn: Callable | None = None, ou
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+
+
+def start_live(
+    raw: DataFrame,
+    root: str,
+    checkpoints: str,
+    roster: DataFrame | None = None,
+    route_scope: str = "message",
+    processing_time: str | None = None,
+    n: int = 10,
+    cadence: int = 2,
+) -> list:
+    """Start the live system over one raw feed stream (``value`` text lines):
+
+    * ``bronze``      -- S5 raw capture without heartbeats (file sink);
+    * ``split``       -- ST8 laps / gaps / weather collections (foreachBatch);
+    * ``predictions`` -- ST1-ST6 keyed-state predictor over the routed laps.
+
+    Each query has its own checkpoint under ``checkpoints`` (a folder in the
+    shared ``spark.checkpoint.dir``).  ``processing_time`` (e.g. "5 seconds")
+    sets a trigger; by default every query runs over what is available now
+    and stops.  Returns the started ``StreamingQuery`` objects; the predictor
+    needs the RocksDB state store (``use_rocksdb``) active when it starts.
+    """
+    from pitwall.streaming.predictor import predict_stream
+
+    def trig(w):
+        return w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+
+    started = []
+    w = bronze(raw).writeStream.format("parquet").option("path", f"{root}/bronze")
+    started.append(trig(w.option("checkpointLocation", f"{checkpoints}/bronze")).start())
+    w = raw.writeStream.foreachBatch(three_way_split(root, roster=roster, route_scope=route_scope))
+    started.append(trig(w.option("checkpointLocation", f"{checkpoints}/split")).start())
+    laps = E.lap_rows(E.normalise(raw, roster=roster, route_scope=route_scope))
+    preds = predict_stream(laps, n=n, cadence=cadence)
+    w = preds.writeStream.outputMode("append").foreachBatch(batch_writer(f"{root}/{PREDICTIONS_TABLE}"))
+    started.append(trig(w.option("checkpointLocation", f"{checkpoints}/predictions")).start())
+    return started

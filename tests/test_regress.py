@@ -3,7 +3,6 @@
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from pitwall.operators import laps as L
 from pitwall.operators import regress

@@ -82,3 +82,26 @@ def test_three_way_split_and_bronze(spark, tmp_dir):
     out = scratch_path(spark, "t-bronze")
     SK.run_available(SK.bronze(C.read_lines(spark, src, stream=True)), scratch_path(spark, "t-bronze-ck"), path=out)
     assert spark.read.parquet(out).count() == 3
+
+
+def test_start_live_equals_batch(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from pitwall.operators import envelope as E
+    from pitwall.operators import regress
+    from pitwall.sources import derived as V
+
+    ev = V.load(spark, "/root/testdata/sf0.001", "events")
+    src = os.path.join(tmp_dir, "feed")
+    C.write_lines(V.feed_messages(ev), src)
+    root, ck = scratch_path(spark, "t-live"), scratch_path(spark, "t-live-ck")
+    raw = C.read_lines(spark, src, stream=True)
+    with SP.use_rocksdb(spark):
+        for q in SK.start_live(raw, root, ck):
+            q.awaitTermination()
+    got = spark.read.parquet(f"{root}/{SK.PREDICTIONS_TABLE}").select("PilotN", "Lap", F.round("prediction", 6).alias("p"))
+    batch_laps = E.lap_rows(E.normalise(V.feed_messages(ev)))
+    want = regress.rolling_predict(batch_laps).select("PilotN", "Lap", F.round("prediction", 6).alias("p"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert spark.read.parquet(f"{root}/{SK.LAPS_TABLE}").count() == batch_laps.count()
+    assert spark.read.parquet(f"{root}/bronze").count() == ev.count()
