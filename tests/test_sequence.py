@@ -84,3 +84,16 @@ def test_rolling_predict_same_for_any_block_size(skewed):
     a = sorted((r.PilotN, r.Lap, r.NextLap, round(r.prediction, 9)) for r in big.select(*key, "prediction").collect())
     b = sorted((r.PilotN, r.Lap, r.NextLap, round(r.prediction, 9)) for r in small.select(*key, "prediction").collect())
     assert a == b and len(a) == laps.count()
+
+
+def test_global_sequence_without_key(skewed):
+    """One huge session: no key at all, still split across tasks."""
+    n = Q.number_rows(skewed, [], ["k", "t", "eid"], "rn", partitions=6, max_key_rows=None)
+    ref = skewed.withColumn("rn", F.row_number().over(Window.orderBy("k", "t", "eid")))
+    assert sorted((r.eid, r.rn) for r in n.select("eid", "rn").collect()) == sorted(
+        (r.eid, r.rn) for r in ref.select("eid", "rn").collect()
+    )
+    lagged = Q.lag_lead(n, [], "rn", {"prev": ("eid", 1)}, block_rows=5)
+    w = Window.orderBy("rn")
+    want = n.select("eid", F.lag("eid", 1).over(w).alias("prev"))
+    assert sorted(map(tuple, lagged.select("eid", "prev").collect())) == sorted(map(tuple, want.collect()))
