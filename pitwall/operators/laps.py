@@ -53,7 +53,7 @@ def parse_lap_messages(records: DataFrame, value: str = "value") -> DataFrame:
     ).where("Lap is not null and Seconds is not null")
 
 
-def lap_buffer(laps: DataFrame, n: int = CURRENT_BUFFER, key: str = "PilotNumber", lap: str = "Lap",
+def lap_buffer(laps: DataFrame, n: int = CURRENT_BUFFER, key: str | list[str] = "PilotNumber", lap: str = "Lap",
                ts: str = TS) -> DataFrame:
     """T1/T2 + U1: each driver's ``n`` highest laps (ties: later first).
 
@@ -61,7 +61,7 @@ def lap_buffer(laps: DataFrame, n: int = CURRENT_BUFFER, key: str = "PilotNumber
     before the shuffle, so each task ships at most ``n`` rows per driver.
     """
     order = [F.col(lap).desc()] + ([F.col(ts).desc()] if ts in laps.columns else [])
-    w = Window.partitionBy(key).orderBy(*order)
+    w = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*order)
     return laps.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 

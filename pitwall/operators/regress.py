@@ -42,18 +42,24 @@ OLDER = {"n": 5, "cadence": 5, "reg": 0.01}
 EARLY_REFIT_BELOW = 6  # refit while next lap < 6
 
 
+def _keys(key) -> list[str]:
+    """A driver key column, or several (e.g. session, driver) -- driver last."""
+    return [key] if isinstance(key, str) else list(key)
+
+
 def ridge_terms(cxy, vx, sy, mx, my, reg: float):
     """A8 closed form from window/group statistics -> (slope, intercept)."""
     slope = F.when((vx > 0) & (sy > 0), cxy / vx / (1 + F.lit(reg) / sy)).otherwise(F.lit(0.0))
     return slope, my - slope * mx
 
 
-def driver_fit(buffer: DataFrame, key: str = "PilotNumber", lap: str = "Lap",
+def driver_fit(buffer: DataFrame, key: str | list[str] = "PilotNumber", lap: str = "Lap",
                y: str = "Seconds", reg: float = CURRENT["reg"]) -> DataFrame:
     """A8 over whatever rows each driver has in ``buffer`` (e.g. the top-10
     buffer): one grouped aggregate, partial-aggregated before the shuffle."""
+    keys = _keys(key)
     x = F.col(lap).cast("double")
-    g = buffer.groupBy(key).agg(
+    g = buffer.groupBy(*keys).agg(
         F.covar_pop(x, F.col(y)).alias("_cxy"),
         F.var_pop(x).alias("_vx"),
         F.stddev_pop(F.col(y)).alias("_sy"),
@@ -64,7 +70,7 @@ def driver_fit(buffer: DataFrame, key: str = "PilotNumber", lap: str = "Lap",
     )
     slope, icpt = ridge_terms(F.col("_cxy"), F.col("_vx"), F.col("_sy"), F.col("_mx"), F.col("_my"), reg)
     return g.select(
-        key,
+        *keys,
         slope.alias("slope"),
         icpt.alias("intercept"),
         (F.col("_maxlap") + 1).alias("NextLap"),
@@ -72,23 +78,25 @@ def driver_fit(buffer: DataFrame, key: str = "PilotNumber", lap: str = "Lap",
     )
 
 
-def score(points: DataFrame, models: DataFrame, key: str = "PilotNumber") -> DataFrame:
-    """J3 + M4: join each (driver, NextLap) to the driver's model and predict."""
-    m = models.select(key, "slope", "intercept")
-    return points.join(m, key, "inner").withColumn(
+def score(points: DataFrame, models: DataFrame, key: str | list[str] = "PilotNumber") -> DataFrame:
+    """J3 + M4: join each (driver, NextLap) to the driver's model and predict
+    (one row per driver on both sides, so the join has no hot key)."""
+    keys = _keys(key)
+    m = models.select(*keys, "slope", "intercept")
+    return points.join(m, keys, "inner").withColumn(
         "prediction", F.col("slope") * F.col("NextLap") + F.col("intercept")
     )
 
 
-def next_lap(laps: DataFrame, key: str = "PilotNumber", lap: str = "Lap") -> DataFrame:
+def next_lap(laps: DataFrame, key: str | list[str] = "PilotNumber", lap: str = "Lap") -> DataFrame:
     """A1: next lap per driver = max(Lap) + 1."""
-    return laps.groupBy(key).agg((F.max(lap) + 1).alias("NextLap"))
+    return laps.groupBy(*_keys(key)).agg((F.max(lap) + 1).alias("NextLap"))
 
 
 def rolling_predict(
     laps: DataFrame,
     *,
-    key: str = "PilotNumber",
+    key: str | list[str] = "PilotNumber",
     lap: str = "Lap",
     y: str = "Seconds",
     ts: str = TS,
@@ -106,21 +114,27 @@ def rolling_predict(
     ``seq`` names a column that already holds a dense 1..k number per driver
     in Lap order (e.g. a Lap made by ``number_rows``); otherwise one is made.
     ``longest`` (laps of the biggest driver) saves a pass when already known.
-    Returns ``PilotN, Lap, NextLap, prediction, slope, intercept, @timestamp``.
+    ``key`` may list several columns (e.g. session, driver; driver last).
+    Returns ``[session keys], PilotN, Lap, NextLap, prediction, slope,
+    intercept, @timestamp``.
     """
-    base = laps.where(F.col(key).isNotNull() & F.col(lap).isNotNull() & F.col(y).isNotNull())
+    keys = _keys(key)
+    base = laps
+    for k in keys:
+        base = base.where(F.col(k).isNotNull())
+    base = base.where(F.col(lap).isNotNull() & F.col(y).isNotNull())
     if seq is None:
         order = [lap] + ([ts] if ts in base.columns else []) + list(tiebreak)
-        numbered, longest = number_rows_sized(base, [key], order, "_rn", max_key_rows=max_key_rows)
+        numbered, longest = number_rows_sized(base, keys, order, "_rn", max_key_rows=max_key_rows)
     else:
         numbered = base.withColumn("_rn", F.col(seq))
         if longest is None:
             longest = longest_sequence(numbered, "_rn")
-    blocked = with_blocks(numbered, [key], "_rn", block_rows, back=n - 1, longest=longest)
-    frame = block_window([key], "_rn").rowsBetween(-(n - 1), 0)
+    blocked = with_blocks(numbered, keys, "_rn", block_rows, back=n - 1, longest=longest)
+    frame = block_window(keys, "_rn").rowsBetween(-(n - 1), 0)
     x = F.col(lap).cast("double")
     stats = blocked.select(
-        key,
+        *keys,
         lap,
         "_rn",
         "_blk",
@@ -139,9 +153,10 @@ def rolling_predict(
     fitted = stats.withColumn("NextLap", nxt.cast("int")).withColumn(
         "_model", F.when(refit, F.struct(slope.alias("s"), icpt.alias("i")))
     )
-    carried = carry_forward(fitted, [key], "_rn", "_model", "_use", single_block=longest <= block_rows)
+    carried = carry_forward(fitted, keys, "_rn", "_model", "_use", single_block=longest <= block_rows)
     return carried.select(
-        F.col(key).alias("PilotN"),
+        *keys[:-1],
+        F.col(keys[-1]).alias("PilotN"),
         F.col(lap).alias("Lap"),
         "NextLap",
         (F.col("_use.s") * F.col("NextLap") + F.col("_use.i")).alias("prediction"),

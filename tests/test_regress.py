@@ -78,3 +78,17 @@ def test_score_join(spark):
     pts = spark.createDataFrame([(1, 11), (2, 5)], "PilotNumber int, NextLap int")
     out = regress.score(pts, models).collect()
     assert [(r.PilotNumber, r.prediction) for r in out] == [(1, 75.5)]
+
+
+def test_session_and_driver_keys(spark):
+    rows = [(s, 1, lap, 80.0 + s + lap * 0.25 + (lap % 3)) for s in (1, 2) for lap in range(1, 13)]
+    df = spark.createDataFrame(rows, "session int, PilotNumber int, Lap int, Seconds double")
+    two = regress.rolling_predict(df, key=["session", "PilotNumber"], ts="none")
+    assert two.columns[:2] == ["session", "PilotN"] and two.count() == 24
+    for s in (1, 2):
+        one = regress.rolling_predict(df.where(f"session = {s}"), ts="none")
+        a = sorted((r.Lap, round(r.prediction, 9)) for r in one.collect())
+        b = sorted((r.Lap, round(r.prediction, 9)) for r in two.where(f"session = {s}").collect())
+        assert a == b
+    fit = regress.driver_fit(L.lap_buffer(df, 10, key=["session", "PilotNumber"]), key=["session", "PilotNumber"])
+    assert fit.count() == 2
