@@ -65,14 +65,17 @@ def closed_form(laps: np.ndarray, secs: np.ndarray, reg: float) -> tuple[float,
 
 
 class RollingPredictor(StatefulProcessor):
-    def __init__(self, n: int = 10, cadence: int = 2, reg: float = 0.01, early_below: int = 6):
+    def __init__(self, n: int = 10, cadence: int = 2, reg: float = 0.01, early_below: int = 6,
+                 session_keys: tuple[str, ...] = ()):
         self.n, self.cadence, self.reg, self.early_below = n, cadence, reg, early_below
+        self.columns = [*session_keys, *[f.name for f in OUTPUT_SCHEMA.fields]]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.buffer = handle.getListState("buffer", BUFFER_SCHEMA)
         self.model = handle.getValueState("model", MODEL_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # key = (session keys..., driver); the driver is the last key column
         batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.sort_values([EVENT_TIME, "Lap"], kind="mergesort", na_position="first")
         buf = [(int(lap), float(sec)) for lap, sec in self.buffer.get()] if self.buffer.exists() else []
@@ -86,31 +89,35 @@ class RollingPredictor(StatefulProcessor):
             if model is None or nxt % self.cadence == 0 or nxt < self.early_below:
                 arr = np.array(buf, dtype=float)
                 model = closed_form(arr[:, 0], arr[:, 1], self.reg)
-            out.append((int(key[0]), int(lap), int(nxt), model[0] * nxt + model[1], model[0], model[1], ts))
+            out.append((*key[:-1], int(key[-1]), int(lap), int(nxt), model[0] * nxt + model[1], model[0], model[1], ts))
         self.buffer.put(buf)
         self.model.update(tuple(model))
-        yield pd.DataFrame(out, columns=[f.name for f in OUTPUT_SCHEMA.fields])
+        yield pd.DataFrame(out, columns=self.columns)
 
     def close(self) -> None:
         pass
 
 
-def predict_stream(laps, key: str = "PilotNumber", n: int = 10, cadence: int = 2, reg: float = 0.01):
+def predict_stream(laps, key: str | list[str] = "PilotNumber", n: int = 10, cadence: int = 2, reg: float = 0.01):
     """ST1-ST6: streaming laps (PilotNumber, Lap, Seconds, @timestamp) ->
-    one prediction row per lap.  The session must use the RocksDB state store
-    (see :func:`use_rocksdb`)."""
+    one prediction row per lap.  ``key`` may list (session, driver) columns,
+    driver last.  The session must use the RocksDB state store (see
+    :func:`use_rocksdb`)."""
     from pyspark import cloudpickle
 
     import pitwall.streaming.predictor as me
 
     # Workers need the processor class but not the package on their path.
     cloudpickle.register_pickle_by_value(me)
-    cols = laps.select(key, "Lap", "Seconds", laps[TS].alias(EVENT_TIME)).where(
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = laps.select(*keys, "Lap", "Seconds", laps[TS].alias(EVENT_TIME)).where(
         "Lap is not null and Seconds is not null"
     )
-    out = cols.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=RollingPredictor(n=n, cadence=cadence, reg=reg),
-        outputStructType=OUTPUT_SCHEMA,
+    session_fields = [cols.schema[k] for k in keys[:-1]]
+    schema = StructType([*session_fields, *OUTPUT_SCHEMA.fields])
+    out = cols.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=RollingPredictor(n=n, cadence=cadence, reg=reg, session_keys=tuple(keys[:-1])),
+        outputStructType=schema,
         outputMode="Append",
         timeMode="None",
     )

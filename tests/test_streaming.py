@@ -105,3 +105,25 @@ def test_start_live_equals_batch(spark, tmp_dir):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert spark.read.parquet(f"{root}/{SK.LAPS_TABLE}").count() == batch_laps.count()
     assert spark.read.parquet(f"{root}/bronze").count() == ev.count()
+
+
+def test_predictor_with_session_key(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "s")
+    os.makedirs(src)
+    lines = [json.dumps({"session": s, "TimingData": {"PilotNumber": 4, "NumberOfLaps": lap, "LastLapTime": {"Value": 80.0 + s * lap}},
+                         "@timestamp": f"2024-01-01T00:{lap:02d}:00Z"}) for s in (1, 2) for lap in range(1, 8)]
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    from pyspark.sql import functions as F
+
+    raw = C.read_lines(spark, src, stream=True)
+    laps = parse_lap_messages(raw.withColumn("session", F.get_json_object("value", "$.session").cast("int")))
+    out = scratch_path(spark, "t-sess")
+    with SP.use_rocksdb(spark):
+        SK.run_available(SP.predict_stream(laps, key=["session", "PilotNumber"]), scratch_path(spark, "t-sess-ck"),
+                         fn=SK.batch_writer(out))
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 14 and {r.session for r in rows} == {1, 2}
+    # each session is its own sequence: the prediction follows its own slope
+    last = {r.session: r.prediction for r in rows if r.Lap == 7}
+    assert last[2] > last[1]
