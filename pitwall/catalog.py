@@ -277,6 +277,13 @@ def interarrival_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("event_id", "PilotNumber", _r4("delta").alias("delta"))
 
 
+def interarrival_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 over the whole feed as one session (one capture file = one session):
+    no key, so above a million rows the sequence is range-split across tasks."""
+    d = P.interarrival(_messages(spark, sf_dir), [], TS, order=[TS, "event_id"])
+    return d.select("event_id", _r4("delta").alias("delta"))
+
+
 def bounded_gap_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = P.interarrival(_messages(spark, sf_dir), ["PilotNumber"], TS, order=[TS, "event_id"])
     return P.bounded_gap_filter(d, FIXTURE_MAX_DELTA).select("event_id", "PilotNumber", _r4("delta").alias("delta"))
@@ -494,6 +501,7 @@ QUERIES: dict[str, Query] = {
     "literal_payload_parse": literal_payload_parse,
     "interarrival_gap": interarrival_gap,
     "interarrival_clock": interarrival_clock,
+    "interarrival_global": interarrival_global,
     "bounded_gap_filter": bounded_gap_filter,
     "replay_schedule": replay_schedule,
     "pace_trace": pace_trace,

@@ -254,4 +254,6 @@ UNION ALL SELECT event_id, 1, 'empty', 0.001, true FROM events WHERE event_type
     "stream_live_system": f"""WITH {LAPS}, {FLAPS},
 {rolling('flaps')}
 SELECT PilotNumber, NextLap, round(prediction, 4) AS prediction FROM pred""",
+    "interarrival_global": f"""WITH m AS (SELECT event_id, ts, {MS} AS t FROM events)
+SELECT event_id, round((t - lag(t) OVER (ORDER BY ts, event_id)) / 1000.0, 4) AS delta FROM m""",
 }
