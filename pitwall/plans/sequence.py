@@ -198,9 +198,11 @@ def carry_forward(
     """
     keys = list(keys)
     upto = block_window(keys, rn).rowsBetween(Window.unboundedPreceding, 0)
-    inner = df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
     if single_block:
-        return inner
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
+    # The rows are read twice (in-block scan and block summary); write them
+    # once so the upstream plan is not run twice.
+    inner = materialize(df).withColumn(out, F.last(value, ignorenulls=True).over(upto))
     ck = [f"_ck{i}" for i in range(len(keys))]
     summary = inner.groupBy(*keys, BLK).agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(rn))).alias("_blast")
