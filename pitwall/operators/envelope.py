@@ -133,9 +133,7 @@ def normalise(raw: DataFrame, col: str = "value", roster: DataFrame | None = Non
     lines = fan_out(classify(raw, col), route_scope=route_scope, gate=gate)
     if roster is None:
         return lines
-    drivers = lines.where(F.col("route") != "weather")
-    kept = roster_semi_join(drivers, roster)
-    return kept.unionByName(lines.where(F.col("route") == "weather"))
+    return roster_semi_join(lines, roster, keep=F.col("route") == "weather").select(*lines.columns)
 
 
 def msg_timestamp(col: str = "msg_time") -> F.Column:

@@ -25,12 +25,17 @@ def bounded_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
 ROSTER_BROADCAST_ROWS = 100_000
 
 
-def roster_semi_join(lines: DataFrame, roster: DataFrame, key: str = "PilotNumber") -> DataFrame:
+def roster_semi_join(lines: DataFrame, roster: DataFrame, key: str = "PilotNumber", keep=None) -> DataFrame:
     """Keep lines whose driver is in the roster (equi semi-join).
 
-    A roster from ``roster_numbers`` has at most 20 rows; any other roster is
+    ``keep`` (a boolean column) also keeps rows that need no driver, e.g.
+    weather, in the same pass (a left join with a membership flag).  A
+    roster from ``roster_numbers`` has at most 20 rows; any other roster is
     counted first and broadcast only when small.  In streaming this is a
     stream-static join.
     """
     r = roster.select(F.col("pilot").alias(key)).distinct()
-    return lines.join(bounded_broadcast(r, ROSTER_BROADCAST_ROWS), key, "left_semi")
+    if keep is None:
+        return lines.join(bounded_broadcast(r, ROSTER_BROADCAST_ROWS), key, "left_semi")
+    flagged = bounded_broadcast(r.withColumn("_member", F.lit(True)), ROSTER_BROADCAST_ROWS)
+    return lines.join(flagged, key, "left").where(F.col("_member") | keep).drop("_member")
