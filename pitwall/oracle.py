@@ -199,7 +199,7 @@ SELECT pilot_bucket, round(gp, 4) AS gap_to_previous, round(gl, 4) AS gap_to_lea
 FROM {last_rows('b', 'pilot_bucket', 'ts DESC, event_id DESC')}""",
     "weather_latest": f"""WITH w AS (
   SELECT value AS AirTemp, value + 10 AS TrackTemp, {K} / 10.0 AS WindSpeed,
-         CASE WHEN {K} >= 50 THEN 1.0 ELSE 0.0 END AS Rainfall, CAST({K} AS DOUBLE) AS Humidity, ts, event_id
+         CAST(CASE WHEN {K} >= 50 THEN 1 ELSE 0 END AS DOUBLE) AS Rainfall, CAST({K} AS DOUBLE) AS Humidity, ts, event_id
   FROM events WHERE event_type = 'error'),
 top AS (SELECT * FROM w ORDER BY ts DESC, event_id DESC LIMIT 1)
 SELECT round(top.AirTemp, 4) AS AirTemp, round(top.TrackTemp, 4) AS TrackTemp, round(top.WindSpeed, 4) AS WindSpeed,
@@ -225,7 +225,7 @@ FROM events WHERE event_type = 'purchase'
 UNION ALL
 SELECT 'others', {MS}, NULL, NULL, NULL, NULL, NULL, CAST({K} * 3 AS DOUBLE),
        NULL, NULL, NULL, NULL, round(value, 4), round(CAST({K} AS DOUBLE), 4), round(1000 + {K} / 10.0, 4),
-       CASE WHEN {K} >= 50 THEN 1.0 ELSE 0.0 END, round(value + 10, 4), round({K} / 10.0, 4)
+       CAST(CASE WHEN {K} >= 50 THEN 1 ELSE 0 END AS DOUBLE), round(value + 10, 4), round({K} / 10.0, 4)
 FROM events WHERE event_type = 'error'""",
     "keyed_json_sink": f"""WITH {LAPS}, {FLAPS}
 SELECT 'info' AS key, PilotNumber, Lap, round(Seconds, 4) AS Seconds, {MS} AS ts_ms FROM flaps""",
@@ -249,8 +249,8 @@ SELECT PilotNumber, round(max_by(Seconds, ts), 4) AS seconds, max(Lap) AS Lap FR
     + """
 SELECT event_id, 0 AS part, 'feed' AS kind, round(delta, 4) AS delta, coalesce(delta > 0 AND delta <= 7200, false) AS sent
 FROM d
-UNION ALL SELECT event_id, 1, 'recap', 0.001, true FROM events WHERE event_type = 'signup'
-UNION ALL SELECT event_id, 1, 'empty', 0.001, true FROM events WHERE event_type IN ('purchase', 'error')""",
+UNION ALL SELECT event_id, 1, 'recap', CAST(0.001 AS DOUBLE), true FROM events WHERE event_type = 'signup'
+UNION ALL SELECT event_id, 1, 'empty', CAST(0.001 AS DOUBLE), true FROM events WHERE event_type IN ('purchase', 'error')""",
     "stream_live_system": f"""WITH {LAPS}, {FLAPS},
 {rolling('flaps')}
 SELECT PilotNumber, NextLap, round(prediction, 4) AS prediction FROM pred""",
