@@ -21,9 +21,15 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     assert all(name.startswith("stream_") for name in rows_only), rows_only
 
 
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, name):
-    got = entry.queries()[name](spark, SF).toPandas()
-    want = duck(SF).sql(entry.oracle_sql()[name]).df()
-    err = compare(got, want)
+    df = entry.queries()[name](spark, SF)
+    rel = duck(SF).sql(entry.oracle_sql()[name])
+    spark_types = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    err = compare(df.toPandas(), rel.df())
     assert err is None, err
