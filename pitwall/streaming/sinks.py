@@ -147,3 +147,21 @@ def start_live(
     w = preds.writeStream.outputMode("append").foreachBatch(batch_writer(f"{root}/{PREDICTIONS_TABLE}"))
     started.append(trig(w.option("checkpointLocation", f"{checkpoints}/predictions")).start())
     return started
+
+
+def read_collections(spark, root: str) -> dict[str, DataFrame]:
+    """The collections written under ``root`` by :func:`three_way_split` /
+    :func:`start_live`, ready for the dashboard queries (D1-D6, U2):
+    ``laps``, ``gaps``, ``weather`` and, when present, ``predictions``."""
+    from pyspark.errors import AnalysisException
+
+    out = {
+        "laps": spark.read.parquet(f"{root}/{LAPS_TABLE}"),
+        "gaps": spark.read.parquet(f"{root}/{GAPS_TABLE}"),
+        "weather": spark.read.parquet(f"{root}/{WEATHER_TABLE}"),
+    }
+    try:
+        out["predictions"] = spark.read.parquet(f"{root}/{PREDICTIONS_TABLE}")
+    except AnalysisException:  # no predictor wrote under this root
+        pass
+    return out

@@ -127,3 +127,26 @@ def test_predictor_with_session_key(spark, tmp_dir):
     # each session is its own sequence: the prediction follows its own slope
     last = {r.session: r.prediction for r in rows if r.Lap == 7}
     assert last[2] > last[1]
+
+
+def test_dashboards_over_live_collections(spark, tmp_dir):
+    from pitwall.operators import dashboard as D
+    from pitwall.sources import derived as V
+
+    ev = V.load(spark, "/root/testdata/sf0.001", "events")
+    src = os.path.join(tmp_dir, "feed")
+    C.write_lines(V.feed_messages(ev), src)
+    root, ck = scratch_path(spark, "t-dash"), scratch_path(spark, "t-dash-ck")
+    with SP.use_rocksdb(spark):
+        for q in SK.start_live(C.read_lines(spark, src, stream=True), root, ck):
+            q.awaitTermination()
+    col = SK.read_collections(spark, root)
+    n_laps = ev.where("event_type in ('click', 'view')").count()
+    assert D.pace_trace(col["laps"]).count() == n_laps
+    assert D.race_lap(col["laps"]).first().race_lap is not None
+    assert D.race_pace_table(col["laps"]).count() > 0
+    assert D.prediction_table(col["predictions"]).count() > 0
+    assert D.gap_bars(col["gaps"]).count() > 0
+    assert D.weather_latest(col["weather"]).first().AirTemp is not None
+    u = D.unified_view(col["laps"], col["predictions"], col["gaps"], col["weather"])
+    assert u.count() == 2 * n_laps + ev.where("event_type in ('purchase', 'error')").count()
