@@ -319,9 +319,12 @@ def race_lap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.race_lap(_feed_laps(spark, sf_dir))
 
 
-def _feed_predictions(spark, sf_dir, laps=None):
+def _feed_predictions(spark, sf_dir, laps=None, reused: bool = True):
+    """Predictions over the feed laps; written once when several actions
+    (interval aggregate, final query) read them."""
     laps = laps if laps is not None else _feed_laps(spark, sf_dir)
-    return materialize(regress.rolling_predict(laps, tiebreak=("event_id",)))
+    pred = regress.rolling_predict(laps, tiebreak=("event_id",))
+    return materialize(pred) if reused else pred
 
 
 def prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,7 +352,7 @@ def unified_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     laps = E.lap_rows(lines).select("PilotNumber", "Lap", "Seconds", TS, "event_id")
     v = D.unified_view(
         laps=laps,
-        predictions=_feed_predictions(spark, sf_dir, laps),
+        predictions=_feed_predictions(spark, sf_dir, laps, reused=False),
         gaps=E.gap_rows(lines),
         weather=E.weather_rows(lines),
     )

@@ -105,3 +105,34 @@ def test_unknown_fields_survive(spark):
     msg = LAP_MSG.replace('"NumberOfLaps":7', '"NumberOfLaps":7,"Sectors":[1,2]')
     line = E.normalise(_raw(spark, [msg])).first().line_json
     assert '"Sectors":[1,2]' in line
+
+
+def test_route_is_a_function(spark):
+    """Property: every driver line of a message gets exactly one route, and a
+    weather message exactly one row (random envelopes)."""
+    import random
+
+    rnd = random.Random(5)
+    fields = [
+        '"NumberOfLaps":%d' % rnd.randint(1, 70),
+        '"LastLapTime":{"Value":"1:%02d.%03d"}' % (rnd.randint(0, 59), rnd.randint(0, 999)),
+        '"GapToLeader":"+%d.%d"' % (rnd.randint(0, 60), rnd.randint(0, 9)),
+        '"Position":"%d"' % rnd.randint(1, 20),
+    ]
+    msgs, expected = [], 0
+    for i in range(300):
+        if rnd.random() < 0.2:
+            msgs.append('{"M":[{"A":["WeatherData",{"AirTemp":"%d"},"2023-05-28T13:03:%02d.000Z"]}]}' % (i % 40, i % 60))
+            expected += 1
+            continue
+        drivers = rnd.sample(range(1, 99), rnd.randint(1, 4))
+        lines = ",".join('"%d":{%s}' % (d, ",".join(rnd.sample(fields, rnd.randint(0, 3)))) for d in drivers)
+        if rnd.random() < 0.2:
+            msgs.append('{"R":{"TimingData":{"Lines":{%s}}}}' % lines)
+        else:
+            msgs.append('{"M":[{"A":["TimingData",{"Lines":{%s}},"2023-05-28T13:03:%02d.000Z"]}]}' % (lines, i % 60))
+        expected += len(drivers)
+    for scope in ("message", "line"):
+        rows = E.normalise(_raw(spark, msgs), route_scope=scope).select("route").collect()
+        assert len(rows) == expected
+        assert {r.route for r in rows} <= {"lap", "gap", "weather", "none"}
