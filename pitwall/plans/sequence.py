@@ -8,9 +8,10 @@ of the job inside one task.  The helpers here give the same results with
 bounded tasks:
 
 ``number_rows``
-    A first, partial-aggregated job measures the largest key.  When every key
-    fits one task (``max_key_rows``) a plain ``row_number()`` window is used.
-    Otherwise: range-partition on (key, order): Spark samples the data to choose the
+    A first, partial-aggregated job measures the largest key and the total.
+    When every key fits one task (``max_key_rows``) a plain ``row_number()``
+    window is used.  Otherwise: range-partition on (key, order) into enough
+    partitions for ~2M rows each: Spark samples the data to choose the
     bounds, so a hot key is cut into several contiguous chunks on different
     tasks.  Rows are sorted inside each partition and tagged with
     (partition id, monotonically increasing id); this layout is cut from its
@@ -56,12 +57,28 @@ DEFAULT_BLOCK_ROWS = 1 << 20
 CHUNK_BROADCAST_ROWS = 2_000_000
 # A key with more rows than this is split across tasks by number_rows.
 SKEW_KEY_ROWS = 1 << 20
+# Rows per range partition on the split path (a few hundred MB of narrow rows).
+RANGE_PARTITION_ROWS = 2_000_000
+
+
+def key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows of the biggest key, all rows) in one job, counted per task first."""
+    r = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return int(r[0] or 0), int(r[1] or 0)
 
 
 def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
     """Row count of the biggest key (one job, aggregated per task first)."""
-    r = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return int(r or 0)
+    return key_sizes(df, keys)[0]
+
+
+def range_partitions(spark, total_rows: int | None) -> int:
+    """Range partitions for the split path: the session's shuffle partitions,
+    or more so that no partition holds more than ``RANGE_PARTITION_ROWS``."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not total_rows:
+        return base
+    return max(base, -(-total_rows // RANGE_PARTITION_ROWS))
 
 
 def longest_sequence(df: DataFrame, rn: str) -> int:
@@ -99,12 +116,13 @@ def number_rows_sized(
     row number), which block windows use to skip halos when every key fits
     one block."""
     keys = list(keys)
+    total = None
     if max_key_rows is not None:
-        largest = largest_key(df, keys)
+        largest, total = key_sizes(df, keys)
         if largest <= max_key_rows:
             return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))), largest
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(spark, total)
     laid = materialize(
         df.repartitionByRange(n, *keys, *order)
         .sortWithinPartitions(*keys, *order)

@@ -97,3 +97,10 @@ def test_global_sequence_without_key(skewed):
     w = Window.orderBy("rn")
     want = n.select("eid", F.lag("eid", 1).over(w).alias("prev"))
     assert sorted(map(tuple, lagged.select("eid", "prev").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_range_partitions_grow_with_the_data(spark):
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert Q.range_partitions(spark, None) == base
+    assert Q.range_partitions(spark, 10) == base
+    assert Q.range_partitions(spark, 100 * Q.RANGE_PARTITION_ROWS + 1) == max(base, 101)
