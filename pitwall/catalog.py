@@ -226,15 +226,11 @@ def concat_json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs.withColumn("_file", F.floor(F.col("event_id") / DOCS_PER_FILE)), path, ["event_id", "part"], "_file"
     )
     msgs = E.classify(C.read_concatenated(spark, path))
-    lines_key = F.coalesce(
-        F.get(F.map_keys(F.col("_env.R.TimingData.Lines")), 0),
-        F.get(F.map_keys(F.from_json(F.col("payload"), E.PAYLOAD_LINES)["Lines"]), 0),
-    )
     # Nullable integers are returned as DOUBLE so both engines print them alike.
     return msgs.select(
         "kind",
         "topic",
-        lines_key.try_cast("int").cast("double").alias("PilotNumber"),
+        E.first_driver().try_cast("int").cast("double").alias("PilotNumber"),
         S.instant_millis(S.iso_to_timestamp(F.col("msg_time"))).cast("double").alias("ts_ms"),
     )
 

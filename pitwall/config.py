@@ -55,6 +55,8 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # duplicate JSON keys: the last one wins, as in the original replayer
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():

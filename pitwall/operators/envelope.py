@@ -1,10 +1,14 @@
 """Feed envelope parsing, fan-out and routing.
 
-A raw line is parsed once with ``from_json`` into ``M[0].A`` (topic, payload,
-time; kept as text because ``A`` is heterogeneous) and ``R.TimingData.Lines``.
-Timing payloads are parsed once more into ``Lines: map<driver, line json>``
-and exploded -- one row per driver line -- and each line is parsed once into
-the known timing fields.  Unknown fields survive in ``line_json``.
+A raw line is parsed once into a VARIANT (``try_parse_json``); topic,
+payload, time and the per-driver ``Lines`` are read from that binary form
+with ``try_variant_get`` -- no level of the message is serialised and parsed
+again.  ``Lines`` is exploded as ``map<driver, variant>`` (one row per driver
+line) and the known timing fields are read from each line; the whole line is
+kept as ``line_json`` text so unknown fields survive (keys come out sorted).
+Malformed text gives null, never a failed job.  Duplicate keys in one object
+make the line unparseable unless ``spark.sql.variant.allowDuplicateKeys`` is
+true, in which case the last occurrence wins, as in the original replayer.
 
 Routing follows the feed replayer:
   * ``WeatherData`` topic                     -> weather (whole payload)
@@ -17,32 +21,12 @@ Everything else is dropped (route ``none``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    MapType,
-    StringType,
-    StructField,
-    StructType,
-)
 
 from pitwall.functions.scalars import contains, lap_text_to_seconds, text_to_double, text_to_int
 from pitwall.plans.joins import ROSTER_MAX, roster_semi_join
-from pitwall.schemas import TIMING_LINE, TS, WEATHER_TEXT
-
-ENVELOPE = StructType(
-    [
-        StructField("M", ArrayType(StructType([StructField("A", ArrayType(StringType()))]))),
-        StructField(
-            "R",
-            StructType(
-                [StructField("TimingData", StructType([StructField("Lines", MapType(StringType(), StringType()))]))]
-            ),
-        ),
-    ]
-)
-PAYLOAD_LINES = StructType([StructField("Lines", MapType(StringType(), StringType()))])
+from pitwall.schemas import TS, WEATHER_TEXT
 
 # Fixed values of the feed format.
 WEATHER_TOPIC = "WeatherData"
@@ -51,30 +35,68 @@ LAP_MARK = "LastLapTime"
 BEST_LAP_MARK = "BestLapTime"
 ROSTER_RENUMBER_FROM = "33"  # roster entry renumbered ...
 ROSTER_RENUMBER_TO = 1  # ... to this car number
+# JSON paths of the envelope
+FEED_ARGS = "$.M[0].A"
+RECAP_LINES = "$.R.TimingData.Lines"
+FEED_LINES = "$.M[0].A[1].Lines"
+
+DOC = "_doc"
+LINES_TYPE = "map<string,variant>"
+
+
+def _get(col, path: str, typ: str = "variant") -> Column:
+    return F.try_variant_get(F.col(col) if isinstance(col, str) else col, path, typ)
+
+
+def _present(v: Column) -> Column:
+    return v.isNotNull() & ~F.is_variant_null(v)
 
 
 def classify(raw: DataFrame, col: str = "value") -> DataFrame:
     """P1-P3 + F8: parse each line once and tag its kind.
 
     kind: ``text`` (no '{', P1), ``recap`` (top-level R), ``feed`` (has
-    M[0]), ``empty`` (heartbeat ``{}``, empty ``M`` or anything else).
+    M[0].A), ``empty`` (heartbeat ``{}``, empty ``M`` or anything else).
+    Adds ``topic``, ``payload`` (text, computed only if used), ``msg_time``
+    and the parsed document ``_doc``.
     """
     v = F.col(col)
-    env = F.when(contains(v, "{"), F.from_json(v, ENVELOPE))
-    parsed = raw.withColumn("_env", env)
-    a = F.get(F.col("_env.M"), 0)["A"]
+    parsed = raw.withColumn(DOC, F.when(contains(v, "{"), F.try_parse_json(v)))
     kind = (
         F.when(~contains(v, "{"), F.lit("text"))
-        .when(F.col("_env.R").isNotNull(), F.lit("recap"))
-        .when(a.isNotNull(), F.lit("feed"))
+        .when(_present(_get(DOC, "$.R")), F.lit("recap"))
+        .when(_present(_get(DOC, FEED_ARGS)), F.lit("feed"))
         .otherwise(F.lit("empty"))
     )
     return parsed.select(
         "*",
         kind.alias("kind"),
-        F.get(a, 0).alias("topic"),
-        F.get(a, 1).alias("payload"),
-        F.get(a, 2).alias("msg_time"),
+        _get(DOC, FEED_ARGS + "[0]", "string").alias("topic"),
+        F.to_json(_get(DOC, FEED_ARGS + "[1]")).alias("payload"),
+        _get(DOC, FEED_ARGS + "[2]", "string").alias("msg_time"),
+    )
+
+
+def first_driver(doc: str = DOC) -> Column:
+    """Driver key of the first line of a feed or recap document."""
+    return F.coalesce(
+        F.get(F.map_keys(_get(doc, RECAP_LINES, LINES_TYPE)), 0),
+        F.get(F.map_keys(_get(doc, FEED_LINES, LINES_TYPE)), 0),
+    )
+
+
+def _line_fields(line: Column) -> Column:
+    """The timing fields the engine reads (E4), as text."""
+
+    def s(path):
+        return F.try_variant_get(line, path, "string")
+
+    return F.struct(
+        s("$.NumberOfLaps").alias("NumberOfLaps"),
+        F.struct(s("$.LastLapTime.Value").alias("Value")).alias("LastLapTime"),
+        s("$.GapToLeader").alias("GapToLeader"),
+        F.struct(s("$.IntervalToPositionAhead.Value").alias("Value")).alias("IntervalToPositionAhead"),
+        F.struct(s("$.BestLapTime.Value").alias("Value")).alias("BestLapTime"),
     )
 
 
@@ -96,17 +118,19 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
     elif gate is not None:
         raise ValueError("gate is None or 'best_lap'")
     is_weather = (F.col("kind") == "feed") & (F.col("topic") == WEATHER_TOPIC)
-    lines_map = F.when(F.col("kind") == "recap", F.col("_env.R.TimingData.Lines")).otherwise(
-        F.when(~is_weather, F.from_json(F.col("payload"), PAYLOAD_LINES)["Lines"])
+    lines_map = F.when(F.col("kind") == "recap", _get(DOC, RECAP_LINES, LINES_TYPE)).otherwise(
+        F.when(~is_weather, _get(DOC, FEED_LINES, LINES_TYPE))
     )
     # Weather keeps a single placeholder entry so explode emits one row.
-    entries = F.when(is_weather, F.map_from_arrays(F.array(F.lit("")), F.array(F.col("payload"))))
+    entries = F.when(is_weather, F.map_from_arrays(F.array(F.lit("")), F.array(_get(DOC, FEED_ARGS + "[1]"))))
+    # message scope: the original searches the text of the whole M[0] payload
+    msg_gap = (F.col("kind") == "feed") & contains(F.col("payload"), GAP_MARK) if route_scope == "message" else F.lit(False)
     exploded = m.select(
         "*",
         is_weather.alias("_weather"),
-        contains(F.col("payload"), GAP_MARK).alias("_msg_gap"),
-        F.explode(F.coalesce(entries, lines_map)).alias("_key", "line_json"),
-    ).withColumn("driver", F.when(~F.col("_weather"), F.col("_key")))
+        msg_gap.alias("_msg_gap"),
+        F.explode(F.coalesce(entries, lines_map)).alias("_key", "_line"),
+    ).withColumn("line_json", F.to_json("_line"))
     line_gap = contains(F.col("line_json"), GAP_MARK)
     gap = F.col("_msg_gap") if route_scope == "message" else line_gap
     route = (
@@ -116,13 +140,14 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
         .when(contains(F.col("line_json"), LAP_MARK), F.lit("lap"))
         .otherwise(F.lit("none"))
     )
-    derived = {"_env", "driver", "PilotNumber", "line_json", "line", "route"}
+    derived = {DOC, "payload", "driver", "PilotNumber", "line_json", "line", "route"}
+    driver = F.when(~F.col("_weather"), F.col("_key"))
     return exploded.select(
         *[c for c in messages.columns if c not in derived],
-        "driver",
-        F.col("driver").try_cast("int").alias("PilotNumber"),
+        driver.alias("driver"),
+        driver.try_cast("int").alias("PilotNumber"),
         "line_json",
-        F.when(~F.col("_weather"), F.from_json(F.col("line_json"), TIMING_LINE)).alias("line"),
+        F.when(~F.col("_weather"), _line_fields(F.col("_line"))).alias("line"),
         route.alias("route"),
     )
 
