@@ -67,9 +67,14 @@ def bucket(col: str | Column, interval: int) -> Column:
 
 def last_value(v: str | Column, ts: str = TS, tiebreak: Sequence[str] = ()) -> Column:
     """A3: value of the latest row by ``ts`` (then tiebreak) among rows where
-    the value exists."""
+    the value exists.  Without a tiebreak the ordering is the timestamp's
+    epoch microseconds (a LONG), which keeps the aggregate hash-based; with
+    one it is a struct (sort-based aggregate)."""
     c = F.col(v) if isinstance(v, str) else v
-    order = F.struct(F.col(ts), *[F.col(t) for t in tiebreak])
+    if tiebreak:
+        order = F.struct(F.col(ts), *[F.col(t) for t in tiebreak])
+    else:
+        order = F.unix_micros(F.col(ts).cast("timestamp"))
     return F.max_by(c, F.when(c.isNotNull(), order))
 
 
