@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.functions.scalars import brace_balance
+from pitwall.operators.laps import TOPIC
 
 SEPARATOR = "}{"
 
@@ -70,7 +71,7 @@ def read_roster(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
-def bus_stream(spark: SparkSession, servers: str, topic: str = "LiveTimingData", starting: str = "latest",
+def bus_stream(spark: SparkSession, servers: str, topic: str = TOPIC, starting: str = "latest",
                max_offsets: int = 10, **options: str) -> DataFrame:
     """S1/S2 + ST2: message-bus stream (``value`` bytes), admission-limited.
 

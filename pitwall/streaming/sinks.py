@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pitwall.operators import envelope as E
 from pitwall.operators.dashboard import last_value
-from pitwall.operators.laps import keyed_records, lap_messages
+from pitwall.operators.laps import TOPIC, keyed_records, lap_messages
 
 # Fixed values of the collections.
 LAPS_TABLE = "lastlaptimes"
@@ -78,7 +78,7 @@ def bus_records(laps: DataFrame) -> DataFrame:
     return keyed_records(lap_messages(laps))
 
 
-def write_bus(records: DataFrame, servers: str, checkpoint: str, topic: str = "LiveTimingData", **options: str):
+def write_bus(records: DataFrame, servers: str, checkpoint: str, topic: str = TOPIC, **options: str):
     """Stream bus records to the message bus (needs the Kafka connector)."""
     w = (
         records.writeStream.format("kafka")

@@ -136,3 +136,24 @@ def test_route_is_a_function(spark):
         rows = E.normalise(_raw(spark, msgs), route_scope=scope).select("route").collect()
         assert len(rows) == expected
         assert {r.route for r in rows} <= {"lap", "gap", "weather", "none"}
+
+
+def test_typed_outputs_follow_the_data_model(spark):
+    from pyspark.sql import functions as F
+
+    from pitwall import schemas
+    from pitwall.operators import regress
+    from pitwall.operators.laps import pace_order
+
+    lines = E.normalise(_raw(spark, [LAP_MSG, WEATHER_MSG, MIXED_MSG]))
+    line_type = lines.schema["line"].dataType
+    assert [f.name for f in line_type.fields] == [f.name for f in schemas.TIMING_LINE.fields]
+    laps = E.lap_rows(lines)
+    assert [(f.name, f.dataType) for f in laps.schema.fields] == [(f.name, f.dataType) for f in schemas.LAP.fields]
+    assert E.gap_rows(lines).schema.simpleString() == schemas.GAPS.simpleString()
+    assert E.weather_rows(lines).schema.simpleString() == schemas.WEATHER.simpleString()
+    pred = regress.rolling_predict(laps).select("PilotN", "NextLap", "prediction", schemas.TS)
+    assert [(f.name, f.dataType) for f in pred.schema.fields] == [(f.name, f.dataType) for f in schemas.PREDICTION.fields]
+    assert [(f.name, f.dataType) for f in schemas.PREDICTION_INPUT.fields][0][0] == "PilotN"
+    ordered = pace_order(laps.withColumn("Seconds", F.col("Seconds"))).collect()
+    assert [r.PilotNumber for r in ordered] == [16]
