@@ -41,6 +41,7 @@ RECAP_LINES = "$.R.TimingData.Lines"
 FEED_LINES = "$.M[0].A[1].Lines"
 
 DOC = "_doc"
+GAP_TEXT = "_gap_text"  # raw line mentions GapToLeader (cheap pre-check)
 LINES_TYPE = "map<string,variant>"
 
 
@@ -74,6 +75,7 @@ def classify(raw: DataFrame, col: str = "value") -> DataFrame:
         _get(DOC, FEED_ARGS + "[0]", "string").alias("topic"),
         F.to_json(_get(DOC, FEED_ARGS + "[1]")).alias("payload"),
         _get(DOC, FEED_ARGS + "[2]", "string").alias("msg_time"),
+        contains(v, GAP_MARK).alias(GAP_TEXT),
     )
 
 
@@ -123,13 +125,22 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
     )
     # Weather keeps a single placeholder entry so explode emits one row.
     entries = F.when(is_weather, F.map_from_arrays(F.array(F.lit("")), F.array(_get(DOC, FEED_ARGS + "[1]"))))
-    # message scope: the original searches the text of the whole M[0] payload
-    msg_gap = (F.col("kind") == "feed") & contains(F.col("payload"), GAP_MARK) if route_scope == "message" else F.lit(False)
-    exploded = m.select(
-        "*",
+    # message scope: the original searches the text of the whole M[0] payload;
+    # the payload is only serialised when the raw line mentions the mark at all
+    msg_gap = (
+        (F.col("kind") == "feed") & F.col(GAP_TEXT) & contains(F.col("payload"), GAP_MARK)
+        if route_scope == "message"
+        else F.lit(False)
+    )
+    # ``payload`` is not carried past this projection, so its text is built
+    # only where the short-circuiting gap test needs it.
+    flagged = m.select(
+        *[c for c in m.columns if c != "payload"],
         is_weather.alias("_weather"),
         msg_gap.alias("_msg_gap"),
-        F.explode(F.coalesce(entries, lines_map)).alias("_key", "_line"),
+    )
+    exploded = flagged.select(
+        "*", F.explode(F.coalesce(entries, lines_map)).alias("_key", "_line")
     ).withColumn("line_json", F.to_json("_line"))
     line_gap = contains(F.col("line_json"), GAP_MARK)
     gap = F.col("_msg_gap") if route_scope == "message" else line_gap
@@ -140,7 +151,7 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
         .when(contains(F.col("line_json"), LAP_MARK), F.lit("lap"))
         .otherwise(F.lit("none"))
     )
-    derived = {DOC, "payload", "driver", "PilotNumber", "line_json", "line", "route"}
+    derived = {DOC, GAP_TEXT, "payload", "driver", "PilotNumber", "line_json", "line", "route"}
     driver = F.when(~F.col("_weather"), F.col("_key"))
     return exploded.select(
         *[c for c in messages.columns if c not in derived],
