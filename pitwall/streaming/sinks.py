@@ -131,6 +131,8 @@ def start_live(
     sets a trigger; by default every query runs over what is available now
     and stops.  Returns the started ``StreamingQuery`` objects; the predictor
     needs the RocksDB state store (``use_rocksdb``) active when it starts.
+    Bound each micro-batch on the source (``maxOffsetsPerTrigger`` /
+    ``maxFilesPerTrigger``): one driver's rows of a batch meet in one task.
     """
     from pitwall.streaming.predictor import predict_stream
 
