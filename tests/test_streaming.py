@@ -150,3 +150,21 @@ def test_dashboards_over_live_collections(spark, tmp_dir):
     assert D.weather_latest(col["weather"]).first().AirTemp is not None
     u = D.unified_view(col["laps"], col["predictions"], col["gaps"], col["weather"])
     assert u.count() == 2 * n_laps + ev.where("event_type in ('purchase', 'error')").count()
+
+
+def test_command_line_live_and_dashboards(spark, tmp_dir):
+    from pitwall import __main__ as cli
+    from pitwall.sources import derived as V
+
+    ev = V.load(spark, "/root/testdata/sf0.001", "events")
+    feed = os.path.join(tmp_dir, "feed")
+    from pyspark.sql import functions as F
+
+    files = V.feed_messages(ev).withColumn("f", F.floor(F.col("event_id") / 300))
+    C.write_concatenated(files, feed, ["event_id"], "f")
+    out = scratch_path(spark, "t-cli")
+    cli.live(spark, feed, out, concatenated=True)
+    panels = cli.dashboards(spark, out)
+    assert set(panels) == {"pace_trace", "race_pace_table", "race_lap", "gap_bars", "weather_latest", "prediction_table"}
+    assert panels["race_lap"].first().race_lap is not None
+    assert panels["pace_trace"].count() == ev.where("event_type in ('click', 'view')").count()
