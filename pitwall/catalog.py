@@ -377,19 +377,20 @@ def lap_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming (ST1-ST8 S5 S7-S10) -------------------------------------------
 
-# Lap files are written in event-time waves, one write each, so the file
-# stream (oldest files first) sees each driver's laps in order.  The number
-# of waves grows with the data so one wave (and a hot driver's share of it,
-# which one task writes) stays bounded.
+# Replayed streams arrive in event-time waves, each processed before the
+# next is written.  The number of waves grows with the data so one wave (and
+# a hot driver's share of it, which one task writes) stays bounded.
 MIN_STREAM_WAVES = 4
 WAVE_ROWS = 5_000_000
 FILES_PER_TRIGGER = 8
 
 
-def _wave_files(msgs: DataFrame, path: str, ts: str = TS) -> str:
-    """Write ``value`` lines as text files in event-time waves (one write per
-    wave, so file times follow event time); each file holds whole drivers of
-    its wave."""
+def _in_waves(msgs: DataFrame, path: str, run, ts: str = TS) -> None:
+    """Replay ``value`` lines into ``path`` in event-time waves: each wave is
+    written (each file holding whole drivers of the wave) and then processed
+    by ``run()`` -- an ``availableNow`` run on the same checkpoint -- before
+    the next wave is written.  Order never depends on file times, and every
+    run after the first restarts the query from its checkpoint and state."""
     msgs = materialize(msgs.select("PilotNumber", ts, "value"))
     lo, hi, rows = msgs.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
     waves = max(MIN_STREAM_WAVES, -(-rows // WAVE_ROWS))
@@ -399,38 +400,41 @@ def _wave_files(msgs: DataFrame, path: str, ts: str = TS) -> str:
         if i < waves - 1:
             wave = wave.where(F.col(ts) < F.lit(lo + step * (i + 1)))
         wave.repartition("PilotNumber").select("value").write.mode("append").text(path)
-    return path
+        run()
 
 
-def _lap_stream_source(spark: SparkSession, sf_dir: str) -> str:
-    """Bus lap messages of every event, written in event-time waves."""
-    laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
-    return _wave_files(L.lap_messages(laps), scratch_path(spark, "lap-stream"))
+def _lap_messages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bus lap messages of every event."""
+    return L.lap_messages(V.laps_from_events(None, numbered=_numbered(spark, sf_dir)))
 
 
 def stream_rolling_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1-ST6 + S7: file stream of bus lap messages -> keyed-state predictor
     -> per-batch prediction table; equals the batch flagship."""
-    src = _lap_stream_source(spark, sf_dir)
-    out = scratch_path(spark, "predictions")
-    laps = L.parse_lap_messages(C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER))
-    with SP.use_rocksdb(spark):
-        SK.run_available(SP.predict_stream(laps), scratch_path(spark, "predictions-ckpt"), fn=SK.batch_writer(out))
+    src, out, ck = (scratch_path(spark, n) for n in ("lap-stream", "predictions", "predictions-ckpt"))
+
+    def run():
+        laps = L.parse_lap_messages(C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER))
+        with SP.use_rocksdb(spark):
+            SK.run_available(SP.predict_stream(laps), ck, fn=SK.batch_writer(out))
+
+    _in_waves(_lap_messages_of(spark, sf_dir), src, run)
     res = spark.read.parquet(out)
     return res.select(F.col("PilotN").alias("PilotNumber"), "NextLap", _r4("prediction").alias("prediction"))
 
 
 def stream_latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST7: continuously updated last lap time per driver (complete mode)."""
-    src = _lap_stream_source(spark, sf_dir)
-    out = scratch_path(spark, "latest")
-    laps = L.parse_lap_messages(C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER))
+    src, out, ck = (scratch_path(spark, n) for n in ("lap-stream", "latest", "latest-ckpt"))
 
     def snapshot(df, batch_id):
         df.write.mode("overwrite").parquet(out)
 
-    SK.run_available(SK.latest_per_driver(laps), scratch_path(spark, "latest-ckpt"), fn=snapshot,
-                     output_mode="complete")
+    def run():
+        laps = L.parse_lap_messages(C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER))
+        SK.run_available(SK.latest_per_driver(laps), ck, fn=snapshot, output_mode="complete")
+
+    _in_waves(_lap_messages_of(spark, sf_dir), src, run)
     res = spark.read.parquet(out)
     return res.select("PilotNumber", _r4("seconds").alias("seconds"), "Lap")
 
@@ -454,15 +458,17 @@ def stream_three_way_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_live_system(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live system over a raw feed stream: bronze capture, three-way split
     and keyed-state predictor started together; returns the predictions."""
-    src = scratch_path(spark, "live-feed")
-    _wave_files(V.feed_messages(None, _numbered(spark, sf_dir)), src, ts="ts")
-    root, ck = scratch_path(spark, "live"), scratch_path(spark, "live-ckpt")
-    raw = C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER)
-    with SP.use_rocksdb(spark):
-        for q in SK.start_live(raw, root, ck):
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise q.exception()
+    src, root, ck = (scratch_path(spark, n) for n in ("live-feed", "live", "live-ckpt"))
+
+    def run():
+        raw = C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER)
+        with SP.use_rocksdb(spark):
+            for q in SK.start_live(raw, root, ck):
+                q.awaitTermination()
+                if q.exception() is not None:
+                    raise q.exception()
+
+    _in_waves(V.feed_messages(None, _numbered(spark, sf_dir)), src, run, ts="ts")
     res = spark.read.parquet(f"{root}/{SK.PREDICTIONS_TABLE}")
     return res.select(F.col("PilotN").alias("PilotNumber"), "NextLap", _r4("prediction").alias("prediction"))
 
