@@ -19,9 +19,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a folder every executor can reach"
-        )
+        # Nothing configured: use a folder of the warehouse, which is shared
+        # storage like the tables themselves (never a machine-local temp dir).
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at a folder every executor can reach"
+            )
+        root = warehouse.rstrip("/") + "/_pitwall_checkpoints"
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
@@ -63,8 +68,8 @@ def local_session(
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if checkpoint_dir and not spark.conf.get(CHECKPOINT_CONF, None):
-        spark.conf.set(CHECKPOINT_CONF, checkpoint_dir)
+    # spark.checkpoint.dir is a static setting: when the session has none,
+    # register our folder with the context (tests and bench only).
     if spark.sparkContext.getCheckpointDir() is None:
         root = spark.conf.get(CHECKPOINT_CONF, None) or checkpoint_dir
         if root:
