@@ -130,7 +130,9 @@ def rolling_predict(
         numbered = base.withColumn("_rn", F.col(seq))
         if longest is None:
             longest = longest_sequence(numbered, "_rn")
-    blocked = with_blocks(numbered, keys, "_rn", block_rows, back=n - 1, longest=longest)
+    # split path only: size the (driver, block) shuffle from the row count
+    total = numbered.count() if longest > block_rows else None
+    blocked = with_blocks(numbered, keys, "_rn", block_rows, back=n - 1, longest=longest, total_rows=total)
     frame = block_window(keys, "_rn").rowsBetween(-(n - 1), 0)
     x = F.col(lap).cast("double")
     stats = blocked.select(

@@ -161,6 +161,7 @@ def with_blocks(
     back: int = 0,
     fwd: int = 0,
     longest: int | None = None,
+    total_rows: int | None = None,
 ) -> DataFrame:
     """Add ``_blk`` and ``_halo``; a row within ``back`` rows before a later
     block's first row is also emitted as a halo copy in that block, and a row
@@ -168,7 +169,9 @@ def with_blocks(
     that one (a frame may span several blocks when blocks are small).
 
     ``longest`` (rows of the biggest key, if known) skips the copies when
-    every key fits one block."""
+    every key fits one block.  With ``total_rows`` the rows are hash
+    partitioned on (keys, block) into ~2M-row partitions -- exactly the
+    distribution the block windows need, so no further shuffle follows."""
     if longest is not None and longest <= block_rows:
         return df.withColumn(BLK, F.lit(0).cast("long")).withColumn(HALO, F.lit(False))
     r0 = F.col(rn) - 1
@@ -188,12 +191,15 @@ def with_blocks(
     if len(copies) == 1:
         return df.withColumn(BLK, blk).withColumn(HALO, F.lit(False))
     arr = F.filter(F.array(*copies), lambda x: x.isNotNull())
-    return (
+    out = (
         df.withColumn("_cp", F.explode(arr))
         .withColumn(BLK, F.col("_cp.b"))
         .withColumn(HALO, F.col("_cp.h"))
         .drop("_cp")
     )
+    if total_rows:
+        out = out.repartition(range_partitions(df.sparkSession, total_rows), *keys, BLK)
+    return out
 
 
 def block_window(keys: Sequence[str], rn: str):
@@ -251,7 +257,8 @@ def lag_lead(
     row-number order, exact across block edges."""
     back = max([k for _, k in cols.values() if k > 0], default=0)
     fwd = max([-k for _, k in cols.values() if k < 0], default=0)
-    b = with_blocks(df, keys, rn, block_rows, back=back, fwd=fwd, longest=longest)
+    total = df.count() if longest is not None and longest > block_rows else None
+    b = with_blocks(df, keys, rn, block_rows, back=back, fwd=fwd, longest=longest, total_rows=total)
     w = block_window(keys, rn)
     for out, (c, k) in cols.items():
         b = b.withColumn(out, F.lag(c, k).over(w) if k > 0 else F.lead(c, -k).over(w))

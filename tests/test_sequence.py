@@ -104,3 +104,12 @@ def test_range_partitions_grow_with_the_data(spark):
     assert Q.range_partitions(spark, None) == base
     assert Q.range_partitions(spark, 10) == base
     assert Q.range_partitions(spark, 100 * Q.RANGE_PARTITION_ROWS + 1) == max(base, 101)
+
+
+def test_block_shuffle_sized_from_row_count(skewed):
+    n = Q.number_rows(skewed, ["k"], ["t", "eid"], "rn", max_key_rows=None)
+    b = Q.with_blocks(n, ["k"], "rn", block_rows=50, back=2, longest=600, total_rows=37 * Q.RANGE_PARTITION_ROWS)
+    assert b.rdd.getNumPartitions() == 37
+    plan = b.withColumn("x", F.lag("eid", 1).over(Q.block_window(["k"], "rn")))._jdf.queryExecution().executedPlan().toString()
+    block_exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln and "_blk" in ln]
+    assert len(block_exchanges) == 1 and "REPARTITION_BY_NUM" in block_exchanges[0]  # window reuses it
