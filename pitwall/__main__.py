@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 def live(spark: SparkSession, feed: str, out: str, concatenated: bool = False, files_per_batch: int = 8,
          roster: str | None = None, every: str | None = None) -> None:
-    from pitwall.config import scratch_path
+    from pitwall.config import scratch_path, state_partitions
     from pitwall.operators.envelope import roster_numbers
     from pitwall.sources import capture as C
     from pitwall.streaming import predictor as SP
@@ -37,7 +37,7 @@ def live(spark: SparkSession, feed: str, out: str, concatenated: bool = False, f
     else:
         raw = C.read_lines(spark, feed, stream=True, max_files=files_per_batch)
     r = roster_numbers(C.read_roster(spark, roster)) if roster else None
-    with SP.use_rocksdb(spark):
+    with SP.use_rocksdb(spark), state_partitions(spark):
         queries = SK.start_live(raw, out, scratch_path(spark, "live-checkpoints"), roster=r, processing_time=every)
         for q in queries:
             q.awaitTermination()

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.config import scratch_path
+from pitwall.config import scratch_path, state_partitions
 from pitwall.functions import scalars as S
 from pitwall.operators import dashboard as D
 from pitwall.operators import envelope as E
@@ -415,7 +415,7 @@ def stream_rolling_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run():
         laps = L.parse_lap_messages(C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER))
-        with SP.use_rocksdb(spark):
+        with SP.use_rocksdb(spark), state_partitions(spark):
             SK.run_available(SP.predict_stream(laps), ck, fn=SK.batch_writer(out))
 
     _in_waves(_lap_messages_of(spark, sf_dir), src, run)
@@ -432,7 +432,8 @@ def stream_latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run():
         laps = L.parse_lap_messages(C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER))
-        SK.run_available(SK.latest_per_driver(laps), ck, fn=snapshot, output_mode="complete")
+        with state_partitions(spark):
+            SK.run_available(SK.latest_per_driver(laps), ck, fn=snapshot, output_mode="complete")
 
     _in_waves(_lap_messages_of(spark, sf_dir), src, run)
     res = spark.read.parquet(out)
@@ -462,7 +463,7 @@ def stream_live_system(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run():
         raw = C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER)
-        with SP.use_rocksdb(spark):
+        with SP.use_rocksdb(spark), state_partitions(spark):
             for q in SK.start_live(raw, root, ck):
                 q.awaitTermination()
                 if q.exception() is not None:

@@ -75,3 +75,33 @@ def local_session(
         if root:
             spark.sparkContext.setCheckpointDir(root)
     return spark
+
+
+class conf_set:
+    """Context manager: SQL settings for queries started inside it, restored
+    (or unset) afterwards.  Streaming state partitions, for example, are fixed
+    by ``spark.sql.shuffle.partitions`` when a query first starts."""
+
+    def __init__(self, spark: SparkSession, settings: dict[str, str]):
+        self.spark, self.settings = spark, settings
+
+    def __enter__(self):
+        self.old = {k: self.spark.conf.get(k, None) for k in self.settings}
+        for k, v in self.settings.items():
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+def state_partitions(spark: SparkSession) -> conf_set:
+    """Streaming state partitions = the cluster's default parallelism (instead
+    of a fixed 200) for stateful queries started inside."""
+    n = max(1, spark.sparkContext.defaultParallelism)
+    return conf_set(spark, {"spark.sql.shuffle.partitions": str(n)})
