@@ -369,13 +369,19 @@ class Merger:
         return self.token_bytes[take_ranges(self.token_starts[ids], sizes)], np.concatenate(([0], np.cumsum(sizes)))
 
 
+@lru_cache(2)
+def merger_of(path: str) -> Merger:
+    """One for all tasks of a worker process: they share what it has learnt."""
+    return Merger(path)
+
+
 def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and byte offsets
     of the tokens (likewise); with ``digests`` the SHA-256 of the ids and of
     the bytes decoded from them instead, so that no ids leave the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = Merger(ranks)
+        merger = merger_of(ranks)
         for b in slices(batches, text_col, 4 << 20):
             ids, off = merger.encode(b.column(text_col))
             raw, places = merger.decode(ids)
@@ -401,7 +407,7 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """doc_id and text of what ``encode`` returned."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = Merger(ranks)
+        merger = merger_of(ranks)
         for b in slices(batches, "ids"):
             texts = []
             for x in b.column("ids").to_pylist():

@@ -20,7 +20,9 @@ documents.  An empty table gives no pieces.  Other columns are not read.
 from __future__ import annotations
 
 import heapq
+import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,17 @@ from pitwall.llm.shared import SliceTable, byte_table, prefix_sums, runs_inside,
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+#: A character that is a word of one id wherever it stands between blanks.
+MARK = "\x01"
+
+
+@lru_cache(2)
+def word_ids(path: str, end_id: int) -> WordIds:
+    """One for all tasks of a worker process: they share what it has learnt."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return WordIds(path, end_id)
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space: encodes each
     distinct blank-free chunk once while it stays in a bounded cache."""
@@ -42,6 +55,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.end_id, self.table = end_id, byte_table(11)
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self._clear(most)
 
     def _clear(self, most: int) -> None:
@@ -50,19 +64,31 @@ class WordIds:
         self.flat = np.zeros(0, np.uint32)
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
-        sizes = np.zeros(len(hashes), np.int64)
-        flat: list[int] = []
+        """Encode new words, many in one text: a mark of one id stands between
+        them.  Words that hold the mark's character are encoded by themselves."""
         raw = data.tobytes()
-        for lo in range(0, len(hashes), 20_000):
-            words = [raw[a:b].decode("utf-8") for a, b in zip(starts[lo : lo + 20_000].tolist(), ends[lo : lo + 20_000].tolist())]
-            for k, got in enumerate(self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-                ids = got.ids
-                sizes[lo + k] = len(ids)
-                flat += ids
-        self.cache.add(hashes)
+        words = [raw[a:b].decode("utf-8") for a, b in zip(starts.tolist(), ends.tolist())]
+        marked = np.array([MARK in w for w in words])
+        sizes, flat = np.zeros(len(words), np.int64), []
+        plain = np.flatnonzero(~marked)
+        lines, alone = [plain[lo : lo + 200] for lo in range(0, len(plain), 200)], np.flatnonzero(marked)
+        for lo in range(0, len(lines), 50):
+            part = lines[lo : lo + 50]
+            for at, got in zip(part, self.tokenizer.encode_batch_fast([f" {MARK} ".join(words[i] for i in line) for line in part], add_special_tokens=False)):
+                ids = np.array(got.ids, np.uint32)
+                cuts = np.flatnonzero(ids == self.mark)
+                sizes[at] = np.diff(cuts, prepend=-1, append=len(ids)) - 1
+                flat.append(ids[ids != self.mark])
+        for i in alone:
+            ids = np.array(self.tokenizer.encode(words[i], add_special_tokens=False).ids, np.uint32)
+            sizes[i] = len(ids)
+            flat.append(ids)
+        order = np.concatenate((plain, alone))
+        self.cache.add(hashes[order])
+        sizes = sizes[order]
         self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(sizes) - sizes))
         self.sizes = np.concatenate((self.sizes, sizes))
-        self.flat = np.concatenate((self.flat, np.asarray(flat, np.uint32)))
+        self.flat = np.concatenate([self.flat, *flat])
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
@@ -190,7 +216,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2,
     offset in the sequence, and ids (little-endian unsigned 32-bit)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer, end_id)
+        words = word_ids(tokenizer, end_id)
         packer = _Packer(TaskContext.get().partitionId(), capacity, batch, slack)
         rows: list[tuple] = []
         for b in slices(batches, text_col):
