@@ -47,8 +47,9 @@ def held_out(doc_id) -> F.Column:
 # -- Arrow -----------------------------------------------------------------
 
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes and the int64 offsets of a string column; null is empty."""
-    col = pc.fill_null(column.cast(pa.large_string()), "")
+    """Bytes and int64 offsets of a string or binary column; null is empty."""
+    kind = pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else pa.large_string()
+    col = pc.fill_null(column.cast(kind), pa.scalar(b"" if kind == pa.large_binary() else "", kind))
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if len(col) == 0:

@@ -123,31 +123,38 @@ def _anchored(length: int, gram: int):
     return run
 
 
+_PIECE = "key long, f1 long, f2 long, copies long, lead long, bytes binary"
+_PIECE_TYPES = [("key", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("copies", pa.int64()), ("lead", pa.int64()), ("bytes", pa.binary())]
+
+
 def _blocks(length: int, size: int):
-    """Occurrences of the next level: blocks of ``size`` windows at fixed
-    offsets from the anchor, keyed by the bytes common to a whole block."""
+    """Pieces of fragments: blocks of ``size`` windows at fixed offsets from the
+    anchor, keyed by the bytes common to a whole block, with the fragment they
+    are from (k0, g1, g2) and the window ``at`` which they start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            data, off = string_buffers(b.column("text"))
-            parts = b.column("parts")
-            per_text = np.diff(parts.offsets.to_numpy())
-            flat = parts.flatten()
-            key, start, anchor, windows = (np.asarray(flat.field(c).to_numpy(zero_copy_only=False)) for c in ("key", "start", "anchor", "windows"))
-            text = np.repeat(np.arange(b.num_rows), per_text)
-            first, stop = start - anchor, start - anchor + windows
-            lo_block, hi_block = first // size, (stop - 1) // size
+        for b in slices(batches, "bytes"):
+            raw, off = string_buffers(b.column("bytes"))
+            key, g1, g2, copies, lead = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "f1", "f2", "copies", "lead"))
+            windows = np.diff(off) - length + 1
+            lo_block, hi_block = -lead // size, (windows - 1 - lead) // size
             count = hi_block - lo_block + 1
-            which = np.repeat(np.arange(len(key)), count)
-            block = lo_block[which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-            base = off[text[which]] + anchor[which]
-            x = np.maximum(first[which], block * size)
-            y = np.minimum(stop[which], (block + 1) * size)
-            double = _double_hash(data)
-            c1, _ = double(base + block * size + size - 1, base + block * size + length, key[which] + block)
-            f1, f2 = double(base + x, base + y - 1 + length, x)
-            ids, rows = (b.column(c).to_numpy(zero_copy_only=False)[text[which]] for c in ("id", "row"))
-            yield _emit(ids, rows, c1, f1, f2, anchor[which] + x, anchor[which], y - x)
+            of = np.repeat(np.arange(len(key)), count)
+            block = lo_block[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            x = np.maximum(-lead[of], block * size)  # windows as offsets from the anchor
+            y = np.minimum((windows - lead)[of], (block + 1) * size)
+            anchor = off[of] + lead[of]
+            double = _double_hash(raw)
+            # a block at the edge of its fragment may lack a part of the common
+            # bytes' place, but all its windows hold them
+            k1, _ = double(anchor + block * size + size - 1, anchor + block * size + length, key[of] ^ block)
+            f1, f2 = double(anchor + x, anchor + y - 1 + length, x)
+            data = raw.tobytes()
+            at = (anchor + x).tolist()
+            cut = [data[p : p + n] for p, n in zip(at, (y - x - 1 + length).tolist())]
+            longs = [k1, f1, f2, copies[of], -x, key[of], g1[of], g2[of], x + lead[of]]
+            arrays = [pa.array(np.asarray(c, np.int64)) for c in longs]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(cut, pa.binary())], names=["key", "f1", "f2", "copies", "lead", "k0", "g1", "g2", "at", "bytes"])
 
     return run
 
@@ -310,14 +317,32 @@ def _extract(length: int):
             for text, parts in zip(b.column("text").to_pylist(), b.column("parts").to_pylist()):
                 raw = text.encode("utf-8")
                 for p in parts:
-                    out.append((p["key"], p["f1"], p["f2"], p["copies"], raw[p["start"] : p["start"] + p["windows"] - 1 + length]))
-            cols = list(zip(*out)) if out else [[], [], [], [], []]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["key", "f1", "f2", "copies", "bytes"])
+                    out.append((p["key"], p["f1"], p["f2"], p["copies"], p["anchor"] - p["start"], raw[p["start"] : p["start"] + p["windows"] - 1 + length]))
+            cols = list(zip(*out)) if out else [[] for _ in _PIECE_TYPES]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, _PIECE_TYPES)], names=[n for n, _ in _PIECE_TYPES])
 
     return run
 
 
+def _repeats(pieces: DataFrame, length: int, most: int, blocks: tuple[int, ...]) -> DataFrame:
+    """key, f1, f2, runs of repeated windows, of different pieces."""
+    groups = pieces.groupBy("key").agg(F.sum("copies").alias("all"), F.count("*").alias("kinds")).where("all > 1")
+    groups = staged(groups.select("key", (F.col("kinds") > most).alias("large") if blocks else F.lit(False).alias("large")), "repeat-groups")
+    fit = pieces.join(groups.where("not large").select("key"), "key", "left_semi")
+    found = fit.repartition("key").sortWithinPartitions("key").mapInArrow(_sorter(length), _REPEATS)
+    if not groups.where("large").limit(1).count():
+        return found
+    large = pieces.join(groups.where("large").select("key"), "key", "left_semi")
+    cut = staged(large.mapInArrow(_blocks(length, blocks[0]), "key long, f1 long, f2 long, copies long, lead long, k0 long, g1 long, g2 long, at long, bytes binary"), "repeat-blocks")
+    distinct = cut.groupBy("key", "f1", "f2").agg(F.sum("copies").alias("copies"), F.min("lead").alias("lead"), F.min("bytes").alias("bytes"))
+    below = _repeats(staged(distinct, "repeat-pieces"), length, most, blocks[1:])
+    back = cut.drop("bytes").join(below, ["key", "f1", "f2"]).select(
+        F.col("k0").alias("key"), F.col("g1").alias("f1"), F.col("g2").alias("f2"),
+        F.transform("runs", lambda r: F.struct((r["lo"] + F.col("at")).cast("int").alias("lo"), (r["hi"] + F.col("at")).cast("int").alias("hi"))).alias("runs"),
+    )
+    return found.unionByName(back.groupBy("key", "f1", "f2").agg(F.flatten(F.collect_list("runs")).alias("runs")))
+
+
 def _cutter(length: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -353,30 +378,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     texts = docs.select(F.coalesce(doc, F.lit(0).cast("long")).alias("id"), F.xxhash64(doc.isNull(), text).alias("row"), doc.alias("doc_id"), text.alias("text"))
     long = texts.where(F.octet_length("text") >= length).select("id", "row", "text")
     occurrences = staged(long.mapInArrow(_anchored(length, gram), _OCCURRENCE), "fragments")
-    spans = None
-    for size in (*_BLOCKS, None):
-        # per group: occurrences, and whether there are too many different ones
-        distinct = staged(
-            occurrences.groupBy("key", "f1", "f2")
-            .agg(F.count("*").alias("copies"), F.min(F.struct("id", "row", "start", "windows", "anchor")).alias("at")),
-            "fragment-counts",
-        )
-        groups = distinct.groupBy("key").agg(F.sum("copies").alias("all"), F.count("*").alias("kinds")).where("all > 1")
-        large = F.col("kinds") > most_fragments if size else F.lit(False)
-        groups = staged(groups.select("key", large.alias("large")), "fragment-groups")
-        fit = distinct.join(groups.where("not large"), "key", "left_semi")
-        parts = fit.groupBy("at.id", "at.row").agg(F.collect_list(F.struct("key", "f1", "f2", "copies", "at.start", "at.windows")).alias("parts"))
-        pieces = long.join(parts, ["id", "row"]).mapInArrow(_extract(length), "key long, f1 long, f2 long, copies long, bytes binary")
-        sorted_ = pieces.repartition("key").sortWithinPartitions("key").mapInArrow(_sorter(length), _REPEATS)
-        repeats = staged(sorted_, "repeats")
-        hits = occurrences.join(repeats, ["key", "f1", "f2"]).select(
-            "id", "row", F.transform("runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("lo"), (F.col("start") + r["hi"] + length).alias("hi"))).alias("spans")
-        )
-        spans = hits if spans is None else spans.unionByName(hits)
-        if not size or groups.where("large").limit(1).count() == 0:
-            break
-        hot = occurrences.join(groups.where("large"), "key", "left_semi").groupBy("id", "row").agg(F.collect_list(F.struct("key", "start", "anchor", "windows")).alias("parts"))
-        occurrences = staged(long.join(hot, ["id", "row"]).mapInArrow(_blocks(length, size), _OCCURRENCE), "fragments")
+    distinct = staged(
+        occurrences.groupBy("key", "f1", "f2")
+        .agg(F.count("*").alias("copies"), F.min(F.struct("id", "row", "start", "windows", "anchor")).alias("at")),
+        "fragment-counts",
+    )
+    again = distinct.groupBy("key").agg(F.sum("copies").alias("all")).where("all > 1").select("key")
+    parts = distinct.join(again, "key", "left_semi").groupBy("at.id", "at.row").agg(F.collect_list(F.struct("key", "f1", "f2", "copies", "at.start", "at.windows", "at.anchor")).alias("parts"))
+    # a repeated row sends its pieces twice: they differ in nothing
+    pieces = staged(long.join(parts, ["id", "row"]).mapInArrow(_extract(length), _PIECE), "pieces")
+    repeats = staged(_repeats(pieces, length, most_fragments, _BLOCKS), "repeats")
+    spans = occurrences.join(repeats, ["key", "f1", "f2"]).select(
+        "id", "row", F.transform("runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("lo"), (F.col("start") + r["hi"] + length).alias("hi"))).alias("spans")
+    )
     spans = spans.groupBy("id", "row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     last = "kept_sha256 string" if digest else "kept binary"
     return texts.join(spans, ["id", "row"], "left").mapInArrow(_cutter(length, not digest), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
