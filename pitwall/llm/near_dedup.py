@@ -13,9 +13,10 @@ verified by that similarity computed from their whole shingle sets.
 Links inside a band's bucket are found without listing its pairs.  All members
 are compared with one pivot; members at a distance that, by the triangle
 inequality (1 - weighted Jaccard is a metric), cannot be near an unlinked one
-leave; another pivot is taken from the unlinked members, until none is left.
-What no pivot has settled after a few rounds, a handful in a bucket, is
-compared directly.  Documents with the same words are one node throughout.
+leave, and so do buckets whose members the links have already connected;
+more pivots, eight times as many each round, are taken from the unlinked
+members.  Once what is open comes to a
+few pairs for each member, these are compared directly.  Documents with the same words are one node throughout.
 Classes are the connected components of the links, by alternating star
 contraction.
 
@@ -29,12 +30,13 @@ read.  An empty table gives an empty result.  Nodes and rows are told apart by
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.llm.shared import SliceTable, byte_table, fresh, mix, prefix_sums, slice_hash, slices, staged, string_buffers, word_slices
@@ -165,6 +167,17 @@ class Weights:
         return self.idf[self.table.find(hashes)] * counts.astype(np.float32)
 
 
+def weights_of(shared) -> Weights:
+    """The weights of a broadcast (frequent shingles, total), built once in a
+    worker process."""
+    if _BUILT.get("of") != shared.value[2]:
+        _BUILT.update(of=shared.value[2], weights=Weights(*shared.value[:2]))
+    return _BUILT["weights"]
+
+
+_BUILT: dict = {}
+
+
 def frequencies(texts: DataFrame, total: int, chars: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles in more than max(1, total / RARE) documents, with their document
     frequency: at most RARE x mean distinct shingles of a document."""
@@ -208,7 +221,7 @@ _SIGNED = "doc_id long, id long, row long, node long, weight double, bands array
 
 def _signer(shared, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(*shared.value)
+        weights = weights_of(shared)
         for b in slices(batches, "text", 1 << 20):
             h, n, off, whole = shingles(b.column("text"))
             w = weights.of(h, n)
@@ -236,14 +249,20 @@ def _signer(shared, bands: int, rows: int):
 
 # -- verification --------------------------------------------------------------
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches, "text"):
-        h, n, off, _ = shingles(b.column("text"))
-        spans = list(zip(off[:-1].tolist(), off[1:].tolist()))
-        counts = [n[x:y].astype(np.int32).tobytes() if (n[x:y] > 1).any() else None for x, y in spans]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("node"), pa.array([h[x:y].tobytes() for x, y in spans], pa.binary()), pa.array(counts, pa.binary())], names=["node", "shingles", "counts"]
-        )
+def _vectors(shared):
+    """Shingles (their upper 32 bits: two foreign ones agree once in four
+    thousand million) and weights, null where all weigh as rare ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = weights_of(shared)
+        for b in slices(batches, "text"):
+            h, n, off, _ = shingles(b.column("text"))
+            w, short = weights.of(h, n), (h >> np.uint64(32)).astype(np.uint32)
+            spans = list(zip(off[:-1].tolist(), off[1:].tolist()))
+            heavy = [w[x:y].tobytes() if (w[x:y] != weights.idf[-1]).any() else None for x, y in spans]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([short[x:y].tobytes() for x, y in spans], pa.binary()), pa.array(heavy, pa.binary())], names=["node", "shingles", "weights"])
+
+    return run
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -255,91 +274,96 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return both / (float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - both)
 
 
-def _verifier(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(*shared.value)
-
-        def vector(h: bytes, c: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-            h = np.frombuffer(h, np.uint64)
-            return h, weights.of(h, np.frombuffer(c, np.int32) if c is not None else np.ones(len(h), np.int32))
-
-        for b in batches:
-            kept: tuple = (None, None)
-            out = []
-            for i in range(b.num_rows):
-                pivot = b.column("b")[i].as_py()
-                if kept[0] != pivot:
-                    kept = (pivot, vector(b.column("sb")[i].as_py(), b.column("cb")[i].as_py()))
-                out.append(weighted_jaccard(vector(b.column("sa")[i].as_py(), b.column("ca")[i].as_py()), kept[1]))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
-
-    return run
-
-
-def _verify(pairs: DataFrame, vectors: DataFrame, shared) -> DataFrame:
-    left = vectors.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("counts").alias("ca"))
-    right = vectors.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("counts").alias("cb"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "ca", "sb", "cb")
-    return staged(met.mapInArrow(_verifier(shared), "a long, b long, similarity double"), "near-verified")
-
-
-def _links(members: DataFrame, vectors: DataFrame, shared, similarity: float, star_rounds: int = 3, handful: int = 32) -> DataFrame:
-    """Verified links (a, b) that connect what the buckets' pairs connect.
-    members: bucket, node, weight."""
-    alive = members.withColumn("open", F.lit(True))
-    links = None
-    far = 1 - similarity
-    done = 0
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def vector(h: bytes, w: bytes | None, rare: float) -> tuple[np.ndarray, np.ndarray]:
+        h = np.frombuffer(h, np.uint32)
+        return h, np.frombuffer(w, np.float32) if w is not None else np.full(len(h), rare, np.float32)
+
+    for b in batches:
+        kept: tuple = (None, None)
+        out = []
+        rare = b.column("rare")[0].as_py() if b.num_rows else 0.0
+        for i in range(b.num_rows):
+            pivot = b.column("b")[i].as_py()
+            if kept[0] != pivot:
+                kept = (pivot, vector(b.column("sb")[i].as_py(), b.column("wb")[i].as_py(), rare))
+            out.append(weighted_jaccard(vector(b.column("sa")[i].as_py(), b.column("wa")[i].as_py(), rare), kept[1]))
+        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
+
+
+def _verify(pairs: DataFrame, vectors: DataFrame, rare: float) -> DataFrame:
+    left = vectors.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa"))
+    right = vectors.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb"))
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "wa", "sb", "wb", F.lit(rare).alias("rare"))
+    return staged(met.mapInArrow(_compare, "a long, b long, similarity double"), "near-verified")
+
+
+def _rooted(alive: DataFrame, links: DataFrame) -> DataFrame:
+    """Members with the root of their component so far; buckets whose members
+    are all of one component have nothing left to find."""
+    found = components(links)
+    alive = alive.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = alive.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("open").alias("any")).where("lo != hi and any").select("bucket")
+    return staged(alive.join(several, "bucket", "left_semi"), "near-alive")
+
+
+def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: float, per_member: int = 4) -> DataFrame:
+    """Verified links (a, b) that connect what the pairs of the buckets connect.
+    members: bucket, node, weight.  Pairs are compared directly once there are
+    at most ``per_member`` of them for each member there was."""
+    far, links = 1 - similarity, None
+    total, count = members.count(), 1
+    alive = members.withColumns({"open": F.lit(True), "root": F.col("node"), "away": F.lit(0.0), "exact": F.lit(False)})
     while True:
-        size = alive.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("open").cast("int")).alias("u")).where("n > 1 and u > 0")
-        most = size.agg(F.max("u")).first()[0]
-        if most is None:
-            break
-        if done >= star_rounds and most <= handful:
-            other = alive.where("open").select("bucket", F.col("node").alias("p"), F.col("weight").alias("pw"))
-            close = F.least("weight", "pw") >= (similarity - 1e-6) * F.greatest("weight", "pw")
-            pairs = alive.join(other, "bucket").where((F.col("node") != F.col("p")) & close).select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
-            found = _verify(pairs, vectors, shared).where(F.col("similarity") >= similarity).select("a", "b")
-            links = found if links is None else links.unionByName(found)
-            break
-        pivot = alive.join(size.select("bucket"), "bucket", "left_semi").where("open").groupBy("bucket").agg(F.min(F.struct("node", "weight")).alias("m"))
-        met = alive.join(pivot.select("bucket", F.col("m.node").alias("b"), F.col("m.weight").alias("pw")), "bucket").where("node != b")
+        sizes = alive.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("open").cast("long")).alias("u"))
+        left = sizes.agg(F.sum(F.col("n") * F.col("u"))).first()[0]
+        if not left:
+            return links
+        close = F.least("weight", "pw") >= (similarity - 1e-6) * F.greatest("weight", "pw")
+        if links is not None and left <= max(20_000, per_member * total):
+            other = alive.where("open").select("bucket", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("root").alias("pr"), F.col("away").alias("pd"), F.col("exact").alias("pe"))
+            apart = F.col("exact") & F.col("pe") & (F.abs(F.col("away") - F.col("pd")) > far + 1e-6)
+            pairs = alive.join(other, "bucket").where((F.col("root") != F.col("pr")) & close & ~apart).select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
+            return links.unionByName(_verify(pairs, vectors, rare).where(F.col("similarity") >= similarity).select("a", "b"))
+        # the first open members of a bucket; the very first is its reference
+        turn = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+        pivot = alive.where("open").select("bucket", F.col("node").alias("b"), F.col("weight").alias("pw"), F.col("root").alias("pr"), turn.alias("k")).where(F.col("k") <= count)
+        pivot = staged(pivot, "near-pivots")
+        met = alive.drop("away", "exact").join(pivot, "bucket").where((F.col("node") != F.col("b")) & ((F.col("k") == 1) | (F.col("root") != F.col("pr"))))
         met = met.withColumnRenamed("node", "a").withColumn("bound", F.least("weight", "pw") / F.greatest("weight", "pw"))
-        pairs = met.where(F.col("bound") >= similarity - 1e-6).select("a", "b").distinct()
-        sims = _verify(pairs, vectors, shared)
+        sims = _verify(met.where(close).select("a", "b").distinct(), vectors, rare)
         found = sims.where(F.col("similarity") >= similarity).select("a", "b")
         links = found if links is None else links.unionByName(found)
         # what is not verified is at least 1 - bound away from the pivot
-        judged = met.join(sims, ["a", "b"], "left").select(
-            "bucket", F.col("a").alias("node"), "weight", "open",
-            (F.col("open") & ~F.coalesce(F.col("similarity") >= similarity, F.lit(False))).alias("still"),
-            F.coalesce(1 - F.col("similarity"), 1 - F.col("bound")).alias("away"),
-            F.col("similarity").isNotNull().alias("exact"),
+        first = F.col("k") == 1
+        judged = met.join(sims, ["a", "b"], "left").groupBy("bucket", F.col("a").alias("node")).agg(
+            F.max("weight").alias("weight"),
+            (F.max("open") & ~F.max(F.coalesce(F.col("similarity") >= similarity, F.lit(False)))).alias("still"),
+            F.max(F.when(first, F.coalesce(1 - F.col("similarity"), 1 - F.col("bound")))).alias("away"),
+            F.max(first & F.col("similarity").isNotNull()).alias("exact"),
         )
-        judged = staged(judged, "near-judged")
+        judged = staged(judged.join(pivot.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti"), "near-judged")
         nearest = judged.where("still").groupBy("bucket").agg(F.min("away").alias("nearest"))
-        alive = judged.join(nearest, "bucket").where(F.col("still") | ~F.col("exact") | (F.col("away") + far + 1e-6 >= F.col("nearest"))).select("bucket", "node", "weight", F.col("still").alias("open"))
-        done += 1
-    return links
+        kept = judged.join(nearest, "bucket").where(F.col("still") | ~F.col("exact") | (F.col("away") + far + 1e-6 >= F.col("nearest")))
+        alive = _rooted(kept.select("bucket", "node", "weight", F.col("still").alias("open"), "away", "exact"), links)
+        count *= 8
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node) of the connected components of links
     (a, b): large-star and small-star contraction until nothing changes."""
-    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "near-edges")
-    before = None
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = staged(small, "near-edges")
-        now = edges.agg(F.count("*"), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
-        if now == before:
+        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+        edges = staged(small.select("e.*").where("u != v").distinct(), "near-edges")
+        # done when every node has one parent and no parent has one itself
+        parents = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+        if not parents and not edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
 
 
 # -- the whole -------------------------------------------------------------------
@@ -354,7 +378,8 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     spark = docs.sparkSession
     texts = _keyed(docs, id_col, text_col)
     total, chars = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    shared = spark.sparkContext.broadcast((frequencies(texts, total, chars), total))
+    shared = spark.sparkContext.broadcast((frequencies(texts, total, chars), total, uuid.uuid4().hex))
+    rare = float(Weights((np.zeros(0, np.uint64), np.zeros(0, np.int64)), total).idf[-1])
     signed = staged(texts.mapInArrow(_signer(shared, bands, rows), _SIGNED), "near-signed")
     # documents with the same words are one node; its first document stands for it
     nodes = staged(
@@ -371,8 +396,8 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     if (n := members.select("node").distinct().count()) <= 1_000_000:
         needed = F.broadcast(needed)  # three numbers a row: at most 24 MB
     parts = texts.select("id", "row", "text").join(needed, ["id", "row"]).select("node", "text")
-    vectors = staged(parts.mapInArrow(_vectors, "node long, shingles binary, counts binary").dropDuplicates(["node"]) if n else parts.selectExpr("node", "cast(null as binary) shingles", "cast(null as binary) counts").limit(0), "near-vectors")
-    links = _links(members, vectors, shared, similarity)
+    vectors = staged(parts.mapInArrow(_vectors(shared), "node long, shingles binary, weights binary").dropDuplicates(["node"]), "near-vectors")
+    links = _links(members, vectors, rare, similarity) if n else None
     if links is None:
         roots = nodes.select("node", F.col("node").alias("root"))
     else:
