@@ -21,8 +21,11 @@ from pyspark.sql import SparkSession
 
 
 def live(spark: SparkSession, feed: str, out: str, concatenated: bool = False, files_per_batch: int = 8,
-         roster: str | None = None, every: str | None = None) -> None:
-    from pitwall.config import scratch_path, state_partitions
+         roster: str | None = None, every: str | None = None, checkpoints: str | None = None,
+         roster_limit: int | None = 20) -> None:
+    """Run the live system.  ``checkpoints`` (default ``{out}/_checkpoints``)
+    belongs to ``out``: a restart with both goes on where the last run ended."""
+    from pitwall.config import state_partitions
     from pitwall.operators.envelope import roster_numbers
     from pitwall.sources import capture as C
     from pitwall.streaming import predictor as SP
@@ -36,13 +39,24 @@ def live(spark: SparkSession, feed: str, out: str, concatenated: bool = False, f
         )
     else:
         raw = C.read_lines(spark, feed, stream=True, max_files=files_per_batch)
-    r = roster_numbers(C.read_roster(spark, roster)) if roster else None
+    r = roster_numbers(C.read_roster(spark, roster), limit=roster_limit) if roster else None
     with SP.use_rocksdb(spark), state_partitions(spark):
-        queries = SK.start_live(raw, out, scratch_path(spark, "live-checkpoints"), roster=r, processing_time=every)
-        for q in queries:
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise q.exception()
+        queries = SK.start_live(raw, out, checkpoints or f"{out.rstrip('/')}/_checkpoints", roster=r, processing_time=every)
+        try:
+            while any(q.isActive for q in queries):
+                spark.streams.resetTerminated()
+                failed = [q.exception() for q in queries if q.exception() is not None]
+                if failed:
+                    raise failed[0]
+                if any(q.isActive for q in queries):
+                    spark.streams.awaitAnyTermination(10)
+            failed = [q.exception() for q in queries if q.exception() is not None]
+            if failed:
+                raise failed[0]
+        finally:
+            for q in queries:
+                if q.isActive:
+                    q.stop()
 
 
 def dashboards(spark: SparkSession, out: str) -> dict:
@@ -72,16 +86,23 @@ def main(argv: list[str] | None = None) -> int:
     lv.add_argument("--files-per-batch", type=int, default=8)
     lv.add_argument("--roster")
     lv.add_argument("--every")
-    db = sub.add_parser("dashboards", help="print the dashboard panels")
+    lv.add_argument("--checkpoints", help="folder of the streams' progress (default: OUT/_checkpoints)")
+    lv.add_argument("--roster-limit", type=int, default=20, help="entries of the roster that count; 0: all")
+    db = sub.add_parser("dashboards", help="write the dashboard panels")
     db.add_argument("--out", required=True)
+    db.add_argument("--panels", help="folder for the panels (default: OUT/_panels)")
+    db.add_argument("--show", type=int, default=0, help="also print this many rows of each panel")
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName("pitwall").getOrCreate()
+    spark = SparkSession.builder.appName("pitwall").config("spark.sql.variant.allowDuplicateKeys", "true").getOrCreate()
     if a.cmd == "live":
-        live(spark, a.feed, a.out, a.concatenated, a.files_per_batch, a.roster, a.every)
+        live(spark, a.feed, a.out, a.concatenated, a.files_per_batch, a.roster, a.every, a.checkpoints, a.roster_limit or None)
     else:
         for name, df in dashboards(spark, a.out).items():
-            print(f"== {name}")
-            df.show(20, truncate=False)
+            path = f"{(a.panels or a.out.rstrip('/') + '/_panels').rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            print(f"{name}: {path}")
+            if a.show:
+                spark.read.parquet(path).show(a.show, truncate=False)
     return 0
 
 

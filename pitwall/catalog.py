@@ -370,7 +370,7 @@ def keyed_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lap_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     laps = _feed_laps(spark, sf_dir)
     iv = D.histogram_interval(laps, "Lap", D.LINE_MAX_BARS)
-    return laps.where(D.in_range("Lap")).groupBy(D.bucket("Lap", iv).alias("lap_bucket")).agg(
+    return laps.groupBy(D.bucket("Lap", iv).alias("lap_bucket")).agg(
         F.count(F.lit(1)).alias("n")
     )
 

@@ -19,10 +19,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Nothing configured: use a folder of the warehouse, which is shared
-        # storage like the tables themselves (never a machine-local temp dir).
+        # Nothing configured: on a local master the warehouse will do; on a
+        # cluster its default is a folder of the driver alone.
         warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-        if not warehouse:
+        if not warehouse or not spark.sparkContext.master.startswith("local["):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a folder every executor can reach"
             )

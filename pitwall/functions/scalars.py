@@ -31,8 +31,13 @@ def lap_text_to_seconds(text) -> Column:
     t = _c(text)
     parts = F.split(t, ":", -1)
     minutes = F.try_element_at(parts, F.lit(1)).try_cast("int")
-    secs = F.try_element_at(parts, F.lit(2)).try_cast("double")
-    return F.when(F.size(parts) >= 2, minutes * 60 + secs).otherwise(t.try_cast("double"))
+    secs = _plain_double(F.try_element_at(parts, F.lit(2)))
+    return F.when(F.size(parts) >= 2, minutes * 60 + secs).otherwise(_plain_double(t))
+
+
+def _plain_double(text) -> Column:
+    """Numeric cast without the type suffixes ("18.2f") that a cast accepts."""
+    return F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double"))
 
 
 def text_to_double(text) -> Column:
@@ -124,8 +129,9 @@ def json_split_points(text) -> Column:
 
 
 def brace_balance(text) -> Column:
-    """count('{') - count('}') of a text (used to repair split JSON records)."""
-    t = _c(text)
+    """count('{') - count('}') of a text outside its quoted values (used to
+    repair split JSON records)."""
+    t = F.regexp_replace(_c(text), r'"(?:[^"\\]++|\\.)*+"', "")
     return (F.length(t) - F.length(F.regexp_replace(t, r"\{", ""))) - (
         F.length(t) - F.length(F.regexp_replace(t, r"\}", ""))
     )

@@ -57,7 +57,8 @@ def classify(raw: DataFrame, col: str = "value") -> DataFrame:
     """P1-P3 + F8: parse each line once and tag its kind.
 
     kind: ``text`` (no '{', P1), ``recap`` (top-level R), ``feed`` (has
-    M[0].A), ``empty`` (heartbeat ``{}``, empty ``M`` or anything else).
+    M[0].A), ``malformed`` (not JSON, so that loss can be counted), ``empty``
+    (heartbeat ``{}``, empty ``M`` or anything else).
     Adds ``topic``, ``payload`` (text, computed only if used), ``msg_time``
     and the parsed document ``_doc``.
     """
@@ -67,6 +68,7 @@ def classify(raw: DataFrame, col: str = "value") -> DataFrame:
         F.when(~contains(v, "{"), F.lit("text"))
         .when(_present(_get(DOC, "$.R")), F.lit("recap"))
         .when(_present(_get(DOC, FEED_ARGS)), F.lit("feed"))
+        .when(F.col(DOC).isNull(), F.lit("malformed"))
         .otherwise(F.lit("empty"))
     )
     return parsed.select(
@@ -231,15 +233,16 @@ def weather_rows(lines: DataFrame) -> DataFrame:
     )
 
 
-def roster_numbers(doc: DataFrame, col: str = "value") -> DataFrame:
-    """S6 + P16 + T4: roster document text -> ``pilot INT`` for the first 20
-    entries by position, "33" renumbered to 1, other text cast to int."""
+def roster_numbers(doc: DataFrame, col: str = "value", limit: int | None = ROSTER_MAX) -> DataFrame:
+    """S6 + P16 + T4: roster document text -> ``pilot INT`` for the first
+    ``limit`` entries by position (20, as the original takes; None: all of
+    them), "33" renumbered to 1, other text cast to int."""
     from pitwall.schemas import ROSTER_DOC
 
     parsed = doc.select(F.from_json(F.col(col), ROSTER_DOC).alias("d"))
     entries = parsed.select(F.posexplode("d.MRData.DriverTable.Drivers").alias("pos", "drv"))
     num = F.col("drv.permanentNumber")
-    return entries.where(F.col("pos") < ROSTER_MAX).select(
+    return (entries if limit is None else entries.where(F.col("pos") < limit)).select(
         "pos",
         F.when(num == ROSTER_RENUMBER_FROM, F.lit(ROSTER_RENUMBER_TO)).otherwise(num.try_cast("int")).alias("pilot"),
     )

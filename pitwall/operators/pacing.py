@@ -90,7 +90,7 @@ def replay_schedule(
     paced = interarrival(feed, session, "_ts", order=order, mode=mode, iso_text="msg_time", block_rows=block_rows)
     sent = F.coalesce((F.col("delta") > 0) & (F.col("delta") <= max_delta), F.lit(False))
     paced = paced.drop("_ts").withColumn("sent", sent)
-    bypass = messages.where(F.col("kind").isin("recap", "empty")).select(
+    bypass = messages.where(F.col("kind").isin("recap", "empty", "malformed")).select(
         "*", F.lit(BYPASS_DELTA).alias("delta"), F.lit(True).alias("sent")
     )
     return paced.unionByName(bypass)

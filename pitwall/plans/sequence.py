@@ -144,7 +144,7 @@ def number_rows_sized(
     ).cache()
     chunks = bounded_broadcast(chunks, CHUNK_BROADCAST_ROWS)
     largest = int(chunks.groupBy(*ck).agg(F.sum("_cnt").alias("_n")).agg(F.max("_n")).first()[0] or 0)
-    cond = [laid[k] == chunks[c] for k, c in zip(keys, ck)] + [laid[PID] == chunks["_cpid"]]
+    cond = [laid[k].eqNullSafe(chunks[c]) for k, c in zip(keys, ck)] + [laid[PID] == chunks["_cpid"]]
     numbered = (
         laid.join(chunks, cond, "inner")
         .withColumn(out, F.col(MID) - F.col("_base") + 1)
@@ -237,7 +237,7 @@ def carry_forward(
         F.col(BLK).alias("_cblk"),
         F.last("_blast", ignorenulls=True).over(earlier).alias("_carry"),
     ).where(F.col("_carry").isNotNull())
-    cond = [inner[k] == summary[c] for k, c in zip(keys, ck)] + [inner[BLK] == summary["_cblk"]]
+    cond = [inner[k].eqNullSafe(summary[c]) for k, c in zip(keys, ck)] + [inner[BLK] == summary["_cblk"]]
     return (
         inner.join(summary, cond, "left")
         .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))

@@ -71,3 +71,19 @@ def test_concatenated_round_trip_property(spark, tmp_dir):
         _write(os.path.join(tmp_dir, f"c{i}.txt"), "".join(docs[i * 100:(i + 1) * 100]))
     got = sorted(r.value for r in C.read_concatenated(spark, tmp_dir).collect())
     assert got == sorted(docs)
+
+
+def test_braces_in_text_values_survive_the_split(spark, tmp_dir):
+    docs = ['{"a":"x"}', '{"t":"odd } brace"}', '{"u":"{ and \\" } quoted"}', '{"b":{"c":1}}']
+    with open(os.path.join(tmp_dir, "c.json"), "w") as f:
+        f.write("".join(docs))
+    got = [r.value for r in C.read_concatenated(spark, tmp_dir).collect()]
+    assert sorted(got) == sorted(docs)
+
+
+def test_roster_limit_is_a_parameter(spark):
+    from pitwall.operators import envelope as E
+
+    drivers = ",".join('{"permanentNumber":"%d"}' % (100 + i) for i in range(30))
+    doc = spark.createDataFrame([('{"MRData":{"DriverTable":{"Drivers":[%s]}}}' % drivers,)], "value string")
+    assert [E.roster_numbers(doc, limit=n).count() for n in (20, 25, None)] == [20, 25, 30]

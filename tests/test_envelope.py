@@ -157,3 +157,8 @@ def test_typed_outputs_follow_the_data_model(spark):
     assert [(f.name, f.dataType) for f in schemas.PREDICTION_INPUT.fields][0][0] == "PilotN"
     ordered = pace_order(laps.withColumn("Seconds", F.col("Seconds"))).collect()
     assert [r.PilotNumber for r in ordered] == [16]
+
+
+def test_text_that_is_not_json_has_its_own_kind(spark):
+    rows = spark.createDataFrame([("{}",), ('{"M":[{"A":',), ("ping",)], "value string")
+    assert [r.kind for r in E.classify(rows).collect()] == ["empty", "malformed", "text"]

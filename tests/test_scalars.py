@@ -63,3 +63,10 @@ def test_split_points(spark):
     df = spark.createDataFrame([('{"a":{"b":1}}{"R":{}}{"M":[]}',)], "v string")
     parts = df.select(S.json_split_points(F.col("v")).alias("p")).first().p
     assert parts == ['{"a":{"b":1}}', '{"R":{}}', '{"M":[]}']
+
+
+def test_lap_text_takes_no_type_suffix(spark):
+    from pitwall.functions.scalars import lap_text_to_seconds
+
+    rows = spark.createDataFrame([("1:18.2f",), ("58.1d",), ("1:18.2",), ("58.1",)], "t string")
+    assert [r[0] for r in rows.select(lap_text_to_seconds("t")).collect()] == [None, None, 78.2, 58.1]

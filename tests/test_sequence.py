@@ -113,3 +113,11 @@ def test_block_shuffle_sized_from_row_count(skewed):
     plan = b.withColumn("x", F.lag("eid", 1).over(Q.block_window(["k"], "rn")))._jdf.queryExecution().executedPlan().toString()
     block_exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln and "_blk" in ln]
     assert len(block_exchanges) == 1 and "REPARTITION_BY_NUM" in block_exchanges[0]  # window reuses it
+
+
+def test_null_keys_are_kept_on_both_paths(spark):
+    df = spark.createDataFrame([(None if i % 3 == 0 else i % 2, i) for i in range(60)], "k int, t int")
+    plain = Q.number_rows(df, ["k"], ["t"], max_key_rows=1000)
+    split = Q.number_rows(df, ["k"], ["t"], max_key_rows=None, partitions=4)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+    assert split.where("k is null").count() == 20

@@ -168,3 +168,22 @@ def test_command_line_live_and_dashboards(spark, tmp_dir):
     assert set(panels) == {"pace_trace", "race_pace_table", "race_lap", "gap_bars", "weather_latest", "prediction_table"}
     assert panels["race_lap"].first().race_lap is not None
     assert panels["pace_trace"].count() == ev.where("event_type in ('click', 'view')").count()
+
+
+def test_restart_goes_on_where_it_ended(spark, tmp_dir):
+    from pitwall import __main__ as cli
+    from pitwall.sources import derived as V
+
+    ev = V.load(spark, "/root/testdata/sf0.001", "events")
+    early = ev.agg({"event_id": "max"}).first()[0] // 2
+    feed, whole = os.path.join(tmp_dir, "feed"), os.path.join(tmp_dir, "whole")
+    out, once = scratch_path(spark, "t-restart"), scratch_path(spark, "t-once")
+    for part in (ev.where(f"event_id <= {early}"), ev.where(f"event_id > {early}")):
+        for folder in (feed, whole):
+            V.feed_messages(part).select("value").write.mode("append").text(folder)
+        cli.live(spark, feed, out)
+    cli.live(spark, whole, once)
+    a, b = SK.read_collections(spark, out), SK.read_collections(spark, once)
+    for name in ("laps", "gaps", "weather", "predictions"):
+        assert a[name].count() == b[name].count() > 0, name
+    assert spark.read.parquet(f"{out}/bronze").count() == spark.read.parquet(f"{once}/bronze").count()
