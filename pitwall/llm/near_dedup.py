@@ -10,6 +10,12 @@ documents share with the probability of their weighted Jaccard similarity;
 ``rows`` samples make a band, and documents that share a band are candidates,
 verified by that similarity computed from their whole shingle sets.
 
+Two documents share at most the weight of what each has in common with any
+other candidate, so a shingle that no other candidate has lowers the greatest
+similarity its document can reach.  Documents that cannot reach the threshold
+leave before any comparison, and the bound is taken anew among those that stay;
+pairs that cannot reach it by their bounds are not compared.
+
 Links inside a band's bucket are found without listing its pairs.  All members
 are compared with one pivot; members at a distance that, by the triangle
 inequality (1 - weighted Jaccard is a metric), cannot be near an unlinked one
@@ -298,6 +304,38 @@ def _verify(pairs: DataFrame, vectors: DataFrame, rare: float) -> DataFrame:
     return staged(met.mapInArrow(_compare, "a long, b long, similarity double"), "near-verified")
 
 
+def _listed(rare: float):
+    """One row (shingle, node, mass) for each shingle of a vector."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "shingles", 1 << 18):
+            size = pc.binary_length(b.column("shingles")).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+            short = np.frombuffer(b"".join(b.column("shingles").to_pylist()), np.int32)
+            mass = [np.frombuffer(w, np.float32) if w is not None else np.full(n, rare, np.float32) for w, n in zip(b.column("weights").to_pylist(), size.tolist())]
+            node = np.repeat(b.column("node").to_numpy(), size)
+            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(node), pa.array(np.concatenate(mass).astype(np.float64))], names=["shingle", "node", "mass"])
+
+    return run
+
+
+def _solid(members: DataFrame, vectors: DataFrame, rare: float, similarity: float) -> DataFrame:
+    """Members that can reach the threshold, with ``solid``: their weight without
+    the shingles that no other of them has.  Counted anew among those that stay
+    while a tenth of the nodes leave."""
+    left = members.select("node").distinct().count()
+    while True:
+        held = vectors.join(members.select("node").distinct(), "node", "left_semi")
+        alone = held.mapInArrow(_listed(rare), "shingle int, node long, mass double").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("mass").alias("mass")).where("n = 1")
+        lost = alone.groupBy("node").agg(F.sum("mass").alias("lost"))
+        solid = members.drop("solid").join(lost, "node", "left").withColumn("solid", F.col("weight") - F.coalesce("lost", F.lit(0.0))).drop("lost")
+        solid = solid.where(F.col("solid") >= (similarity - 1e-6) * F.col("weight"))
+        several = solid.groupBy("bucket").count().where("count > 1").select("bucket")
+        members = staged(solid.join(several, "bucket", "left_semi"), "near-solid")
+        before, left = left, members.select("node").distinct().count()
+        if left > 0.9 * before or not left:
+            return members
+
+
 def _rooted(alive: DataFrame, links: DataFrame) -> DataFrame:
     """Members with the root of their component so far; buckets whose members
     are all of one component have nothing left to find."""
@@ -309,7 +347,7 @@ def _rooted(alive: DataFrame, links: DataFrame) -> DataFrame:
 
 def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: float, per_member: int = 4) -> DataFrame:
     """Verified links (a, b) that connect what the pairs of the buckets connect.
-    members: bucket, node, weight.  Pairs are compared directly once there are
+    members: bucket, node, weight, solid.  Pairs are compared directly once there are
     at most ``per_member`` of them for each member there was."""
     far, links = 1 - similarity, None
     total, count = members.count(), 1
@@ -319,25 +357,27 @@ def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: floa
         left = sizes.agg(F.sum(F.col("n") * F.col("u"))).first()[0]
         if not left:
             return links
-        close = F.least("weight", "pw") >= (similarity - 1e-6) * F.greatest("weight", "pw")
+        common = F.least("solid", "ps")
+        bound = common / (F.col("weight") + F.col("pw") - common)
+        close = bound >= similarity - 1e-6
         if links is not None and left <= max(20_000, per_member * total):
-            other = alive.where("open").select("bucket", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("root").alias("pr"), F.col("away").alias("pd"), F.col("exact").alias("pe"))
+            other = alive.where("open").select("bucket", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), F.col("away").alias("pd"), F.col("exact").alias("pe"))
             apart = F.col("exact") & F.col("pe") & (F.abs(F.col("away") - F.col("pd")) > far + 1e-6)
             pairs = alive.join(other, "bucket").where((F.col("root") != F.col("pr")) & close & ~apart).select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
             return links.unionByName(_verify(pairs, vectors, rare).where(F.col("similarity") >= similarity).select("a", "b"))
         # the first open members of a bucket; the very first is its reference
         turn = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        pivot = alive.where("open").select("bucket", F.col("node").alias("b"), F.col("weight").alias("pw"), F.col("root").alias("pr"), turn.alias("k")).where(F.col("k") <= count)
+        pivot = alive.where("open").select("bucket", F.col("node").alias("b"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), turn.alias("k")).where(F.col("k") <= count)
         pivot = staged(pivot, "near-pivots")
         met = alive.drop("away", "exact").join(pivot, "bucket").where((F.col("node") != F.col("b")) & ((F.col("k") == 1) | (F.col("root") != F.col("pr"))))
-        met = met.withColumnRenamed("node", "a").withColumn("bound", F.least("weight", "pw") / F.greatest("weight", "pw"))
+        met = met.withColumnRenamed("node", "a").withColumn("bound", bound)
         sims = _verify(met.where(close).select("a", "b").distinct(), vectors, rare)
         found = sims.where(F.col("similarity") >= similarity).select("a", "b")
         links = found if links is None else links.unionByName(found)
         # what is not verified is at least 1 - bound away from the pivot
         first = F.col("k") == 1
         judged = met.join(sims, ["a", "b"], "left").groupBy("bucket", F.col("a").alias("node")).agg(
-            F.max("weight").alias("weight"),
+            F.max("weight").alias("weight"), F.max("solid").alias("solid"),
             (F.max("open") & ~F.max(F.coalesce(F.col("similarity") >= similarity, F.lit(False)))).alias("still"),
             F.max(F.when(first, F.coalesce(1 - F.col("similarity"), 1 - F.col("bound")))).alias("away"),
             F.max(first & F.col("similarity").isNotNull()).alias("exact"),
@@ -345,7 +385,7 @@ def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: floa
         judged = staged(judged.join(pivot.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti"), "near-judged")
         nearest = judged.where("still").groupBy("bucket").agg(F.min("away").alias("nearest"))
         kept = judged.join(nearest, "bucket").where(F.col("still") | ~F.col("exact") | (F.col("away") + far + 1e-6 >= F.col("nearest")))
-        alive = _rooted(kept.select("bucket", "node", "weight", F.col("still").alias("open"), "away", "exact"), links)
+        alive = _rooted(kept.select("bucket", "node", "weight", "solid", F.col("still").alias("open"), "away", "exact"), links)
         count *= 8
 
 
@@ -397,7 +437,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
         needed = F.broadcast(needed)  # three numbers a row: at most 24 MB
     parts = texts.select("id", "row", "text").join(needed, ["id", "row"]).select("node", "text")
     vectors = staged(parts.mapInArrow(_vectors(shared), "node long, shingles binary, weights binary").dropDuplicates(["node"]), "near-vectors")
-    links = _links(members, vectors, rare, similarity) if n else None
+    links = _links(_solid(members, vectors, rare, similarity), vectors, rare, similarity) if n else None
     if links is None:
         roots = nodes.select("node", F.col("node").alias("root"))
     else:
