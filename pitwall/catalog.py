@@ -58,10 +58,11 @@ def _feed_lines(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return E.normalise(msgs, **kw)
 
 
-def _feed_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed laps of the feed, materialised: dashboard queries read them in a
-    size check, an interval aggregate and the final query."""
-    return materialize(E.lap_rows(_feed_lines(spark, sf_dir)).select("PilotNumber", "Lap", "Seconds", TS, "event_id"))
+def _feed_laps(spark: SparkSession, sf_dir: str, reused: bool = True) -> DataFrame:
+    """Typed laps of the feed, written once where a size check, an interval
+    aggregate and the final query all read them (``reused``)."""
+    laps = E.lap_rows(_feed_lines(spark, sf_dir)).select("PilotNumber", "Lap", "Seconds", TS, "event_id")
+    return materialize(laps) if reused else laps
 
 
 # --- regression (W1 A8 W3 M4 T1 T2 A1 J3) ------------------------------------
@@ -312,7 +313,7 @@ def race_pace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def race_lap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.race_lap(_feed_laps(spark, sf_dir))
+    return D.race_lap(_feed_laps(spark, sf_dir, reused=False))
 
 
 def _feed_predictions(spark, sf_dir, laps=None, reused: bool = True):
@@ -362,7 +363,7 @@ def unified_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = L.keyed_records(L.lap_messages(_feed_laps(spark, sf_dir)))
+    recs = L.keyed_records(L.lap_messages(_feed_laps(spark, sf_dir, reused=False)))
     back = L.parse_lap_messages(recs)
     return back.select("key", "PilotNumber", "Lap", _r4("Seconds").alias("Seconds"), _ms())
 
@@ -393,12 +394,14 @@ def _in_waves(msgs: DataFrame, path: str, run, ts: str = TS) -> None:
     run after the first restarts the query from its checkpoint and state."""
     msgs = materialize(msgs.select("PilotNumber", ts, "value"))
     lo, hi, rows = msgs.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
-    waves = max(MIN_STREAM_WAVES, -(-rows // WAVE_ROWS))
-    step = (hi - lo) / waves
+    waves = max(MIN_STREAM_WAVES, -(-rows // WAVE_ROWS)) if lo is not None else 1
+    step = (hi - lo) / waves if lo is not None else None
     for i in range(waves):
-        wave = msgs.where(F.col(ts) >= F.lit(lo + step * i))
+        # rows without a time come with the first wave
+        wave = msgs if i == 0 else msgs.where(F.col(ts) >= F.lit(lo + step * i))
         if i < waves - 1:
-            wave = wave.where(F.col(ts) < F.lit(lo + step * (i + 1)))
+            before = F.col(ts) < F.lit(lo + step * (i + 1))
+            wave = wave.where(before if i else before | F.col(ts).isNull())
         wave.repartition("PilotNumber").select("value").write.mode("append").text(path)
         run()
 

@@ -14,6 +14,7 @@ one global aggregate (two numbers), computed once and used as a literal.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ LINE_MAX_BARS = 167.5  # pace trace, prediction and gap panels
 AUTO_MAX_BARS = 100  # "auto" bar count
 SINGLE_BAR = 1  # the collapsed lap / next-lap column
 RANGE_LO, RANGE_HI = 0, 1000  # range bucket [0, 1000)
+BEFORE_ALL = -(1 << 58)  # microseconds before any timestamp, for null ones
 WEATHER_PANEL = ["AirTemp", "TrackTemp", "WindSpeed", "Rainfall", "Humidity"]
 
 
@@ -67,14 +69,20 @@ def bucket(col: str | Column, interval: int) -> Column:
 
 def last_value(v: str | Column, ts: str = TS, tiebreak: Sequence[str] = ()) -> Column:
     """A3: value of the latest row by ``ts`` (then tiebreak) among rows where
-    the value exists.  Without a tiebreak the ordering is the timestamp's
-    epoch microseconds (a LONG), which keeps the aggregate hash-based; with
-    one it is a struct (sort-based aggregate)."""
+    the value exists.  The ordering is one fixed-width number, which keeps the
+    aggregate hash-based: the timestamp's epoch microseconds or, with an
+    integer tiebreak, decimal microseconds x 2*10^19 + tiebreak (nulls lowest).
+    Several tiebreaks make it a struct (sort-based aggregate)."""
     c = F.col(v) if isinstance(v, str) else v
-    if tiebreak:
-        order = F.struct(F.col(ts), *[F.col(t) for t in tiebreak])
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    if not tiebreak:
+        order = micros
+    elif len(tiebreak) == 1:
+        when = F.coalesce(micros, F.lit(BEFORE_ALL)).cast("decimal(18,0)")
+        turn = F.coalesce(F.col(tiebreak[0]).cast("decimal(19,0)"), F.lit(Decimal(-(10**19) + 1)))
+        order = (when * F.lit(Decimal(2 * 10**19)) + turn).cast("decimal(38,0)")
     else:
-        order = F.unix_micros(F.col(ts).cast("timestamp"))
+        order = F.struct(F.col(ts), *[F.col(t) for t in tiebreak])
     return F.max_by(c, F.when(c.isNotNull(), order))
 
 

@@ -116,17 +116,17 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
     # Only feed and recap messages have lines; other kinds explode to nothing,
     # so no filter is needed (a filter on ``kind`` would be pushed below the
     # parse and repeat it).
+    # The gate works the same way: messages it stops have no lines.
     m = messages
-    if gate == "best_lap":
-        m = m.where((F.col("kind") == "recap") | contains(F.col("value"), BEST_LAP_MARK))
-    elif gate is not None:
+    if gate not in (None, "best_lap"):
         raise ValueError("gate is None or 'best_lap'")
+    passes = contains(F.col("value"), BEST_LAP_MARK) if gate else F.lit(True)
     is_weather = (F.col("kind") == "feed") & (F.col("topic") == WEATHER_TOPIC)
     lines_map = F.when(F.col("kind") == "recap", _get(DOC, RECAP_LINES, LINES_TYPE)).otherwise(
-        F.when(~is_weather, _get(DOC, FEED_LINES, LINES_TYPE))
+        F.when(~is_weather & passes, _get(DOC, FEED_LINES, LINES_TYPE))
     )
     # Weather keeps a single placeholder entry so explode emits one row.
-    entries = F.when(is_weather, F.map_from_arrays(F.array(F.lit("")), F.array(_get(DOC, FEED_ARGS + "[1]"))))
+    entries = F.when(is_weather & passes, F.map_from_arrays(F.array(F.lit("")), F.array(_get(DOC, FEED_ARGS + "[1]"))))
     # message scope: the original searches the text of the whole M[0] payload;
     # the payload is only serialised when the raw line mentions the mark at all
     msg_gap = (

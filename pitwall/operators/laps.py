@@ -5,7 +5,7 @@ Lap message (bus value)::
     {"TimingData": {...line fields..., "PilotNumber": 16}, "@timestamp": "..."}
 
 ``lap_messages`` builds it (F7, to_json), ``parse_lap_messages`` reads it back
-the way the prediction job does: bytes -> text, four JSON paths, ``try_cast``
+the way the prediction job does: bytes -> text, four JSON fields, ``try_cast``
 (ANSI casts would fail on "1:18.234"), then the not-null filter.
 """
 
@@ -22,6 +22,11 @@ TOPIC = "LiveTimingData"
 RECORD_KEY = "info"
 CURRENT_BUFFER = 10
 OLDER_BUFFER = 5
+# The fields read from a lap message, as text.
+LAP_MESSAGE = (
+    "TimingData STRUCT<PilotNumber: STRING, NumberOfLaps: STRING, LastLapTime: STRUCT<Value: STRING>>, "
+    "`@timestamp` STRING"
+)
 
 
 def lap_messages(laps: DataFrame, seconds_col: str = "Seconds", ts: str = TS) -> DataFrame:
@@ -41,15 +46,18 @@ def keyed_records(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_lap_messages(records: DataFrame, value: str = "value") -> DataFrame:
-    """P11 + P12 + P13 + P14: bus value (bytes or text) -> typed laps."""
-    text = F.col(value).cast("string")
-    j = records.select(text.alias("_json"), *[c for c in records.columns if c != value])
+    """P11 + P12 + P13 + P14: bus value (bytes or text) -> typed laps.  The
+    not-null filter stays above the one-element ``inline``, so each record is
+    parsed once."""
+    doc = F.from_json(F.col(value).cast("string"), LAP_MESSAGE)
+    rest = [c for c in records.columns if c != value]
+    j = records.select(*rest, F.inline(F.array(F.struct(doc.alias("_doc")))))
     return j.select(
-        F.get_json_object("_json", "$.TimingData.PilotNumber").try_cast("int").alias("PilotNumber"),
-        F.get_json_object("_json", "$.TimingData.NumberOfLaps").try_cast("int").alias("Lap"),
-        F.get_json_object("_json", "$.TimingData.LastLapTime.Value").try_cast("double").alias("Seconds"),
-        F.try_to_timestamp(F.get_json_object("_json", "$.@timestamp")).alias(TS),
-        *[c for c in j.columns if c != "_json"],
+        F.col("_doc.TimingData.PilotNumber").try_cast("int").alias("PilotNumber"),
+        F.col("_doc.TimingData.NumberOfLaps").try_cast("int").alias("Lap"),
+        F.col("_doc.TimingData.LastLapTime.Value").try_cast("double").alias("Seconds"),
+        F.try_to_timestamp(F.col(f"_doc.`{TS}`")).alias(TS),
+        *rest,
     ).where("Lap is not null and Seconds is not null")
 
 

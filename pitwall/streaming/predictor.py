@@ -2,8 +2,9 @@
 
 One ``StatefulProcessor`` per driver key keeps
 
-  * ``buffer`` -- ListState of at most ``n`` (Lap, Seconds) rows, the highest
-    laps seen so far (ST3, bounded: state never grows with the stream);
+  * ``buffer`` -- ListState of at most ``n`` (Lap, Seconds, time) rows, the
+    highest (Lap, time) seen so far, as in the batch buffers (ST3, bounded:
+    state never grows with the stream);
   * ``model``  -- ValueState (slope, intercept) of the last refit (ST4).
 
 For every arriving lap (in event-time order inside a micro-batch): the row
@@ -27,6 +28,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
+    LongType,
     StructField,
     StructType,
     TimestampType,
@@ -37,7 +39,9 @@ EVENT_TIME = "ts"  # '@timestamp' does not survive the trip to the Python worker
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 
-BUFFER_SCHEMA = StructType([StructField("Lap", IntegerType()), StructField("Seconds", DoubleType())])
+BUFFER_SCHEMA = StructType(
+    [StructField("Lap", IntegerType()), StructField("Seconds", DoubleType()), StructField("micros", LongType())]
+)
 MODEL_SCHEMA = StructType([StructField("slope", DoubleType()), StructField("intercept", DoubleType())])
 OUTPUT_SCHEMA = StructType(
     [
@@ -78,13 +82,13 @@ class RollingPredictor(StatefulProcessor):
         # key = (session keys..., driver); the driver is the last key column
         batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.sort_values([EVENT_TIME, "Lap"], kind="mergesort", na_position="first")
-        buf = [(int(lap), float(sec)) for lap, sec in self.buffer.get()] if self.buffer.exists() else []
+        buf = [(int(lap), float(sec), int(at)) for lap, sec, at in self.buffer.get()] if self.buffer.exists() else []
         model = self.model.get() if self.model.exists() else None
         out = []
         for lap, sec, ts in zip(batch["Lap"], batch["Seconds"], batch[EVENT_TIME]):
-            buf.append((int(lap), float(sec)))
-            # top n by Lap, highest first; for equal laps the earlier row stays first
-            buf = sorted(buf, key=lambda r: -r[0])[: self.n]
+            # top n by (Lap, time), highest first; of equal ones the new row is first
+            buf.insert(0, (int(lap), float(sec), ts.value // 1000))
+            buf = sorted(buf, key=lambda r: (-r[0], -r[2]))[: self.n]
             nxt = max(r[0] for r in buf) + 1
             if model is None or nxt % self.cadence == 0 or nxt < self.early_below:
                 arr = np.array(buf, dtype=float)

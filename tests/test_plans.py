@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from pitwall.catalog import QUERIES
 from pitwall.operators import laps as L
 from pitwall.sources import derived as V
 
@@ -41,8 +42,23 @@ def test_roster_is_broadcast(spark):
 
 
 def test_no_python_udf_in_batch_queries(spark):
-    for name, q in entry.queries().items():
+    for name, q in QUERIES.items():
         if name.startswith("stream_"):
             continue
         plan = q(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+@pytest.mark.parametrize("name", ["pace_trace", "gap_bars", "race_pace_table", "prediction_table"])
+def test_last_value_is_a_hash_aggregate(spark, name):
+    assert "SortAggregate" not in _plan(entry.queries()[name](spark, SF))
+
+
+def test_bus_laps_are_parsed_once(spark):
+    plan = entry.queries()["parse_lap_value"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1 and "get_json_object" not in plan
+
+
+def test_best_lap_gate_parses_once(spark):
+    plan = entry.queries()["best_lap_gate"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parse_json") <= 1

@@ -187,3 +187,16 @@ def test_restart_goes_on_where_it_ended(spark, tmp_dir):
     for name in ("laps", "gaps", "weather", "predictions"):
         assert a[name].count() == b[name].count() > 0, name
     assert spark.read.parquet(f"{out}/bronze").count() == spark.read.parquet(f"{once}/bronze").count()
+
+
+def test_repeated_lap_follows_the_batch_rule(spark, tmp_dir):
+    from pitwall.operators import regress
+
+    s = LapStream(spark, tmp_dir)
+    times = [(1, 80.0), (2, 81.0), (2, 99.0), *[(lap, 80.0 + lap) for lap in range(3, 12)]]
+    lines = [_msg(16, lap, sec, f"2024-01-01T00:{i:02d}:00Z") for i, (lap, sec) in enumerate(times)]
+    s.push(lines[:3])
+    got = {(r[2], round(r[3], 6)) for r in s.push(lines[3:])}
+    laps = parse_lap_messages(spark.createDataFrame([(x,) for x in lines], "value string"))
+    want = {(r.NextLap, round(r.prediction, 6)) for r in regress.rolling_predict(laps).collect()}
+    assert got == want
