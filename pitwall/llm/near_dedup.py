@@ -17,12 +17,13 @@ leave before any comparison, and the bound is taken anew among those that stay;
 pairs that cannot reach it by their bounds are not compared.
 
 Links inside a band's bucket are found without listing its pairs.  All members
-are compared with one pivot; members at a distance that, by the triangle
-inequality (1 - weighted Jaccard is a metric), cannot be near an unlinked one
-leave, and so do buckets whose members the links have already connected;
-more pivots, eight times as many each round, are taken from the unlinked
-members.  Once what is open comes to a
-few pairs for each member, these are compared directly.  Documents with the same words are one node throughout.
+are compared with one pivot, which then leaves.  Of two members that are not
+connected yet, one is outside the largest component of their bucket: only such
+members are pivots later, eight times as many each round.  Members of the
+largest component that, by the triangle inequality (1 - weighted Jaccard is a
+metric), cannot be near one of those leave, and so do buckets of one component.
+Once what can still be near comes to a few pairs for each member, these are
+compared directly.  Documents with the same words are one node throughout.
 Classes are the connected components of the links, by alternating star
 contraction.
 
@@ -49,6 +50,8 @@ from pitwall.llm.shared import SliceTable, byte_table, fresh, mix, prefix_sums,
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 9, 3
 RARE = 1000
+#: So few pairs are compared directly at any size.
+FEWEST = 20_000
 _TABLE = byte_table(53)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -336,56 +339,59 @@ def _solid(members: DataFrame, vectors: DataFrame, rare: float, similarity: floa
             return members
 
 
-def _rooted(alive: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the root of their component so far; buckets whose members
-    are all of one component have nothing left to find."""
+def _rooted(alive: DataFrame, links: DataFrame, far: float) -> tuple[DataFrame, DataFrame]:
+    """Members with the root of their component so far, and the links as stars.
+    Of two members with different roots one is outside the largest component of
+    their bucket: such members are ``open``.  Buckets of one component have
+    nothing left to find, and members of the largest that are too far from all
+    open ones leave."""
     found = components(links)
     alive = alive.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = alive.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("open").alias("any")).where("lo != hi and any").select("bucket")
-    return staged(alive.join(several, "bucket", "left_semi"), "near-alive")
+    parts = alive.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("away").alias("near"))
+    top = parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("top"), F.count("*").alias("m")).where("m > 1").drop("m")
+    nearest = parts.join(top, "bucket").where("root != top").groupBy("bucket").agg(F.min("top").alias("top"), F.min("near").alias("nearest"))
+    alive = alive.join(nearest, "bucket").withColumn("open", F.col("root") != F.col("top"))
+    alive = alive.where(F.col("open") | ~F.col("exact") | (F.col("away") + far + 1e-6 >= F.col("nearest"))).drop("top", "nearest")
+    return staged(alive, "near-alive"), found.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
-def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: float, per_member: int = 4) -> DataFrame:
+def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: float, per_member: int = 16, tried: int = 16) -> DataFrame:
     """Verified links (a, b) that connect what the pairs of the buckets connect.
-    members: bucket, node, weight, solid.  Pairs are compared directly once there are
-    at most ``per_member`` of them for each member there was."""
+    members: bucket, node, weight, solid.  Pairs are compared directly once at most
+    ``per_member`` of them for each member there was can reach the threshold;
+    these are counted when at most ``tried`` times as many are left."""
     far, links = 1 - similarity, None
     total, count = members.count(), 1
+    few = max(FEWEST, per_member * total)
     alive = members.withColumns({"open": F.lit(True), "root": F.col("node"), "away": F.lit(0.0), "exact": F.lit(False)})
+    common = F.least("solid", "ps")
+    bound = common / (F.col("weight") + F.col("pw") - common)
+    close = bound >= similarity - 1e-6
     while True:
         sizes = alive.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("open").cast("long")).alias("u"))
         left = sizes.agg(F.sum(F.col("n") * F.col("u"))).first()[0]
         if not left:
             return links
-        common = F.least("solid", "ps")
-        bound = common / (F.col("weight") + F.col("pw") - common)
-        close = bound >= similarity - 1e-6
-        if links is not None and left <= max(20_000, per_member * total):
+        if links is not None and left <= tried * few:
             other = alive.where("open").select("bucket", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), F.col("away").alias("pd"), F.col("exact").alias("pe"))
             apart = F.col("exact") & F.col("pe") & (F.abs(F.col("away") - F.col("pd")) > far + 1e-6)
-            pairs = alive.join(other, "bucket").where((F.col("root") != F.col("pr")) & close & ~apart).select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
-            return links.unionByName(_verify(pairs, vectors, rare).where(F.col("similarity") >= similarity).select("a", "b"))
+            pairs = alive.join(other, "bucket").where((F.col("root") != F.col("pr")) & close & ~apart)
+            if left <= few or pairs.count() <= few:
+                pairs = pairs.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
+                return links.unionByName(_verify(pairs, vectors, rare).where(F.col("similarity") >= similarity).select("a", "b"))
         # the first open members of a bucket; the very first is its reference
         turn = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
         pivot = alive.where("open").select("bucket", F.col("node").alias("b"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), turn.alias("k")).where(F.col("k") <= count)
         pivot = staged(pivot, "near-pivots")
-        met = alive.drop("away", "exact").join(pivot, "bucket").where((F.col("node") != F.col("b")) & ((F.col("k") == 1) | (F.col("root") != F.col("pr"))))
-        met = met.withColumnRenamed("node", "a").withColumn("bound", bound)
-        sims = _verify(met.where(close).select("a", "b").distinct(), vectors, rare)
+        met = alive.join(pivot, "bucket").where((F.col("node") != F.col("b")) & ((F.col("k") == 1) | (F.col("root") != F.col("pr"))) & close)
+        sims = _verify(met.select(F.col("node").alias("a"), "b").distinct(), vectors, rare)
         found = sims.where(F.col("similarity") >= similarity).select("a", "b")
         links = found if links is None else links.unionByName(found)
-        # what is not verified is at least 1 - bound away from the pivot
-        first = F.col("k") == 1
-        judged = met.join(sims, ["a", "b"], "left").groupBy("bucket", F.col("a").alias("node")).agg(
-            F.max("weight").alias("weight"), F.max("solid").alias("solid"),
-            (F.max("open") & ~F.max(F.coalesce(F.col("similarity") >= similarity, F.lit(False)))).alias("still"),
-            F.max(F.when(first, F.coalesce(1 - F.col("similarity"), 1 - F.col("bound")))).alias("away"),
-            F.max(first & F.col("similarity").isNotNull()).alias("exact"),
-        )
-        judged = staged(judged.join(pivot.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti"), "near-judged")
-        nearest = judged.where("still").groupBy("bucket").agg(F.min("away").alias("nearest"))
-        kept = judged.join(nearest, "bucket").where(F.col("still") | ~F.col("exact") | (F.col("away") + far + 1e-6 >= F.col("nearest")))
-        alive = _rooted(kept.select("bucket", "node", "weight", "solid", F.col("still").alias("open"), "away", "exact"), links)
+        # pivots have met all members; what is not verified is at least 1 - bound away from the reference
+        rest = alive.select("bucket", "node", "weight", "solid").join(pivot.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti")
+        rest = rest.join(pivot.where("k = 1").select("bucket", "b", "pw", "ps"), "bucket").join(sims.withColumnRenamed("a", "node"), ["node", "b"], "left")
+        rest = rest.select("bucket", "node", "weight", "solid", F.coalesce(1 - F.col("similarity"), 1 - bound).alias("away"), F.col("similarity").isNotNull().alias("exact"))
+        alive, links = _rooted(rest, links, far)
         count *= 8
 
 

@@ -202,6 +202,21 @@ def test_near_classes(spark):
     assert near_dedup.near_classes(docs.limit(0)).count() == 0
 
 
+def test_links_connect_a_chain_within_one_bucket(spark):
+    # neighbours reach 90 / 110, all others stay below 0.8; no pivot is near all
+    sets = {n: np.arange(10 * n, 10 * n + 100, dtype=np.uint32) for n in range(1, 13)}
+    vectors = spark.createDataFrame([(n, bytearray(v.tobytes()), None) for n, v in sets.items()], "node long, shingles binary, weights binary")
+    members = spark.createDataFrame([(7, n, 100.0, 100.0) for n in sets], "bucket long, node long, weight double, solid double")
+    for direct in (0, 16):
+        near_dedup.FEWEST, fewest = direct, near_dedup.FEWEST
+        try:
+            links = near_dedup._links(members, vectors, 1.0, 0.8, per_member=direct)
+            roots = {r.node: r.root for r in near_dedup.components(links).collect()}
+        finally:
+            near_dedup.FEWEST = fewest
+        assert roots == {n: 1 for n in range(2, 13)}
+
+
 def test_sampling_estimates_weighted_jaccard():
     rng = np.random.default_rng(7)
     h = rng.integers(1, 1 << 62, 400).astype(np.uint64)
