@@ -357,7 +357,7 @@ def _rooted(alive: DataFrame, links: DataFrame, far: float) -> tuple[DataFrame,
 
 def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: float, per_member: int = 16, tried: int = 16) -> DataFrame:
     """Verified links (a, b) that connect what the pairs of the buckets connect.
-    members: bucket, node, weight, solid.  Pairs are compared directly once at most
+    members: bucket, node, weight, solid, bands (all buckets of the node).  Pairs are compared directly once at most
     ``per_member`` of them for each member there was can reach the threshold;
     these are counted when at most ``tried`` times as many are left."""
     far, links = 1 - similarity, None
@@ -373,9 +373,11 @@ def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: floa
         if not left:
             return links
         if links is not None and left <= tried * few:
-            other = alive.where("open").select("bucket", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), F.col("away").alias("pd"), F.col("exact").alias("pe"))
+            other = alive.where("open").select("bucket", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), F.col("away").alias("pd"), F.col("exact").alias("pe"), F.col("bands").alias("pb"))
             apart = F.col("exact") & F.col("pe") & (F.abs(F.col("away") - F.col("pd")) > far + 1e-6)
-            pairs = alive.join(other, "bucket").where((F.col("root") != F.col("pr")) & close & ~apart)
+            # a pair is made in the first bucket it shares: where it is missing there, it is settled
+            both = F.filter(F.zip_with("bands", "pb", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
+            pairs = alive.join(other, "bucket").where((F.col("root") != F.col("pr")) & close & ~apart & (F.get(both, 0) == F.col("bucket")))
             if left <= few or pairs.count() <= few:
                 pairs = pairs.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
                 return links.unionByName(_verify(pairs, vectors, rare).where(F.col("similarity") >= similarity).select("a", "b"))
@@ -388,9 +390,9 @@ def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: floa
         found = sims.where(F.col("similarity") >= similarity).select("a", "b")
         links = found if links is None else links.unionByName(found)
         # pivots have met all members; what is not verified is at least 1 - bound away from the reference
-        rest = alive.select("bucket", "node", "weight", "solid").join(pivot.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti")
+        rest = alive.select("bucket", "node", "weight", "solid", "bands").join(pivot.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti")
         rest = rest.join(pivot.where("k = 1").select("bucket", "b", "pw", "ps"), "bucket").join(sims.withColumnRenamed("a", "node"), ["node", "b"], "left")
-        rest = rest.select("bucket", "node", "weight", "solid", F.coalesce(1 - F.col("similarity"), 1 - bound).alias("away"), F.col("similarity").isNotNull().alias("exact"))
+        rest = rest.select("bucket", "node", "weight", "solid", "bands", F.coalesce(1 - F.col("similarity"), 1 - bound).alias("away"), F.col("similarity").isNotNull().alias("exact"))
         alive, links = _rooted(rest, links, far)
         count *= 8
 
@@ -435,7 +437,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
         ),
         "near-nodes",
     )
-    listed = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
+    listed = nodes.select("node", "weight", "bands", F.explode("bands").alias("bucket"))
     shared_buckets = listed.groupBy("bucket").count().where("count > 1").select("bucket")
     members = staged(listed.join(shared_buckets, "bucket", "left_semi"), "near-members")
     needed = nodes.join(members.select("node").distinct(), "node", "left_semi").select("first.id", "first.row", "node")

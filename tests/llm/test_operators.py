@@ -206,7 +206,7 @@ def test_links_connect_a_chain_within_one_bucket(spark):
     # neighbours reach 90 / 110, all others stay below 0.8; no pivot is near all
     sets = {n: np.arange(10 * n, 10 * n + 100, dtype=np.uint32) for n in range(1, 13)}
     vectors = spark.createDataFrame([(n, bytearray(v.tobytes()), None) for n, v in sets.items()], "node long, shingles binary, weights binary")
-    members = spark.createDataFrame([(7, n, 100.0, 100.0) for n in sets], "bucket long, node long, weight double, solid double")
+    members = spark.createDataFrame([(7, n, 100.0, 100.0, [n, 7]) for n in sets], "bucket long, node long, weight double, solid double, bands array<long>")
     for direct in (0, 16):
         near_dedup.FEWEST, fewest = direct, near_dedup.FEWEST
         try:
