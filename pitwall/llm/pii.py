@@ -38,6 +38,10 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){13}[0-9]", "phone": r"\+[0-9]"}
 #: Tokens that may be identifiers: a digit or an at sign between blanks.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Tokens of digits that stand close together are one candidate: the gap, a
+#: token that may be followed by another, one that may follow.
+NEAR = r"^[\x20\t()\[\]-]{1,5}$"
+GOES_ON, FOLLOWS = r"^[^0-9@]*+[0-9][0-9()\[\]./-]*(?<=[0-9)\]-])$", r"^[(\[-]*+[0-9][0-9()\[\]./-]*+[\"')\]}>.,;:!?]*$"
 TRIM_LEFT, TRIM_RIGHT = "^[\"'(\\[{<]+", "[\"')\\]}>.,;:!?]+$"
 
 
@@ -74,7 +78,7 @@ def _scan(texts: DataFrame) -> DataFrame:
         _matches(t, PATTERNS[k], t.rlike(HINTS[k]), lambda g, m, i, n=n, k=k: F.struct(F.lit(n).alias("rank"), F.lit(k).alias("kind"), i.alias("i"), F.char_length(g).alias("gap"), m.alias("match")))
         for n, k in enumerate(KINDS)
     ]
-    tokens = _matches(t, TOKEN, t.rlike("[0-9@]"), lambda g, m, i: F.struct(i.alias("i"), F.char_length(g).alias("gap"), m.alias("match"), F.substring(g, -80, 80).alias("before"), F.substring(g, 1, 40).alias("head")))
+    tokens = _matches(t, TOKEN, t.rlike("[0-9@]"), lambda g, m, i: F.struct(i.alias("i"), F.char_length(g).alias("gap"), m.alias("match"), g.rlike(NEAR).alias("near"), F.substring(g, -80, 80).alias("before"), F.substring(g, 1, 40).alias("head")))
     scanned = texts.select("id", "row", F.flatten(F.filter(F.array(*base), lambda a: a.isNotNull())).alias("base"), tokens.alias("tokens"))
     return staged(scanned.where((F.size("base") > 0) | (F.size("tokens") > 0)).dropDuplicates(["id", "row"]), "pii-scan")
 
@@ -94,24 +98,37 @@ def base_spans(scanned: DataFrame) -> DataFrame:
 
 def _occurrences(scanned: DataFrame, spans: DataFrame) -> DataFrame:
     """Identifier-like tokens with their patterns; ``kind`` where a base span
-    starts in the token, tokens that only continue one are left out."""
+    starts in the token, tokens that only continue one are left out.  Tokens of
+    digits outside base spans that only a short gap separates are one."""
     rows = scanned.select("id", "row", F.explode("tokens").alias("t")).select("id", "row", "t.*")
     by_doc = Window.partitionBy("id", "row").orderBy("i")
     after = F.lead("head").over(by_doc)
     rows = _placed(rows).withColumn("after", after)
     lead = F.char_length(F.regexp_extract("match", TRIM_LEFT, 0))
     core = F.regexp_replace(F.regexp_replace("match", TRIM_LEFT, ""), TRIM_RIGHT, "")
-    rows = rows.select("id", "row", (F.col("start") + lead).alias("start"), core.alias("token"), F.lower("before").alias("before"), F.lower("after").alias("after"))
+    # the bracket of an area code belongs to a candidate that goes on after it
+    wide = F.when(F.col("match").rlike(r"^[\"'(\[{<]*\([0-9]+\)$"), 1).otherwise(0)
+    rows = rows.select(
+        "id", "row", "i", (F.col("start") + lead).alias("start"), (F.col("start") + lead - wide).alias("wide"), core.alias("token"), F.lower("before").alias("before"), F.lower("after").alias("after"),
+        (F.col("near") & F.col("match").rlike(FOLLOWS)).alias("follows"), F.col("match").rlike(GOES_ON).alias("goes_on"),
+    )
     rows = rows.where(F.char_length("token") > 0).withColumn("end", F.col("start") + F.char_length("token"))
     # a running maximum over base spans that start before a token ends
-    none = F.lit(None)
-    marks = spans.select("id", "row", F.col("start").alias("at"), F.lit(0).alias("turn"), F.struct("end", "start", "kind", "match").alias("span"), none.cast("string").alias("token"), none.cast("long").alias("start"), none.cast("long").alias("end"), none.cast("string").alias("before"), none.cast("string").alias("after"))
-    tokens = rows.select("id", "row", (F.col("end") - 1).alias("at"), F.lit(1).alias("turn"), none.cast(marks.schema["span"].dataType).alias("span"), "token", "start", "end", "before", "after")
+    tokens = rows.select("id", "row", (F.col("end") - 1).alias("at"), F.lit(1).alias("turn"), F.struct("i", "start", "wide", "end", "token", "before", "after", "follows", "goes_on").alias("t"))
+    marks = spans.select("id", "row", F.col("start").alias("at"), F.lit(0).alias("turn"), F.struct("end", "start", "kind", "match").alias("span"))
     upto = Window.partitionBy("id", "row").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    met = marks.unionByName(tokens).withColumn("last", F.max("span").over(upto)).where("turn = 1")
-    covered = F.coalesce(F.col("last.end") > F.col("start"), F.lit(False))
-    begins = covered & (F.col("last.start") >= F.col("start"))
-    met = met.where(~covered | begins).withColumn("kind", F.when(begins, F.col("last.kind"))).withColumn("entity", F.when(begins, F.col("last.match")).otherwise(F.col("token")))
+    met = marks.unionByName(tokens, allowMissingColumns=True).withColumn("last", F.max("span").over(upto)).where("turn = 1").select("id", "row", "t.*", "last")
+    met = met.withColumn("covered", F.coalesce(F.col("last.end") > F.col("start"), F.lit(False)))
+    begins = F.col("covered") & (F.col("last.start") >= F.col("start"))
+    joins = F.col("follows") & ~F.col("covered") & F.lag("goes_on").over(by_doc) & ~F.lag("covered").over(by_doc)
+    met = met.withColumns({"kind": F.when(begins, F.col("last.kind")), "entity": F.when(begins, F.col("last.match")), "joins": F.coalesce(joins, F.lit(False)), "begins": begins})
+    met = met.where(~F.col("covered") | F.col("begins")).withColumn("part", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(by_doc))
+    run = F.sort_array(F.collect_list(F.struct("i", "start", "wide", "end", "token", "before", "after", "kind", "entity")))
+    met = met.groupBy("id", "row", "part").agg(run.alias("run")).withColumns({"first": F.element_at("run", 1), "ends": F.element_at("run", -1)})
+    met = met.select(
+        "id", "row", F.when(F.size("run") > 1, F.col("first.wide")).otherwise(F.col("first.start")).alias("start"), "ends.end",
+        F.array_join(F.transform("run", lambda x: x["token"]), " ").alias("token"), "first.before", "ends.after", "first.kind", "first.entity",
+    ).withColumn("entity", F.coalesce("entity", "token"))
     two = F.regexp_extract("before", r"(\S+\s+\S+)\s*$", 1)
     one = F.regexp_extract("before", r"(\S+)\s*$", 1)
     right = F.regexp_extract(F.coalesce("after", F.lit("")), r"^\s*(\S+)", 1)

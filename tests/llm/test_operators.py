@@ -257,6 +257,16 @@ def test_base_spans_and_discovery(spark):
     assert pii.pii(docs.limit(0)).count() == 0
 
 
+def test_discovery_of_identifiers_with_blanks(spark):
+    rows = [(i, f"hello call me at +1 (486) 555-35{i:02d} thanks") for i in range(20)]
+    rows += [(30, "now call me at (486) 555-3535 ok"), (31, "now call me at 486 555 3535, ok"), (32, "now call me at 4111 2222 3333 4445 ok"), (33, "now call me at 486.555.3599 ok 1999, 2000")]
+    docs = table(spark, rows)
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if not s.base] for r in pii.pii(docs).collect()}
+    assert {i: s for i, s in found.items() if s} == {30: [("phone", 15, 29)], 31: [("phone", 15, 27)], 32: [("phone", 15, 34)], 33: [("phone", 15, 27)]}
+    masked = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert masked[30] == "now call me at [PHONE] ok" and masked[31] == "now call me at [PHONE], ok"
+
+
 # -- top-k --------------------------------------------------------------------------------
 
 def test_top_k(spark):
