@@ -42,14 +42,17 @@ TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 #: token that may be followed by another, one that may follow.
 NEAR = r"^[\x20\t()\[\]-]{1,5}$"
 GOES_ON, FOLLOWS = r"^[^0-9@]*+[0-9][0-9()\[\]./-]*(?<=[0-9)\]-])$", r"^[(\[-]*+[0-9][0-9()\[\]./-]*+[\"')\]}>.,;:!?]*$"
+#: The context: at most two whole words before a token, one after it.
+LAST_WORDS, FIRST_WORD = r"(?<!\S)(\S++(?:\s++\S++)?+)\s*+$", r"^\s*+(\S++)"
 TRIM_LEFT, TRIM_RIGHT = "^[\"'(\\[{<]+", "[\"')\\]}>.,;:!?]+$"
 
 
 def _matches(text: Column, pattern: str, wanted: Column, fields) -> Column:
-    """Array of ``fields(gap, match, next gap)`` of the matches of a pattern."""
+    """Array of ``fields(gap, match, number, next gap)`` of the matches of a
+    pattern; the next gap of the last match is the rest of the text."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    made = F.transform(F.filter(zipped, lambda x: x["m"].isNotNull()), lambda x, i: fields(x["g"], x["m"], i))
+    zipped = F.arrays_zip(found.alias("m"), gaps.alias("g"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("n"))
+    made = F.transform(F.filter(zipped, lambda x: x["m"].isNotNull()), lambda x, i: fields(x["g"], x["m"], i, x["n"]))
     return F.when(wanted, made)
 
 
@@ -75,10 +78,13 @@ def _scan(texts: DataFrame) -> DataFrame:
     match, the tokens with the words before and after them."""
     t = F.col("text")
     base = [
-        _matches(t, PATTERNS[k], t.rlike(HINTS[k]), lambda g, m, i, n=n, k=k: F.struct(F.lit(n).alias("rank"), F.lit(k).alias("kind"), i.alias("i"), F.char_length(g).alias("gap"), m.alias("match")))
+        _matches(t, PATTERNS[k], t.rlike(HINTS[k]), lambda g, m, i, _, n=n, k=k: F.struct(F.lit(n).alias("rank"), F.lit(k).alias("kind"), i.alias("i"), F.char_length(g).alias("gap"), m.alias("match")))
         for n, k in enumerate(KINDS)
     ]
-    tokens = _matches(t, TOKEN, t.rlike("[0-9@]"), lambda g, m, i: F.struct(i.alias("i"), F.char_length(g).alias("gap"), m.alias("match"), g.rlike(NEAR).alias("near"), F.substring(g, -80, 80).alias("before"), F.substring(g, 1, 40).alias("head")))
+    tokens = _matches(
+        t, TOKEN, t.rlike("[0-9@]"),
+        lambda g, m, i, n: F.struct(i.alias("i"), F.char_length(g).alias("gap"), m.alias("match"), g.rlike(NEAR).alias("near"), F.regexp_extract(g, LAST_WORDS, 1).alias("before"), F.regexp_extract(n, FIRST_WORD, 1).alias("after")),
+    )
     scanned = texts.select("id", "row", F.flatten(F.filter(F.array(*base), lambda a: a.isNotNull())).alias("base"), tokens.alias("tokens"))
     return staged(scanned.where((F.size("base") > 0) | (F.size("tokens") > 0)).dropDuplicates(["id", "row"]), "pii-scan")
 
@@ -98,12 +104,12 @@ def base_spans(scanned: DataFrame) -> DataFrame:
 
 def _occurrences(scanned: DataFrame, spans: DataFrame) -> DataFrame:
     """Identifier-like tokens with their patterns; ``kind`` where a base span
-    starts in the token, tokens that only continue one are left out.  Tokens of
-    digits outside base spans that only a short gap separates are one."""
+    starts in the token; tokens that only continue one belong to that token.
+    Tokens of digits outside base spans that only a short gap separates are one.
+    The words after are those after the last token."""
     rows = scanned.select("id", "row", F.explode("tokens").alias("t")).select("id", "row", "t.*")
     by_doc = Window.partitionBy("id", "row").orderBy("i")
-    after = F.lead("head").over(by_doc)
-    rows = _placed(rows).withColumn("after", after)
+    rows = _placed(rows)
     lead = F.char_length(F.regexp_extract("match", TRIM_LEFT, 0))
     core = F.regexp_replace(F.regexp_replace("match", TRIM_LEFT, ""), TRIM_RIGHT, "")
     # the bracket of an area code belongs to a candidate that goes on after it
@@ -120,21 +126,22 @@ def _occurrences(scanned: DataFrame, spans: DataFrame) -> DataFrame:
     met = marks.unionByName(tokens, allowMissingColumns=True).withColumn("last", F.max("span").over(upto)).where("turn = 1").select("id", "row", "t.*", "last")
     met = met.withColumn("covered", F.coalesce(F.col("last.end") > F.col("start"), F.lit(False)))
     begins = F.col("covered") & (F.col("last.start") >= F.col("start"))
-    joins = F.col("follows") & ~F.col("covered") & F.lag("goes_on").over(by_doc) & ~F.lag("covered").over(by_doc)
-    met = met.withColumns({"kind": F.when(begins, F.col("last.kind")), "entity": F.when(begins, F.col("last.match")), "joins": F.coalesce(joins, F.lit(False)), "begins": begins})
-    met = met.where(~F.col("covered") | F.col("begins")).withColumn("part", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(by_doc))
+    joins = (F.col("covered") & ~begins) | (F.col("follows") & ~F.col("covered") & F.lag("goes_on").over(by_doc) & ~F.lag("covered").over(by_doc))
+    met = met.withColumns({"kind": F.when(begins, F.col("last.kind")), "entity": F.when(begins, F.col("last.match")), "joins": F.coalesce(joins, F.lit(False))})
+    met = met.withColumn("part", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(by_doc))
     run = F.sort_array(F.collect_list(F.struct("i", "start", "wide", "end", "token", "before", "after", "kind", "entity")))
     met = met.groupBy("id", "row", "part").agg(run.alias("run")).withColumns({"first": F.element_at("run", 1), "ends": F.element_at("run", -1)})
     met = met.select(
-        "id", "row", F.when(F.size("run") > 1, F.col("first.wide")).otherwise(F.col("first.start")).alias("start"), "ends.end",
+        "id", "row", F.when((F.size("run") > 1) & F.col("first.kind").isNull(), F.col("first.wide")).otherwise(F.col("first.start")).alias("start"), "ends.end",
         F.array_join(F.transform("run", lambda x: x["token"]), " ").alias("token"), "first.before", "ends.after", "first.kind", "first.entity",
     ).withColumn("entity", F.coalesce("entity", "token"))
-    two = F.regexp_extract("before", r"(\S+\s+\S+)\s*$", 1)
-    one = F.regexp_extract("before", r"(\S+)\s*$", 1)
-    right = F.regexp_extract(F.coalesce("after", F.lit("")), r"^\s*(\S+)", 1)
+    words = F.split("before", r"\s+")
+    two = F.when(F.size(words) == 2, F.array_join(words, " ")).otherwise("")
+    one = F.element_at(words, -1)
+    right = F.coalesce("after", F.lit(""))
     label = F.regexp_extract(F.lower("token"), r"^([^0-9@]+[=:#])", 1)
     patterns = F.array(
-        F.when(two != "", F.concat(F.lit("before "), F.regexp_replace(two, r"\s+", " "))),
+        F.when(two != "", F.concat(F.lit("before "), two)),
         F.when((one != "") & (right != ""), F.concat(F.lit("between "), one, F.lit(" _ "), right)),
         F.when(label != "", F.concat(F.lit("label "), label)),
     )

@@ -267,6 +267,14 @@ def test_discovery_of_identifiers_with_blanks(spark):
     assert masked[30] == "now call me at [PHONE] ok" and masked[31] == "now call me at [PHONE], ok"
 
 
+def test_discovery_between_words(spark):
+    long = "w" * 100
+    rows = [(i, f"word{i} at +1 (486) 555-35{i:02d} {long} end") for i in range(20)]
+    rows += [(30, f"other at 486.555.3599 {long}"), (31, f"more at (486) 555-3598 {long} 7"), (32, f"none at 486.555.3597 {long[1:]}")]
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if not s.base] for r in pii.pii(table(spark, rows)).collect()}
+    assert {i: s for i, s in found.items() if s} == {30: [("phone", 9, 21)], 31: [("phone", 8, 22)]}
+
+
 # -- top-k --------------------------------------------------------------------------------
 
 def test_top_k(spark):
