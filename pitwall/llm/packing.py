@@ -53,7 +53,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.end_id, self.table = end_id, byte_table(11)
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self._clear(most)

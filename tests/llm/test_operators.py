@@ -92,6 +92,15 @@ def test_packing_round_trip(spark):
     assert packing.pack(table(spark, rows).limit(0), queries.WORD_BPE).count() == 0
 
 
+def test_packing_reads_marks_in_the_text(spark):
+    rows = [(1, "end <|endoftext|> next"), (2, "a<|startoftext|>b <|endoftext|><|endoftext|> \x01 c"), (3, "plain words")]
+    pieces = packing.pack(table(spark, rows), queries.WORD_BPE, capacity=64).collect()
+    t = Tokenizer.from_file(queries.WORD_BPE)
+    want = {i: np.array(t.encode(x, add_special_tokens=False).ids + [2], "<u4").tobytes() for i, x in rows}
+    assert want[1] == np.array([806, 49407, 1131, 2], "<u4").tobytes()
+    assert {p.doc_id: bytes(p.ids) for p in pieces} == want
+
+
 def test_differencing_is_a_partition():
     rnd = random.Random(2)
     lengths = [rnd.randrange(1, 900) for _ in range(200)]
