@@ -385,12 +385,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     )
     again = distinct.groupBy("key").agg(F.sum("copies").alias("all")).where("all > 1").select("key")
     parts = distinct.join(again, "key", "left_semi").groupBy("at.id", "at.row").agg(F.collect_list(F.struct("key", "f1", "f2", "copies", "at.start", "at.windows", "at.anchor")).alias("parts"))
-    # a repeated row sends its pieces twice: they differ in nothing
-    pieces = staged(long.join(parts, ["id", "row"]).mapInArrow(_extract(length), _PIECE), "pieces")
+    # rows that repeat (id, row) count in copies only: one text sends its pieces
+    pieces = staged(long.dropDuplicates(["id", "row"]).join(parts, ["id", "row"]).mapInArrow(_extract(length), _PIECE), "pieces")
     repeats = staged(_repeats(pieces, length, most_fragments, _BLOCKS), "repeats")
     spans = occurrences.join(repeats, ["key", "f1", "f2"]).select(
         "id", "row", F.transform("runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("lo"), (F.col("start") + r["hi"] + length).alias("hi"))).alias("spans")
     )
-    spans = spans.groupBy("id", "row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    # and one set of spans: those of a fragment are equal in each of them
+    spans = spans.groupBy("id", "row").agg(F.flatten(F.collect_set("spans")).alias("spans"))
     last = "kept_sha256 string" if digest else "kept binary"
     return texts.join(spans, ["id", "row"], "left").mapInArrow(_cutter(length, not digest), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")

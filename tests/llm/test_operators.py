@@ -159,6 +159,32 @@ def test_suffix_dedup(spark, most):
     assert suffix_dedup.remove_repeats(docs.limit(0), 40, 8).count() == 0
 
 
+def test_suffix_dedup_of_repeated_rows_keeps_one_set_of_spans(spark, monkeypatch):
+    import pyarrow as pa
+
+    rnd = random.Random(14)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(400))
+    sent, repeats = [], suffix_dedup._repeats
+
+    def counted(pieces, *rest):
+        sent.append(pieces.count())
+        return repeats(pieces, *rest)
+
+    def sizes(length, with_text):
+        def run(batches):
+            for b in batches:
+                n = pa.array([len(s or ()) for s in b.column("spans").to_pylist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), n, n, n, pa.array([""] * len(n))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_repeats", counted)
+    monkeypatch.setattr(suffix_dedup, "_cutter", sizes)
+    spans = [{r.n_spans for r in suffix_dedup.remove_repeats(table(spark, [(None, text)] * m), 40, 8, digest=True).collect()} for m in (2, 30)]
+    assert spans[0] == spans[1] and len(spans[0]) == 1 and min(spans[0]) > 0
+    assert sent[0] == sent[1] > 0
+
+
 def test_two_stage_sort_is_the_suffix_order():
     rnd = random.Random(5)
     for _ in range(50):
