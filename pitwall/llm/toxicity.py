@@ -32,18 +32,28 @@ from pitwall.llm.shared import byte_table, mix, slices, string_buffers
 SIZES = (3, 4, 5)
 BITS = 20
 _TABLE = byte_table(23)
+_SEED = np.uint64((23 * 1000003 + 1) * 256)
 _TABLE[[9, 10, 11, 12, 13]] = _TABLE[32]
 
 
+def _hashed(points: np.ndarray) -> np.ndarray:
+    """A hash of each code point; below 256 those of ``_TABLE``."""
+    out = _TABLE[np.minimum(points, 255)]
+    wide = np.flatnonzero(points > 255)
+    out[wide] = mix(points[wide].astype(np.uint64) + _SEED)
+    return out
+
+
 def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash buckets of all n-grams of the texts (bytes of their lower-case
-    form), and the text number of each."""
+    """Hash buckets of all n-grams of the texts (code points of their
+    lower-case form), and the text number of each."""
     col = pc.fill_null(column.cast(pa.large_string()), "")
     blank = pa.scalar(" ", pa.large_string())
     col = pc.binary_join_element_wise(blank, pc.utf8_lower(col), blank, pa.scalar("", pa.large_string()))
-    data, off = string_buffers(col)
-    text_of = np.repeat(np.arange(len(off) - 1, dtype=np.int32), np.diff(off))
-    one = _TABLE[data]
+    raw, _ = string_buffers(col)
+    data = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    text_of = np.repeat(np.arange(len(col), dtype=np.int32), pc.utf8_length(col).to_numpy(zero_copy_only=False))
+    one = _hashed(data)
     rolled = one
     buckets, owners = [], []
     for n in range(2, max(SIZES) + 1):

@@ -356,6 +356,15 @@ def test_classifiers_learn_and_hold_out(spark, module, label):
     assert {r.predicted for r in module.score(docs, none, ["doc_id"]).collect()} == {0}
 
 
+def test_grams_are_of_characters():
+    import pyarrow as pa
+
+    bucket, owner = toxicity.grams(pa.array(["жук", "", None, "é", "abc"]))
+    # with a blank on each side: 5, 2, 2, 3 and 5 characters
+    assert Counter(owner.tolist()) == {0: 3 + 2 + 1, 3: 1, 4: 3 + 2 + 1}
+    assert len(set(bucket.tolist())) == 13
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(11)
     import pyarrow as pa
