@@ -16,11 +16,14 @@ Defined results.  A vector that is null, empty or holds a null or non-finite
 component, and a row with a null id, takes no part.  Shorter vectors count as
 padded with zeros.  Rows that repeat an id count once, with the smallest of
 their vectors.  Other columns are not read.  Empty tables give an empty
-result.  Components must stay below 2**20 in size, or the query fails.
+result.  Vectors with components of 2**20 and more stay out of the index; their
+scores are exact integer products.  Quantised components and scores of results
+must fit a bigint (2**63), or the query fails.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 from pitwall.llm.shared import staged
 
 ROWS, QUERIES = 1 << 16, 256
+#: Quantised components of this size and more stay out of the index.
+LARGE = 1 << 26
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
@@ -43,6 +48,28 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & ~bad
 
 
+def _small(values: np.ndarray) -> np.ndarray:
+    """Which rows the index can hold."""
+    return ((values > -LARGE) & (values < LARGE)).all(axis=1)
+
+
+def _products(values: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products as Python integers, from parts of 21 binary digits."""
+    parts = lambda x: (x & 0x1FFFFF, (x >> 21) & 0x1FFFFF, x >> 42)
+    out = np.zeros(len(values), object)
+    for a, v in enumerate(parts(values)):
+        for b, q in enumerate(parts(query)):
+            out += (v @ q).astype(object) * (1 << 21 * (a + b))
+    return out
+
+
+def _exact(ids: np.ndarray, values: np.ndarray, qid: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """The k best (id, score) among all rows but the query's own."""
+    others = ids != qid
+    scored = zip(ids[others].tolist(), _products(values[others], query).tolist())
+    return heapq.nsmallest(k, scored, key=lambda x: (-x[1], x[0]))
+
+
 class BitSlices:
     """Index of one block: ids in ascending order and, per attribute, the
     slices of (value - smallest value of the attribute)."""
@@ -50,7 +77,7 @@ class BitSlices:
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, values = ids[order], values[order]
-        if len(values) and np.abs(values).max() >= 1 << 26:
+        if len(values) and not _small(values).all():
             raise ValueError("components are too large for the index")
         n, self.width = values.shape
         self.low = values.min(axis=0)
@@ -166,9 +193,21 @@ def _search(k: int):
                 lists = [row[c].values for c in ("vectors", "query_vectors")]
                 width = max(int(np.diff(x.offsets.to_numpy()).max()) for x in lists)
                 values, queries = (_matrix(x.to_numpy(zero_copy_only=False), width) for x in lists)
-                index = BitSlices(ids, values)
+                for x in (values, queries):
+                    if x.size and (x.max() == np.iinfo(np.int64).max or x.min() == np.iinfo(np.int64).min):
+                        raise ValueError("components do not fit a bigint")
+                small, small_queries = _small(values), _small(queries)
+                large = ~small
+                index = BitSlices(ids[small], values[small]) if small.any() else None
                 found: list[list[np.ndarray]] = [[], [], []]
-                for qid, q in zip(query_ids.tolist(), queries):
+                for qid, q, fits in zip(query_ids.tolist(), queries, small_queries.tolist()):
+                    if not fits or large.any():
+                        part = slice(None) if index is None or not fits else large
+                        best = _exact(ids[part], values[part], qid, q, k)
+                        for c, x in zip(found, ([qid] * len(best), [b[0] for b in best], [b[1] for b in best])):
+                            c.append(np.array(x, np.int64))
+                        if index is None or not fits:
+                            continue
                     at = int(np.searchsorted(index.ids, qid))
                     own = at if at < index.n and index.ids[at] == qid else None
                     sums, base = index.scores(q)

@@ -328,6 +328,21 @@ def test_top_k(spark):
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rnd = random.Random(13)
+    rows = [(i, [float(rnd.randrange(-9, 9)) for _ in range(4)]) for i in range(40)]
+    rows += [(40, [2.0**21, -1.0, 0.5, 3.0]), (41, [-(2.0**24) - 1, 2.0**20, 1.0, 0.0]), (42, [2.0**20, 2.0**20, -7.0, 1.0]), (60, [1.0, 2.0**22 + 1, 0.0, -1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    for size in (100, 5):
+        got = topk.top_k(vectors, F.col("vec_id") % 20 == 0, rows=size, queries=2).collect()
+        want = set()
+        for i in (0, 20, 40, 60):
+            scores = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)[:20]
+            want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)}
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 # -- classifiers ------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (quality, "quality")])
