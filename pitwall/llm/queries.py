@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, exact_dedup, near_dedup, packing, pii, preference, quality, suffix_dedup, topk, toxicity
+from pitwall.llm import bpe, exact_dedup, hard_negatives, near_dedup, packing, pii, preference, quality, suffix_dedup, topk, toxicity
 from pitwall.llm.shared import documents, held_out
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -74,13 +74,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(packing.pack(documents(spark, sf_dir), WORD_BPE))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id = F.col("vec_id")
+    label = F.when(F.coalesce(vec_id % 7 == 0, F.lit(False)), (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), vec_id % 50 == 0, label)
+
+
 def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pii, op2_topk, op3_exact_dedup, op4_toxicity, op5_preference, op6_near_dedup, op7_bpe, op8_quality, op9_suffix_dedup, op10_packing)
+    for f in (op1_pii, op2_topk, op3_exact_dedup, op4_toxicity, op5_preference, op6_near_dedup, op7_bpe, op8_quality, op9_suffix_dedup, op10_packing, op11_hard_negatives)
 }
 
 ORACLE: dict[str, str] = {
@@ -131,4 +137,24 @@ select p.conv_id as pair_id, cast(p.last - (case when equal then 0 else 1 end) a
   case when equal then '' else '14:' || (length(rejected_text) + 22) end as rejected_mask
 from p join m on m.conv_id = p.conv_id
 """.replace("\\n'", "' || chr(10)").replace("\n'", "' || chr(10)"),
+    "op11_hard_negatives": """
+with r as (
+  select row_number() over () as rid, vec_id, case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
+), s as (
+  select a.rid, a.vec_id as anchor_id, a.label = c.label as same, c.vec_id,
+    cast(coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])), 0) as bigint) as score
+  from r a join r c on a.vec_id % 50 = 0 and a.rid <> c.rid
+), p as (
+  select rid, anchor_id, vec_id as positive_id, score as positive_score, row_number() over (partition by rid order by score desc, vec_id) as nth
+  from s where same qualify nth <= 5
+), n as (
+  select p.rid, p.nth, anchor_id, positive_id, positive_score, s.vec_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.rid, p.nth order by s.score desc, s.vec_id) as rank
+  from p join s using (rid, anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score qualify rank <= 3
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n
+""",
 }
