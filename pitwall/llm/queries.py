@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, exact_dedup, hard_negatives, near_dedup, packing, pii, preference, quality, suffix_dedup, topk, toxicity
+from pitwall.llm import bpe, collocations, exact_dedup, hard_negatives, near_dedup, packing, pii, preference, quality, suffix_dedup, topk, toxicity
 from pitwall.llm.shared import documents, held_out
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -80,13 +80,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), vec_id % 50 == 0, label)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pii, op2_topk, op3_exact_dedup, op4_toxicity, op5_preference, op6_near_dedup, op7_bpe, op8_quality, op9_suffix_dedup, op10_packing, op11_hard_negatives)
+    for f in (op1_pii, op2_topk, op3_exact_dedup, op4_toxicity, op5_preference, op6_near_dedup, op7_bpe, op8_quality, op9_suffix_dedup, op10_packing, op11_hard_negatives, op12_collocations)
 }
 
 ORACLE: dict[str, str] = {
@@ -156,5 +160,36 @@ with r as (
   from p join s using (rid, anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score qualify rank <= 3
 )
 select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n
+""",
+    "op12_collocations": r"""
+with p as (
+  select coalesce(lang, 'und') as lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), w as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as words from p
+), s as (
+  select lang, words, unnest(range(1, len(words) + 1)) as i from w
+), g as (
+  select lang, words[i:i + k - 1] as gram, k, count(*) as f from s, (select unnest([1, 2, 3, 4]) as k) where i + k - 1 <= len(words) group by all having k = 1 or f >= 30
+), n as (
+  select lang, sum(f) as n from g where k = 1 group by lang
+), c as (
+  select g.lang, g.gram, g.f as a, g.k, unnest(range(1, g.k)) as cut from g where g.k > 1
+), t as (
+  select c.lang, c.gram, c.a, c.k, c.cut, x.f as l, y.f as r, cast((2000000 * cast(c.a as hugeint)) // (x.f + y.f) as bigint) as score
+  from c join g x on x.lang = c.lang and x.gram = c.gram[1:c.cut] join g y on y.lang = c.lang and y.gram = c.gram[c.cut + 1:]
+), b as (
+  select * from t qualify row_number() over (partition by lang, gram order by score, cut) = 1
+), o as (
+  select distinct lang, sub, max(f) as longer from (
+    select lang, f, unnest([gram[1:k - 1], gram[2:k]]) as sub from g where k > 2
+  ) group by all
+), v as (
+  select b.lang, array_to_string(gram, ' ') as phrase, a, l, r, score from b left join o on o.lang = b.lang and o.sub = b.gram
+  where longer is null or 100 * cast(longer as hugeint) < 80 * cast(a as hugeint)
+)
+select v.lang, cast(row_number() over (partition by v.lang order by score desc, a desc, phrase) as integer) as rank, phrase, a, l, r, cast(n as bigint) as n, score
+from v join n on n.lang = v.lang qualify rank <= 2000
 """,
 }
