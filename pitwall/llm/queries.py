@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm import bpe, collocations, exact_dedup, hard_negatives, near_dedup, packing, pii, preference, quality, suffix_dedup, topk, toxicity
+from pitwall.llm import bpe, collocations, exact_dedup, hard_negatives, html_extract, near_dedup, packing, pii, preference, quality, suffix_dedup, topk, toxicity
 from pitwall.llm.shared import documents, held_out
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -84,13 +84,17 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
 
+def op13_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pii, op2_topk, op3_exact_dedup, op4_toxicity, op5_preference, op6_near_dedup, op7_bpe, op8_quality, op9_suffix_dedup, op10_packing, op11_hard_negatives, op12_collocations)
+    for f in (op1_pii, op2_topk, op3_exact_dedup, op4_toxicity, op5_preference, op6_near_dedup, op7_bpe, op8_quality, op9_suffix_dedup, op10_packing, op11_hard_negatives, op12_collocations, op13_html_extract)
 }
 
 ORACLE: dict[str, str] = {
