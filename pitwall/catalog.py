@@ -24,6 +24,7 @@ from pitwall.plans.lineage import materialize
 from pitwall.schemas import TS
 from pitwall.sources import capture as C
 from pitwall.sources import derived as V
+from pitwall.sources.collections import CollectionCatalog
 from pitwall.streaming import predictor as SP
 from pitwall.streaming import sinks as SK
 
@@ -81,6 +82,13 @@ def rolling_lap_prediction_n5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling_lap_prediction(spark, sf_dir, regress.OLDER)
 
 
+def late_lap_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6 in the batch predictor: laps that come late, taken as they arrive."""
+    laps = V.late_laps(_numbered(spark, sf_dir))
+    pred = regress.rolling_predict(laps, tiebreak=("event_id",), order="arrival")
+    return pred.select(F.col("PilotN").alias("PilotNumber"), "Lap", "NextLap", _r4("prediction").alias("prediction"))
+
+
 def _buffer(spark, sf_dir, n):
     laps = V.laps_from_events(None, numbered=_numbered(spark, sf_dir))
     return L.lap_buffer(laps, n)
@@ -301,6 +309,13 @@ def pace_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("lap_bucket", "pilot_bucket", _r4("seconds").alias("seconds"))
 
 
+def pace_trace_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 with its linear fit, over the late-lap feed (its buckets have gaps)."""
+    laps = V.laps_from_events(None, stride=7, numbered=_numbered(spark, sf_dir).where("event_type in ('click', 'view')"))
+    t = D.pace_trace_fitted(materialize(laps), tiebreak=["event_id"])
+    return t.select("lap_bucket", "pilot_bucket", _r4("seconds").alias("seconds"), "known")
+
+
 def pace_trace_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     laps = V.laps_from_events(None, stride=3, numbered=_numbered(spark, sf_dir))
     f = D.linear_fill(laps)
@@ -312,6 +327,29 @@ def race_pace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("pilot_bucket", _r4("seconds").alias("seconds"))
 
 
+#: Overlapping ranges of a two-range table panel, one with its own label.
+TWO_RANGES = (D.Range(0, 40, "early"), D.Range(20, 1000))
+
+
+def race_pace_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 with the range's label as a column (A6), for the panel's own range."""
+    t = D.range_panel(_feed_laps(spark, sf_dir), "PilotNumber", "Lap", "Seconds", D.AUTO_MAX_BARS, tiebreak=["event_id"])
+    return D.labelled(t, D.PANEL_RANGES, "seconds").select("range_label", "pilot_bucket", _r4("seconds").alias("seconds"))
+
+
+def race_pace_two_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 over two overlapping ranges, transposed: a column for each range."""
+    t = D.range_panel(_feed_laps(spark, sf_dir), "PilotNumber", "Lap", "Seconds", D.AUTO_MAX_BARS, TWO_RANGES, ["event_id"])
+    return t.select("pilot_bucket", *[_r4(F.col(f"`{r.label}`")).alias(n) for r, n in zip(TWO_RANGES, ("early", "from_20"))])
+
+
+def prediction_two_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 over the same two ranges of NextLap, in the long form with labels."""
+    pred = _feed_predictions(spark, sf_dir)
+    t = D.range_panel(pred, "PilotN", "NextLap", "prediction", D.LINE_MAX_BARS, TWO_RANGES, ["NextLap"])
+    return D.labelled(t, TWO_RANGES, "prediction").select("range_label", "pilot_bucket", _r4("prediction").alias("prediction"))
+
+
 def race_lap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.race_lap(_feed_laps(spark, sf_dir, reused=False))
 
@@ -362,6 +400,41 @@ def unified_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The data view of the dashboard's first panel.
+VIEW_PATTERN = "gaps,lastlaptimes,others,predictions*"
+
+
+def unified_view_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collections resolved by the panel's wildcard and read as one
+    view.  A fifth collection (predictions of the older job, with a wider
+    NextLap and a narrower prediction) is picked up; one the pattern does not
+    name is left out."""
+    root = scratch_path(spark, "catalogue")
+    lines = materialize(
+        _feed_lines(spark, sf_dir).select("event_id", "kind", "msg_time", "PilotNumber", "line_json", "line", "route")
+    )
+    laps = materialize(E.lap_rows(lines).select("PilotNumber", "Lap", "Seconds", TS, "event_id"))
+    older = regress.rolling_predict(laps, tiebreak=("event_id",), n=regress.OLDER["n"], cadence=regress.OLDER["cadence"])
+    for name, df in {
+        SK.LAPS_TABLE: laps,
+        SK.GAPS_TABLE: E.gap_rows(lines),
+        SK.WEATHER_TABLE: E.weather_rows(lines),
+        SK.PREDICTIONS_TABLE: _feed_predictions(spark, sf_dir, laps, reused=False),
+        f"{SK.PREDICTIONS_TABLE}-older": older.select(
+            "PilotN", F.col("NextLap").cast("long").alias("NextLap"), F.col("prediction").cast("float").alias("prediction"), TS
+        ),
+        "bronze": lines.select("line_json"),
+    }.items():
+        df.write.parquet(f"{root}/{name}")
+    v = CollectionCatalog(spark, root).view(VIEW_PATTERN)
+    return v.select(
+        "collection", _ms(),
+        *[F.col(c).cast("double").alias(c) for c in ("PilotNumber", "Lap", "PilotN", "NextLap")],
+        _r4("Seconds").alias("Seconds"), _r4("prediction").alias("prediction"),
+        _r4(F.col("Gaps.GapToLeader")).alias("gap_to_leader"), _r4(F.col("Weather.AirTemp")).alias("AirTemp"),
+    )
+
+
 def keyed_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = L.keyed_records(L.lap_messages(_feed_laps(spark, sf_dir, reused=False)))
     back = L.parse_lap_messages(recs)
@@ -392,17 +465,19 @@ def _in_waves(msgs: DataFrame, path: str, run, ts: str = TS) -> None:
     by ``run()`` -- an ``availableNow`` run on the same checkpoint -- before
     the next wave is written.  Order never depends on file times, and every
     run after the first restarts the query from its checkpoint and state."""
-    msgs = materialize(msgs.select("PilotNumber", ts, "value"))
-    lo, hi, rows = msgs.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    msgs = materialize(msgs.select("PilotNumber", micros.alias("at"), "value"))
+    lo, hi, rows = msgs.agg(F.min("at"), F.max("at"), F.count(F.lit(1))).first()
     waves = max(MIN_STREAM_WAVES, -(-rows // WAVE_ROWS)) if lo is not None else 1
-    step = (hi - lo) / waves if lo is not None else None
+    step = max(1, -(-(hi - lo + 1) // waves)) if lo is not None else 1
+    # rows without a time come with the first wave
+    wave = F.coalesce(F.floor((F.col("at") - F.lit(lo or 0)) / F.lit(step)), F.lit(0)).cast("int")
+    # Written once by wave: every run below reads its own folder only.
+    cut = scratch_path(msgs.sparkSession, "waves")
+    msgs.withColumn("wave", wave).repartition("wave", "PilotNumber").write.partitionBy("wave").parquet(cut)
+    cut = msgs.sparkSession.read.schema("PilotNumber int, at long, value string, wave int").parquet(cut)
     for i in range(waves):
-        # rows without a time come with the first wave
-        wave = msgs if i == 0 else msgs.where(F.col(ts) >= F.lit(lo + step * i))
-        if i < waves - 1:
-            before = F.col(ts) < F.lit(lo + step * (i + 1))
-            wave = wave.where(before if i else before | F.col(ts).isNull())
-        wave.repartition("PilotNumber").select("value").write.mode("append").text(path)
+        cut.where(F.col("wave") == i).repartition("PilotNumber").select("value").write.mode("append").text(path)
         run()
 
 
@@ -411,9 +486,9 @@ def _lap_messages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.lap_messages(V.laps_from_events(None, numbered=_numbered(spark, sf_dir)))
 
 
-def stream_rolling_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed_predictions(spark: SparkSession, messages: DataFrame) -> DataFrame:
     """ST1-ST6 + S7: file stream of bus lap messages -> keyed-state predictor
-    -> per-batch prediction table; equals the batch flagship."""
+    -> per-batch prediction table."""
     src, out, ck = (scratch_path(spark, n) for n in ("lap-stream", "predictions", "predictions-ckpt"))
 
     def run():
@@ -421,11 +496,23 @@ def stream_rolling_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
         with SP.use_rocksdb(spark), state_partitions(spark):
             SK.run_available(SP.predict_stream(laps), ck, fn=SK.batch_writer(out))
 
-    _in_waves(_lap_messages_of(spark, sf_dir), src, run)
-    res = spark.read.parquet(out)
+    _in_waves(messages, src, run)
+    return spark.read.parquet(out)
+
+
+def stream_rolling_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed predictions of laps in order; equals the batch flagship."""
+    res = _streamed_predictions(spark, _lap_messages_of(spark, sf_dir))
     return res.select(F.col("PilotN").alias("PilotNumber"), "NextLap", _r4("prediction").alias("prediction"))
 
 
+def stream_late_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6: the streamed predictions of laps that come late; equals the batch
+    predictor in arrival order."""
+    res = _streamed_predictions(spark, L.lap_messages(V.late_laps(_numbered(spark, sf_dir))))
+    return res.select(F.col("PilotN").alias("PilotNumber"), "Lap", "NextLap", _r4("prediction").alias("prediction"))
+
+
 def stream_latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST7: continuously updated last lap time per driver (complete mode)."""
     src, out, ck = (scratch_path(spark, n) for n in ("lap-stream", "latest", "latest-ckpt"))
@@ -515,6 +602,13 @@ QUERIES: dict[str, Query] = {
     "replay_schedule": replay_schedule,
     "pace_trace": pace_trace,
     "pace_trace_filled": pace_trace_filled,
+    "pace_trace_fitted": pace_trace_fitted,
+    "late_lap_prediction": late_lap_prediction,
+    "race_pace_labelled": race_pace_labelled,
+    "race_pace_two_ranges": race_pace_two_ranges,
+    "prediction_two_ranges": prediction_two_ranges,
+    "unified_view_pattern": unified_view_pattern,
+    "stream_late_laps": stream_late_laps,
     "race_pace_table": race_pace_table,
     "race_lap": race_lap,
     "prediction_table": prediction_table,

@@ -14,6 +14,7 @@ one global aggregate (two numbers), computed once and used as a literal.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,7 @@ LINE_MAX_BARS = 167.5  # pace trace, prediction and gap panels
 AUTO_MAX_BARS = 100  # "auto" bar count
 SINGLE_BAR = 1  # the collapsed lap / next-lap column
 RANGE_LO, RANGE_HI = 0, 1000  # range bucket [0, 1000)
+ARROW = " \u2192 "  # between the bounds in the label of a range without its own
 BEFORE_ALL = -(1 << 58)  # microseconds before any timestamp, for null ones
 WEATHER_PANEL = ["AirTemp", "TrackTemp", "WindSpeed", "Rainfall", "Humidity"]
 
@@ -86,6 +88,76 @@ def last_value(v: str | Column, ts: str = TS, tiebreak: Sequence[str] = ()) -> C
     return F.max_by(c, F.when(c.isNotNull(), order))
 
 
+@dataclass(frozen=True)
+class Range:
+    """A half-open range [lo, hi) of a panel; None leaves a side open."""
+
+    lo: float | None = None
+    hi: float | None = None
+    own_label: str = ""
+
+    @property
+    def label(self) -> str:
+        side = lambda x, open_: open_ if x is None else f"{x:g}"
+        return self.own_label.strip() or side(self.lo, "-\u221e") + ARROW + side(self.hi, "\u221e")
+
+    def holds(self, col: Column) -> Column:
+        above = F.lit(True) if self.lo is None else col >= self.lo
+        return col.isNotNull() & above & (F.lit(True) if self.hi is None else col < self.hi)
+
+
+PANEL_RANGES = (Range(RANGE_LO, RANGE_HI),)
+
+
+def range_labels(col: str | Column, ranges: Sequence[Range]) -> Column:
+    """Labels of all ranges that hold the value (ranges may overlap), in
+    their order; an empty array where none does or the value is null.
+
+    The bounds, in order, cut the axis into stretches with one set of labels
+    each; the stretch is found by halving, so the expression compares a value
+    log2(bounds) times however many ranges a panel has."""
+    c = F.col(col) if isinstance(col, str) else col
+    cuts = sorted({b for r in ranges for b in (r.lo, r.hi) if b is not None})
+
+    def labels(i: int) -> Column:
+        # stretch i: from cuts[i - 1] (included) to cuts[i]
+        held = [
+            r.label for r in ranges
+            if (r.lo is None or (i > 0 and r.lo <= cuts[i - 1])) and (r.hi is None or (i < len(cuts) and cuts[i] <= r.hi))
+        ]
+        return F.array(*[F.lit(x) for x in held]).cast("array<string>")
+
+    def halve(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return labels(lo)
+        mid = (lo + hi) // 2
+        return F.when(c < cuts[mid], halve(lo, mid)).otherwise(halve(mid + 1, hi))
+
+    return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(halve(0, len(cuts)))
+
+
+def range_panel(df: DataFrame, key: str, x: str, value: str, key_bars: float, ranges: Sequence[Range] = PANEL_RANGES,
+                tiebreak: Sequence[str] = (), collapse=F.max) -> DataFrame:
+    """D2 / D4 in their tabular form: one row per ``key`` bucket, one column
+    per range of ``x`` (the transposed range buckets, named by their labels)
+    holding the last ``value`` of each single ``x`` bucket in the range,
+    collapsed over those buckets.  All ranges are conditional aggregates of the
+    same pass; rows outside every range go before it."""
+    df = df.where(F.col(x).isNotNull() & F.col(key).isNotNull())
+    iv = histogram_intervals(df, {x: SINGLE_BAR, key: key_bars})
+    inside = df.where(F.size(range_labels(x, ranges)) > 0)
+    keyed = inside.groupBy(bucket(key, iv[key]).alias("pilot_bucket"), bucket(x, iv[x]).alias("_x_bucket"))
+    lasts = [last_value(F.when(r.holds(F.col(x)), F.col(value)), tiebreak=tiebreak).alias(f"_r{i}") for i, r in enumerate(ranges)]
+    return keyed.agg(*lasts).groupBy("pilot_bucket").agg(*[collapse(f"_r{i}").alias(r.label) for i, r in enumerate(ranges)])
+
+
+def labelled(panel: DataFrame, ranges: Sequence[Range], value: str) -> DataFrame:
+    """The long form of a range panel: one row per range and key bucket, the
+    range's label as a column; a bucket without a row in a range has none."""
+    pairs = F.array(*[F.struct(F.lit(r.label).alias("range_label"), F.col(f"`{r.label}`").alias(value)) for r in ranges])
+    return panel.select("pilot_bucket", F.inline(pairs)).where(F.col(value).isNotNull())
+
+
 def in_range(col: str, lo: int = RANGE_LO, hi: int = RANGE_HI) -> Column:
     """Half-open range bucket [lo, hi)."""
     return (F.col(col) >= lo) & (F.col(col) < hi)
@@ -100,10 +172,11 @@ def time_filter(df: DataFrame, lo=None, hi=None, ts: str = TS) -> DataFrame:
     return df
 
 
-def pace_trace(laps: DataFrame, tiebreak: Sequence[str] = (), lo=None, hi=None) -> DataFrame:
-    """Last Seconds per (Lap bucket, PilotNumber bucket)."""
+def pace_trace(laps: DataFrame, tiebreak: Sequence[str] = (), lo=None, hi=None, intervals: dict[str, int] | None = None) -> DataFrame:
+    """Last Seconds per (Lap bucket, PilotNumber bucket); the axis
+    ``intervals`` are measured unless given."""
     laps = time_filter(laps, lo, hi).where(F.col("Lap").isNotNull() & F.col("PilotNumber").isNotNull())
-    iv = histogram_intervals(laps, {"Lap": LINE_MAX_BARS, "PilotNumber": LINE_MAX_BARS})
+    iv = intervals or histogram_intervals(laps, {"Lap": LINE_MAX_BARS, "PilotNumber": LINE_MAX_BARS})
     lap_iv, pilot_iv = iv["Lap"], iv["PilotNumber"]
     return laps.groupBy(
         bucket("Lap", lap_iv).alias("lap_bucket"), bucket("PilotNumber", pilot_iv).alias("pilot_bucket")
@@ -202,36 +275,53 @@ def unified_view(laps=None, predictions=None, gaps=None, weather=None, lo=None,
     return time_filter(out, lo, hi)
 
 
+#: Points that one row of a gap expands to at once.
+FILL_STEP = 1 << 16
+
+
 def linear_fill(
     laps: DataFrame,
     key: str = "PilotNumber",
     x: str = "Lap",
     y: str = "Seconds",
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    every: int = 1,
 ) -> DataFrame:
-    """Every integer ``x`` from each key's first to last known point, with
-    ``y`` linearly interpolated between neighbouring known points.
+    """Every ``x`` on the axis (multiples of ``every``) from each key's
+    first to last known point, with ``y`` linearly interpolated between
+    neighbouring known points; rows without a ``y`` are no points.
 
     Each known point is paired with the next one (a lead over a skew-safe per
     key numbering) and expands only its own segment, so no task builds a whole
-    key's grid.  Returns ``key, x, y, known``.
+    key's grid; a long segment is cut into steps of ``FILL_STEP`` points before
+    they are made, so no row ever holds more.  Returns ``key, x, y, known``.
     """
-    pts = laps.where(F.col(key).isNotNull() & F.col(x).isNotNull()).groupBy(key, x).agg(
+    pts = laps.where(F.col(key).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(key, x).agg(
         F.max(y).alias(y)
     )
     numbered, longest = number_rows_sized(pts, [key], [x], "_rn")
     paired = lag_lead(numbered, [key], "_rn", {"_x2": (x, -1), "_y2": (y, -1)}, block_rows, longest)
-    seg_end = F.coalesce(F.col("_x2") - 1, F.col(x))
-    grid = paired.select(
-        key,
-        F.col(x).alias("_x1"),
-        F.col(y).alias("_y1"),
-        "_x2",
-        "_y2",
-        F.explode(F.sequence(F.col(x), seg_end)).alias(x),
-    )
-    frac = (F.col(x) - F.col("_x1")) / (F.col("_x2") - F.col("_x1"))
-    val = F.when(F.col(x) == F.col("_x1"), F.col("_y1")).otherwise(
-        F.col("_y1") + (F.col("_y2") - F.col("_y1")) * frac
+    x1, x2 = F.col("_x1"), F.col("_x2")
+    # points of the segment: this known one and those before the next
+    points = F.coalesce(F.floor((x2 - x1 - 1) / every) + 1, F.lit(1)).cast("long")
+    steps = (
+        paired.select(key, F.col(x).cast("long").alias("_x1"), F.col(y).alias("_y1"), F.col("_x2").cast("long").alias("_x2"), "_y2")
+        .withColumn("_points", points)
+        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_points") - 1, F.lit(FILL_STEP).cast("long"))))
     )
-    return grid.select(key, F.col(x).cast("int").alias(x), val.alias(y), (F.col(x) == F.col("_x1")).alias("known"))
+    last = F.least(F.col("_from") + FILL_STEP, F.col("_points")) - 1
+    grid = steps.withColumn("_i", F.explode(F.sequence(F.col("_from"), last)))
+    at = x1 + F.col("_i") * every
+    frac = (at - x1) / (x2 - x1)
+    val = F.when(F.col("_i") == 0, F.col("_y1")).otherwise(F.col("_y1") + (F.col("_y2") - F.col("_y1")) * frac)
+    kind = laps.schema[x].dataType
+    return grid.select(key, at.cast(kind).alias(x), val.alias(y), (F.col("_i") == 0).alias("known"))
+
+
+def pace_trace_fitted(laps: DataFrame, tiebreak: Sequence[str] = (), lo=None, hi=None) -> DataFrame:
+    """D1 as drawn: the pace trace with a straight line across lap buckets that
+    a driver bucket lacks (fitting "linear"); ``known`` marks measured ones."""
+    laps = time_filter(laps, lo, hi).where(F.col("Lap").isNotNull() & F.col("PilotNumber").isNotNull())
+    iv = histogram_intervals(laps, {"Lap": LINE_MAX_BARS, "PilotNumber": LINE_MAX_BARS})
+    trace = pace_trace(laps, tiebreak, intervals=iv)
+    return linear_fill(trace, key="pilot_bucket", x="lap_bucket", y="seconds", every=iv["Lap"])

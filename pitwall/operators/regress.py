@@ -108,8 +108,11 @@ def rolling_predict(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     max_key_rows: int | None = SKEW_KEY_ROWS,
     longest: int | None = None,
+    order: str = "lap",
 ) -> DataFrame:
-    """W1 + A8 + W3 + M4: one prediction per lap row, laps taken in Lap order.
+    """W1 + A8 + W3 + M4: one prediction per lap row, laps taken in Lap order,
+    or with ``order="arrival"`` as they arrive (ST6, see
+    ``pitwall.operators.arrival``; ``seq`` and ``longest`` are not used then).
 
     ``seq`` names a column that already holds a dense 1..k number per driver
     in Lap order (e.g. a Lap made by ``number_rows``); otherwise one is made.
@@ -118,6 +121,13 @@ def rolling_predict(
     Returns ``[session keys], PilotN, Lap, NextLap, prediction, slope,
     intercept, @timestamp``.
     """
+    if order == "arrival":
+        from pitwall.operators.arrival import rolling_predict_arrival
+
+        return rolling_predict_arrival(
+            laps, key=key, lap=lap, y=y, ts=ts, n=n, cadence=cadence, reg=reg, tiebreak=tiebreak,
+            block_rows=block_rows, max_key_rows=max_key_rows,
+        )
     keys = _keys(key)
     base = laps
     for k in keys:

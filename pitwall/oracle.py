@@ -73,6 +73,41 @@ def rolling_prediction_sql(n: int, cadence: int) -> str:
 SELECT PilotNumber, NextLap, round(prediction, 4) AS prediction FROM pred"""
 
 
+def arrival_sql(n: int = 10, cadence: int = 2, reg: float = 0.01) -> str:
+    """Laps in arrival order: the n highest laps of all that have come."""
+    return f"""WITH {LAPS},
+late AS (SELECT PilotNumber, CAST(CASE WHEN (Lap - 1) % 6 = 0 THEN Lap + 5 ELSE Lap - 1 END AS INTEGER) AS Lap, Seconds, ts, event_id
+         FROM laps),
+a AS (SELECT *, row_number() OVER (PARTITION BY PilotNumber ORDER BY ts, Lap, event_id) AS k FROM late),
+seen AS (SELECT *, list({{'l': Lap, 't': ts, 'k': k, 's': Seconds}}) OVER (
+           PARTITION BY PilotNumber ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS arrived FROM a),
+top AS (SELECT PilotNumber, Lap, k, unnest(list_slice(list_reverse_sort(arrived), 1, {n})) AS e FROM seen),
+win AS (SELECT PilotNumber, Lap, k, covar_pop(e.l, e.s) AS cxy, var_pop(e.l) AS vx, stddev_pop(e.s) AS sy, avg(e.l) AS mx, avg(e.s) AS my,
+               max(e.l) + 1 AS NextLap FROM top GROUP BY PilotNumber, Lap, k),
+fit AS (SELECT *, CASE WHEN vx > 0 AND sy > 0 THEN cxy / vx / (1 + {reg} / sy) ELSE 0 END AS slope FROM win),
+model AS (SELECT *, my - slope * mx AS intercept, (NextLap % {cadence} = 0 OR NextLap < 6 OR k = 1) AS refit FROM fit),
+carried AS (
+  SELECT *, last_value(CASE WHEN refit THEN slope END IGNORE NULLS) OVER c AS s,
+            last_value(CASE WHEN refit THEN intercept END IGNORE NULLS) OVER c AS i
+  FROM model WINDOW c AS (PARTITION BY PilotNumber ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT PilotNumber, Lap, CAST(NextLap AS INTEGER) AS NextLap, round(s * NextLap + i, 4) AS prediction FROM carried"""
+
+
+def ranges_sql(src: str, key: str, x: str, value: str, order: str, key_bars: float) -> str:
+    """CTEs ending in one row per key bucket with the two ranges' values."""
+    last = lambda cond, name: (
+        f"{name} AS (SELECT pilot_bucket, max({value}) AS v FROM "
+        + last_rows(f"(SELECT * FROM b WHERE {cond})", "pilot_bucket, lap_bucket", order)
+        + " GROUP BY pilot_bucket)"
+    )
+    return f"""iv AS (SELECT {nice(f'SELECT max({x}) - min({x}) FROM {src}', 1)} AS lap_iv,
+              {nice(f'SELECT max({key}) - min({key}) FROM {src}', key_bars)} AS pilot_iv),
+b AS (SELECT {bucket(key, 'pilot_iv')} AS pilot_bucket, {bucket(x, 'lap_iv')} AS lap_bucket, {src}.* FROM {src}, iv
+      WHERE {value} IS NOT NULL),
+{last(f'{x} >= 0 AND {x} < 40', 'early')},
+{last(f'{x} >= 20 AND {x} < 1000', 'later')}"""
+
+
 def buffer_sql(n: int) -> str:
     return f"""WITH {LAPS},
 r AS (SELECT PilotNumber, Lap, Seconds,
@@ -180,6 +215,36 @@ b AS (SELECT {bucket('PilotNumber', 'pilot_iv')} AS pilot_bucket, {bucket('Lap',
              Seconds, ts, event_id FROM flaps, iv WHERE Lap >= 0 AND Lap < 1000 AND Seconds IS NOT NULL)
 SELECT pilot_bucket, round(max(Seconds), 4) AS seconds
 FROM {last_rows('b', 'pilot_bucket, lap_bucket', 'ts DESC, event_id DESC')} GROUP BY pilot_bucket""",
+    "pace_trace_fitted": f"""WITH {LAPS},
+fl AS (SELECT PilotNumber, Lap * 7 AS Lap, Seconds, ts, event_id FROM laps WHERE event_type IN ('click', 'view')),
+iv AS (SELECT {nice('SELECT max(Lap) - min(Lap) FROM fl', 167.5)} AS lap_iv,
+              {nice('SELECT max(PilotNumber) - min(PilotNumber) FROM fl', 167.5)} AS pilot_iv),
+b AS (SELECT {bucket('Lap', 'lap_iv')} AS lap_bucket, {bucket('PilotNumber', 'pilot_iv')} AS pilot_bucket,
+             Seconds, ts, event_id FROM fl, iv WHERE Seconds IS NOT NULL),
+t AS (SELECT lap_bucket, pilot_bucket, Seconds FROM {last_rows('b', 'lap_bucket, pilot_bucket', 'ts DESC, event_id DESC')}),
+rng AS (SELECT pilot_bucket, min(lap_bucket) AS lo, max(lap_bucket) AS hi FROM t GROUP BY pilot_bucket),
+grid AS (SELECT pilot_bucket, unnest(generate_series(lo, hi, CAST(lap_iv AS BIGINT))) AS lap_bucket FROM rng, iv),
+j AS (SELECT g.pilot_bucket, g.lap_bucket, t.Seconds, CASE WHEN t.lap_bucket IS NOT NULL THEN g.lap_bucket END AS kx
+      FROM grid g LEFT JOIN t ON g.pilot_bucket = t.pilot_bucket AND g.lap_bucket = t.lap_bucket),
+f AS (SELECT *, last_value(kx IGNORE NULLS) OVER p AS x1, last_value(Seconds IGNORE NULLS) OVER p AS y1,
+             first_value(kx IGNORE NULLS) OVER q AS x2, first_value(Seconds IGNORE NULLS) OVER q AS y2
+      FROM j
+      WINDOW p AS (PARTITION BY pilot_bucket ORDER BY lap_bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+             q AS (PARTITION BY pilot_bucket ORDER BY lap_bucket ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT lap_bucket, pilot_bucket,
+       round(CASE WHEN lap_bucket = x1 THEN y1 ELSE y1 + (y2 - y1) * ((lap_bucket - x1) / (x2 - x1)) END, 4) AS seconds,
+       lap_bucket = x1 AS known
+FROM f""",
+    "late_lap_prediction": arrival_sql(),
+    "stream_late_laps": arrival_sql(),
+    "race_pace_two_ranges": f"""WITH {LAPS}, {FLAPS},
+{ranges_sql('flaps', 'PilotNumber', 'Lap', 'Seconds', 'ts DESC, event_id DESC', 100)}
+SELECT pilot_bucket, round(early.v, 4) AS early, round(later.v, 4) AS from_20 FROM early FULL JOIN later USING (pilot_bucket)""",
+    "prediction_two_ranges": f"""WITH {LAPS}, {FLAPS},
+{rolling('flaps')},
+{ranges_sql('pred', 'PilotNumber', 'NextLap', 'prediction', 'ts DESC, NextLap DESC, PilotNumber DESC', 167.5)}
+SELECT 'early' AS range_label, pilot_bucket, round(v, 4) AS prediction FROM early
+UNION ALL SELECT '20 \u2192 1000', pilot_bucket, round(v, 4) FROM later""",
     "race_lap": f"WITH {LAPS}, {FLAPS} SELECT max(Lap) AS race_lap FROM flaps",
     "prediction_table": f"""WITH {LAPS}, {FLAPS},
 {rolling('flaps')},
@@ -257,3 +322,13 @@ SELECT PilotNumber, NextLap, round(prediction, 4) AS prediction FROM pred""",
     "interarrival_global": f"""WITH m AS (SELECT event_id, ts, {MS} AS t FROM events)
 SELECT event_id, round((t - lag(t) OVER (ORDER BY ts, event_id)) / 1000.0, 4) AS delta FROM m""",
 }
+ORACLE["race_pace_labelled"] = f"SELECT '0 \u2192 1000' AS range_label, pilot_bucket, seconds FROM ({ORACLE['race_pace_table']})"
+# The wildcard view: four collections, and the older job's predictions as floats.
+ORACLE["unified_view_pattern"] = f"""WITH {LAPS}, {FLAPS},
+older AS (WITH {rolling('flaps', 5, 5)} SELECT * FROM pred)
+SELECT collection, ts_ms, PilotNumber, Lap, PilotN, NextLap, Seconds, prediction, gap_to_leader, AirTemp
+FROM ({ORACLE['unified_view']})
+UNION ALL
+SELECT 'predictions-older', {MS}, NULL, NULL, CAST(PilotNumber AS DOUBLE), CAST(NextLap AS DOUBLE), NULL,
+       round(CAST(CAST(prediction AS FLOAT) AS DOUBLE), 4), NULL, NULL
+FROM older"""

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.plans.joins import bounded_broadcast
-from pitwall.plans.lineage import materialize
+from pitwall.plans.lineage import checkpointed, materialize
 
 BLK = "_blk"
 HALO = "_halo"
@@ -226,7 +226,7 @@ def carry_forward(
         return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
     # The rows are read twice (in-block scan and block summary); write them
     # once so the upstream plan is not run twice.
-    inner = materialize(df).withColumn(out, F.last(value, ignorenulls=True).over(upto))
+    inner = checkpointed(df).withColumn(out, F.last(value, ignorenulls=True).over(upto))
     ck = [f"_ck{i}" for i in range(len(keys))]
     summary = inner.groupBy(*keys, BLK).agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(rn))).alias("_blast")

@@ -13,8 +13,10 @@ and the model is refit when ``next % cadence == 0``, ``next < 6`` or there is
 no model yet; one prediction row is emitted (ST5).  A late lap may enter the
 buffer but never lowers ``next`` (ST6).  Each arriving row is appended once.
 
-The fit is the closed form of ``pitwall.operators.regress`` on <= n rows,
-computed with numpy; Spark partitions the keys and keeps the state in the
+A key's rows of a micro-batch are handled as arrays: one sort ranks them, ``n``
+running maxima give every row its buffer, the fit is the closed form of
+``pitwall.operators.regress`` over all buffers at once, and the last refit is
+filled forward; Spark partitions the keys and keeps the state in the
 state store (RocksDB), so nothing is gathered on the driver.
 """
 
@@ -56,16 +58,29 @@ OUTPUT_SCHEMA = StructType(
 )
 
 
-def closed_form(laps: np.ndarray, secs: np.ndarray, reg: float) -> tuple[float, float]:
-    """A8 on one driver's buffer (population statistics)."""
-    mx, my = laps.mean(), secs.mean()
-    vx = ((laps - mx) ** 2).mean()
-    sy = np.sqrt(((secs - my) ** 2).mean())
-    if vx > 0 and sy > 0:
-        slope = ((laps - mx) * (secs - my)).mean() / vx / (1 + reg / sy)
-    else:
-        slope = 0.0
-    return float(slope), float(my - slope * mx)
+def top_so_far(arriving: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` highest ranks up to each arrival, one row for each place (-1:
+    none yet).  A chain of running maxima: what an arrival displaces from one
+    place goes on to the next."""
+    places = []
+    for _ in range(n):
+        top = np.maximum.accumulate(arriving)
+        places.append(top)
+        arriving = np.minimum(np.concatenate(([-1], top[:-1])), arriving)
+    return np.stack(places)
+
+
+def fits(laps: np.ndarray, secs: np.ndarray, tops: np.ndarray, reg: float) -> tuple[np.ndarray, np.ndarray]:
+    """A8 on the buffer of every arrival (population statistics)."""
+    there = tops >= 0
+    k = there.sum(axis=0)
+    x, y = np.where(there, laps[tops], 0).astype(float), np.where(there, secs[tops], 0.0)
+    mx, my = x.sum(axis=0) / k, y.sum(axis=0) / k
+    x, y = np.where(there, x - mx, 0.0), np.where(there, y - my, 0.0)
+    vx, sy = (x * x).sum(axis=0) / k, np.sqrt((y * y).sum(axis=0) / k)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        slope = np.where((vx > 0) & (sy > 0), (x * y).sum(axis=0) / k / vx / (1 + reg / sy), 0.0)
+    return slope, my - slope * mx
 
 
 class RollingPredictor(StatefulProcessor):
@@ -82,20 +97,31 @@ class RollingPredictor(StatefulProcessor):
         # key = (session keys..., driver); the driver is the last key column
         batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.sort_values([EVENT_TIME, "Lap"], kind="mergesort", na_position="first")
-        buf = [(int(lap), float(sec), int(at)) for lap, sec, at in self.buffer.get()] if self.buffer.exists() else []
+        # oldest first, so that of equal (Lap, time) the newer row ranks higher
+        held = [(int(r[0]), float(r[1]), int(r[2])) for r in self.buffer.get()][::-1] if self.buffer.exists() else []
         model = self.model.get() if self.model.exists() else None
-        out = []
-        for lap, sec, ts in zip(batch["Lap"], batch["Seconds"], batch[EVENT_TIME]):
-            # top n by (Lap, time), highest first; of equal ones the new row is first
-            buf.insert(0, (int(lap), float(sec), ts.value // 1000))
-            buf = sorted(buf, key=lambda r: (-r[0], -r[2]))[: self.n]
-            nxt = max(r[0] for r in buf) + 1
-            if model is None or nxt % self.cadence == 0 or nxt < self.early_below:
-                arr = np.array(buf, dtype=float)
-                model = closed_form(arr[:, 0], arr[:, 1], self.reg)
-            out.append((*key[:-1], int(key[-1]), int(lap), int(nxt), model[0] * nxt + model[1], model[0], model[1], ts))
-        self.buffer.put(buf)
-        self.model.update(tuple(model))
+        old = len(held)
+        new_laps = batch["Lap"].to_numpy(np.int64)
+        laps = np.concatenate((np.array([r[0] for r in held], np.int64), new_laps))
+        secs = np.concatenate((np.array([r[1] for r in held], float), batch["Seconds"].to_numpy(float)))
+        at = np.concatenate((np.array([r[2] for r in held], np.int64), [t.value // 1000 for t in batch[EVENT_TIME]]))
+        ranked = np.lexsort((np.arange(len(laps)), at, laps))
+        laps, secs, at = laps[ranked], secs[ranked], at[ranked]  # now by rank
+        arriving = np.empty(len(ranked), np.int64)
+        arriving[ranked] = np.arange(len(ranked))
+        tops = top_so_far(arriving, self.n)[:, old:]
+        slopes, intercepts = fits(laps, secs, tops, self.reg)
+        nxt = laps[tops[0]] + 1
+        refit = (nxt % self.cadence == 0) | (nxt < self.early_below)
+        refit[0] |= model is None
+        used = np.maximum.accumulate(np.where(refit, np.arange(len(nxt)), -1))
+        slope = np.where(used >= 0, slopes[used], model[0] if model else 0.0)
+        intercept = np.where(used >= 0, intercepts[used], model[1] if model else 0.0)
+        last = tops[:, -1]
+        self.buffer.put([(int(laps[r]), float(secs[r]), int(at[r])) for r in last[last >= 0]])
+        self.model.update((float(slope[-1]), float(intercept[-1])))
+        out = {name: [k] * len(nxt) for name, k in zip(self.columns, key[:-1])}
+        out |= {"PilotN": int(key[-1]), "Lap": new_laps, "NextLap": nxt, "prediction": slope * nxt + intercept, "slope": slope, "intercept": intercept, EVENT_TIME: batch[EVENT_TIME].to_numpy()}
         yield pd.DataFrame(out, columns=self.columns)
 
     def close(self) -> None:
