@@ -419,7 +419,7 @@ def unified_view_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
         SK.LAPS_TABLE: laps,
         SK.GAPS_TABLE: E.gap_rows(lines),
         SK.WEATHER_TABLE: E.weather_rows(lines),
-        SK.PREDICTIONS_TABLE: _feed_predictions(spark, sf_dir, laps, reused=False),
+        SK.PREDICTIONS_TABLE: _feed_predictions(spark, sf_dir, laps, reused=False).select("PilotN", "NextLap", "prediction", TS),
         f"{SK.PREDICTIONS_TABLE}-older": older.select(
             "PilotN", F.col("NextLap").cast("long").alias("NextLap"), F.col("prediction").cast("float").alias("prediction"), TS
         ),
