@@ -1,7 +1,7 @@
 """Command line: run the live system over a feed and show the dashboard.
 
     python -m pitwall live --feed DIR --out DIR [--concatenated] [--files-per-batch N]
-                           [--roster FILE] [--every "5 seconds"]
+                           [--roster FILE] [--every "5 seconds"] [--sessions]
     python -m pitwall dashboards --out DIR
 
 ``live`` starts bronze capture, the three-way split and the predictor over a
@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 def live(spark: SparkSession, feed: str, out: str, concatenated: bool = False, files_per_batch: int = 8,
          roster: str | None = None, every: str | None = None, checkpoints: str | None = None,
-         roster_limit: int | None = 20) -> None:
+         roster_limit: int | None = 20, sessions: bool = False) -> None:
     """Run the live system.  ``checkpoints`` (default ``{out}/_checkpoints``)
     belongs to ``out``: a restart with both goes on where the last run ended."""
     from pitwall.config import state_partitions
@@ -32,16 +32,14 @@ def live(spark: SparkSession, feed: str, out: str, concatenated: bool = False, f
     from pitwall.streaming import sinks as SK
 
     if concatenated:
-        raw = (
-            spark.readStream.format("text").option("lineSep", C.SEPARATOR)
-            .option("maxFilesPerTrigger", str(files_per_batch)).load(feed)
-            .select(C.repair_split_record("value").alias("value"))
-        )
+        raw = spark.readStream.format("text").option("lineSep", C.SEPARATOR).option("maxFilesPerTrigger", str(files_per_batch))
+        raw = C.with_session(raw.option("recursiveFileLookup", "true").load(feed)) if sessions else raw.load(feed)
+        raw = raw.withColumn("value", C.repair_split_record("value"))
     else:
-        raw = C.read_lines(spark, feed, stream=True, max_files=files_per_batch)
+        raw = C.read_lines(spark, feed, stream=True, max_files=files_per_batch, sessions=sessions)
     r = roster_numbers(C.read_roster(spark, roster), limit=roster_limit) if roster else None
     with SP.use_rocksdb(spark), state_partitions(spark):
-        queries = SK.start_live(raw, out, checkpoints or f"{out.rstrip('/')}/_checkpoints", roster=r, processing_time=every)
+        queries = SK.start_live(raw, out, checkpoints or f"{out.rstrip('/')}/_checkpoints", roster=r, processing_time=every, documents=True)
         try:
             while any(q.isActive for q in queries):
                 spark.streams.resetTerminated()
@@ -84,6 +82,7 @@ def main(argv: list[str] | None = None) -> int:
     lv.add_argument("--out", required=True)
     lv.add_argument("--concatenated", action="store_true")
     lv.add_argument("--files-per-batch", type=int, default=8)
+    lv.add_argument("--sessions", action="store_true", help="FEED holds one folder for each session")
     lv.add_argument("--roster")
     lv.add_argument("--every")
     lv.add_argument("--checkpoints", help="folder of the streams' progress (default: OUT/_checkpoints)")
@@ -95,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("pitwall").config("spark.sql.variant.allowDuplicateKeys", "true").getOrCreate()
     if a.cmd == "live":
-        live(spark, a.feed, a.out, a.concatenated, a.files_per_batch, a.roster, a.every, a.checkpoints, a.roster_limit or None)
+        live(spark, a.feed, a.out, a.concatenated, a.files_per_batch, a.roster, a.every, a.checkpoints, a.roster_limit or None, a.sessions)
     else:
         for name, df in dashboards(spark, a.out).items():
             path = f"{(a.panels or a.out.rstrip('/') + '/_panels').rstrip('/')}/{name}"

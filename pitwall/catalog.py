@@ -9,6 +9,7 @@ epoch milliseconds (``ts_ms``) so both engines print the same values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,10 @@ from pitwall.schemas import TS
 from pitwall.sources import capture as C
 from pitwall.sources import derived as V
 from pitwall.sources.collections import CollectionCatalog
+from pitwall.streaming import panels as PN
 from pitwall.streaming import predictor as SP
 from pitwall.streaming import sinks as SK
+from pitwall.streaming import store as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -459,25 +462,31 @@ WAVE_ROWS = 5_000_000
 FILES_PER_TRIGGER = 8
 
 
-def _in_waves(msgs: DataFrame, path: str, run, ts: str = TS) -> None:
+def _in_waves(msgs: DataFrame, path: str, run, ts: str = TS, waves: int = MIN_STREAM_WAVES, folder: str | None = None) -> None:
     """Replay ``value`` lines into ``path`` in event-time waves: each wave is
     written (each file holding whole drivers of the wave) and then processed
     by ``run()`` -- an ``availableNow`` run on the same checkpoint -- before
     the next wave is written.  Order never depends on file times, and every
-    run after the first restarts the query from its checkpoint and state."""
+    run after the first restarts the query from its checkpoint and state.
+    Lines of each value of ``folder`` go to a folder of their own."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    msgs = materialize(msgs.select("PilotNumber", micros.alias("at"), "value"))
+    own = F.lit(None).cast("string") if folder is None else F.col(folder).cast("string")
+    msgs = materialize(msgs.select("PilotNumber", micros.alias("at"), own.alias("own"), "value"))
     lo, hi, rows = msgs.agg(F.min("at"), F.max("at"), F.count(F.lit(1))).first()
-    waves = max(MIN_STREAM_WAVES, -(-rows // WAVE_ROWS)) if lo is not None else 1
+    waves = max(waves, -(-rows // WAVE_ROWS)) if lo is not None else 1
     step = max(1, -(-(hi - lo + 1) // waves)) if lo is not None else 1
     # rows without a time come with the first wave
     wave = F.coalesce(F.floor((F.col("at") - F.lit(lo or 0)) / F.lit(step)), F.lit(0)).cast("int")
     # Written once by wave: every run below reads its own folder only.
     cut = scratch_path(msgs.sparkSession, "waves")
     msgs.withColumn("wave", wave).repartition("wave", "PilotNumber").write.partitionBy("wave").parquet(cut)
-    cut = msgs.sparkSession.read.schema("PilotNumber int, at long, value string, wave int").parquet(cut)
+    cut = msgs.sparkSession.read.schema("PilotNumber int, at long, own string, value string, wave int").parquet(cut)
     for i in range(waves):
-        cut.where(F.col("wave") == i).repartition("PilotNumber").select("value").write.mode("append").text(path)
+        wave = cut.where(F.col("wave") == i).repartition("PilotNumber")
+        if folder is None:
+            wave.select("value").write.mode("append").text(path)
+        else:
+            wave.select("value", "own").write.mode("append").partitionBy("own").text(path)
         run()
 
 
@@ -564,6 +573,116 @@ def stream_live_system(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.select(F.col("PilotN").alias("PilotNumber"), "NextLap", _r4("prediction").alias("prediction"))
 
 
+def stream_two_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 + F6 + P15: the live system over two captures in which the same cars
+    drive (events of even and of odd id).  Each session has its own state and
+    predictions, stored as documents: FLOAT, event time and processing time;
+    ``stamped`` says that each micro-batch holds one processing time."""
+    src, root, ck = (scratch_path(spark, n) for n in ("session-feeds", "live", "live-ckpt"))
+
+    def run():
+        raw = C.read_lines(spark, src, stream=True, max_files=2 * FILES_PER_TRIGGER, sessions=True)
+        with SP.use_rocksdb(spark), state_partitions(spark):
+            for q in SK.start_live(raw, root, ck, documents=True):
+                q.awaitTermination()
+                if q.exception() is not None:
+                    raise q.exception()
+
+    feed = V.feed_messages(None, _numbered(spark, sf_dir)).withColumn("capture", F.col("event_id") % 2)
+    _in_waves(feed, src, run, ts="ts", waves=2, folder="capture")
+    res = spark.read.parquet(f"{root}/{SK.PREDICTIONS_TABLE}")
+    one = res.groupBy("batch_id").agg((F.min(SK.STAMP) == F.max(SK.STAMP)).alias("stamped"))
+    return res.join(one, "batch_id").select(
+        F.regexp_extract("session", r"=(\d+)$", 1).cast("int").alias("session"), F.col("PilotN").alias("PilotNumber"), "Lap", "NextLap",
+        _r4(F.col("prediction").cast("double")).alias("prediction"), _ms(), "stamped",
+    )
+
+
+def _split_store(spark: SparkSession, sf_dir: str) -> dict[str, ST.CollectionStore]:
+    """The three collections of a streamed feed, in stores by day: split in
+    micro-batches, then compacted."""
+    src, root = scratch_path(spark, "feed-stream"), scratch_path(spark, "stores")
+    C.write_lines(V.feed_messages(None, _numbered(spark, sf_dir)), src)
+    raw = C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER // 2)
+    stores = {t: ST.CollectionStore(spark, f"{root}/{t}") for t in (SK.LAPS_TABLE, SK.GAPS_TABLE, SK.WEATHER_TABLE)}
+    SK.run_available(raw, scratch_path(spark, "split-ckpt"), fn=SK.three_way_split(root, stores=stores))
+    for store in stores.values():
+        store.compact()
+    return stores
+
+
+def _contents(stores: dict[str, ST.CollectionStore], lo=None, hi=None) -> DataFrame:
+    read = {t: s.read(lo, hi) for t, s in stores.items()}
+    v = D.unified_view(laps=read[SK.LAPS_TABLE], gaps=read[SK.GAPS_TABLE], weather=read[SK.WEATHER_TABLE])
+    doubles = ["Seconds", "gap_to_leader", "gap_to_previous", "AirTemp", "Humidity", "Pressure", "Rainfall", "TrackTemp", "WindSpeed"]
+    ints = ["PilotNumber", "Lap", "gap_pilot", "WindDirection"]
+    return v.select("collection", _ms(), *[F.col(c).cast("double").alias(c) for c in ints], *[_r4(c).alias(c) for c in doubles])
+
+
+def stream_split_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST8 + S8-S10: the rows of the lap, gap and weather collections that the
+    split of a streamed feed wrote, after compaction."""
+    return _contents(_split_store(spark, sf_dir))
+
+
+#: A time range of the dashboards: [lo, hi).
+TIME_RANGE = ("2024-01-08 00:00:00", "2024-01-15 12:00:00")
+
+
+def dashboards_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P20: the stored collections of one time range, by day folders and row
+    groups."""
+    utc = lambda text: datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
+    return _contents(_split_store(spark, sf_dir), *[utc(t) for t in TIME_RANGE])
+
+
+def _panel_stream(spark: SparkSession, sf_dir: str, panel: PN.Panel, rows_of) -> DataFrame:
+    """ST7: a panel's unit buckets updated by a streamed feed in waves; the
+    state's rows are those of the table it leaves."""
+    src, root, ck = (scratch_path(spark, n) for n in ("feed-stream", "panels", "panel-ckpt"))
+
+    def run():
+        raw = C.read_lines(spark, src, stream=True, max_files=FILES_PER_TRIGGER)
+        with state_partitions(spark):
+            updates = PN.state(rows_of(E.normalise(raw)), panel)
+            SK.run_available(updates, ck, fn=SK.batch_writer(f"{root}/{panel.name}"), output_mode="update")
+
+    _in_waves(V.feed_messages(None, _numbered(spark, sf_dir)), src, run, ts="ts", waves=2)
+    return PN.merged(PN.read(spark, root, panel), panel)
+
+
+def stream_race_pace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 from streamed state."""
+    states = materialize(_panel_stream(spark, sf_dir, PN.RACE_PACE, E.lap_rows))
+    return PN.table(states, PN.RACE_PACE).select("pilot_bucket", _r4("seconds").alias("seconds"))
+
+
+def stream_gap_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 from streamed state."""
+    t = PN.bars(materialize(_panel_stream(spark, sf_dir, PN.GAPS, E.gap_rows)))
+    return t.select("pilot_bucket", _r4("gap_to_previous").alias("gap_to_previous"), _r4("gap_to_leader").alias("gap_to_leader"))
+
+
+def stream_weather_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 from streamed state."""
+    t = PN.latest(_panel_stream(spark, sf_dir, PN.WEATHER, E.weather_rows))
+    return t.select(*[_r4(c).alias(c) for c in D.WEATHER_PANEL])
+
+
+def stream_prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 from streamed state: the predictions collection, itself written by
+    micro-batches, read as a stream."""
+    pred = scratch_path(spark, "predictions")
+    _feed_predictions(spark, sf_dir, reused=False).select("PilotN", "NextLap", "prediction", TS).write.parquet(pred)
+    root, ck = scratch_path(spark, "panels"), scratch_path(spark, "panel-ckpt")
+    rows = spark.readStream.schema(f"PilotN int, NextLap int, prediction double, `{TS}` timestamp").option("maxFilesPerTrigger", "2").parquet(pred)
+    with state_partitions(spark):
+        updates = PN.state(rows, PN.PREDICTION, ["NextLap"])
+        SK.run_available(updates, ck, fn=SK.batch_writer(f"{root}/{PN.PREDICTION.name}"), output_mode="update")
+    states = materialize(PN.merged(PN.read(spark, root, PN.PREDICTION), PN.PREDICTION))
+    return PN.table(states, PN.PREDICTION).select("pilot_bucket", _r4("prediction").alias("prediction"))
+
+
 def stream_bronze_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw capture stream appended to a bronze table without heartbeats
     (file sink, exactly-once); returns lines per kind."""
@@ -622,4 +741,11 @@ QUERIES: dict[str, Query] = {
     "stream_three_way_split": stream_three_way_split,
     "stream_bronze_capture": stream_bronze_capture,
     "stream_live_system": stream_live_system,
+    "stream_two_sessions": stream_two_sessions,
+    "stream_split_contents": stream_split_contents,
+    "dashboards_time_range": dashboards_time_range,
+    "stream_race_pace_table": stream_race_pace_table,
+    "stream_prediction_table": stream_prediction_table,
+    "stream_gap_bars": stream_gap_bars,
+    "stream_weather_latest": stream_weather_latest,
 }

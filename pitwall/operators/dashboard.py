@@ -76,16 +76,19 @@ def last_value(v: str | Column, ts: str = TS, tiebreak: Sequence[str] = ()) -> C
     integer tiebreak, decimal microseconds x 2*10^19 + tiebreak (nulls lowest).
     Several tiebreaks make it a struct (sort-based aggregate)."""
     c = F.col(v) if isinstance(v, str) else v
+    return F.max_by(c, F.when(c.isNotNull(), moment(ts, tiebreak)))
+
+
+def moment(ts: str = TS, tiebreak: Sequence[str] = ()) -> Column:
+    """What ``last_value`` orders by."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     if not tiebreak:
-        order = micros
-    elif len(tiebreak) == 1:
-        when = F.coalesce(micros, F.lit(BEFORE_ALL)).cast("decimal(18,0)")
-        turn = F.coalesce(F.col(tiebreak[0]).cast("decimal(19,0)"), F.lit(Decimal(-(10**19) + 1)))
-        order = (when * F.lit(Decimal(2 * 10**19)) + turn).cast("decimal(38,0)")
-    else:
-        order = F.struct(F.col(ts), *[F.col(t) for t in tiebreak])
-    return F.max_by(c, F.when(c.isNotNull(), order))
+        return micros
+    if len(tiebreak) > 1:
+        return F.struct(F.col(ts), *[F.col(t) for t in tiebreak])
+    when = F.coalesce(micros, F.lit(BEFORE_ALL)).cast("decimal(18,0)")
+    turn = F.coalesce(F.col(tiebreak[0]).cast("decimal(19,0)"), F.lit(Decimal(-(10**19) + 1)))
+    return (when * F.lit(Decimal(2 * 10**19)) + turn).cast("decimal(38,0)")
 
 
 @dataclass(frozen=True)

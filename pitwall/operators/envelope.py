@@ -43,6 +43,8 @@ FEED_LINES = "$.M[0].A[1].Lines"
 DOC = "_doc"
 GAP_TEXT = "_gap_text"  # raw line mentions GapToLeader (cheap pre-check)
 LINES_TYPE = "map<string,variant>"
+#: Columns that rows of the collections keep from the message, where it has them.
+CARRIED = ("session", "event_id")
 
 
 def _get(col, path: str, typ: str = "variant") -> Column:
@@ -195,7 +197,7 @@ def lap_rows(lines: DataFrame, convert_recap: bool = False) -> DataFrame:
         F.col("line.NumberOfLaps").try_cast("int").alias("Lap"),
         seconds.alias("Seconds"),
         msg_timestamp().alias(TS),
-        *[c for c in ("event_id",) if c in lap.columns],
+        *[c for c in CARRIED if c in lap.columns],
     ).where("Lap is not null and Seconds is not null")
 
 
@@ -211,7 +213,7 @@ def gap_rows(lines: DataFrame) -> DataFrame:
             ),
         ).alias("Gaps"),
         msg_timestamp().alias(TS),
-        *[c for c in ("event_id",) if c in g.columns],
+        *[c for c in CARRIED if c in g.columns],
     )
 
 
@@ -229,7 +231,7 @@ def weather_rows(lines: DataFrame) -> DataFrame:
             text_to_double(F.col("_w.WindSpeed")).alias("WindSpeed"),
         ).alias("Weather"),
         msg_timestamp().alias(TS),
-        *[c for c in ("event_id",) if c in w.columns],
+        *[c for c in CARRIED if c in w.columns],
     )
 
 

@@ -332,3 +332,18 @@ UNION ALL
 SELECT 'predictions-older', {MS}, NULL, NULL, CAST(PilotNumber AS DOUBLE), CAST(NextLap AS DOUBLE), NULL,
        round(CAST(CAST(prediction AS FLOAT) AS DOUBLE), 4), NULL, NULL
 FROM older"""
+
+# Streamed panels equal the batch panels.
+for _panel in ("race_pace_table", "prediction_table", "gap_bars", "weather_latest"):
+    ORACLE[f"stream_{_panel}"] = ORACLE[_panel]
+_SPLIT = f"""SELECT * EXCLUDE (PilotN, NextLap, prediction) FROM ({ORACLE['unified_view']}) WHERE collection <> 'predictions'"""
+ORACLE["stream_split_contents"] = _SPLIT
+ORACLE["dashboards_time_range"] = f"""SELECT * FROM ({_SPLIT})
+WHERE ts_ms >= epoch_ms(TIMESTAMP '2024-01-08 00:00:00') AND ts_ms < epoch_ms(TIMESTAMP '2024-01-15 12:00:00')"""
+# Two sessions: the parity of the event id; a driver's key holds both.
+ORACLE["stream_two_sessions"] = f"""WITH {LAPS}, {FLAPS},
+sess AS (SELECT CAST(PilotNumber * 2 + event_id % 2 AS INTEGER) AS PilotNumber, Lap, Seconds, ts, event_id FROM flaps),
+{rolling('sess')}
+SELECT CAST(PilotNumber % 2 AS INTEGER) AS session, CAST(PilotNumber // 2 AS INTEGER) AS PilotNumber, Lap, NextLap,
+       round(CAST(CAST(prediction AS FLOAT) AS DOUBLE), 4) AS prediction, {MS} AS ts_ms, true AS stamped
+FROM pred"""

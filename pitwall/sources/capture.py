@@ -24,14 +24,26 @@ from pitwall.operators.laps import TOPIC
 SEPARATOR = "}{"
 
 
-def read_lines(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None) -> DataFrame:
-    """S3: a capture with one message per line -> ``value``."""
-    if stream:
-        r = spark.readStream.format("text")
-        if max_files:
-            r = r.option("maxFilesPerTrigger", str(max_files))
-        return r.load(path)
-    return spark.read.text(path)
+#: The capture a file belongs to: the folder it lies in.
+SESSION = r"([^/]+)/[^/]*$"
+
+
+def with_session(raw: DataFrame, pattern: str = SESSION) -> DataFrame:
+    """``session`` of each line, cut from the path of its file by the first
+    group of ``pattern``; the same car in two captures is two drivers."""
+    return raw.select("*", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias("session"))
+
+
+def read_lines(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None,
+               sessions: bool = False) -> DataFrame:
+    """S3: a capture with one message per line -> ``value``; with ``sessions``
+    a folder of captures, each in its own folder -> ``value, session``."""
+    r = spark.readStream.format("text") if stream else spark.read.format("text")
+    if stream and max_files:
+        r = r.option("maxFilesPerTrigger", str(max_files))
+    if sessions:
+        return with_session(r.option("recursiveFileLookup", "true").load(path))
+    return r.load(path)
 
 
 def repair_split_record(col: str = "value") -> F.Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pitwall.operators import envelope as E
 from pitwall.operators.dashboard import last_value
 from pitwall.operators.laps import TOPIC, keyed_records, lap_messages
+from pitwall.schemas import TS
 
 # Fixed values of the collections.
 LAPS_TABLE = "lastlaptimes"
@@ -25,41 +26,51 @@ PREDICTIONS_TABLE = "predictions"
 HEARTBEAT = "{}"
 
 
-def batch_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """Idempotent per-batch writer for ``foreachBatch``."""
+def batch_writer(path: str, fmt: str = "parquet", prepare: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """Idempotent per-batch writer for ``foreachBatch``; ``prepare`` shapes the
+    batch before it is written."""
 
     def write(df: DataFrame, batch_id: int) -> None:
+        df = prepare(df) if prepare else df
         df.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
     return write
 
 
-def three_way_split(root: str, roster: DataFrame | None = None, route_scope: str = "message"):
+def three_way_split(root: str, roster: DataFrame | None = None, route_scope: str = "message", stores: dict | None = None):
     """ST8 + S8-S10: a ``foreachBatch`` function that routes raw feed lines of
-    one micro-batch into the lap, gap and weather collections under ``root``.
+    one micro-batch into the lap, gap and weather collections under ``root``, or
+    into the ``CollectionStore`` that ``stores`` has for a collection.
     The batch is parsed once and persisted while the three writers read it."""
+    writers = {t: batch_writer(f"{root}/{t}") for t in (LAPS_TABLE, GAPS_TABLE, WEATHER_TABLE)}
+    writers |= {t: store.write_batch for t, store in (stores or {}).items()}
 
     def split(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # A2: nothing arrived in this trigger
             return
         lines = E.normalise(batch, roster=roster, route_scope=route_scope).persist()
         try:
-            batch_writer(f"{root}/{LAPS_TABLE}")(E.lap_rows(lines), batch_id)
-            batch_writer(f"{root}/{GAPS_TABLE}")(E.gap_rows(lines), batch_id)
-            batch_writer(f"{root}/{WEATHER_TABLE}")(E.weather_rows(lines), batch_id)
+            writers[LAPS_TABLE](E.lap_rows(lines), batch_id)
+            writers[GAPS_TABLE](E.gap_rows(lines), batch_id)
+            writers[WEATHER_TABLE](E.weather_rows(lines), batch_id)
         finally:
             lines.unpersist()
 
     return split
 
 
-def stamp_processing_time(df: DataFrame) -> DataFrame:
-    """F6 + P15: stamp documents with the processing time, as the original
-    prediction sink did (event time is kept by default so results are
-    reproducible)."""
-    from pitwall.schemas import TS
+STAMP = "processed_at"
 
-    return df.withColumn(TS, F.current_timestamp())
+
+def prediction_documents(pred: DataFrame) -> DataFrame:
+    """F6 + P15: predictions as they are stored: ``prediction`` as FLOAT, the
+    event time, and next to it the processing time -- one moment for a whole
+    micro-batch, taken when it is written."""
+    keys = [c for c in ("session",) if c in pred.columns]
+    return pred.select(
+        *keys, F.col("PilotN").cast("int").alias("PilotN"), "Lap", "NextLap",
+        F.col("prediction").cast("float").alias("prediction"), TS, F.current_timestamp().alias(STAMP),
+    )
 
 
 def latest_per_driver(laps: DataFrame, key: str = "PilotNumber") -> DataFrame:
@@ -119,6 +130,7 @@ def start_live(
     processing_time: str | None = None,
     n: int = 10,
     cadence: int = 2,
+    documents: bool = False,
 ) -> list:
     """Start the live system over one raw feed stream (``value`` text lines):
 
@@ -126,6 +138,10 @@ def start_live(
     * ``split``       -- ST8 laps / gaps / weather collections (foreachBatch);
     * ``predictions`` -- ST1-ST6 keyed-state predictor over the routed laps.
 
+    Lines with a ``session`` column (see ``capture.with_session``) carry it into
+    every collection, and a driver's state belongs to one session.  With
+    ``documents`` predictions are stored as documents (``prediction_documents``).
+
     Each query has its own checkpoint under ``checkpoints`` (a folder in the
     shared ``spark.checkpoint.dir``).  ``processing_time`` (e.g. "5 seconds")
     sets a trigger; by default every query runs over what is available now
@@ -145,8 +161,10 @@ def start_live(
     w = raw.writeStream.foreachBatch(three_way_split(root, roster=roster, route_scope=route_scope))
     started.append(trig(w.option("checkpointLocation", f"{checkpoints}/split")).start())
     laps = E.lap_rows(E.normalise(raw, roster=roster, route_scope=route_scope))
-    preds = predict_stream(laps, n=n, cadence=cadence)
-    w = preds.writeStream.outputMode("append").foreachBatch(batch_writer(f"{root}/{PREDICTIONS_TABLE}"))
+    key = ["session", "PilotNumber"] if "session" in laps.columns else "PilotNumber"
+    preds = predict_stream(laps, key=key, n=n, cadence=cadence)
+    write = batch_writer(f"{root}/{PREDICTIONS_TABLE}", prepare=prediction_documents if documents else None)
+    w = preds.writeStream.outputMode("append").foreachBatch(write)
     started.append(trig(w.option("checkpointLocation", f"{checkpoints}/predictions")).start())
     return started
 
