@@ -385,7 +385,7 @@ def weather_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unified_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one parse of the feed feeds all four collections
     lines = materialize(
-        _feed_lines(spark, sf_dir).select("event_id", "kind", "msg_time", "PilotNumber", "line_json", "line", "route")
+        _feed_lines(spark, sf_dir).select("event_id", "kind", "msg_time", "PilotNumber", "line", "weather", "route")
     )
     laps = E.lap_rows(lines).select("PilotNumber", "Lap", "Seconds", TS, "event_id")
     v = D.unified_view(
@@ -414,7 +414,7 @@ def unified_view_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     name is left out."""
     root = scratch_path(spark, "catalogue")
     lines = materialize(
-        _feed_lines(spark, sf_dir).select("event_id", "kind", "msg_time", "PilotNumber", "line_json", "line", "route")
+        _feed_lines(spark, sf_dir).select("event_id", "kind", "msg_time", "PilotNumber", "line", "weather", "route")
     )
     laps = materialize(E.lap_rows(lines).select("PilotNumber", "Lap", "Seconds", TS, "event_id"))
     older = regress.rolling_predict(laps, tiebreak=("event_id",), n=regress.OLDER["n"], cadence=regress.OLDER["cadence"])
@@ -426,7 +426,7 @@ def unified_view_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{SK.PREDICTIONS_TABLE}-older": older.select(
             "PilotN", F.col("NextLap").cast("long").alias("NextLap"), F.col("prediction").cast("float").alias("prediction"), TS
         ),
-        "bronze": lines.select("line_json"),
+        "bronze": lines.select("kind"),
     }.items():
         df.write.parquet(f"{root}/{name}")
     v = CollectionCatalog(spark, root).view(VIEW_PATTERN)
@@ -598,6 +598,26 @@ def stream_two_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_bus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 + S12 + F7: laps sent to the bus by micro-batches, each of which is
+    written twice as after a failure, and read back once by record identity.
+    A folder stands for the topic."""
+    src, topic, out, ck = (scratch_path(spark, n) for n in ("laps", "topic", "bus-laps", "bus-ckpt"))
+    _feed_laps(spark, sf_dir, reused=False).drop("event_id").write.parquet(src)
+    laps = spark.readStream.schema(f"PilotNumber int, Lap int, Seconds double, `{TS}` timestamp").option("maxFilesPerTrigger", "4").parquet(src)
+
+    def twice(df: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            SK.bus_records(df, batch_id).select("key", "value", "headers").write.mode("append").parquet(topic)
+
+    SK.run_available(laps, f"{ck}/out", fn=twice)
+    bus = spark.readStream.schema("key string, value string, headers array<struct<key: string, value: binary>>").parquet(topic)
+    parsed = L.parse_lap_messages(SK.record_ids(bus).drop("headers"))
+    with state_partitions(spark):
+        SK.run_available(SK.once(parsed, TS, "40 days"), f"{ck}/in", fn=SK.batch_writer(out))
+    return spark.read.parquet(out).select("key", "PilotNumber", "Lap", _r4("Seconds").alias("Seconds"), _ms())
+
+
 def _split_store(spark: SparkSession, sf_dir: str) -> dict[str, ST.CollectionStore]:
     """The three collections of a streamed feed, in stores by day: split in
     micro-batches, then compacted."""
@@ -741,6 +761,7 @@ QUERIES: dict[str, Query] = {
     "stream_three_way_split": stream_three_way_split,
     "stream_bronze_capture": stream_bronze_capture,
     "stream_live_system": stream_live_system,
+    "stream_bus_records": stream_bus_records,
     "stream_two_sessions": stream_two_sessions,
     "stream_split_contents": stream_split_contents,
     "dashboards_time_range": dashboards_time_range,

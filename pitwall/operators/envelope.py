@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from pitwall.functions.scalars import contains, lap_text_to_seconds, text_to_double, text_to_int
 from pitwall.plans.joins import ROSTER_MAX, roster_semi_join
-from pitwall.schemas import TS, WEATHER_TEXT
+from pitwall.operators.laps import timed_lap
+from pitwall.schemas import TS, WEATHER_FIELDS, WEATHER_TEXT
 
 # Fixed values of the feed format.
 WEATHER_TOPIC = "WeatherData"
@@ -106,6 +107,11 @@ def _line_fields(line: Column) -> Column:
     )
 
 
+def _weather_fields(payload: Column) -> Column:
+    """The weather fields (E10) as text, from the parsed payload."""
+    return F.struct(*[F.try_variant_get(payload, f"$.{f}", "string").alias(f) for f in [*WEATHER_FIELDS, "WindDirection"]])
+
+
 def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None = None) -> DataFrame:
     """One row per (message, driver line) with its ``route``.
 
@@ -155,7 +161,7 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
         .when(contains(F.col("line_json"), LAP_MARK), F.lit("lap"))
         .otherwise(F.lit("none"))
     )
-    derived = {DOC, GAP_TEXT, "payload", "driver", "PilotNumber", "line_json", "line", "route"}
+    derived = {DOC, GAP_TEXT, "payload", "driver", "PilotNumber", "line_json", "line", "weather", "route"}
     driver = F.when(~F.col("_weather"), F.col("_key"))
     return exploded.select(
         *[c for c in messages.columns if c not in derived],
@@ -163,6 +169,7 @@ def fan_out(messages: DataFrame, route_scope: str = "message", gate: str | None
         driver.try_cast("int").alias("PilotNumber"),
         "line_json",
         F.when(~F.col("_weather"), _line_fields(F.col("_line"))).alias("line"),
+        F.when(F.col("_weather"), _weather_fields(F.col("_line"))).alias("weather"),
         route.alias("route"),
     )
 
@@ -198,7 +205,7 @@ def lap_rows(lines: DataFrame, convert_recap: bool = False) -> DataFrame:
         seconds.alias("Seconds"),
         msg_timestamp().alias(TS),
         *[c for c in CARRIED if c in lap.columns],
-    ).where("Lap is not null and Seconds is not null")
+    ).where(timed_lap())
 
 
 def gap_rows(lines: DataFrame) -> DataFrame:
@@ -219,16 +226,18 @@ def gap_rows(lines: DataFrame) -> DataFrame:
 
 def weather_rows(lines: DataFrame) -> DataFrame:
     """S13 + F2 + F3 for weather messages -> weather documents."""
-    w = lines.where(F.col("route") == "weather").withColumn("_w", F.from_json(F.col("line_json"), WEATHER_TEXT))
+    w = lines.where(F.col("route") == "weather")
+    if "weather" not in w.columns:
+        w = w.withColumn("weather", F.from_json(F.col("line_json"), WEATHER_TEXT))
     return w.select(
         F.struct(
-            text_to_double(F.col("_w.AirTemp")).alias("AirTemp"),
-            text_to_double(F.col("_w.Humidity")).alias("Humidity"),
-            text_to_double(F.col("_w.Pressure")).alias("Pressure"),
-            text_to_double(F.col("_w.Rainfall")).alias("Rainfall"),
-            text_to_double(F.col("_w.TrackTemp")).alias("TrackTemp"),
-            text_to_int(F.col("_w.WindDirection")).alias("WindDirection"),
-            text_to_double(F.col("_w.WindSpeed")).alias("WindSpeed"),
+            text_to_double(F.col("weather.AirTemp")).alias("AirTemp"),
+            text_to_double(F.col("weather.Humidity")).alias("Humidity"),
+            text_to_double(F.col("weather.Pressure")).alias("Pressure"),
+            text_to_double(F.col("weather.Rainfall")).alias("Rainfall"),
+            text_to_double(F.col("weather.TrackTemp")).alias("TrackTemp"),
+            text_to_int(F.col("weather.WindDirection")).alias("WindDirection"),
+            text_to_double(F.col("weather.WindSpeed")).alias("WindSpeed"),
         ).alias("Weather"),
         msg_timestamp().alias(TS),
         *[c for c in CARRIED if c in w.columns],

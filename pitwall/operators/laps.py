@@ -11,7 +11,7 @@ the way the prediction job does: bytes -> text, four JSON fields, ``try_cast``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.functions.scalars import iso_utc
@@ -29,6 +29,11 @@ LAP_MESSAGE = (
 )
 
 
+def timed_lap() -> Column:
+    """A lap with its number and its time."""
+    return F.col("Lap").isNotNull() & F.col("Seconds").isNotNull()
+
+
 def lap_messages(laps: DataFrame, seconds_col: str = "Seconds", ts: str = TS) -> DataFrame:
     """Typed laps -> ``value`` JSON text as the ingest writes it."""
     td = F.struct(
@@ -58,7 +63,7 @@ def parse_lap_messages(records: DataFrame, value: str = "value") -> DataFrame:
         F.col("_doc.TimingData.LastLapTime.Value").try_cast("double").alias("Seconds"),
         F.try_to_timestamp(F.col(f"_doc.`{TS}`")).alias(TS),
         *rest,
-    ).where("Lap is not null and Seconds is not null")
+    ).where(timed_lap())
 
 
 def lap_buffer(laps: DataFrame, n: int = CURRENT_BUFFER, key: str | list[str] = "PilotNumber", lap: str = "Lap",

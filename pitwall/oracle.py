@@ -347,3 +347,4 @@ sess AS (SELECT CAST(PilotNumber * 2 + event_id % 2 AS INTEGER) AS PilotNumber,
 SELECT CAST(PilotNumber % 2 AS INTEGER) AS session, CAST(PilotNumber // 2 AS INTEGER) AS PilotNumber, Lap, NextLap,
        round(CAST(CAST(prediction AS FLOAT) AS DOUBLE), 4) AS prediction, {MS} AS ts_ms, true AS stamped
 FROM pred"""
+ORACLE["stream_bus_records"] = ORACLE["keyed_json_sink"]

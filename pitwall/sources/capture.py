@@ -91,16 +91,15 @@ def bus_stream(spark: SparkSession, servers: str, topic: str = TOPIC, starting:
     jar must be on the classpath; every downstream operator also accepts any
     streaming DataFrame with a ``value`` column (tests use a file stream).
     """
-    r = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting)
-        .option("maxOffsetsPerTrigger", str(max_offsets))
-    )
-    for k, v in options.items():
-        r = r.option(k, v)
-    return r.load()
+    return spark.readStream.format("kafka").options(**bus_source_options(servers, topic, starting, max_offsets, **options)).load()
+
+
+def bus_source_options(servers: str, topic: str = TOPIC, starting: str = "latest", max_offsets: int = 10, **options: str) -> dict[str, str]:
+    """Options of a bus reader; headers are read, they carry record identities."""
+    return {
+        "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
+        "maxOffsetsPerTrigger": str(max_offsets), "includeHeaders": "true", **options,
+    }
 
 
 def write_lines(df: DataFrame, path: str, col: str = "value") -> None:

@@ -136,13 +136,12 @@ def predict_stream(laps, key: str | list[str] = "PilotNumber", n: int = 10, cade
     from pyspark import cloudpickle
 
     import pitwall.streaming.predictor as me
+    from pitwall.operators.laps import timed_lap
 
     # Workers need the processor class but not the package on their path.
     cloudpickle.register_pickle_by_value(me)
     keys = [key] if isinstance(key, str) else list(key)
-    cols = laps.select(*keys, "Lap", "Seconds", laps[TS].alias(EVENT_TIME)).where(
-        "Lap is not null and Seconds is not null"
-    )
+    cols = laps.select(*keys, "Lap", "Seconds", laps[TS].alias(EVENT_TIME)).where(timed_lap())
     session_fields = [cols.schema[k] for k in keys[:-1]]
     schema = StructType([*session_fields, *OUTPUT_SCHEMA.fields])
     out = cols.groupBy(*keys).transformWithStateInPandas(

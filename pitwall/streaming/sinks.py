@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.operators import envelope as E
@@ -84,22 +84,54 @@ def bronze(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("value") != HEARTBEAT)
 
 
-def bus_records(laps: DataFrame) -> DataFrame:
-    """Lap documents as bus records (key ``info``, JSON value)."""
-    return keyed_records(lap_messages(laps))
+RECORD_ID = "id"
+#: How long after a record its repetition is recognised.
+RETRY_WINDOW = "10 minutes"
 
 
-def write_bus(records: DataFrame, servers: str, checkpoint: str, topic: str = TOPIC, **options: str):
-    """Stream bus records to the message bus (needs the Kafka connector)."""
-    w = (
-        records.writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-    )
-    for k, v in options.items():
-        w = w.option(k, v)
-    return w.start()
+def bus_records(laps: DataFrame, batch_id: int | None = None) -> DataFrame:
+    """Lap documents as bus records (key ``info``, JSON value).  With
+    ``batch_id`` each record has an identity, also as a header: the batch, the
+    digest of its value and its place among equal values of the batch -- so a
+    batch that is written again, in whatever order, gives the same identities."""
+    records = keyed_records(lap_messages(laps))
+    if batch_id is None:
+        return records
+    digest = F.sha2("value", 256)
+    nth = F.row_number().over(Window.partitionBy("_digest").orderBy("_digest"))
+    records = records.withColumn("_digest", digest).withColumn("_nth", nth)
+    identity = F.concat_ws("-", F.lit(str(batch_id)), "_digest", F.col("_nth").cast("string"))
+    header = F.array(F.struct(F.lit(RECORD_ID).alias("key"), F.encode(identity, "UTF-8").alias("value")))
+    return records.select("key", "value", identity.alias(RECORD_ID), header.alias("headers"))
+
+
+def bus_options(servers: str, topic: str = TOPIC, **options: str) -> dict[str, str]:
+    """Options of a bus writer; secured variants pass ``kafka.*``."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic, **options}
+
+
+def bus_writer(servers: str, topic: str = TOPIC, **options: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that sends laps to the message bus (needs
+    the Kafka connector) with record identities."""
+
+    def write(laps: DataFrame, batch_id: int) -> None:
+        records = bus_records(laps, batch_id).select("key", "value", "headers")
+        records.write.format("kafka").options(**bus_options(servers, topic, **options)).save()
+
+    return write
+
+
+def once(records: DataFrame, ts: str, window: str = RETRY_WINDOW) -> DataFrame:
+    """Reader side of S11/S12: records of a stream without the repetitions that
+    come within ``window`` of ``ts``; the state forgets older identities.  All
+    records must have one."""
+    return records.withWatermark(f"`{ts}`", window).dropDuplicatesWithinWatermark([RECORD_ID])
+
+
+def record_ids(bus: DataFrame) -> DataFrame:
+    """Bus rows (``headers`` included) with the identity as a column."""
+    found = F.filter("headers", lambda h: h["key"] == RECORD_ID)
+    return bus.withColumn(RECORD_ID, F.decode(F.get(found, 0)["value"], "UTF-8"))
 
 
 def console(df: DataFrame):
