@@ -157,7 +157,7 @@ def _kth(scores: list[np.ndarray], k: int, high: int | None = None) -> int | Non
     return int(sorted(met)[-k] if met.dtype == object else np.partition(met, len(met) - k)[len(met) - k])
 
 
-def _long(scores) -> list[int]:
+def long_scores(scores) -> list[int]:
     return [max(-_MOST, min(_MOST, int(s))) for s in scores]
 
 
@@ -188,7 +188,7 @@ def _positives(k: int) -> Callable:
                     best = first(met, scores, ids[own], k)
                     found[0].extend([anchor[a]] * len(best))
                     found[1].extend(own[met[best]])
-                    found[2].extend(_long(scores[best]))
+                    found[2].extend(long_scores(scores[best]))
         return _found(rows, found, {"anchor": pa.array(found[0], pa.int64())})
 
     return run
@@ -223,7 +223,7 @@ def _negatives(k: int) -> Callable:
                         best = inside[first(met[inside], scores[inside], ids, k)]
                         found[0].extend([anchor[a]] * len(best))
                         found[1].extend(met[best])
-                        found[2].extend(_long(scores[best]))
+                        found[2].extend(long_scores(scores[best]))
                         found[3].extend([w["rank"]] * len(best))
         return _found(rows, found, {"anchor": pa.array(found[0], pa.int64()), "window": pa.array(found[3], pa.int32())})
 
@@ -237,7 +237,7 @@ def _found(rows: pa.Table, found: tuple, more: dict) -> pa.Table:
 
 # -- the job ---------------------------------------------------------------
 
-def _blocks(n: int, anchors: int, width: int, cores: int, block_bytes: int) -> tuple[int, int]:
+def blocks_of(n: int, anchors: int, width: int, cores: int, block_bytes: int) -> tuple[int, int]:
     """How many blocks of candidates and of anchors: bounded by bytes, and cut
     finer where the input is small, so that the cores have work."""
     each = max(1, width) * 8
@@ -246,7 +246,7 @@ def _blocks(n: int, anchors: int, width: int, cores: int, block_bytes: int) -> t
     return (max(1, by_bytes(n), min(wanted, n // FEWEST_ROWS)), max(1, by_bytes(anchors), min(wanted, anchors // FEWEST_ANCHORS)))
 
 
-def _meet(rows: DataFrame, anchors: DataFrame, blocks: tuple[int, int], run: Callable, schema: str) -> DataFrame:
+def meet(rows: DataFrame, anchors: DataFrame, blocks: tuple[int, int], run: Callable, schema: str) -> DataFrame:
     """Every block of candidates with every block of anchors, once."""
     number = lambda count, by: F.pmod(F.xxhash64(by), F.lit(count))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
@@ -271,10 +271,10 @@ def hard_negatives(
         "negatives-rows",
     )
     n, n_anchors, width = rows.agg(F.count("*"), F.count_if("anchor"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    blocks = _blocks(n, n_anchors, width, spark.sparkContext.defaultParallelism, block_bytes)
+    blocks = blocks_of(n, n_anchors, width, spark.sparkContext.defaultParallelism, block_bytes)
     candidates = rows.drop("anchor")
     anchors = rows.where("anchor").select(F.col("row").alias("anchor"), F.col("id").alias("anchor_id"), F.col("label").alias("anchor_label"), F.col("v").alias("q"))
-    near = _meet(candidates, anchors.drop("anchor_id"), blocks, _positives(positives), "anchor long, id long, score long")
+    near = meet(candidates, anchors.drop("anchor_id"), blocks, _positives(positives), "anchor long, id long, score long")
     order = Window.partitionBy("anchor").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last())
     wide = lambda c, by: c.cast("decimal(38,0)") * by
     lowest = F.ceil(wide(F.col("score"), low) / 100).cast("long")
@@ -283,7 +283,7 @@ def hard_negatives(
     chosen = staged(chosen, "negatives-positives")
     windows = chosen.where(F.col("low") <= F.col("high")).groupBy("anchor").agg(F.collect_list(F.struct("rank", "low", "high")).alias("windows"))
     asking = anchors.drop("anchor_id").join(windows, "anchor")
-    mined = _meet(candidates, asking, blocks, _negatives(negatives), "anchor long, window int, id long, score long")
+    mined = meet(candidates, asking, blocks, _negatives(negatives), "anchor long, window int, id long, score long")
     order = Window.partitionBy("anchor", "window").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last())
     best = mined.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= negatives)
     p = chosen.select("anchor", F.col("rank").alias("window"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")).join(anchors.select("anchor", "anchor_id"), "anchor")

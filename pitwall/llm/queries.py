@@ -100,16 +100,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_topk": """
 with v as (
-  select vec_id, min(list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint))) as v
+  select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
   from embeddings
-  where vec_id is not null and embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
-  group by vec_id
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
 ), s as (
-  select q.vec_id as query_id, r.vec_id, cast(list_sum(list_transform(list_zip(q.v, r.v), lambda z: z[1] * z[2])) as bigint) as score
-  from v q join v r on q.vec_id % 20 = 0 and q.vec_id <> r.vec_id
+  select q.rid, q.vec_id as query_id, r.vec_id,
+    cast(coalesce(list_sum(list_transform(list_zip(q.v, r.v), lambda z: z[1] * z[2])), 0) as bigint) as score
+  from v q join v r on q.vec_id % 20 = 0 and q.rid <> r.rid
 )
-select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+select query_id, cast(row_number() over (partition by rid order by score desc, vec_id nulls last) as integer) as rank, vec_id, score
 from s qualify rank <= 20
 """,
     "op3_exact_dedup": """
@@ -127,24 +126,27 @@ with t as (
   select conv_id, coalesce(role, 'unknown') as role, coalesce(text, '') as text,
     row_number() over (partition by conv_id order by turn nulls first, coalesce(role, 'unknown'), coalesce(text, '')) as pos
   from conversations where conv_id is not null
+), d as (
+  select conv_id, pos, text, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as rendered from t
 ), l as (
-  select conv_id, max(pos) as last from t where role = 'assistant' group by conv_id
+  select conv_id, count(*) as n, max(pos) filter (role = 'assistant') as last from t group by conv_id
 ), reply as (
-  select t.conv_id, t.role, t.text from t join l on t.conv_id = l.conv_id and t.pos = l.last
+  select t.conv_id, t.text from t join l on t.conv_id = l.conv_id and t.pos = l.last
 ), p as (
-  select a.conv_id, a.last, c.text as chosen_text, r.text as rejected_text, c.text = r.text as equal
-  from l a join reply c on c.conv_id = a.conv_id join reply r on r.conv_id = xor(a.conv_id, 1)
+  select l.conv_id, c.text as chosen_text, r.text as rejected_text,
+    case when l.last is null then l.n when r.conv_id is not null and c.text = r.text then l.last else l.last - 1 end as k,
+    l.last is not null and (r.conv_id is null or c.text <> r.text) as differ
+  from l left join reply c on c.conv_id = l.conv_id left join reply r on r.conv_id = xor(l.conv_id, 1)
 ), m as (
-  select p.conv_id, string_agg('<|' || t.role || '|>\n' || t.text || '<|end|>\n', '' order by t.pos) filter (t.pos < p.last or p.equal) as prompt
-  from p join t on t.conv_id = p.conv_id and t.pos <= p.last group by p.conv_id
+  select p.conv_id, string_agg(rendered, '' order by pos) filter (pos <= k) as prompt, string_agg(rendered, '' order by pos) filter (pos > k) as chosen
+  from p join d on d.conv_id = p.conv_id group by p.conv_id
 )
-select p.conv_id as pair_id, cast(p.last - (case when equal then 0 else 1 end) as integer) as prompt_turns, coalesce(m.prompt, '') as prompt,
-  case when equal then '' else '<|assistant|>\n' || chosen_text || '<|end|>\n' end as chosen,
-  case when equal then '' else '14:' || (length(chosen_text) + 22) end as chosen_mask,
-  case when equal then '' else '<|assistant|>\n' || rejected_text || '<|end|>\n' end as rejected,
-  case when equal then '' else '14:' || (length(rejected_text) + 22) end as rejected_mask
+select p.conv_id as pair_id, cast(k as integer) as prompt_turns, coalesce(prompt, '') as prompt, coalesce(chosen, '') as chosen,
+  case when differ then '14:' || (length(chosen_text) + 22) else '' end as chosen_mask,
+  case when differ and rejected_text is not null then '<|assistant|>' || chr(10) || rejected_text || '<|end|>' || chr(10) else '' end as rejected,
+  case when differ and rejected_text is not null then '14:' || (length(rejected_text) + 22) else '' end as rejected_mask
 from p join m on m.conv_id = p.conv_id
-""".replace("\\n'", "' || chr(10)").replace("\n'", "' || chr(10)"),
+""",
     "op11_hard_negatives": """
 with r as (
   select row_number() over () as rid, vec_id, case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else label end as label,

@@ -9,43 +9,34 @@ the block.  The k largest are selected from the most significant slice
 downward; rows on the boundary tie exactly and are resolved by smallest id,
 which is the order of the bits.
 
-Blocks of rows meet blocks of queries; each meeting yields k rows a query, and
-a window keeps the k best.  Blocks have a fixed size, so memory does not grow.
-
-Defined results.  A vector that is null, empty or holds a null or non-finite
-component, and a row with a null id, takes no part.  Shorter vectors count as
-padded with zeros.  Rows that repeat an id count once, with the smallest of
-their vectors.  Other columns are not read.  Empty tables give an empty
-result.  Vectors with components of 2**20 and more stay out of the index; their
-scores are exact integer products.  Quantised components and scores of results
-must fit a bigint (2**63), or the query fails.
+Blocks of rows meet blocks of queries, both bounded by bytes; each meeting
+yields k rows a query, and a window keeps the k best.
+
+Defined results.  A vector that is null or holds a null or non-finite component
+(also after scaling) takes no part.  An empty vector scores 0 with everything;
+shorter vectors count as padded with zeros.  Rows that repeat an id are rows of
+their own, told apart by a row number: a query's candidates are all rows but
+its own.  A null id is no query and comes after all ids among equal scores.
+Vectors with components of 2**26 and more stay out of the index; their scores
+are exact integer products.  A score beyond 64 bits counts as the largest
+bigint.  Other columns are not read.  Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitwall.llm.hard_negatives import BLOCK_BYTES, as_type, blocks_of, long_scores, matrix, meet, quantised, usable, width_of
 from pitwall.llm.shared import staged
 
-ROWS, QUERIES = 1 << 16, 256
 #: Quantised components of this size and more stay out of the index.
 LARGE = 1 << 26
-
-
-def quantised(vector: Column, scale: int = 64) -> Column:
-    """floor(scale * x) of each component, x as double."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
-
-
-def _usable(vector: Column) -> Column:
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
-    return vector.isNotNull() & (F.size(vector) > 0) & ~bad
+_LAST = (1 << 63) - 1
 
 
 def _small(values: np.ndarray) -> np.ndarray:
@@ -53,30 +44,21 @@ def _small(values: np.ndarray) -> np.ndarray:
     return ((values > -LARGE) & (values < LARGE)).all(axis=1)
 
 
-def _products(values: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Inner products as Python integers, from parts of 21 binary digits."""
-    parts = lambda x: (x & 0x1FFFFF, (x >> 21) & 0x1FFFFF, x >> 42)
-    out = np.zeros(len(values), object)
-    for a, v in enumerate(parts(values)):
-        for b, q in enumerate(parts(query)):
-            out += (v @ q).astype(object) * (1 << 21 * (a + b))
-    return out
-
-
-def _exact(ids: np.ndarray, values: np.ndarray, qid: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """The k best (id, score) among all rows but the query's own."""
-    others = ids != qid
-    scored = zip(ids[others].tolist(), _products(values[others], query).tolist())
-    return heapq.nsmallest(k, scored, key=lambda x: (-x[1], x[0]))
+def _exact(ids: np.ndarray, rows: np.ndarray, values: np.ndarray, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """The k best (place, score) among all rows but the query's own."""
+    others = np.flatnonzero(rows != own)
+    scores = long_scores(as_type(values[others], object) @ as_type(query[None], object)[0]) if len(others) else []
+    scored = zip(others.tolist(), scores, ids[others].tolist())
+    return [(i, s) for i, s, _ in heapq.nsmallest(k, scored, key=lambda x: (-x[1], x[2]))]
 
 
 class BitSlices:
-    """Index of one block: ids in ascending order and, per attribute, the
+    """Index of one block: its rows in order of their ids and, per attribute, the
     slices of (value - smallest value of the attribute)."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, values = ids[order], values[order]
+        self.order = np.argsort(ids, kind="stable")
+        values = values[self.order].astype(np.int64)
         if len(values) and not _small(values).all():
             raise ValueError("components are too large for the index")
         n, self.width = values.shape
@@ -177,67 +159,52 @@ class BitSlices:
         return out
 
 
-def _matrix(vectors: pa.Array | list, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), np.int64)
-    for i, v in enumerate(vectors):
-        out[i, : len(v)] = v
-    return out
-
-
 def _search(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i] for c in ("ids", "vectors", "query_ids", "query_vectors")}
-                ids, query_ids = (np.array(row[c].values.to_numpy(zero_copy_only=False), np.int64) for c in ("ids", "query_ids"))
-                lists = [row[c].values for c in ("vectors", "query_vectors")]
-                width = max(int(np.diff(x.offsets.to_numpy()).max()) for x in lists)
-                values, queries = (_matrix(x.to_numpy(zero_copy_only=False), width) for x in lists)
-                for x in (values, queries):
-                    if x.size and (x.max() == np.iinfo(np.int64).max or x.min() == np.iinfo(np.int64).min):
-                        raise ValueError("components do not fit a bigint")
-                small, small_queries = _small(values), _small(queries)
-                large = ~small
-                index = BitSlices(ids[small], values[small]) if small.any() else None
-                found: list[list[np.ndarray]] = [[], [], []]
-                for qid, q, fits in zip(query_ids.tolist(), queries, small_queries.tolist()):
-                    if not fits or large.any():
-                        part = slice(None) if index is None or not fits else large
-                        best = _exact(ids[part], values[part], qid, q, k)
-                        for c, x in zip(found, ([qid] * len(best), [b[0] for b in best], [b[1] for b in best])):
-                            c.append(np.array(x, np.int64))
-                        if index is None or not fits:
-                            continue
-                    at = int(np.searchsorted(index.ids, qid))
-                    own = at if at < index.n and index.ids[at] == qid else None
-                    sums, base = index.scores(q)
-                    rows = index.top(sums, k, own)
-                    for c, x in zip(found, (np.full(len(rows), qid, np.int64), index.ids[rows], index.values(sums, rows, base))):
-                        c.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], names=["query_id", "vec_id", "score"])
+    def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        found: tuple[list, list, list] = ([], [], [])
+        asked: list[int] = []
+        if rows.num_rows and queries.num_rows:
+            width = max(width_of(rows["v"]), width_of(queries["q"]))
+            values, wanted = matrix(rows["v"], width), matrix(queries["q"], width)
+            number = rows["row"].to_numpy()
+            ids = rows["id"].combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False)
+            small, fits = _small(values), _small(wanted)
+            inside, outside = np.flatnonzero(small), np.flatnonzero(~small)
+            index = BitSlices(ids[inside], values[inside]) if len(inside) else None
+            place = dict(zip(number[inside][index.order].tolist(), range(len(inside)))) if index else {}
+            for at, (own, query) in enumerate(zip(queries["anchor"].to_pylist(), wanted)):
+                whole = index is None or not fits[at]
+                part = np.arange(len(ids)) if whole else outside
+                best = [(part[i], s) for i, s in _exact(ids[part], number[part], values[part], own, query, k)] if len(part) else []
+                if not whole:
+                    sums, base = index.scores(query.astype(np.int64))
+                    top = index.top(sums, k, place.get(own))
+                    best += zip(inside[index.order[top]], index.values(sums, top, base).tolist())
+                asked.extend([at] * len(best))
+                found[0].extend(i for i, _ in best)
+                found[1].extend(long_scores(s for _, s in best))
+        taken = pa.array(asked, pa.int64())
+        return pa.table({
+            "anchor": queries["anchor"].combine_chunks().cast(pa.int64()).take(taken), "query_id": queries["query_id"].combine_chunks().cast(pa.int64()).take(taken),
+            "vec_id": rows["id"].combine_chunks().cast(pa.int64()).take(pa.array(found[0], pa.int64())), "score": pa.array(found[1], pa.int64()),
+        })
 
     return run
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", rows: int = ROWS, queries: int = QUERIES) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: for each row where ``is_query`` holds,
     its k best among all other rows."""
-    clean = (
-        vectors.where(F.col(id_col).isNotNull() & _usable(F.col(vector_col)))
-        .select(F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vector_col), scale).alias("v"), is_query.alias("q"))
-        .groupBy("vec_id")
-        .agg(F.min("v").alias("v"), F.max("q").alias("q"))
-    )
-    clean = staged(clean, "topk-rows")
-    n, n_queries = clean.agg(F.count("*"), F.coalesce(F.sum(F.col("q").cast("long")), F.lit(0))).first()
-    row_blocks, query_blocks = max(1, -(-n // rows)), max(1, -(-n_queries // queries))
-    spread = F.xxhash64("vec_id")
-    # Blocks of bounded size on both sides; every pair of blocks meets once.
-    left = clean.groupBy(F.pmod(spread, F.lit(row_blocks)).alias("rb")).agg(F.collect_list(F.struct("vec_id", "v")).alias("m")).select("rb", F.col("m.vec_id").alias("ids"), F.col("m.v").alias("vectors"))
-    right = clean.where("q").groupBy(F.pmod(spread, F.lit(query_blocks)).alias("qb")).agg(F.collect_list(F.struct("vec_id", "v")).alias("m")).select("qb", F.col("m.vec_id").alias("query_ids"), F.col("m.v").alias("query_vectors"))
-    left = left.withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
-    right = right.withColumn("rb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
-    met = left.join(right, ["rb", "qb"]).repartition(max(1, min(row_blocks * query_blocks, 4096)), "rb", "qb").drop("rb", "qb")
-    best = met.mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    rows = staged(
+        vectors.where(usable(F.col(vector_col), scale)).select(
+            F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"),
+            (F.coalesce(is_query, F.lit(False)) & F.col(id_col).isNotNull()).alias("asks"),
+        ),
+        "topk-rows",
+    )
+    n, n_queries, width = rows.agg(F.count("*"), F.count_if("asks"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    blocks = blocks_of(n, n_queries, width, vectors.sparkSession.sparkContext.defaultParallelism, block_bytes)
+    queries = rows.where("asks").select(F.col("row").alias("anchor"), F.col("id").alias("query_id"), F.col("v").alias("q"))
+    best = meet(rows.drop("asks"), queries, blocks, _search(k), "anchor long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("anchor").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

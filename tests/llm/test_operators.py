@@ -312,20 +312,31 @@ def test_discovery_between_words(spark):
 
 # -- top-k --------------------------------------------------------------------------------
 
+def best_by_force(rows, k=20):
+    """(query, rank, id, score) with repeated rows as rows of their own."""
+    q = [(n, i, [math.floor(64 * x) for x in v]) for n, (i, v) in enumerate(rows) if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    want, most = Counter(), (1 << 63) - 1
+    for n, i, v in q:
+        if i is not None and i % 20 == 0:
+            scores = sorted(((-max(-most, min(most, sum(a * b for a, b in zip(v, w)))), j is None, j or 0) for m, j, w in q if m != n))[:k]
+            want.update((i, r, None if none else j, -s) for r, (s, none, j) in enumerate(scores, 1))
+    return want
+
+
 def test_top_k(spark):
     rnd = random.Random(9)
     rows = [(i, [rnd.uniform(-1, 1) for _ in range(8)]) for i in range(300)] + [(i, [0.5] * 8) for i in range(300, 420)]
-    rows += [(500, None), (501, [None] * 8), (502, [float("nan")] * 8), (503, []), (None, [0.1] * 8), (504, [0.9] * 4), (7, rows[7][1])]
-    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(1))
-    got = topk.top_k(vectors, F.col("vec_id") % 20 == 0, rows=100, queries=7).collect()
-    q = {i: [math.floor(64 * x) for x in v] for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
-    want = set()
-    for i in q:
-        if i % 20 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)[:20]
-            want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)}
-    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    rows += [(500, None), (520, [None] * 8), (540, [float("nan")] * 8), (560, []), (None, [0.6] * 8), (504, [0.9] * 4), (7, rows[7][1])]
+    rows += [(20, rows[20][1]), (20, [0.7] * 8), (None, [0.5] * 8)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(1)).withColumn("row", F.lit("x"))
+    want = best_by_force(rows)
+    for size in (1 << 24, 30 * 64):
+        got = topk.top_k(vectors, F.col("vec_id") % 20 == 0, block_bytes=size).collect()
+        assert Counter(map(tuple, got)) == want
+    assert (560, 20) in {(q, r) for q, r, _, s in want if s == 0}  # an empty vector asks too
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    empty = spark.createDataFrame([(20, []), (20, []), (1, [])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(empty, F.col("vec_id") % 20 == 0).collect())) == [(20, 1, 1, 0), (20, 1, 1, 0), (20, 2, 20, 0), (20, 2, 20, 0)]
 
 
 def test_top_k_of_large_components(spark):
@@ -333,14 +344,15 @@ def test_top_k_of_large_components(spark):
     rows = [(i, [float(rnd.randrange(-9, 9)) for _ in range(4)]) for i in range(40)]
     rows += [(40, [2.0**21, -1.0, 0.5, 3.0]), (41, [-(2.0**24) - 1, 2.0**20, 1.0, 0.0]), (42, [2.0**20, 2.0**20, -7.0, 1.0]), (60, [1.0, 2.0**22 + 1, 0.0, -1.0])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    q = {i: [math.floor(64 * x) for x in v] for i, v in rows}
-    for size in (100, 5):
-        got = topk.top_k(vectors, F.col("vec_id") % 20 == 0, rows=size, queries=2).collect()
-        want = set()
-        for i in (0, 20, 40, 60):
-            scores = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)[:20]
-            want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)}
-        assert {tuple(r) for r in got} == want and len(got) == len(want)
+    for size in (1 << 24, 5 * 32):
+        assert Counter(map(tuple, topk.top_k(vectors, F.col("vec_id") % 20 == 0, block_bytes=size).collect())) == best_by_force(rows)
+
+
+def test_top_k_goes_on_beyond_64_bits(spark):
+    """A huge component spoils no other row's result."""
+    rows = [(i, [float(i % 5), 1.0]) for i in range(30)] + [(100, [1e30, 1.0]), (101, [-1e30, 0.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    assert Counter(map(tuple, got)) == best_by_force(rows)
 
 
 # -- classifiers ------------------------------------------------------------------------------
@@ -403,20 +415,37 @@ def test_preference_pairs(spark):
         (0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (0, 2, "user", "bye"),
         (1, 0, "system", None), (1, 1, None, "q"), (1, 2, "assistant", "no"), (1, 2, "assistant", "no"),
         (2, 0, "user", "alone"), (3, 0, "assistant", "x"), (None, 0, "assistant", "y"),
-        (4, None, "assistant", "same"), (5, 0, "assistant", "same"),
+        (4, None, "assistant", "same"), (4, 1, "user", "after"), (5, 0, "assistant", "same"), (9, 0, "assistant", "no partner"), (9, 1, "user", "\U0001f600"),
     ]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("t", F.lit(1))
-    got = {r.pair_id: r for r in preference.format_pairs(preference.pairs(turns)).collect()}
-    assert set(got) == {0, 1, 4, 5}
+    paired = preference.pairs(turns)
+    got = {r.pair_id: r for r in preference.format_pairs(paired).collect()}
+    assert set(got) == {0, 1, 2, 3, 4, 5, 9}
     a = got[0]
-    assert (a.prompt_turns, a.prompt, a.chosen, a.rejected) == (1, "<|user|>\nhi<|end|>\n", "<|assistant|>\nyes<|end|>\n", "<|assistant|>\nno<|end|>\n")
-    for text, spans in ((a.chosen, a.chosen_mask), (a.rejected, a.rejected_mask)):
-        assert [text[s.start : s.end] for s in spans] == [text[len("<|assistant|>\n") :]]
+    assert (a.prompt_turns, a.prompt) == (1, "<|user|>\nhi<|end|>\n")
+    assert (a.chosen, a.rejected) == ("<|assistant|>\nyes<|end|>\n<|user|>\nbye<|end|>\n", "<|assistant|>\nno<|end|>\n")
+    assert [a.chosen[s.start : s.end] for s in a.chosen_mask] == ["yes<|end|>\n"] and [a.rejected[s.start : s.end] for s in a.rejected_mask] == ["no<|end|>\n"]
     assert got[1].prompt.startswith("<|system|>\n<|end|>\n<|unknown|>\nq<|end|>\n") and got[1].prompt_turns == 3
-    assert (got[4].chosen, got[4].rejected, got[4].prompt_turns) == ("", "", 1)
+    assert (got[2].prompt, got[2].chosen, got[2].rejected) == ("<|user|>\nalone<|end|>\n", "", "")  # no reply: all prompt
+    assert (got[3].prompt, got[3].chosen, got[3].rejected) == ("", "<|assistant|>\nx<|end|>\n", "")  # its partner has none
+    assert (got[4].prompt_turns, got[4].chosen, got[4].chosen_mask, got[4].rejected) == (1, "<|user|>\nafter<|end|>\n", [], "")
+    assert got[9].chosen == "<|assistant|>\nno partner<|end|>\n<|user|>\n\U0001f600<|end|>\n" and got[9].rejected == ""
+    for r in paired.collect():  # every turn is in the prompt or in a completion
+        whole = "".join(f"<|{t.role}|>\n{t.text}<|end|>\n" for t in r.chosen)
+        assert got[r.pair_id].prompt + got[r.pair_id].chosen == whole
     assert preference.format_pairs(preference.pairs(turns.limit(0))).count() == 0
 
 
+def test_masks_of_a_long_conversation(spark):
+    turns = spark.range(20_000).select(
+        F.lit(8).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"), F.concat(F.lit("t"), "id").alias("text")
+    )
+    whole = preference.conversations(turns).select(F.lit(1).alias("pair_id"), F.col("turns").alias("chosen"), F.slice("turns", 1, 0).alias("rejected"))
+    r = preference.format_pairs(whole).first()
+    assert r.prompt == "" and len(r.chosen_mask) == 10_000
+    assert all(r.chosen[s.start : s.end] == f"t{2 * i + 1}<|end|>\n" for i, s in enumerate(r.chosen_mask))
+
+
 # -- pipeline --------------------------------------------------------------------------------------
 
 def test_pipeline_on_a_fixture(spark, tmp_path):
