@@ -31,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.hard_negatives import BLOCK_BYTES, as_type, blocks_of, long_scores, matrix, meet, quantised, usable, width_of
+from pitwall.llm.hard_negatives import BLOCK_BYTES, MEETINGS_PER_CORE, as_type, blocks_of, long_scores, matrix, meet, quantised, usable, width_of
 from pitwall.llm.shared import staged
 
 #: Quantised components of this size and more stay out of the index.
 LARGE = 1 << 26
+#: A block of queries holds so many at least, for which an index is built.
+FEWEST_QUERIES = 64
 _LAST = (1 << 63) - 1
 
 
@@ -203,7 +205,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
         "topk-rows",
     )
     n, n_queries, width = rows.agg(F.count("*"), F.count_if("asks"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    blocks = blocks_of(n, n_queries, width, vectors.sparkSession.sparkContext.defaultParallelism, block_bytes)
+    # An index of many rows answers a query in fewer, longer array operations, so
+    # rows are cut by bytes alone; the queries are dealt out to the cores.
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    row_blocks, query_blocks = blocks_of(n, n_queries, width, 0, block_bytes)
+    dealt = min(-(-MEETINGS_PER_CORE * cores // row_blocks), n_queries // FEWEST_QUERIES)
+    blocks = row_blocks, max(query_blocks, dealt)
     queries = rows.where("asks").select(F.col("row").alias("anchor"), F.col("id").alias("query_id"), F.col("v").alias("q"))
     best = meet(rows.drop("asks"), queries, blocks, _search(k), "anchor long, query_id long, vec_id long, score long")
     order = Window.partitionBy("anchor").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
