@@ -44,7 +44,7 @@ from pitwall.llm.shared import mix, runs_inside, slices, staged, string_buffers
 from pitwall.plans.joins import bounded_broadcast
 
 #: Bytes of text counted at once in a task.
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 #: Bits of a filter that says which phrases a pass asks for (8 MB).
 FILTER_BITS = 26
 #: Nodes of a language in the first batch, as a multiple of ``top``, and how
@@ -330,15 +330,18 @@ def _scored(df: DataFrame, cuts: list[tuple[str, str]]) -> DataFrame:
 
 
 def _summed(counted: DataFrame, k: int, least: int) -> DataFrame:
+    # Rows come summed up by chunk; dealing them out first spares every task a
+    # second table of all its phrases.
     keys = [f"h{i + 1}" for i in range(k)]
-    return counted.groupBy(*keys).agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+    return counted.repartition(*keys).groupBy(*keys).agg(F.sum("a").alias("a")).where(F.col("a") >= least)
 
 
 def _words(texts: DataFrame) -> tuple[DataFrame, int]:
     """h1, lang, word, a of every distinct word, with a seed that keeps the
     numbers of all (language, word) pairs apart."""
     for seed in range(SEEDS):
-        words = staged(texts.mapInArrow(_count_words(seed), "h1 long, lang string, word string, a long").groupBy("h1", "lang", "word").agg(F.sum("a").alias("a")), "collocation-words")
+        counted = texts.mapInArrow(_count_words(seed), "h1 long, lang string, word string, a long").repartition("h1")
+        words = staged(counted.groupBy("h1", "lang", "word").agg(F.sum("a").alias("a")), "collocation-words")
         if words.groupBy("h1").count().where(F.col("count") > 1).isEmpty():
             return words, seed
     raise RuntimeError(f"word numbers clash for {SEEDS} seeds")
