@@ -44,7 +44,7 @@ from pitwall.llm.shared import mix, runs_inside, slices, staged, string_buffers
 from pitwall.plans.joins import bounded_broadcast
 
 #: Bytes of text counted at once in a task.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Bits of a filter that says which phrases a pass asks for (8 MB).
 FILTER_BITS = 26
 #: Nodes of a language in the first batch, as a multiple of ``top``, and how
