@@ -313,10 +313,11 @@ def pace_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pace_trace_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1 with its linear fit, over the late-lap feed (its buckets have gaps)."""
+    """D1 with its linear fit, over laps seven apart (its buckets have gaps)."""
     laps = V.laps_from_events(None, stride=7, numbered=_numbered(spark, sf_dir).where("event_type in ('click', 'view')"))
     t = D.pace_trace_fitted(materialize(laps), tiebreak=["event_id"])
-    return t.select("lap_bucket", "pilot_bucket", _r4("seconds").alias("seconds"), "known")
+    # interpolated hundredths often end in a 5: nine places leave no tie to round
+    return t.select("lap_bucket", "pilot_bucket", F.round("seconds", 9).alias("seconds"), "known")
 
 
 def pace_trace_filled(spark: SparkSession, sf_dir: str) -> DataFrame:

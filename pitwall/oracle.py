@@ -232,7 +232,7 @@ f AS (SELECT *, last_value(kx IGNORE NULLS) OVER p AS x1, last_value(Seconds IGN
       WINDOW p AS (PARTITION BY pilot_bucket ORDER BY lap_bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
              q AS (PARTITION BY pilot_bucket ORDER BY lap_bucket ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
 SELECT lap_bucket, pilot_bucket,
-       round(CASE WHEN lap_bucket = x1 THEN y1 ELSE y1 + (y2 - y1) * ((lap_bucket - x1) / (x2 - x1)) END, 4) AS seconds,
+       round(CASE WHEN lap_bucket = x1 THEN y1 ELSE y1 + (y2 - y1) * ((lap_bucket - x1) / (x2 - x1)) END, 9) AS seconds,
        lap_bucket = x1 AS known
 FROM f""",
     "late_lap_prediction": arrival_sql(),
