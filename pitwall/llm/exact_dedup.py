@@ -18,7 +18,7 @@ are not read.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.llm.shared import fresh, staged
@@ -114,7 +114,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     marked = docs.withColumns({name: F.coalesce(F.col(id_col).cast("string"), F.lit("")), digest: F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256))})
     kept = marked.join(gone, by, "left_anti")
     if twice.limit(1).count():  # rows that repeat an id with its text: one of each stays, the one of most code points
-        order = Window.partitionBy(*by).orderBy(F.char_length(F.coalesce(F.col(text_col), F.lit(""))).desc())
-        once = kept.join(twice, by, "left_semi").withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).drop(n)
-        kept = kept.join(twice, by, "left_anti").unionByName(once)
+        # an aggregate, so a hot group sends one row per task and never its texts
+        text = F.coalesce(F.col(text_col), F.lit(""))
+        best = F.max_by(F.struct(*docs.columns), F.struct(F.char_length(text), text))
+        once = kept.join(twice, by, "left_semi").groupBy(*by).agg(best.alias(n)).select(f"{n}.*")
+        kept = kept.join(twice, by, "left_anti").select(*docs.columns).unionByName(once)
     return kept.select(*docs.columns)

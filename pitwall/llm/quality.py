@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, IntegerType
 
-from pitwall.llm.classify import MOST_CHARS, MOST_ROWS, label_counts, logistic, training_sample
+from pitwall.llm.classify import MOST_BYTES, MOST_ROWS, by_bytes, label_counts, logistic, training_sample
 from pitwall.llm.shared import byte_table, prefix_sums, runs_inside, slice_hash, slices, string_buffers, word_slices
 
 BITS, RANK = 16, 8
@@ -136,7 +136,7 @@ def fit(column: pa.Array, labels: np.ndarray, epochs: int = 30, batch: int = 200
     if not n or y.min() == y.max():
         model.word_v[:], model.dense_v[:], model.bias = 0, 0, 40.0 if n and y[0] else -40.0
         return model
-    parts = [features(column.slice(lo, 100)) for lo in range(0, n, 100)]
+    parts = [features(some) for _, some in by_bytes(column)]
     dense = np.concatenate([p.dense for p in parts])
     model.center, model.scale = dense.mean(axis=0), np.maximum(dense.std(axis=0), 1e-3)
     words = np.concatenate([p.word for p in parts])
@@ -177,8 +177,8 @@ def fit(column: pa.Array, labels: np.ndarray, epochs: int = 30, batch: int = 200
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS) -> Model:
-    sample = training_sample(docs, labels, label, most_rows, most_chars)
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES) -> Model:
+    sample = training_sample(docs, labels, label, most_rows, most_bytes)
     model = fit(sample.column("text").combine_chunks(), sample.column("__label").to_numpy().astype(np.int64))
     # fitted on balanced classes; the shares of all training labels shift it back
     n0, n1 = label_counts(labels, label)

@@ -5,9 +5,10 @@ A feature is the presence of a hashed n-gram (3 to 5 characters of the
 lower-case text between blanks; every white space is a blank).  Its value is the log of
 how much likelier the n-gram is in positive than in negative training texts,
 smoothed; n-grams whose ratio is within chance are left out.  A logistic
-regression over those scaled features gives the weights, and the training
-error of its score a calibration.  Training uses a bounded sample of labelled
-rows (see ``classify.training_sample``); scoring reads every whole text.
+regression over those scaled features gives the weights.  Its margins are
+calibrated on rows left out of a fit (three folds), for the share of label 1
+among all training labels.  Training uses a bounded sample of labelled rows (see
+``classify.training_sample``); scoring reads every whole text.
 
 Defined results.  A null text counts as empty; texts without a known n-gram
 get the score of the intercept.  Each row is scored by its own text, repeated
@@ -26,11 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, IntegerType
 
-from pitwall.llm.classify import MOST_CHARS, MOST_ROWS, logistic, training_sample
+from pitwall.llm.classify import MOST_BYTES, MOST_ROWS, by_bytes, label_counts, logistic, training_sample
 from pitwall.llm.shared import byte_table, mix, slices, string_buffers
 
 SIZES = (3, 4, 5)
 BITS = 20
+PIECE = 1 << 20
 _TABLE = byte_table(23)
 _SEED = np.uint64((23 * 1000003 + 1) * 256)
 _TABLE[[9, 10, 11, 12, 13]] = _TABLE[32]
@@ -46,10 +48,13 @@ def _hashed(points: np.ndarray) -> np.ndarray:
 
 def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash buckets of all n-grams of the texts (code points of their
-    lower-case form), and the text number of each."""
+    lower-case form, a blank on each side), and the text number of each."""
     col = pc.fill_null(column.cast(pa.large_string()), "")
     blank = pa.scalar(" ", pa.large_string())
-    col = pc.binary_join_element_wise(blank, pc.utf8_lower(col), blank, pa.scalar("", pa.large_string()))
+    return _rolled(pc.binary_join_element_wise(blank, pc.utf8_lower(col), blank, pa.scalar("", pa.large_string())))
+
+
+def _rolled(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, _ = string_buffers(col)
     data = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     text_of = np.repeat(np.arange(len(col), dtype=np.int32), pc.utf8_length(col).to_numpy(zero_copy_only=False))
@@ -70,38 +75,56 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
+def distinct_grams(column: pa.Array, wanted: np.ndarray | None = None, piece: int = PIECE) -> np.ndarray:
+    """The distinct (text, bucket) of a column as text << BITS | bucket, sorted;
+    with ``wanted`` only buckets where it is not 0.  A text of more than
+    ``piece`` characters is read in pieces that overlap by one n-gram, so the
+    memory for a long text follows the buckets and not its length."""
+    found = [np.zeros(0, np.int64)]
+
+    def add(buckets: np.ndarray, owners: np.ndarray) -> None:
+        if wanted is not None:
+            used = np.flatnonzero(wanted[buckets])
+            buckets, owners = buckets[used], owners[used]
+        found.append(np.unique(owners.astype(np.int64) << BITS | buckets))
+
+    for lo, some in by_bytes(column, piece):
+        if len(some) == 1 and (pc.utf8_length(some)[0].as_py() or 0) > piece:
+            text = f" {pc.utf8_lower(some.cast(pa.large_string()))[0].as_py()} "
+            for at in range(0, len(text), piece):
+                part = pa.array([text[at : at + piece + max(SIZES) - 1]], pa.large_string())
+                buckets, owners = _rolled(part)
+                add(buckets, owners + np.int32(lo))
+                if len(found) > 16:
+                    found[:] = [np.unique(np.concatenate(found))]
+        else:
+            buckets, owners = grams(some)
+            add(buckets, owners + np.int32(lo))
+    return np.unique(np.concatenate(found))
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # by bucket: log-count ratio times weight, mostly 0
     intercept: float
 
-    def score(self, column: pa.Array) -> np.ndarray:
-        bucket, owner = grams(column)
-        w = self.weights[bucket]
-        used = np.flatnonzero(w)
-        pairs = np.unique(owner[used].astype(np.int64) << BITS | bucket[used])
-        sums = np.bincount(pairs >> BITS, self.weights[pairs & ((1 << BITS) - 1)], len(column))
-        return logistic(self.intercept + sums)
-
+    def margin(self, column: pa.Array) -> np.ndarray:
+        pairs = distinct_grams(column, self.weights)
+        return self.intercept + np.bincount(pairs >> BITS, self.weights[pairs & ((1 << BITS) - 1)], len(column))
 
-def _pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, bucket) of a sample, in slices."""
-    texts, buckets = [], []
-    for lo in range(0, len(column), 100):
-        b, o = grams(column.slice(lo, 100))
-        p = np.unique(o.astype(np.int64) << BITS | b)
-        texts.append((p >> BITS).astype(np.int32) + lo)
-        buckets.append((p & ((1 << BITS) - 1)).astype(np.int32))
-    return np.concatenate(texts), np.concatenate(buckets)
+    def score(self, column: pa.Array) -> np.ndarray:
+        return logistic(self.margin(column))
 
 
 def fit(column: pa.Array, labels: np.ndarray, alpha: float = 1.0, chance: float = 3.5, l2: float = 2.0, steps: int = 300) -> Model:
     """Log-count ratios, then logistic regression on the scaled features."""
-    weights = np.zeros(1 << BITS, np.float32)
+    return _fit(distinct_grams(column), labels, alpha, chance, l2, steps)
+
+
+def ratios(pairs: np.ndarray, labels: np.ndarray, alpha: float = 1.0, chance: float = 3.5) -> np.ndarray:
+    """Smoothed log-count ratio of each bucket, 0 where it lies within chance."""
+    text, bucket = pairs >> BITS, pairs & ((1 << BITS) - 1)
     positive = labels == 1
-    if not positive.any() or positive.all():
-        return Model(weights, -40.0)
-    text, bucket = _pairs(column)
     p = np.bincount(bucket[positive[text]], minlength=1 << BITS)
     q = np.bincount(bucket[~positive[text]], minlength=1 << BITS)
     n1, n0 = int(positive.sum()), int((~positive).sum())
@@ -109,14 +132,24 @@ def fit(column: pa.Array, labels: np.ndarray, alpha: float = 1.0, chance: float
     # standard error of the log ratio: what lies within chance carries nothing
     error = np.sqrt(1 / (p + alpha) - 1 / (n1 + 2 * alpha) + 1 / (q + alpha) - 1 / (n0 + 2 * alpha))
     ratio[(np.abs(ratio) < chance * error) | (p + q < 5)] = 0
-    known = np.flatnonzero(ratio[bucket])
-    text, bucket = text[known], bucket[known]
+    return ratio
+
+
+def _fit(pairs: np.ndarray, labels: np.ndarray, alpha: float = 1.0, chance: float = 3.5, l2: float = 2.0, steps: int = 300) -> Model:
+    weights = np.zeros(1 << BITS, np.float32)
+    positive = labels == 1
+    if not positive.any() or positive.all():
+        return Model(weights, -40.0)
+    n1, n0 = int(positive.sum()), int((~positive).sum())
+    ratio = ratios(pairs, labels, alpha, chance)
+    pairs = pairs[ratio[pairs & ((1 << BITS) - 1)] != 0]
+    text, bucket = pairs >> BITS, pairs & ((1 << BITS) - 1)
     chosen, column_of = np.unique(bucket, return_inverse=True)
     value = ratio[chosen][column_of]
     y, n = labels.astype(np.float64), len(labels)
     w, b = np.zeros(len(chosen)), 0.0
     # Nesterov steps with a safe step size; balanced classes, so that the
-    # threshold does not depend on how the sample was drawn
+    # weights do not depend on how the sample was drawn
     norm = np.bincount(text, value**2, n).max() if len(value) else 1.0
     rate = 4.0 / (norm + 1.0) / 4
     share = np.where(positive, 0.5 / n1, 0.5 / n0) * n
@@ -131,9 +164,58 @@ def fit(column: pa.Array, labels: np.ndarray, alpha: float = 1.0, chance: float
     return Model(weights, float(b))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: int = MOST_ROWS, most_chars: int = MOST_CHARS) -> Model:
-    sample = training_sample(docs, labels, label, most_rows, most_chars)
-    return fit(sample.column("text").combine_chunks(), sample.column("__label").to_numpy().astype(np.int64))
+def calibration(margin: np.ndarray, labels: np.ndarray, share: float) -> tuple[float, float]:
+    """Slope and shift that turn margins into log odds of label 1 where that
+    label has this share (Newton steps on the logistic loss, targets smoothed
+    by one row of each label)."""
+    n1, n0 = int((labels == 1).sum()), int((labels != 1).sum())
+    t = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(labels == 1, share / max(n1, 1), (1 - share) / max(n0, 1)) * len(labels)
+    x = np.stack([margin, np.ones(len(margin))], axis=1)
+    at = np.array([1.0, 0.0])
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((weight * (np.logaddexp(0, z) - t * z)).sum())
+
+    for _ in range(50):
+        p = logistic(x @ at)
+        gradient = x.T @ (weight * (p - t))
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        move, size = np.linalg.solve(curve, gradient), 1.0
+        while size > 1e-4 and loss(at - size * move) > loss(at):
+            size /= 2
+        at = at - size * move
+        if np.abs(size * move).max() < 1e-8:
+            break
+    return max(float(at[0]), 1e-3), float(at[1])
+
+
+def fit_calibrated(column: pa.Array, labels: np.ndarray, share: float, folds: int = 3, **options) -> Model:
+    """A fit on all rows whose margins are calibrated on rows left out: each of
+    ``folds`` parts is scored by a fit on the others.  Parts hold whole groups of
+    equal texts."""
+    pairs = distinct_grams(column)
+    model = _fit(pairs, labels, **options)
+    same = np.unique(pc.dictionary_encode(pc.fill_null(column, "")).indices.to_numpy(), return_inverse=True)[1] % folds
+    margin = np.zeros(len(labels))
+    for k in range(folds):
+        out = same == k
+        if not out.any() or len(np.unique(labels[~out])) < 2:
+            return model
+        text, bucket = pairs >> BITS, pairs & ((1 << BITS) - 1)
+        kept = np.cumsum(~out) - 1  # row numbers among the rows of the fit
+        part = _fit(kept[text[~out[text]]] << BITS | bucket[~out[text]], labels[~out], **options)
+        of = out[text]
+        margin[out] = (part.intercept + np.bincount(text[of], part.weights[bucket[of]], len(labels)))[out]
+    slope, shift = calibration(margin, labels, share)
+    return Model(model.weights * np.float32(slope), model.intercept * slope + shift)
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES) -> Model:
+    sample = training_sample(docs, labels, label, most_rows, most_bytes)
+    n0, n1 = label_counts(labels, label)
+    return fit_calibrated(sample.column("text").combine_chunks(), sample.column("__label").to_numpy().astype(np.int64), (n1 + 1) / (n0 + n1 + 2))
 
 
 def score(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text", threshold: float = 0.5, added: tuple[str, str] = ("score", "predicted")) -> DataFrame:

@@ -392,6 +392,82 @@ def test_grams_are_of_characters():
     assert len(set(bucket.tolist())) == 13
 
 
+def test_toxicity_by_force():
+    """Ratios and margins against sets of n-grams in plain Python, and long
+    texts read in pieces."""
+    import pyarrow as pa
+
+    rnd = random.Random(14)
+    texts = [" ".join(rnd.choice(WORDS + ["Жук", "é"]) for _ in range(30)) + (" vile scum" if i % 4 == 0 else "") for i in range(120)] + [None, ""]
+    labels = np.array([int(i % 4 == 0) for i in range(120)] + [0, 0])
+    column = pa.array(texts)
+
+    def plain(text):
+        t = f" {(text or '').lower()} "
+        return {t[i : i + n] for n in toxicity.SIZES for i in range(len(t) - n + 1)}
+
+    sets = [plain(t) for t in texts]
+    number = {g: int(toxicity._rolled(pa.array([g], pa.large_string()))[0][-1]) for g in set().union(*sets)}  # its longest n-gram comes last
+    want = sorted({(i << toxicity.BITS) | number[g] for i, s in enumerate(sets) for g in s})
+    pairs = toxicity.distinct_grams(column)
+    assert pairs.tolist() == want
+    for piece in (7, 50):
+        assert toxicity.distinct_grams(column, piece=piece).tolist() == want
+    ratio = toxicity.ratios(pairs, labels)
+    by_bucket = {}
+    for i, s in enumerate(sets):
+        for b in {number[g] for g in s}:
+            by_bucket.setdefault(b, [0, 0])[labels[i]] += 1
+    n0, n1 = int((labels == 0).sum()), int((labels == 1).sum())
+    kept = 0
+    for b, (q, p) in by_bucket.items():
+        r = math.log((p + 1) / (n1 + 2)) - math.log((q + 1) / (n0 + 2))
+        error = math.sqrt(1 / (p + 1) - 1 / (n1 + 2) + 1 / (q + 1) - 1 / (n0 + 2))
+        r = 0 if abs(r) < 3.5 * error or p + q < 5 else r
+        kept += r != 0
+        assert abs(ratio[b] - r) < 1e-9
+    assert kept and np.count_nonzero(ratio) == kept
+    model = toxicity.fit_calibrated(column, labels, 0.25)
+    got = model.score(column)
+    for s, score in zip(sets, got):
+        z = model.intercept + sum(float(model.weights[b]) for b in {number[g] for g in s})
+        assert abs(score - 1 / (1 + math.exp(-z))) < 1e-6
+    assert ((got >= 0.5) == (labels == 1)).all()
+
+
+def test_calibration_recovers_odds():
+    """Margins of half the slope and a sample of equal halves: the true share
+    and slope come back; uninformative margins give the share alone."""
+    rng = np.random.default_rng(15)
+    z = rng.normal(-2, 2, 40_000)
+    y = (rng.random(40_000) < 1 / (1 + np.exp(-z))).astype(int)
+    few = np.concatenate([rng.choice(np.flatnonzero(y == v), 6_000, replace=False) for v in (0, 1)])
+    slope, shift = toxicity.calibration(z[few] / 2 + 3, y[few], y.mean())
+    assert abs(slope - 2) < 0.15 and abs(shift + 6) < 0.5
+    slope, shift = toxicity.calibration(np.zeros(400), np.arange(400) % 2, 0.1)
+    assert abs(1 / (1 + math.exp(-shift)) - 0.1) < 0.02
+    slope, shift = toxicity.calibration(np.array([-1.0] * 20 + [1.0] * 20), np.repeat([0, 1], 20), 0.5)
+    assert slope > 1 and math.isfinite(slope)  # separable margins stay finite
+
+
+def test_training_sample_is_bounded_by_rows_and_bytes(spark):
+    from pitwall.llm import classify
+
+    rows = [(i, "ab " * (100_000 if i == 7 else 10)) for i in range(300)] + [(8, "longer " * 9), (None, "x")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    fold = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
+    assert 7 in fold
+    got = classify.training_sample(table(spark, rows), labels, "toxic").to_pylist()
+    assert sorted(r["__id"] for r in got) == fold  # the long text takes part, whole
+    assert {r["__label"] for r in got if r["__id"] == 7} == {1} and max(len(r["text"]) for r in got) == 300_000
+    few = classify.training_sample(table(spark, rows), labels, "toxic", most_rows=40).to_pylist()
+    assert Counter(r["__label"] for r in few) == {0: 20, 1: 20}
+    small = classify.training_sample(table(spark, rows), labels, "toxic", most_bytes=1200).to_pylist()
+    for v in (0, 1):
+        sizes = sorted(len(r["text"]) for r in small if r["__label"] == v)
+        assert 0 < sum(sizes[:-1]) < 600 + 63
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(11)
     import pyarrow as pa
