@@ -1,7 +1,9 @@
 """PII: bootstrapped contextual extraction, in DataFrame operations only.
 
-Seeds are the entities that four patterns find (e-mail, ip, card, phone).  The
-words around a seed, or the label written into its token, make lexical
+Seeds are the entities that four patterns find (e-mail, ip, card, phone), the
+base, and secrets: quoted values of 16 characters or more, a digit among them,
+behind a lower-case label like ``token =``.  Secrets are extra spans, as are
+those that the patterns find.  The words around a seed, or the label written into its token, make lexical
 patterns.  Patterns and the identifier-like tokens of the whole corpus form a
 graph, which is scored in turns: a pattern's score for a kind is the share of
 the kind's instances among all that it meets (one more counts as foreign), an
@@ -33,9 +35,12 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "secret": r"(?<=\b(?:token|secret|password|api_key)\x20{0,2}[=:]\x20{0,2}[\"'])(?=[A-Za-z_+/=-]*+[0-9])[A-Za-z0-9_+/=-]{16,}+(?=[\"'])",
 }
+#: The kinds whose seeds are base spans, and all kinds.
+SEEDS = (*KINDS, "secret")
 #: Texts without these cannot hold a valid match of the kind.
-HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){13}[0-9]", "phone": r"\+[0-9]"}
+HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){13}[0-9]", "phone": r"\+[0-9]", "secret": r"(?:token|secret|password|api_key)\x20{0,2}[=:]"}
 #: Tokens that may be identifiers: a digit or an at sign between blanks.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 #: Tokens of digits that stand close together are one candidate: the gap, a
@@ -65,6 +70,7 @@ def _valid(kind: Column, match: Column) -> Column:
         | ((kind == "ip") & match.rlike(rf"^{byte}(?:\.{byte}){{3}}$"))
         | ((kind == "card") & size.between(14, 19) & F.expr("luhn_check(regexp_replace(match, '[^0-9]', ''))"))
         | ((kind == "phone") & size.between(10, 15))
+        | (kind == "secret")
     )
 
 
@@ -79,7 +85,7 @@ def _scan(texts: DataFrame) -> DataFrame:
     t = F.col("text")
     base = [
         _matches(t, PATTERNS[k], t.rlike(HINTS[k]), lambda g, m, i, _, n=n, k=k: F.struct(F.lit(n).alias("rank"), F.lit(k).alias("kind"), i.alias("i"), F.char_length(g).alias("gap"), m.alias("match")))
-        for n, k in enumerate(KINDS)
+        for n, k in enumerate(SEEDS)
     ]
     tokens = _matches(
         t, TOKEN, t.rlike("[0-9@]"),
@@ -97,7 +103,7 @@ def _placed(rows: DataFrame, *by: str) -> DataFrame:
 
 
 def base_spans(scanned: DataFrame) -> DataFrame:
-    """id, row, rank, kind, start, end, match of the valid base matches."""
+    """id, row, rank, kind, start, end, match of the valid matches of the seeds."""
     rows = scanned.select("id", "row", F.explode("base").alias("b")).select("id", "row", "b.*")
     return _placed(rows, "rank").where(_valid(F.col("kind"), F.col("match"))).select("id", "row", "rank", "kind", "start", "end", "match")
 
@@ -170,8 +176,8 @@ def score_patterns(edges: DataFrame, rounds: int = 3, trust: float = 0.5, suppor
 
 
 def find_spans(texts: DataFrame, accept: float = 0.6, support: int = 3, rounds: int = 3) -> DataFrame:
-    """id, row, rank, kind, start, end, base: base spans and those that the
-    accepted patterns add.  ``texts`` as ``keyed`` gives them."""
+    """id, row, rank, kind, start, end, base: base spans, secrets and those that
+    the accepted patterns add.  ``texts`` as ``keyed`` gives them."""
     scanned = _scan(texts)
     base = staged(base_spans(scanned), "pii-base")
     tokens = staged(_occurrences(scanned, base), "pii-tokens")
@@ -179,12 +185,12 @@ def find_spans(texts: DataFrame, accept: float = 0.6, support: int = 3, rounds:
     edges = staged(meets.select("pattern", "instance", "kind").distinct(), "pii-edges")
     scores = score_patterns(edges, rounds, support=support)
     accepted = scores.where((F.col("score") >= accept) & (F.col("support") >= support)).groupBy("pattern").agg(F.max(F.struct("score", "kind")).alias("best"))
-    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("best.kind")).cast("int") - 1
+    rank = F.array_position(F.array(*map(F.lit, SEEDS)), F.col("best.kind")).cast("int") - 1
     found = (
         meets.where("kind is null").join(accepted, "pattern").groupBy("id", "row", "start", "end").agg(F.max("best").alias("best"))
         .select("id", "row", rank.alias("rank"), F.col("best.kind").alias("kind"), "start", "end", F.lit(False).alias("base"))
     )
-    return base.drop("match").withColumn("base", F.lit(True)).unionByName(found)
+    return base.drop("match").withColumn("base", F.col("kind").isin(*KINDS)).unionByName(found)
 
 
 def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -28,7 +28,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["base"])
     counts = [F.size(F.filter(base, _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(_spans_text(base).cast("binary"), 256).alias("base_sha256"), _spans_text(F.col("spans")).alias("spans"))
+    digest, spans = F.sha2(_spans_text(base).cast("binary"), 256), _spans_text(F.col("spans"))
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), spans.alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

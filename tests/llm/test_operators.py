@@ -310,6 +310,52 @@ def test_discovery_between_words(spark):
     assert {i: s for i, s in found.items() if s} == {30: [("phone", 9, 21)], 31: [("phone", 8, 22)]}
 
 
+def test_secrets_and_what_their_patterns_find(spark):
+    rows = [(i, f"word{i} token = \"{i:04x}f3ef4d6b2755a36d7d{i:02d}\" and on") for i in range(8)]
+    rows += [(20, 'now TOKEN = "9233A8ECF7C5B09FE59" end'), (21, "so token = 77aa31 ok"), (22, 'a token = "abcdefghijklmnopqrstuvw" none'), (23, 'mytoken_9 = "0123456789abcdef0" x'), (24, 'secret: \'k3y-of_16/chars+\' a@b.co')]
+    docs = table(spark, rows)
+    got = {r.doc_id: [(s.kind, s.base, rows_text[s.start : s.end]) for s in r.spans] for r in pii.pii(docs).collect() for rows_text in [dict(rows)[r.doc_id]]}
+    for i in range(8):
+        assert got[i] == [("secret", False, f"{i:04x}f3ef4d6b2755a36d7d{i:02d}")]
+    assert got[20] == [("secret", False, "9233A8ECF7C5B09FE59")]  # found by the pattern "token ="
+    assert got[21] == [("secret", False, "77aa31")]  # without quotes no seed
+    assert got[22] == [] and got[23] == []
+    assert got[24] == [("secret", False, "k3y-of_16/chars+"), ("email", True, "a@b.co")]
+    masked = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert masked[20] == 'now TOKEN = "[SECRET]" end'
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pattern_graph_by_force(spark, seed):
+    """The turns of scoring against dictionaries, on random graphs."""
+    rnd = random.Random(seed)
+    kinds = {f"i{n}": rnd.choice(["phone", "ip", "secret"]) for n in range(25)}
+    edges = {(f"p{rnd.randrange(12)}", f"i{rnd.randrange(60)}") for _ in range(220)}
+    edges = sorted({(p, i, kinds.get(i)) for p, i in edges})
+    known = {(i, k): 1.0 for _, i, k in edges if k}
+    sizes = Counter(p for p, _ in {(p, i) for p, i, _ in edges})
+    want: dict = {}
+    for turn in range(3):
+        sums: dict = {}
+        for p, i in {(p, i) for p, i, _ in edges}:
+            for (j, k), v in known.items():
+                if i == j:
+                    total, n = sums.get((p, k), (0.0, 0))
+                    sums[p, k] = (total + v, n + 1)
+        want = {key: (total / (sizes[key[0]] + 1), n) for key, (total, n) in sums.items()}
+        new: dict = {}
+        for p, i, k0 in edges:
+            if k0 is None:
+                for (q, k), (v, n) in want.items():
+                    if q == p and v >= 0.15 and n >= 3:
+                        new[i, k] = new.get((i, k), 1.0) * (1 - min(v, 0.999))
+        known = {(i, k): 1.0 for _, i, k in edges if k} | {key: 1 - v for key, v in new.items()}
+    got = pii.score_patterns(spark.createDataFrame(edges, "pattern string, instance string, kind string"), trust=0.15).collect()
+    assert {(r.pattern, r.kind): r.support for r in got} == {key: n for key, (_, n) in want.items()}
+    assert all(abs(r.score - want[r.pattern, r.kind][0]) < 1e-9 for r in got)
+    assert new  # instances beyond the seeds took part
+
+
 # -- top-k --------------------------------------------------------------------------------
 
 def best_by_force(rows, k=20):
