@@ -75,32 +75,42 @@ def _rolled(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
+def _by_slice(column: pa.Array, wanted: np.ndarray | None, piece: int) -> Iterator[np.ndarray]:
+    for lo, some in by_bytes(column, piece):
+        long = len(some) == 1 and (pc.utf8_length(some)[0].as_py() or 0) > piece
+        text = f" {pc.utf8_lower(some.cast(pa.large_string()))[0].as_py()} " if long else ""
+        found = np.zeros(0, np.int64)
+        for at in range(0, len(text) or 1, piece):
+            buckets, owners = _rolled(pa.array([text[at : at + piece + max(SIZES) - 1]], pa.large_string())) if long else grams(some)
+            if wanted is not None:
+                used = np.flatnonzero(wanted[buckets])
+                buckets, owners = buckets[used], owners[used]
+            new = np.unique((owners.astype(np.int64) + lo) << BITS | buckets)
+            found = np.union1d(found, new) if len(found) else new
+        yield found
+
+
 def distinct_grams(column: pa.Array, wanted: np.ndarray | None = None, piece: int = PIECE) -> np.ndarray:
     """The distinct (text, bucket) of a column as text << BITS | bucket, sorted;
     with ``wanted`` only buckets where it is not 0.  A text of more than
     ``piece`` characters is read in pieces that overlap by one n-gram, so the
     memory for a long text follows the buckets and not its length."""
-    found = [np.zeros(0, np.int64)]
+    return np.concatenate([np.zeros(0, np.int64), *_by_slice(column, wanted, piece)])
 
-    def add(buckets: np.ndarray, owners: np.ndarray) -> None:
-        if wanted is not None:
-            used = np.flatnonzero(wanted[buckets])
-            buckets, owners = buckets[used], owners[used]
-        found.append(np.unique(owners.astype(np.int64) << BITS | buckets))
 
-    for lo, some in by_bytes(column, piece):
-        if len(some) == 1 and (pc.utf8_length(some)[0].as_py() or 0) > piece:
-            text = f" {pc.utf8_lower(some.cast(pa.large_string()))[0].as_py()} "
-            for at in range(0, len(text), piece):
-                part = pa.array([text[at : at + piece + max(SIZES) - 1]], pa.large_string())
-                buckets, owners = _rolled(part)
-                add(buckets, owners + np.int32(lo))
-                if len(found) > 16:
-                    found[:] = [np.unique(np.concatenate(found))]
-        else:
-            buckets, owners = grams(some)
-            add(buckets, owners + np.int32(lo))
-    return np.unique(np.concatenate(found))
+def common_grams(column: pa.Array, least: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Text and bucket of the distinct grams of a sample whose bucket occurs in
+    ``least`` texts or more: fewer never get a ratio (see ``ratios``)."""
+    counts, parts = np.zeros(1 << BITS, np.int32), []
+    for pairs in _by_slice(column, None, PIECE):
+        text, bucket = (pairs >> BITS).astype(np.int32), (pairs & ((1 << BITS) - 1)).astype(np.int32)
+        counts += np.bincount(bucket, minlength=1 << BITS).astype(np.int32)
+        parts.append((text, bucket))
+    for k, (text, bucket) in enumerate(parts):
+        often = counts[bucket] >= least
+        parts[k] = text[often], bucket[often]
+    none = np.zeros(0, np.int32)
+    return np.concatenate([none, *(t for t, _ in parts)]), np.concatenate([none, *(b for _, b in parts)])
 
 
 @dataclass
@@ -118,12 +128,12 @@ class Model:
 
 def fit(column: pa.Array, labels: np.ndarray, alpha: float = 1.0, chance: float = 3.5, l2: float = 2.0, steps: int = 300) -> Model:
     """Log-count ratios, then logistic regression on the scaled features."""
-    return _fit(distinct_grams(column), labels, alpha, chance, l2, steps)
+    return _fit(*common_grams(column), labels, alpha, chance, l2, steps)
 
 
-def ratios(pairs: np.ndarray, labels: np.ndarray, alpha: float = 1.0, chance: float = 3.5) -> np.ndarray:
-    """Smoothed log-count ratio of each bucket, 0 where it lies within chance."""
-    text, bucket = pairs >> BITS, pairs & ((1 << BITS) - 1)
+def ratios(text: np.ndarray, bucket: np.ndarray, labels: np.ndarray, alpha: float = 1.0, chance: float = 3.5) -> np.ndarray:
+    """Smoothed log-count ratio of each bucket, 0 where it lies within chance
+    or the bucket occurs in fewer than five texts."""
     positive = labels == 1
     p = np.bincount(bucket[positive[text]], minlength=1 << BITS)
     q = np.bincount(bucket[~positive[text]], minlength=1 << BITS)
@@ -135,16 +145,19 @@ def ratios(pairs: np.ndarray, labels: np.ndarray, alpha: float = 1.0, chance: fl
     return ratio
 
 
-def _fit(pairs: np.ndarray, labels: np.ndarray, alpha: float = 1.0, chance: float = 3.5, l2: float = 2.0, steps: int = 300) -> Model:
+def _fit(text: np.ndarray, bucket: np.ndarray, labels: np.ndarray, alpha: float = 1.0, chance: float = 3.5, l2: float = 2.0, steps: int = 300) -> Model:
     weights = np.zeros(1 << BITS, np.float32)
     positive = labels == 1
     if not positive.any() or positive.all():
         return Model(weights, -40.0)
     n1, n0 = int(positive.sum()), int((~positive).sum())
-    ratio = ratios(pairs, labels, alpha, chance)
-    pairs = pairs[ratio[pairs & ((1 << BITS) - 1)] != 0]
-    text, bucket = pairs >> BITS, pairs & ((1 << BITS) - 1)
-    chosen, column_of = np.unique(bucket, return_inverse=True)
+    ratio = ratios(text, bucket, labels, alpha, chance)
+    known = ratio[bucket] != 0
+    text, bucket = text[known], bucket[known]
+    chosen = np.flatnonzero(ratio)
+    number = np.zeros(1 << BITS, np.int32)
+    number[chosen] = np.arange(len(chosen))
+    column_of = number[bucket]
     value = ratio[chosen][column_of]
     y, n = labels.astype(np.float64), len(labels)
     w, b = np.zeros(len(chosen)), 0.0
@@ -195,18 +208,17 @@ def fit_calibrated(column: pa.Array, labels: np.ndarray, share: float, folds: in
     """A fit on all rows whose margins are calibrated on rows left out: each of
     ``folds`` parts is scored by a fit on the others.  Parts hold whole groups of
     equal texts."""
-    pairs = distinct_grams(column)
-    model = _fit(pairs, labels, **options)
+    text, bucket = common_grams(column)
+    model = _fit(text, bucket, labels, **options)
     same = np.unique(pc.dictionary_encode(pc.fill_null(column, "")).indices.to_numpy(), return_inverse=True)[1] % folds
     margin = np.zeros(len(labels))
     for k in range(folds):
         out = same == k
         if not out.any() or len(np.unique(labels[~out])) < 2:
             return model
-        text, bucket = pairs >> BITS, pairs & ((1 << BITS) - 1)
-        kept = np.cumsum(~out) - 1  # row numbers among the rows of the fit
-        part = _fit(kept[text[~out[text]]] << BITS | bucket[~out[text]], labels[~out], **options)
+        kept = (np.cumsum(~out) - 1).astype(np.int32)  # row numbers among the rows of the fit
         of = out[text]
+        part = _fit(kept[text[~of]], bucket[~of], labels[~out], **options)
         margin[out] = (part.intercept + np.bincount(text[of], part.weights[bucket[of]], len(labels)))[out]
     slope, shift = calibration(margin, labels, share)
     return Model(model.weights * np.float32(slope), model.intercept * slope + shift)

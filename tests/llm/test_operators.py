@@ -459,12 +459,14 @@ def test_toxicity_by_force():
     assert pairs.tolist() == want
     for piece in (7, 50):
         assert toxicity.distinct_grams(column, piece=piece).tolist() == want
-    ratio = toxicity.ratios(pairs, labels)
+    ratio = toxicity.ratios(pairs >> toxicity.BITS, pairs & ((1 << toxicity.BITS) - 1), labels)
     by_bucket = {}
     for i, s in enumerate(sets):
         for b in {number[g] for g in s}:
             by_bucket.setdefault(b, [0, 0])[labels[i]] += 1
     n0, n1 = int((labels == 0).sum()), int((labels == 1).sum())
+    common = {int(b) for b in toxicity.common_grams(column)[1]}
+    assert common == {b for b, (q, p) in by_bucket.items() if p + q >= 5}
     kept = 0
     for b, (q, p) in by_bucket.items():
         r = math.log((p + 1) / (n1 + 2)) - math.log((q + 1) / (n0 + 2))
