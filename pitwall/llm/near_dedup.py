@@ -24,6 +24,8 @@ largest component that, by the triangle inequality (1 - weighted Jaccard is a
 metric), cannot be near one of those leave, and so do buckets of one component.
 Once what can still be near comes to a few pairs for each member, these are
 compared directly.  Documents with the same words are one node throughout.
+A bucket of many members lies in parts, by hashes of its nodes; what its members
+meet (pivots, sizes, distances) is few and goes to each part.
 Classes are the connected components of the links, by alternating star
 contraction.
 
@@ -52,6 +54,9 @@ WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 9, 3
 RARE = 1000
 #: So few pairs are compared directly at any size.
 FEWEST = 20_000
+#: Members of a bucket that lie together in one part, and the most buckets that
+#: lie in several: there the parts grow.
+PART, MOST_PARTED = 1 << 10, 1_000_000
 _TABLE = byte_table(53)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -321,6 +326,26 @@ def _listed(rare: float):
     return run
 
 
+def _salt(column: str) -> F.Column:
+    return F.pmod(F.xxhash64(column), F.col("salts")).cast("int")
+
+
+def _parted(listed: DataFrame, rows: int) -> DataFrame:
+    """The rows (bucket, node, ...) of buckets of several members, with the
+    number of parts of their bucket and their own part: salts, salt."""
+    part = max(PART, rows // MOST_PARTED)
+    sizes = staged(listed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").withColumn("salts", F.ceil(F.col("n") / part).cast("int")).drop("n"), "near-sizes")
+    # more than ``part`` rows each: at most rows / part <= MOST_PARTED buckets, 12 MB
+    large = F.broadcast(sizes.where("salts > 1"))
+    marked = listed.join(large, "bucket", "left").withColumn("salts", F.coalesce("salts", F.lit(1))).withColumn("salt", _salt("node"))
+    return marked.join(_spread(sizes).select("bucket", "salt"), ["bucket", "salt"], "left_semi")
+
+
+def _spread(few: DataFrame) -> DataFrame:
+    """A copy of each row for each part of its bucket (``salts``, dropped)."""
+    return few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+
+
 def _solid(members: DataFrame, vectors: DataFrame, rare: float, similarity: float) -> DataFrame:
     """Members that can reach the threshold, with ``solid``: their weight without
     the shingles that no other of them has.  Counted anew among those that stay
@@ -332,8 +357,8 @@ def _solid(members: DataFrame, vectors: DataFrame, rare: float, similarity: floa
         lost = alone.groupBy("node").agg(F.sum("mass").alias("lost"))
         solid = members.drop("solid").join(lost, "node", "left").withColumn("solid", F.col("weight") - F.coalesce("lost", F.lit(0.0))).drop("lost")
         solid = solid.where(F.col("solid") >= (similarity - 1e-6) * F.col("weight"))
-        several = solid.groupBy("bucket").count().where("count > 1").select("bucket")
-        members = staged(solid.join(several, "bucket", "left_semi"), "near-solid")
+        several = solid.groupBy("bucket").agg(F.count("*").alias("n"), F.max("salts").alias("salts")).where("n > 1").select("bucket", "salts")
+        members = staged(solid.join(_spread(several), ["bucket", "salt"], "left_semi"), "near-solid")
         before, left = left, members.select("node").distinct().count()
         if left > 0.9 * before or not left:
             return members
@@ -347,10 +372,10 @@ def _rooted(alive: DataFrame, links: DataFrame, far: float) -> tuple[DataFrame,
     open ones leave."""
     found = components(links)
     alive = alive.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = alive.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("away").alias("near"))
-    top = parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("top"), F.count("*").alias("m")).where("m > 1").drop("m")
-    nearest = parts.join(top, "bucket").where("root != top").groupBy("bucket").agg(F.min("top").alias("top"), F.min("near").alias("nearest"))
-    alive = alive.join(nearest, "bucket").withColumn("open", F.col("root") != F.col("top"))
+    parts = alive.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("away").alias("near"), F.max("salts").alias("salts")).withColumn("salt", _salt("root"))
+    top = parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("top"), F.count("*").alias("m"), F.max("salts").alias("salts")).where("m > 1").drop("m")
+    nearest = parts.join(_spread(top), ["bucket", "salt"]).where("root != top").groupBy("bucket").agg(F.min("top").alias("top"), F.min("near").alias("nearest"), F.max("salts").alias("salts"))
+    alive = alive.join(_spread(nearest), ["bucket", "salt"]).withColumn("open", F.col("root") != F.col("top"))
     alive = alive.where(F.col("open") | ~F.col("exact") | (F.col("away") + far + 1e-6 >= F.col("nearest"))).drop("top", "nearest")
     return staged(alive, "near-alive"), found.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
@@ -363,7 +388,8 @@ def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: floa
     far, links = 1 - similarity, None
     total, count = members.count(), 1
     few = max(FEWEST, per_member * total)
-    alive = members.withColumns({"open": F.lit(True), "root": F.col("node"), "away": F.lit(0.0), "exact": F.lit(False)})
+    held = ["bucket", "node", "weight", "solid", "bands", "salts", "salt"]
+    alive = staged(_parted(members.select(*held[:5]), total), "near-parted").withColumns({"open": F.lit(True), "root": F.col("node"), "away": F.lit(0.0), "exact": F.lit(False)})
     common = F.least("solid", "ps")
     bound = common / (F.col("weight") + F.col("pw") - common)
     close = bound >= similarity - 1e-6
@@ -373,26 +399,26 @@ def _links(members: DataFrame, vectors: DataFrame, rare: float, similarity: floa
         if not left:
             return links
         if links is not None and left <= tried * few:
-            other = alive.where("open").select("bucket", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), F.col("away").alias("pd"), F.col("exact").alias("pe"), F.col("bands").alias("pb"))
+            other = alive.where("open").select("bucket", "salts", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), F.col("away").alias("pd"), F.col("exact").alias("pe"), F.col("bands").alias("pb"))
             apart = F.col("exact") & F.col("pe") & (F.abs(F.col("away") - F.col("pd")) > far + 1e-6)
             # a pair is made in the first bucket it shares: where it is missing there, it is settled
             both = F.filter(F.zip_with("bands", "pb", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
-            pairs = alive.join(other, "bucket").where((F.col("root") != F.col("pr")) & close & ~apart & (F.get(both, 0) == F.col("bucket")))
+            pairs = alive.join(_spread(other), ["bucket", "salt"]).where((F.col("root") != F.col("pr")) & close & ~apart & (F.get(both, 0) == F.col("bucket")))
             if left <= few or pairs.count() <= few:
                 pairs = pairs.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
                 return links.unionByName(_verify(pairs, vectors, rare).where(F.col("similarity") >= similarity).select("a", "b"))
         # the first open members of a bucket; the very first is its reference
         turn = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        pivot = alive.where("open").select("bucket", F.col("node").alias("b"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), turn.alias("k")).where(F.col("k") <= count)
+        pivot = alive.where("open").select("bucket", "salts", F.col("node").alias("b"), F.col("weight").alias("pw"), F.col("solid").alias("ps"), F.col("root").alias("pr"), turn.alias("k")).where(F.col("k") <= count)
         pivot = staged(pivot, "near-pivots")
-        met = alive.join(pivot, "bucket").where((F.col("node") != F.col("b")) & ((F.col("k") == 1) | (F.col("root") != F.col("pr"))) & close)
+        met = alive.join(_spread(pivot), ["bucket", "salt"]).where((F.col("node") != F.col("b")) & ((F.col("k") == 1) | (F.col("root") != F.col("pr"))) & close)
         sims = _verify(met.select(F.col("node").alias("a"), "b").distinct(), vectors, rare)
         found = sims.where(F.col("similarity") >= similarity).select("a", "b")
         links = found if links is None else links.unionByName(found)
         # pivots have met all members; what is not verified is at least 1 - bound away from the reference
-        rest = alive.select("bucket", "node", "weight", "solid", "bands").join(pivot.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti")
-        rest = rest.join(pivot.where("k = 1").select("bucket", "b", "pw", "ps"), "bucket").join(sims.withColumnRenamed("a", "node"), ["node", "b"], "left")
-        rest = rest.select("bucket", "node", "weight", "solid", "bands", F.coalesce(1 - F.col("similarity"), 1 - bound).alias("away"), F.col("similarity").isNotNull().alias("exact"))
+        rest = alive.select(*held).join(pivot.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti")
+        rest = rest.join(_spread(pivot.where("k = 1").select("bucket", "salts", "b", "pw", "ps")), ["bucket", "salt"]).join(sims.withColumnRenamed("a", "node"), ["node", "b"], "left")
+        rest = rest.select(*held, F.coalesce(1 - F.col("similarity"), 1 - bound).alias("away"), F.col("similarity").isNotNull().alias("exact"))
         alive, links = _rooted(rest, links, far)
         count *= 8
 
@@ -438,8 +464,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
         "near-nodes",
     )
     listed = nodes.select("node", "weight", "bands", F.explode("bands").alias("bucket"))
-    shared_buckets = listed.groupBy("bucket").count().where("count > 1").select("bucket")
-    members = staged(listed.join(shared_buckets, "bucket", "left_semi"), "near-members")
+    members = staged(_parted(listed, nodes.count() * bands), "near-members")
     needed = nodes.join(members.select("node").distinct(), "node", "left_semi").select("first.id", "first.row", "node")
     if (n := members.select("node").distinct().count()) <= 1_000_000:
         needed = F.broadcast(needed)  # three numbers a row: at most 24 MB

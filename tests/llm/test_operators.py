@@ -252,6 +252,29 @@ def test_links_connect_a_chain_within_one_bucket(spark):
         assert roots == {n: 1 for n in range(2, 13)}
 
 
+def test_buckets_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PART", 2)
+    monkeypatch.setattr(near_dedup, "FEWEST", 0)
+    listed = spark.createDataFrame([(b, n) for b, size in ((1, 1), (2, 2), (3, 40)) for n in range(size)], "bucket long, node long")
+    parted = near_dedup._parted(listed, 43).collect()
+    assert Counter(r.bucket for r in parted) == {2: 2, 3: 40}
+    assert {(r.bucket, r.salts) for r in parted} == {(2, 1), (3, 20)}
+    assert all(0 <= r.salt < r.salts for r in parted) and len({r.salt for r in parted if r.bucket == 3}) > 10
+    few = spark.createDataFrame([(2, 1), (3, 20)], "bucket long, salts int")
+    assert sorted(tuple(r) for r in near_dedup._spread(few).collect()) == [(2, 0)] + [(3, k) for k in range(20)]
+    # a hot bucket: two classes whose members share passages, all in one bucket of the sampling
+    rnd = random.Random(9)
+    rows, long = [], [rnd.choice(WORDS) + str(rnd.randrange(900)) for _ in range(600)]
+    for g in range(2):
+        words = long[:300] + [f"{g}{w}" for w in long[300:]]
+        for _ in range(30):
+            copy = list(words)
+            copy[rnd.randrange(600)] = f"changed{len(rows)}"
+            rows.append((len(rows), " ".join(copy)))
+    got = near_dedup.near_classes(table(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in got} == classes_by_hand(rows)
+
+
 def test_sampling_estimates_weighted_jaccard():
     rng = np.random.default_rng(7)
     h = rng.integers(1, 1 << 62, 400).astype(np.uint64)
