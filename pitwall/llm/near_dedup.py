@@ -112,57 +112,43 @@ def prefix_hash(word: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 # -- document frequencies ------------------------------------------------------
 
-def _frequency_runs(buckets: int, most: int = 2_000_000):
-    """Sorted runs of (shingle, documents) of what a task has read, by bucket."""
+def _heavy(rare: int, most: int):
+    """For each run of texts the shingles in more than 1 / 2 rare of them, and by
+    how much in units of 1 / 2 rare documents."""
 
-    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+    def flush(held: list[np.ndarray], docs: int) -> pa.RecordBatch:
         h, n = np.unique(np.concatenate(held), return_counts=True)
-        of = (h >> np.uint64(40)).astype(np.int64) * buckets >> 24
-        cuts = np.searchsorted(of, np.arange(buckets + 1))
-        spans = [(b, x, y) for b, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x]
-        many = [np.flatnonzero(n[x:y] > 1) for _, x, y in spans]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([b for b, _, _ in spans], pa.int32()),
-                pa.array([h[x:y].tobytes() for _, x, y in spans], pa.binary()),
-                # counts over 1, by place
-                pa.array([np.stack((m, n[x:y][m])).astype(np.int32).tobytes() for m, (_, x, y) in zip(many, spans)], pa.binary()),
-            ],
-            names=["bucket", "hashes", "more"],
-        )
+        over = 2 * rare * n - docs
+        return pa.RecordBatch.from_arrays([pa.array(h[over > 0].view(np.int64)), pa.array(over[over > 0])], names=["shingle", "over"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, docs = [], 0, 0
         for b in slices(batches, "text"):
             h, _, _, _ = shingles(b.column("text"))
             held.append(h)
-            size += len(h)
+            size, docs = size + len(h), docs + b.num_rows
             if size >= most:
-                yield flush(held)
-                held, size = [], 0
-        if size:
-            yield flush(held)
+                yield flush(held, docs)
+                held, size, docs = [], 0, 0
+        if held:
+            yield flush(held, docs)
 
     return run
 
 
-def _frequent(least: float):
-    def run(table: pa.Table) -> pa.Table:
-        hashes, counts = [], []
-        for h, m in zip(table.column("hashes").to_pylist(), table.column("more").to_pylist()):
-            h = np.frombuffer(h, np.uint64)
-            n = np.ones(len(h), np.int64)
-            at = np.frombuffer(m, np.int32).reshape(2, -1)
-            n[at[0]] = at[1]
-            hashes.append(h)
-            counts.append(n)
-        h, n = np.concatenate(hashes), np.concatenate(counts)
-        order = np.argsort(h)
-        h, n = h[order], n[order]
-        at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        total = np.add.reduceat(n, at)
-        keep = total > least
-        return pa.table({"shingle": h[at][keep].view(np.int64), "df": total[keep]})
+def _counter(shared):
+    """Documents of a task that hold each candidate shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sought = shared.value
+        table = SliceTable(max(16, len(sought)))
+        table.add(sought)
+        counts = np.zeros(len(sought), np.int64)
+        for b in slices(batches, "text"):
+            at = table.find(shingles(b.column("text"))[0])
+            counts += np.bincount(at[at >= 0], minlength=len(sought))
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(sought[some].view(np.int64)), pa.array(counts[some])], names=["shingle", "df"])
 
     return run
 
@@ -192,12 +178,20 @@ def weights_of(shared) -> Weights:
 _BUILT: dict = {}
 
 
-def frequencies(texts: DataFrame, total: int, chars: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in more than max(1, total / RARE) documents, with their document
-    frequency: at most RARE x mean distinct shingles of a document."""
-    buckets = int(min(max(16, chars // 8_000_000), 1 << 16))
-    runs = texts.mapInArrow(_frequency_runs(buckets), "bucket int, hashes binary, more binary")
-    found = runs.groupBy("bucket").applyInArrow(_frequent(max(1.0, total / RARE)), "shingle long, df long").toArrow()
+def frequencies(texts: DataFrame, total: int, rare: int = RARE, run: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in more than max(1, total / rare) documents, with their document
+    frequency: at most rare x mean distinct shingles of a document.
+
+    A run of texts (some ``run`` shingles) leaves out only shingles in at most
+    1 / 2 rare of it, so what the runs report of a sought shingle sums up to more
+    than half the limit: at most twice as many shingles as the result may hold.
+    These are then counted exactly over all texts."""
+    least = max(2 * rare, 2 * total)  # in units of 1 / 2 rare documents
+    heavy = texts.mapInArrow(_heavy(rare, run), "shingle long, over long").groupBy("shingle").agg(F.sum("over").alias("over"))
+    sought = heavy.where(F.col("over") > least - total).select("shingle").toArrow().column("shingle").to_numpy().view(np.uint64)
+    shared = texts.sparkSession.sparkContext.broadcast(sought)
+    counted = texts.mapInArrow(_counter(shared), "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
+    found = counted.where(2 * rare * F.col("df") > least).toArrow()
     return found.column("shingle").to_numpy().view(np.uint64), found.column("df").to_numpy()
 
 
@@ -451,8 +445,8 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     """doc_id, class_id, group_size, kept, id and row: one row per input row."""
     spark = docs.sparkSession
     texts = _keyed(docs, id_col, text_col)
-    total, chars = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    shared = spark.sparkContext.broadcast((frequencies(texts, total, chars), total, uuid.uuid4().hex))
+    total = texts.count()
+    shared = spark.sparkContext.broadcast((frequencies(texts, total), total, uuid.uuid4().hex))
     rare = float(Weights((np.zeros(0, np.uint64), np.zeros(0, np.int64)), total).idf[-1])
     signed = staged(texts.mapInArrow(_signer(shared, bands, rows), _SIGNED), "near-signed")
     # documents with the same words are one node; its first document stands for it

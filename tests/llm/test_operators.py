@@ -13,6 +13,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -252,6 +253,17 @@ def test_links_connect_a_chain_within_one_bucket(spark):
         assert roots == {n: 1 for n in range(2, 13)}
 
 
+@pytest.mark.parametrize("run", [50, 2_000_000])
+def test_frequencies_are_exact(spark, run):
+    rnd = random.Random(run)
+    texts = [" ".join(rnd.choice(WORDS[:3]) for _ in range(rnd.choice([0, 3, 8, 40]))) for _ in range(300)] + ["alpha beta gamma delta " * 50] * 40
+    want = Counter(h for t in texts for h in near_dedup.shingles(pa.array([t]))[0].tolist())
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    h, n = near_dedup.frequencies(docs, len(texts), 10, run)
+    assert dict(zip(h.tolist(), n.tolist())) == {k: v for k, v in want.items() if v > len(texts) / 10}
+    assert len(h) and len(near_dedup.frequencies(docs.limit(0), 0)[0]) == 0
+
+
 def test_buckets_in_parts(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "PART", 2)
     monkeypatch.setattr(near_dedup, "FEWEST", 0)
