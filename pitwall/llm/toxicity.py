@@ -113,6 +113,26 @@ def common_grams(column: pa.Array, least: int = 5) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([none, *(t for t, _ in parts)]), np.concatenate([none, *(b for _, b in parts)])
 
 
+def telling_grams(column: pa.Array, labels: np.ndarray, part: np.ndarray, folds: int, alpha: float = 1.0, chance: float = 3.5) -> tuple[np.ndarray, np.ndarray]:
+    """Text and bucket of the distinct grams of a sample whose bucket has a ratio
+    in the fit on all texts or in one that leaves out a ``part``.  Counted by
+    part and label first, then read again, so that no list of all grams is held."""
+    counts = np.zeros((folds, 2, 1 << BITS), np.int32)
+    for pairs in _by_slice(column, None, PIECE >> 2):
+        text, bucket = pairs >> BITS, pairs & ((1 << BITS) - 1)
+        of = part[text] * 2 + (labels[text] == 1)
+        for k in np.unique(of).tolist():
+            counts[k // 2, k % 2] += np.bincount(bucket[of == k], minlength=1 << BITS).astype(np.int32)
+    rows = np.bincount(part * 2 + (labels == 1), minlength=2 * folds).reshape(folds, 2)
+    whole, all_rows = counts.sum(axis=0, dtype=np.int32), rows.sum(axis=0)
+    telling = np.zeros(1 << BITS, bool)
+    for out, left in ((0, 0), *zip(counts, rows)):
+        telling |= _ratio(*(whole - out)[::-1], *(all_rows - left)[::-1].tolist(), alpha, chance) != 0
+    del counts, whole
+    pairs = distinct_grams(column, telling, PIECE >> 2)
+    return (pairs >> BITS).astype(np.int32), (pairs & ((1 << BITS) - 1)).astype(np.int32)
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # by bucket: log-count ratio times weight, mostly 0
@@ -137,7 +157,11 @@ def ratios(text: np.ndarray, bucket: np.ndarray, labels: np.ndarray, alpha: floa
     positive = labels == 1
     p = np.bincount(bucket[positive[text]], minlength=1 << BITS)
     q = np.bincount(bucket[~positive[text]], minlength=1 << BITS)
-    n1, n0 = int(positive.sum()), int((~positive).sum())
+    return _ratio(p, q, int(positive.sum()), int((~positive).sum()), alpha, chance)
+
+
+def _ratio(p: np.ndarray, q: np.ndarray, n1: int, n0: int, alpha: float, chance: float) -> np.ndarray:
+    """From the texts with each bucket among n1 with label 1 and n0 with label 0."""
     ratio = np.log((p + alpha) / (n1 + 2 * alpha)) - np.log((q + alpha) / (n0 + 2 * alpha))
     # standard error of the log ratio: what lies within chance carries nothing
     error = np.sqrt(1 / (p + alpha) - 1 / (n1 + 2 * alpha) + 1 / (q + alpha) - 1 / (n0 + 2 * alpha))
@@ -208,9 +232,9 @@ def fit_calibrated(column: pa.Array, labels: np.ndarray, share: float, folds: in
     """A fit on all rows whose margins are calibrated on rows left out: each of
     ``folds`` parts is scored by a fit on the others.  Parts hold whole groups of
     equal texts."""
-    text, bucket = common_grams(column)
-    model = _fit(text, bucket, labels, **options)
     same = np.unique(pc.dictionary_encode(pc.fill_null(column, "")).indices.to_numpy(), return_inverse=True)[1] % folds
+    text, bucket = telling_grams(column, labels, same, folds, **{k: options[k] for k in ("alpha", "chance") if k in options})
+    model = _fit(text, bucket, labels, **options)
     margin = np.zeros(len(labels))
     for k in range(folds):
         out = same == k

@@ -518,6 +518,20 @@ def test_toxicity_by_force():
     assert ((got >= 0.5) == (labels == 1)).all()
 
 
+def test_telling_grams_are_those_of_any_fit():
+    rnd = random.Random(16)
+    texts = [" ".join(rnd.choice(WORDS) for _ in range(20)) + (" vile scum" if i % 4 == 0 else "") for i in range(90)] + [None]
+    labels, part, column = np.array([int(i % 4 == 0) for i in range(90)] + [0]), np.arange(91) % 3, pa.array(texts)
+    pairs = toxicity.distinct_grams(column)
+    text, bucket = pairs >> toxicity.BITS, pairs & ((1 << toxicity.BITS) - 1)
+    want = toxicity.ratios(text, bucket, labels) != 0
+    for k in range(3):
+        held = part[text] != k
+        want |= toxicity.ratios((np.cumsum(part != k) - 1)[text[held]], bucket[held], labels[part != k]) != 0
+    got = toxicity.telling_grams(column, labels, part, 3)
+    assert want.any() and list(zip(*map(np.ndarray.tolist, got))) == list(zip(text[want[bucket]].tolist(), bucket[want[bucket]].tolist()))
+
+
 def test_calibration_recovers_odds():
     """Margins of half the slope and a sample of equal halves: the true share
     and slope come back; uninformative margins give the share alone."""
