@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.shared import fresh, staged
+from pitwall.llm.shared import fresh, sent_if_few, staged
 
 #: The white space that normalisation deletes: code points 32 and 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -110,7 +110,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .agg(F.sum(F.col("kept").cast("int")).alias("stay"), F.count("*").alias("rows"))
         .where("stay < rows")
     )
-    gone, twice = (lost.where(c).select(*by) for c in ("stay = 0", "stay > 0"))
+    lost = staged(lost, "exact-lost")
+    gone, twice = (sent_if_few(lost.where(c).select(*by)) for c in ("stay = 0", "stay > 0"))
     marked = docs.withColumns({name: F.coalesce(F.col(id_col).cast("string"), F.lit("")), digest: F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256))})
     kept = marked.join(gone, by, "left_anti")
     if twice.limit(1).count():  # rows that repeat an id with its text: one of each stays, the one of most code points

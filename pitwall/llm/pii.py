@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.shared import fresh, staged
+from pitwall.llm.shared import fresh, sent_if_few, staged
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns, written so that a match needs no backtracking over what
@@ -212,7 +212,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     grouped = flagged.withColumn("part", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     merged = grouped.groupBy("id", "row", "part").agg(F.min(F.struct("start", "rank", "kind")).alias("first"), F.max("end").alias("end"))
     merged = merged.groupBy(F.col("id").alias(name), F.col("row").alias(key)).agg(F.sort_array(F.collect_list(F.struct("first.start", "first.kind", "end"))).alias(cuts))
-    merged = staged(merged, "pii-merged")
+    merged = sent_if_few(staged(merged, "pii-merged"))
     text, doc = F.coalesce(F.col(text_col), F.lit("")), F.col(id_col).cast("long")
     marked = docs.withColumns({name: F.coalesce(doc, F.lit(0).cast("long")), key: F.xxhash64(doc.isNull(), text)})
     met = marked.join(merged, [name, key], "left")

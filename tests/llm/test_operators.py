@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pitwall.llm import bpe, exact_dedup, near_dedup, packing, pii, preference, quality, queries, suffix_dedup, topk, toxicity
+from pitwall.llm import bpe, exact_dedup, near_dedup, packing, pii, preference, quality, queries, shared, suffix_dedup, topk, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
@@ -64,6 +64,28 @@ def test_exact_dedup_keeps_columns_and_one_row(spark):
     assert exact_dedup.exact_dedup(docs.limit(0)).count() == 0
 
 
+def test_stages_move_no_texts_where_few_rows_change(spark, monkeypatch):
+    """The tables of what is dropped or masked are counted and sent, whatever
+    Spark makes of their size; many of them are left to a shuffle join."""
+    rows = odd_rows() + [(i, f"mail a{i}@b{i}.org or none") for i in range(900, 910)]
+    docs = table(spark, rows)
+    stages = [exact_dedup.exact_dedup, near_dedup.near_dedup, pii.redact]
+    monkeypatch.setattr(shared, "FEW_ROWS", 0)
+    want = [Counter(map(tuple, s(docs).collect())) for s in stages]
+    monkeypatch.undo()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for s, w in zip(stages, want):
+            out = s(docs)
+            plan = out._jdf.queryExecution().sparkPlan().toString()
+            assert "BroadcastHashJoin" in plan and "text" in plan
+            if s is not exact_dedup.exact_dedup:  # that has a branch for repeated rows
+                assert "SortMergeJoin" not in plan
+            assert Counter(map(tuple, out.collect())) == w
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # -- packing -------------------------------------------------------------------
 
 def test_packing_round_trip(spark):
@@ -264,6 +286,16 @@ def test_frequencies_are_exact(spark, run):
     assert len(h) and len(near_dedup.frequencies(docs.limit(0), 0)[0]) == 0
 
 
+def test_small_partitions_are_read_together_for_heavy_shingles(spark):
+    cores = spark.sparkContext.defaultParallelism
+    texts = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(40 * cores)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(20 * cores)
+    heavy = near_dedup._together(docs, len(texts)).mapInArrow(near_dedup._heavy(10, 1 << 30), "shingle long, over long")
+    # 2 texts of a partition of their own make every shingle heavy; here 40 meet
+    assert heavy.count() < len(texts)
+    assert near_dedup._together(docs, 10**9).rdd.getNumPartitions() == 20 * cores
+
+
 def test_buckets_in_parts(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "PART", 2)
     monkeypatch.setattr(near_dedup, "FEWEST", 0)
