@@ -8,6 +8,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -16,9 +17,11 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark import AccumulatorParam
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from pitwall.config import conf_set
 from pitwall.llm import bpe, exact_dedup, near_dedup, packing, pii, preference, quality, queries, shared, suffix_dedup, topk, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -286,6 +289,67 @@ def test_frequencies_are_exact(spark, run):
     assert len(h) and len(near_dedup.frequencies(docs.limit(0), 0)[0]) == 0
 
 
+class Most(AccumulatorParam):
+    def zero(self, value):
+        return value
+
+    def addInPlace(self, a, b):
+        return max(a, b)
+
+
+def test_heavy_shingles_of_a_run_take_little_memory(monkeypatch):
+    """A run whose shingles mostly occur once: beside its list no second one."""
+    rng, size = np.random.default_rng(3), 1 << 20
+    often = rng.integers(1, 1 << 62, 400).astype(np.uint64)
+    held = np.concatenate((rng.integers(1, 1 << 62, size - 1200).astype(np.uint64), np.repeat(often, 3)))
+    monkeypatch.setattr(near_dedup, "shingles", lambda column: (held, None, None, None))
+    batch = pa.RecordBatch.from_arrays([pa.array([""] * 4000)], names=["text"])
+    tracemalloc.start()
+    try:
+        (got,) = near_dedup._heavy(1000, size)(iter([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * held.nbytes
+    want = Counter({int(h): 2 * 1000 * n - 4000 for h, n in Counter(held.tolist()).items() if 2 * 1000 * n > 4000})
+    assert dict(zip(got.column("shingle").to_numpy().view(np.uint64).tolist(), got.column("over").to_pylist())) == want
+
+
+@pytest.mark.parametrize("docs, runs", [(1, [[5]]), (30, [[5]]), (7, [[1, 2, 2], [2, 3]]), (40, [[1, 2, 2], [2, 3, 3], [3, 3]]), (9, [[]])])
+def test_heavy_shingles_of_small_runs(monkeypatch, docs, runs):
+    lists = iter([np.array(r, np.uint64) for r in runs])
+    monkeypatch.setattr(near_dedup, "shingles", lambda column: (next(lists), None, None, None))
+    sizes = [docs - len(runs) + 1] + [1] * (len(runs) - 1)
+    batches = [pa.RecordBatch.from_arrays([pa.array(["x"] * n)], names=["text"]) for n in sizes]
+    (got,) = near_dedup._heavy(5, 100)(iter(batches))
+    want = {h: 10 * n - docs for h, n in Counter(sum(runs, [])).items() if 10 * n > docs}
+    assert dict(zip(got.column("shingle").to_pylist(), got.column("over").to_pylist())) == want
+
+
+def test_near_classes_reads_small_batches(spark, monkeypatch):
+    """Every job of texts gets them in batches of few rows; the setting is put back."""
+    most, before = spark.sparkContext.accumulator(0, Most()), spark.conf.get(near_dedup.BATCH_CONF)
+    signer = near_dedup._signer
+
+    def watched(*given):
+        run = signer(*given)
+
+        def noting(batches):
+            for b in batches:
+                most.add(b.num_rows)
+                yield from run(iter([b]))
+
+        return noting
+
+    monkeypatch.setattr(near_dedup, "_signer", watched)
+    docs = spark.range(0, 2500, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.lit(w) for w in "a b c d e".split()], F.col("id").cast("string")).alias("text"))
+    assert near_dedup.near_classes(docs).count() == 2500
+    assert 0 < most.value <= near_dedup.BATCH_ROWS
+    assert spark.conf.get(near_dedup.BATCH_CONF) == before
+    with conf_set(spark, {near_dedup.BATCH_CONF: "0"}), near_dedup.small_batches(spark):
+        assert spark.conf.get(near_dedup.BATCH_CONF) == str(near_dedup.BATCH_ROWS)
+
+
 def test_small_partitions_are_read_together_for_heavy_shingles(spark):
     cores = spark.sparkContext.defaultParallelism
     texts = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(40 * cores)]
