@@ -29,11 +29,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from pitwall.llm.shared import SliceTable, byte_table, prefix_sums, runs_inside, slice_hash, slices, string_buffers, take_ranges
+from pitwall.llm.shared import SliceTable, byte_table, giving_back, prefix_sums, runs_inside, slice_hash, slices, string_buffers, take_ranges
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+#: Bytes of texts encoded at once, and lines of new words given to the tokenizer
+#: at once: a worker's memory follows them.
+PIECE, LINES = 1 << 19, 10
+
 #: A character that is a word of one id wherever it stands between blanks.
 MARK = "\x01"
 
@@ -71,8 +75,8 @@ class WordIds:
         sizes, flat = np.zeros(len(words), np.int64), []
         plain = np.flatnonzero(~marked)
         lines, alone = [plain[lo : lo + 200] for lo in range(0, len(plain), 200)], np.flatnonzero(marked)
-        for lo in range(0, len(lines), 50):
-            part = lines[lo : lo + 50]
+        for lo in range(0, len(lines), LINES):
+            part = lines[lo : lo + LINES]
             for at, got in zip(part, self.tokenizer.encode_batch_fast([f" {MARK} ".join(words[i] for i in line) for line in part], add_special_tokens=False)):
                 ids = np.array(got.ids, np.uint32)
                 cuts = np.flatnonzero(ids == self.mark)
@@ -218,11 +222,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2,
         words = word_ids(tokenizer, end_id)
         packer = _Packer(TaskContext.get().partitionId(), capacity, batch, slack)
         rows: list[tuple] = []
-        for b in slices(batches, text_col):
+        for b in slices(batches, text_col, PIECE):
             for doc, ids in zip(b.column(id_col).to_pylist(), words.encode(b.column(text_col))):
                 rows.extend(packer.add(doc, ids))
             yield _batch(rows)
             rows = []
         yield _batch(list(packer.close()))
 
-    return docs.select(id_col, text_col).mapInArrow(run, SCHEMA)
+    return docs.select(id_col, text_col).mapInArrow(giving_back(run), SCHEMA)

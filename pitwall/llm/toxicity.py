@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, IntegerType
 
 from pitwall.llm.classify import MOST_BYTES, MOST_ROWS, by_bytes, label_counts, logistic, training_sample
-from pitwall.llm.shared import byte_table, mix, slices, string_buffers
+from pitwall.llm.shared import byte_table, giving_back, mix, slices, string_buffers
 
 SIZES = (3, 4, 5)
 BITS = 20
@@ -273,4 +273,4 @@ def score(docs: DataFrame, model: Model, columns: list[str], text_col: str = "te
     names = [*columns, *added]
     picked = docs.select(*dict.fromkeys([*columns, text_col]))
     schema = picked.select(*columns).schema.add(names[-2], DoubleType()).add(names[-1], IntegerType())
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(giving_back(run), schema)

@@ -289,6 +289,45 @@ def test_frequencies_are_exact(spark, run):
     assert len(h) and len(near_dedup.frequencies(docs.limit(0), 0)[0]) == 0
 
 
+def test_workers_give_freed_memory_back(monkeypatch):
+    """What a task freed below something that stays leaves the process when the
+    task ends; also when it is not read to its end."""
+    def held() -> int:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def run(batches):
+        for b in batches:
+            blocks = []
+            for i in range(3000):
+                blocks.append(b"x" * (50_000 + i))
+                pins.append(b"x" * (2000 + i))
+            del blocks
+            sizes.append(held())
+            yield b
+
+    sizes, pins, called = [], [], []
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"])], names=["text"])
+    assert list(shared.giving_back(run)(iter([batch, batch]))) == [batch, batch]
+    assert held() < sizes[-1] - (100 << 20)
+    monkeypatch.setattr(shared, "give_back", lambda: called.append(1))
+    half = shared.giving_back(run)(iter([batch, batch]))
+    next(half)
+    half.close()
+    assert called == [1]
+
+
+def test_packing_encodes_few_texts_at_once(spark, monkeypatch):
+    """Texts of a batch are taken in pieces; the pieces don't change the result."""
+    docs = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("some words here "), F.col("id").cast("string"), F.lit(" ")), 20).alias("text"))
+    got = {}
+    for piece in (1 << 14, 1 << 30):
+        monkeypatch.setattr(packing, "PIECE", piece)
+        packed = packing.pack(docs, queries.WORD_BPE)
+        got[piece] = sorted(tuple(r) for r in packed.collect())
+    assert got[1 << 14] == got[1 << 30] and len(got[1 << 14]) >= 300
+
+
 class Most(AccumulatorParam):
     def zero(self, value):
         return value
