@@ -365,6 +365,40 @@ def test_heavy_shingles_of_small_runs(monkeypatch, docs, runs):
     assert dict(zip(got.column("shingle").to_pylist(), got.column("over").to_pylist())) == want
 
 
+def heavy_of(lists, docs_of, rare, run, most, monkeypatch):
+    """Rows that a task sends for given shingles of its batches, and their sums."""
+    given = iter(lists)
+    monkeypatch.setattr(near_dedup, "shingles", lambda column: (next(given), None, None, None))
+    batches = [pa.RecordBatch.from_arrays([pa.array([""] * n)], names=["text"]) for n in docs_of]
+    sums: Counter = Counter()
+    rows = 0
+    for b in near_dedup._heavy(rare, run, most)(iter(batches)):
+        rows += b.num_rows
+        for h, n in zip(b.column("shingle").to_pylist(), b.column("over").to_pylist()):
+            sums[h] += n
+    return rows, sums
+
+
+def test_heavy_shingles_of_a_short_last_run(monkeypatch):
+    """What a task sends does not depend on where its last run ends."""
+    for docs in (100, 110, 119, 125):
+        lists = [np.array([7, *range(1000 + 9 * i, 1009 + 9 * i)], np.uint64) for i in range(docs)]
+        rows, sums = heavy_of(lists, [1] * docs, 10, 250, 1 << 20, monkeypatch)
+        assert (rows, dict(sums)) == (1, {7: 20 * docs - docs})
+
+
+@pytest.mark.parametrize("run, most", [(1, 1 << 20), (60, 1 << 20), (60, 30), (200, 3), (1 << 20, 1)])
+def test_heavy_shingles_sum_up(monkeypatch, run, most):
+    """However texts are cut into runs and summaries: of each shingle at most 1
+    of 2 rare documents is left out, and nothing is added."""
+    rnd = random.Random(run + most)
+    docs_of = [rnd.choice([1, 1, 2, 5]) for _ in range(120)]
+    lists = [np.array(sorted(h for _ in range(n) for h in {int(rnd.expovariate(0.05)) for _ in range(12)}), np.uint64) for n in docs_of]
+    _, sums = heavy_of(lists, docs_of, 5, run, most, monkeypatch)
+    for h, n in Counter(np.concatenate(lists).tolist()).items():
+        assert 10 * n - sum(docs_of) <= sums[h] <= 10 * n
+
+
 def test_near_classes_reads_small_batches(spark, monkeypatch):
     """Every job of texts gets them in batches of few rows; the setting is put back."""
     most, before = spark.sparkContext.accumulator(0, Most()), spark.conf.get(near_dedup.BATCH_CONF)
