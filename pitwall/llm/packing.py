@@ -22,14 +22,13 @@ from __future__ import annotations
 import heapq
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from pitwall.llm.shared import SliceTable, byte_table, giving_back, prefix_sums, runs_inside, slice_hash, slices, string_buffers, take_ranges
+from pitwall.llm.shared import SliceTable, byte_table, giving_back, kept, prefix_sums, runs_inside, slice_hash, slices, string_buffers, take_ranges
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -42,11 +41,10 @@ PIECE, LINES = 1 << 19, 10
 MARK = "\x01"
 
 
-@lru_cache(2)
 def word_ids(path: str, end_id: int) -> WordIds:
     """One for all tasks of a worker process: they share what it has learnt."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return WordIds(path, end_id)
+    return kept(("packing", path, end_id), lambda: WordIds(path, end_id))
 
 
 class WordIds:

@@ -18,6 +18,7 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, IntegerType
 
 from pitwall.llm.classify import MOST_BYTES, MOST_ROWS, by_bytes, label_counts, logistic, training_sample
-from pitwall.llm.shared import byte_table, giving_back, mix, slices, string_buffers
+from pitwall.llm.shared import byte_table, giving_back, kept, mix, slices, string_buffers
 
 SIZES = (3, 4, 5)
 BITS = 20
 PIECE = 1 << 20
+#: Bytes of texts scored at once: a worker takes some 100 bytes for each.
+SCORED = 1 << 17
 _TABLE = byte_table(23)
 _SEED = np.uint64((23 * 1000003 + 1) * 256)
 _TABLE[[9, 10, 11, 12, 13]] = _TABLE[32]
@@ -139,7 +142,7 @@ class Model:
     intercept: float
 
     def margin(self, column: pa.Array) -> np.ndarray:
-        pairs = distinct_grams(column, self.weights)
+        pairs = distinct_grams(column, self.weights, SCORED)
         return self.intercept + np.bincount(pairs >> BITS, self.weights[pairs & ((1 << BITS) - 1)], len(column))
 
     def score(self, column: pa.Array) -> np.ndarray:
@@ -259,13 +262,17 @@ def score(docs: DataFrame, model: Model, columns: list[str], text_col: str = "te
     spark = docs.sparkSession
     used = np.flatnonzero(model.weights).astype(np.int32)
     shared = spark.sparkContext.broadcast((used, model.weights[used], model.intercept))  # at most 2**20 weights
+    key = "toxicity", uuid.uuid4().hex
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def local_model() -> Model:
         at, w, b = shared.value
         weights = np.zeros(1 << BITS, np.float32)
         weights[at] = w
-        local = Model(weights, b)
-        for batch in slices(batches, text_col, 1 << 20):
+        return Model(weights, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local = kept(key, local_model)
+        for batch in slices(batches, text_col, SCORED):
             s = local.score(batch.column(text_col))
             cols = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=names)

@@ -399,6 +399,27 @@ def test_heavy_shingles_sum_up(monkeypatch, run, most):
         assert 10 * n - sum(docs_of) <= sums[h] <= 10 * n
 
 
+def test_workers_keep_one_operators_tables(monkeypatch):
+    """A worker that packed texts lets the tokenizer go when it scores others."""
+    monkeypatch.setattr(shared, "_KEPT", {})
+    words = packing.word_ids(queries.WORD_BPE, 2)
+    assert packing.word_ids(queries.WORD_BPE, 2) is words
+    weights = shared.kept(("near_dedup", "a"), lambda: [1])
+    assert shared.kept(("near_dedup", "a"), lambda: [2]) is weights and len(shared._KEPT) == 1
+    assert packing.word_ids(queries.WORD_BPE, 2) is not words
+
+
+@pytest.mark.parametrize("piece", [1 << 4, 1 << 11, 1 << 30])
+def test_toxicity_scores_few_texts_at_once(monkeypatch, piece):
+    """The pieces in which texts are scored don't change a score."""
+    rnd = random.Random(4)
+    column = pa.array([None, "", *(" ".join(rnd.choice(WORDS) for _ in range(rnd.randrange(300))) for _ in range(40))])
+    weights = np.random.default_rng(4).normal(size=1 << toxicity.BITS).astype(np.float32)
+    monkeypatch.setattr(toxicity, "SCORED", piece)
+    want = [math.fsum([0.5, *weights[np.unique(toxicity.grams(column[i : i + 1])[0])].astype(float)]) for i in range(len(column))]
+    assert np.allclose(toxicity.Model(weights, 0.5).margin(column), want, rtol=0, atol=1e-9)
+
+
 def test_near_classes_reads_small_batches(spark, monkeypatch):
     """Every job of texts gets them in batches of few rows; the setting is put back."""
     most, before = spark.sparkContext.accumulator(0, Most()), spark.conf.get(near_dedup.BATCH_CONF)
