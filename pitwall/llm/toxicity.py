@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, IntegerType
 
 from pitwall.llm.classify import MOST_BYTES, MOST_ROWS, by_bytes, label_counts, logistic, training_sample
-from pitwall.llm.shared import byte_table, giving_back, kept, mix, slices, string_buffers
+from pitwall.llm.shared import byte_table, give_back, giving_back, kept, mix, slices, string_buffers
 
 SIZES = (3, 4, 5)
 BITS = 20
@@ -254,7 +254,10 @@ def fit_calibrated(column: pa.Array, labels: np.ndarray, share: float, folds: in
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES) -> Model:
     sample = training_sample(docs, labels, label, most_rows, most_bytes)
     n0, n1 = label_counts(labels, label)
-    return fit_calibrated(sample.column("text").combine_chunks(), sample.column("__label").to_numpy().astype(np.int64), (n1 + 1) / (n0 + n1 + 2))
+    model = fit_calibrated(sample.column("text").combine_chunks(), sample.column("__label").to_numpy().astype(np.int64), (n1 + 1) / (n0 + n1 + 2))
+    del sample
+    give_back()  # the driver lives on, too
+    return model
 
 
 def score(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text", threshold: float = 0.5, added: tuple[str, str] = ("score", "predicted")) -> DataFrame:

@@ -278,6 +278,32 @@ def test_links_connect_a_chain_within_one_bucket(spark):
         assert roots == {n: 1 for n in range(2, 13)}
 
 
+def test_links_of_small_buckets_need_no_pivots(spark, monkeypatch):
+    """Buckets of two and three: every pair is compared, no turn of pivots runs
+    (its jobs leave threads and plans in the driver); a pair in two buckets once."""
+    sets = {n: np.arange(10 * n, 10 * n + 100, dtype=np.uint32) for n in (1, 2, 3, 20, 21, 40, 60)}
+    vectors = spark.createDataFrame([(n, bytearray(v.tobytes()), None) for n, v in sets.items()], "node long, shingles binary, weights binary")
+    held = {1: [7, 101], 2: [7, 102], 3: [7, 103], 20: [8, 9], 21: [8, 9], 40: [140, 5], 60: [160, 5]}
+    rows = [(b, n, 100.0, 100.0, bands) for n, bands in held.items() for b in bands if b < 100]
+    members = spark.createDataFrame(rows, "bucket long, node long, weight double, solid double, bands array<long>")
+    compared = []
+    verify = near_dedup._verify
+    monkeypatch.setattr(near_dedup, "_verify", lambda pairs, *a: compared.extend(tuple(r) for r in pairs.select("a", "b").collect()) or verify(pairs, *a))
+    monkeypatch.setattr(near_dedup, "_rooted", lambda *a: pytest.fail("a turn of pivots"))
+    links = near_dedup._links(members, vectors, 1.0, 0.8)
+    assert sorted(compared) == [(2, 1), (3, 1), (3, 2), (21, 20), (60, 40)]
+    assert sorted(tuple(r) for r in links.collect()) == [(2, 1), (3, 2), (21, 20)]
+
+
+def test_toxicity_training_gives_memory_back(spark, monkeypatch):
+    back = []
+    monkeypatch.setattr(toxicity, "give_back", lambda: back.append(1), raising=False)
+    docs = table(spark, [(i, "vile words here" if i % 2 else "kind words here") for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert back == [1] and len(model.weights) == 1 << toxicity.BITS
+
+
 @pytest.mark.parametrize("run", [50, 2_000_000])
 def test_frequencies_are_exact(spark, run):
     rnd = random.Random(run)
